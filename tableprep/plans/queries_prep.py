@@ -127,3 +127,216 @@ FROM ({_PCT}) WHERE null_pct > 0
 @query("b10_band", _BAND, ("m_items",))
 def b10_band(spark, sf):
     return P.missing_band(m_items(spark, sf))
+
+
+# ---------------------------------------------------------------- A: intake, ledger
+
+@query("a4_intake", "SELECT count(*) AS \"rows\", 12 AS \"columns\", '" + ",".join(ITEM_COLS)
+       + "' AS column_names FROM m_items", ("m_items",))
+def a4_intake(spark, sf):
+    from ..sources.ingest import intake_profile
+    return intake_profile(m_items(spark, sf)).select("rows", F.col("columns").cast("int"), "column_names")
+
+
+# ---------------------------------------------------------------- C: types
+
+from ..operators import types as TY  # noqa: E402
+
+_RATIO = per_column(
+    "SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct, "
+    "round(count(DISTINCT {c}) / greatest(count(*), 1), 6) AS ratio FROM m_items", ITEM_COLS)
+
+
+@query("c1_ratio", _RATIO, ("m_items",))
+def c1_ratio(spark, sf):
+    r = TY.distinct_ratio(m_items(spark, sf))
+    return r.select("column", "n_distinct", F.round("ratio", 6).alias("ratio"))
+
+
+# DuckDB spellings of the fixed datetime formats and their shapes
+_DUCK_FORMATS = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y/%m/%d", "%m/%d/%Y", "%d.%m.%Y"]
+_DUCK_SHAPES = [r"^\d{4}-\d{2}-\d{2}$", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+                r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", r"^\d{4}/\d{2}/\d{2}$",
+                r"^\d{2}/\d{2}/\d{4}$", r"^\d{2}\.\d{2}\.\d{4}$"]
+
+
+def _duck_dt_any(c):
+    parts = [f"count({c}) = count(CASE WHEN regexp_matches({c}, '{s}') THEN try_strptime({c}, '{f}') END)"
+             for f, s in zip(_DUCK_FORMATS, _DUCK_SHAPES)]
+    return " OR ".join(parts)
+
+
+def _duck_dt_fmt(c):
+    whens = " ".join(
+        f"WHEN count({c}) = count(CASE WHEN regexp_matches({c}, '{s}') THEN try_strptime({c}, '{f}') END) THEN '{f}'"
+        for f, s in zip(_DUCK_FORMATS, _DUCK_SHAPES))
+    return f"CASE {whens} END"
+
+
+_SEM = (per_column("SELECT '{c}' AS \"column\", CASE WHEN count(DISTINCT {c}) / greatest(count(*), 1) > 0.95 "
+                   "THEN 'id' ELSE 'numeric' END AS semantic FROM m_items", ITEM_NUMERIC)
+        + "\nUNION ALL\n"
+        + "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS \"column\", CASE WHEN {_duck_dt_any(c)} THEN 'datetime' "
+            f"WHEN count(DISTINCT {c}) / greatest(count(*), 1) < 0.05 THEN 'categorical' ELSE 'text' END "
+            f"FROM m_items" for c in ITEM_STRING))
+
+
+@query("c2_c5_semantic", f"SELECT \"column\", semantic FROM ({_SEM})", ("m_items",))
+def c2_c5_semantic(spark, sf):
+    return TY.semantic_types(m_items(spark, sf), "exact").select("column", "semantic")
+
+
+@query("c6_cast", "SELECT item_id, CAST(strptime(ship_date, '%Y-%m-%d') AS TIMESTAMP) AS ship_date FROM m_items",
+       ("m_items",))
+def c6_cast(spark, sf):
+    df = m_items(spark, sf)
+    return TY.apply_types(df, TY.fit_types(df)).select("item_id", "ship_date")
+
+
+@query("c8_coerce", "SELECT TRY_CAST(CAST(qty AS VARCHAR) AS DOUBLE) AS qty_text, TRY_CAST(item_id AS DOUBLE) AS item_id "
+       "FROM m_items", ("m_items",))
+def c8_coerce(spark, sf):
+    df = m_items(spark, sf).select(F.col("qty").cast("string").alias("qty_text"), "item_id")
+    return TY.coerce_numeric(df, ["qty_text", "item_id"])
+
+
+_TYPEMAP = f"""
+SELECT "column", semantic,
+       CASE WHEN semantic = 'datetime' AND "column" IN ({", ".join(f"'{c}'" for c in ITEM_STRING)})
+            THEN "column" || ': cast to datetime'
+            WHEN semantic = 'categorical' THEN "column" || ': cast to category' END AS cast_log
+FROM ({_SEM})
+"""
+
+
+@query("c9_typemap", _TYPEMAP, ("m_items",))
+def c9_typemap(spark, sf):
+    df = m_items(spark, sf)
+    fit = TY.fit_types(df, "exact")
+    logs = dict(TY.cast_log(fit))
+    return spark.createDataFrame([(c, fit.semantic[c], logs.get(c)) for c in df.columns],
+                                 "column string, semantic string, cast_log string")
+
+
+_CARDS = f"""
+SELECT s."column", s.semantic, coalesce(p.null_pct, 0.0) AS null_pct
+FROM ({_SEM}) s LEFT JOIN ({_PCT}) p ON s."column" = p."column"
+"""
+
+
+@query("b11_cards", _CARDS, ("m_items",))
+def b11_cards(spark, sf):
+    df = m_items(spark, sf)
+    types = TY.semantic_types(df, "exact")
+    return P.column_cards(types, df)
+
+
+# ---------------------------------------------------------------- D: missing values
+
+from ..operators import impute as IM  # noqa: E402
+
+_FRAC = per_column(
+    "SELECT '{c}' AS \"column\", (count(*) - count({c})) / count(*) AS frac FROM m_items", ITEM_COLS)
+_ACTION = ("CASE WHEN frac = 0 THEN 'no_action' WHEN frac >= 0.7 THEN 'drop' ELSE 'impute' END")
+
+
+@query("d1_nullfrac", f"SELECT \"column\", round(frac, 6) AS null_fraction, {_ACTION} AS action FROM ({_FRAC})",
+       ("m_items",))
+def d1_nullfrac(spark, sf):
+    fr = IM.null_fractions(m_items(spark, sf))
+    f = F.col("null_fraction")
+    return fr.select("column", F.round(f, 6).alias("null_fraction"),
+                     F.when(f == 0, "no_action").when(f >= IM.DROP_THRESHOLD, "drop").otherwise("impute").alias("action"))
+
+
+@query("d2_drop", f"SELECT \"column\" FROM ({_FRAC}) WHERE frac >= 0.7", ("m_items",))
+def d2_drop(spark, sf):
+    df = m_items(spark, sf)
+    fit = IM.fit_impute(df, TY.fit_types(df).semantic)
+    return spark.createDataFrame([(c,) for c in fit.dropped], "column string")
+
+
+_PLAN = f"""
+SELECT f."column",
+       CASE WHEN frac = 0 THEN 'no_action' WHEN frac >= 0.7 THEN 'drop'
+            WHEN s.semantic = 'numeric' THEN 'median' ELSE 'mode' END AS strategy
+FROM ({_FRAC}) f JOIN ({_SEM}) s ON f."column" = s."column"
+"""
+
+
+@query("d3_plan", _PLAN, ("m_items",))
+def d3_plan(spark, sf):
+    df = m_items(spark, sf)
+    fit = IM.fit_impute(df, TY.fit_types(df, "exact").semantic)
+    return spark.createDataFrame([(c, a.action) for c, a in fit.actions.items()], "column string, strategy string")
+
+
+def _filled_items(spark, sf, overrides, constant=0):
+    df = m_items(spark, sf)
+    fit = IM.fit_impute(df, TY.fit_types(df).semantic, overrides=overrides, constant=constant)
+    return IM.apply_impute(df, fit)
+
+
+@query("d4_mean", """
+SELECT order_id, part_id, round(coalesce(qty, (SELECT avg(qty) FROM m_items)), 6) AS qty,
+       round(coalesce(discount, (SELECT avg(discount) FROM m_items)), 6) AS discount FROM m_items""", ("m_items",))
+def d4_mean(spark, sf):
+    out = _filled_items(spark, sf, {"qty": "mean", "discount": "mean"})
+    return out.select("order_id", "part_id", F.round("qty", 6).alias("qty"), F.round("discount", 6).alias("discount"))
+
+
+@query("d5_median", """
+SELECT order_id, part_id, coalesce(qty, (SELECT quantile_cont(qty, 0.5) FROM m_items)) AS qty,
+       round(coalesce(discount, (SELECT quantile_cont(discount, 0.5) FROM m_items)), 6) AS discount FROM m_items""",
+       ("m_items",))
+def d5_median(spark, sf):
+    out = _filled_items(spark, sf, {})
+    return out.select("order_id", "part_id", "qty", F.round("discount", 6).alias("discount"))
+
+
+def _duck_mode(c):
+    return f"(SELECT {c} FROM m_items WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+
+
+@query("d6_mode", f"""
+SELECT order_id, part_id, coalesce(qty, {_duck_mode('qty')}) AS qty,
+       coalesce(discount, {_duck_mode('discount')}) AS discount,
+       coalesce(flag, {_duck_mode('flag')}) AS flag FROM m_items""", ("m_items",))
+def d6_mode(spark, sf):
+    out = _filled_items(spark, sf, {"qty": "mode", "discount": "mode", "flag": "mode"})
+    return out.select("order_id", "part_id", "qty", "discount", "flag")
+
+
+@query("d7_const", """
+SELECT order_id, part_id, coalesce(qty, 0.0) AS qty, coalesce(discount, 0.0) AS discount,
+       coalesce(flag, '0') AS flag FROM m_items""", ("m_items",))
+def d7_const(spark, sf):
+    out = _filled_items(spark, sf, {"qty": "constant", "discount": "constant", "flag": "constant"})
+    return out.select("order_id", "part_id", "qty", "discount", "flag")
+
+
+@query("d8_override", """
+SELECT order_id, part_id, round(coalesce(qty, (SELECT avg(qty) FROM m_items)), 6) AS qty, price,
+       coalesce(flag, '0') AS flag, status_code, ship_date, item_id, constant_col, target FROM m_items""",
+       ("m_items",))
+def d8_override(spark, sf):
+    out = _filled_items(spark, sf, {"qty": "mean", "discount": "drop", "flag": "constant"})
+    return out.withColumn("qty", F.round("qty", 6))
+
+
+_LOG = f"""
+SELECT f."column",
+       CASE WHEN frac = 0 THEN 'no_action (no nulls)'
+            WHEN frac >= 0.7 THEN 'dropped (' || printf('%.0f', frac * 100) || '% missing)'
+            ELSE 'applied: ' || CASE WHEN s.semantic = 'numeric' THEN 'median' ELSE 'mode' END
+                 || ' (was ' || printf('%.0f', frac * 100) || '% null)' END AS log
+FROM ({_FRAC}) f JOIN ({_SEM}) s ON f."column" = s."column"
+"""
+
+
+@query("d9_log", _LOG, ("m_items",))
+def d9_log(spark, sf):
+    df = m_items(spark, sf)
+    fit = IM.fit_impute(df, TY.fit_types(df, "exact").semantic)
+    return spark.createDataFrame(IM.strategy_log(fit), "column string, log string")
