@@ -74,9 +74,9 @@ def outlier_report(df: DataFrame, fit: OutlierFit) -> DataFrame:
         n = F.count_if(outlier_cond(c, f))
         structs.append(F.struct(
             F.lit(c).alias("column"), n.alias("outlier_count"),
-            F.round(F.lit(f.lower).cast("double"), 4).alias("lower_bound"),
-            F.round(F.lit(f.upper).cast("double"), 4).alias("upper_bound"),
-            F.round(F.try_divide(n.cast("double"), rows.cast("double")) * 100, 2).alias("pct_outliers")))
+            F.bround(F.lit(f.lower).cast("double"), 4).alias("lower_bound"),
+            F.bround(F.lit(f.upper).cast("double"), 4).alias("upper_bound"),
+            F.bround(F.try_divide(n.cast("double"), rows.cast("double")) * 100, 2).alias("pct_outliers")))
     if not structs:
         return df.sparkSession.createDataFrame(
             [], "column string, outlier_count long, lower_bound double, upper_bound double, pct_outliers double")

@@ -83,4 +83,7 @@ def with_views(sql: str, *names: str) -> str:
     for n in names:
         body = VIEWS[n][0].strip()
         ctes.append(f"{n} AS (\n{body}\n)")
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + sql

@@ -340,3 +340,279 @@ def d9_log(spark, sf):
     df = m_items(spark, sf)
     fit = IM.fit_impute(df, TY.fit_types(df, "exact").semantic)
     return spark.createDataFrame(IM.strategy_log(fit), "column string, log string")
+
+
+# ---------------------------------------------------------------- E: outliers
+
+from ..operators import outliers as OU  # noqa: E402
+
+_Q = per_column(
+    "SELECT '{c}' AS \"column\", quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, "
+    "quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM m_items", ITEM_NUMERIC)
+_FENCE = f"SELECT \"column\", q1, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM ({_Q})"
+
+
+def _fence_of(c):
+    return f"(SELECT lo FROM fences WHERE \"column\" = '{c}')", f"(SELECT hi FROM fences WHERE \"column\" = '{c}')"
+
+
+def _is_out(c):
+    lo, hi = _fence_of(c)
+    return f"coalesce(CAST({c} AS DOUBLE) < {lo} OR CAST({c} AS DOUBLE) > {hi}, false)"
+
+
+def _with_fences(sql):
+    return f"WITH fences AS ({_FENCE})\n{sql}"
+
+
+@query("e1_fences", f"SELECT \"column\", round(q1, 6) AS q1, round(q3, 6) AS q3, round(lo, 6) AS lower_fence, "
+       f"round(hi, 6) AS upper_fence FROM ({_FENCE})", ("m_items",))
+def e1_fences(spark, sf):
+    fit = OU.fit_outliers(m_items(spark, sf))
+    rows = [(c, f.q1, f.q3, f.lower, f.upper) for c, f in fit.fences.items()]
+    d = spark.createDataFrame(rows, "column string, q1 double, q3 double, lower_fence double, upper_fence double")
+    return d.select("column", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "lower_fence", "upper_fence")])
+
+
+_COUNTS = per_column(
+    "SELECT '{c}' AS \"column\", count_if(IS_OUT) AS outlier_count, "
+    "round_even(LO, 4) AS lower_bound, round_even(HI, 4) AS upper_bound, "
+    "round_even(count_if(IS_OUT) / count(*) * 100, 2) AS pct_outliers FROM m_items", ITEM_NUMERIC)
+_COUNTS = "\nUNION ALL\n".join(
+    part.replace("IS_OUT", _is_out(c)).replace("LO", _fence_of(c)[0]).replace("HI", _fence_of(c)[1])
+    for part, c in zip(_COUNTS.split("\nUNION ALL\n"), ITEM_NUMERIC))
+
+
+@query("e2_counts", _with_fences(_COUNTS), ("m_items",))
+def e2_counts(spark, sf):
+    df = m_items(spark, sf)
+    return OU.outlier_report(df, OU.fit_outliers(df))
+
+
+_ANY = " OR ".join(_is_out(c) for c in ITEM_NUMERIC)
+
+
+@query("e3_any", _with_fences(f"SELECT count_if({_ANY}) AS total_outlier_rows, count(*) AS \"rows\" FROM m_items"),
+       ("m_items",))
+def e3_any(spark, sf):
+    df = m_items(spark, sf)
+    return OU.total_outlier_rows(df, OU.fit_outliers(df))
+
+
+def _clip_sql(c):
+    lo, hi = _fence_of(c)
+    x = f"CAST({c} AS DOUBLE)"
+    return f"CASE WHEN {x} < {lo} THEN {lo} WHEN {x} > {hi} THEN {hi} ELSE {x} END AS {c}"
+
+
+@query("e4_clip", _with_fences("SELECT " + ", ".join(_clip_sql(c) for c in ITEM_NUMERIC) + " FROM m_items"),
+       ("m_items",))
+def e4_clip(spark, sf):
+    df = m_items(spark, sf)
+    return OU.clip(df, OU.fit_outliers(df)).select(*ITEM_NUMERIC)
+
+
+@query("e5_flag", _with_fences("SELECT order_id, part_id, " + ", ".join(f"{_is_out(c)} AS {c}_outlier"
+                                                                         for c in ITEM_NUMERIC) + " FROM m_items"),
+       ("m_items",))
+def e5_flag(spark, sf):
+    df = m_items(spark, sf)
+    return OU.flag(df, OU.fit_outliers(df)).select("order_id", "part_id", *[f"{c}_outlier" for c in ITEM_NUMERIC])
+
+
+@query("e6_drop", _with_fences(f"SELECT order_id, part_id, qty, price, flag FROM m_items WHERE NOT ({_ANY})"),
+       ("m_items",))
+def e6_drop(spark, sf):
+    df = m_items(spark, sf)
+    return OU.drop_rows(df, OU.fit_outliers(df)).select("order_id", "part_id", "qty", "price", "flag")
+
+
+_Z = per_column(
+    "SELECT '{c}' AS \"column\", count_if(abs((CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM m_items)) / "
+    "(SELECT stddev_samp({c}) FROM m_items)) > 3) AS n_flagged FROM m_items",
+    [c for c in ITEM_NUMERIC if c != "constant_col"])
+
+
+@query("e8_zscore", _Z, ("m_items",))
+def e8_zscore(spark, sf):
+    cols = [c for c in ITEM_NUMERIC if c != "constant_col"]
+    z = OU.zscore_flags(m_items(spark, sf), cols, 3.0)
+    structs = [F.struct(F.lit(c).alias("column"), F.count_if(F.col(f"{c}_zflag")).alias("n_flagged")) for c in cols]
+    return z.agg(F.array(*structs).alias("a")).select(F.inline("a"))
+
+
+# ---------------------------------------------------------------- F: features
+
+from ..operators import features as FE  # noqa: E402
+
+
+@query("f1_dateparts", """
+SELECT item_id, year(d) AS ship_date_year, month(d) AS ship_date_month, day(d) AS ship_date_day,
+       isodow(d) - 1 AS ship_date_dayofweek, isodow(d) >= 6 AS ship_date_is_weekend
+FROM (SELECT item_id, strptime(ship_date, '%Y-%m-%d') AS d FROM m_items)""", ("m_items",))
+def f1_dateparts(spark, sf):
+    df = m_items(spark, sf)
+    out = FE.date_parts(TY.apply_types(df, TY.fit_types(df)), ["ship_date"])
+    return out.select("item_id", *[f"ship_date_{p}" for p in FE.DATE_PARTS])
+
+
+def _duck_codes(c, order="{c}"):
+    return (f"(SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM "
+            f"(SELECT DISTINCT {c} AS v FROM m_items WHERE {c} IS NOT NULL))")
+
+
+@query("f2_encode", f"""
+SELECT order_id, part_id, flag, coalesce(a.code, -1) AS flag_encoded, coalesce(b.code, -1) AS status_code_encoded
+FROM m_items LEFT JOIN {_duck_codes('flag')} a ON flag = a.v LEFT JOIN {_duck_codes('status_code')} b
+ON status_code = b.v""", ("m_items",))
+def f2_encode(spark, sf):
+    df = m_items(spark, sf)
+    out = FE.apply_encode(df, FE.fit_encode(df, ["flag", "status_code"]))
+    return out.select("order_id", "part_id", "flag", "flag_encoded", "status_code_encoded")
+
+
+def _duck_first(c):
+    return (f"(SELECT v, CAST(row_number() OVER (ORDER BY first, v) - 1 AS INTEGER) AS code FROM "
+            f"(SELECT {c} AS v, min(order_id) AS first FROM m_items WHERE {c} IS NOT NULL GROUP BY {c}))")
+
+
+@query("f3_factorize", f"""
+SELECT order_id, part_id, flag, coalesce(a.code, -1) AS flag_encoded, coalesce(b.code, -1) AS status_code_encoded
+FROM m_items LEFT JOIN {_duck_first('flag')} a ON flag = a.v LEFT JOIN {_duck_first('status_code')} b
+ON status_code = b.v""", ("m_items",))
+def f3_factorize(spark, sf):
+    df = m_items(spark, sf)
+    out = FE.apply_encode(df, FE.fit_encode(df, ["flag", "status_code"], order_by="order_id"))
+    return out.select("order_id", "part_id", "flag", "flag_encoded", "status_code_encoded")
+
+
+@query("f4_squares", """
+SELECT CAST(order_id AS DOUBLE) * order_id AS order_id_sq, CAST(part_id AS DOUBLE) * part_id AS part_id_sq,
+       qty * qty AS qty_sq FROM m_items""", ("m_items",))
+def f4_squares(spark, sf):
+    out, cols = FE.squares(m_items(spark, sf))
+    return out.select(*[f"{c}_sq" for c in cols])
+
+
+@query("f5_interaction", "SELECT CAST(order_id AS DOUBLE) * part_id AS order_id_x_part_id FROM m_items",
+       ("m_items",))
+def f5_interaction(spark, sf):
+    df = m_items(spark, sf)
+    _, cols = FE.squares(df)
+    return FE.interaction(df, cols).select(f"{cols[0]}_x_{cols[1]}")
+
+
+@query("f6_featlog", f"""
+SELECT CASE WHEN semantic = 'datetime' THEN "column" || ': datetime decomposed → year/month/day/dayofweek/is_weekend'
+            ELSE "column" || ': label encoded → ' || "column" || '_encoded' END AS line
+FROM ({_SEM}) WHERE semantic IN ('datetime', 'categorical')""", ("m_items",))
+def f6_featlog(spark, sf):
+    df = m_items(spark, sf)
+    fit = TY.fit_types(df, "exact")
+    _, log = FE.engineer(TY.apply_types(df, fit), fit.semantic)
+    return spark.createDataFrame([(x,) for x in log], "line string")
+
+
+# ---------------------------------------------------------------- G: selection
+
+from ..operators import select as SE  # noqa: E402
+
+_SEL_NUM = [c for c in ITEM_NUMERIC if c != "target"]
+_VAR = per_column(
+    "SELECT '{c}' AS \"column\", coalesce(var_samp({c}) < 0.01, false) AS low_variance FROM m_items", _SEL_NUM)
+
+
+@query("g1_var", _VAR, ("m_items",))
+def g1_var(spark, sf):
+    df = m_items(spark, sf)
+    var = SE.variances(df, _SEL_NUM)
+    return spark.createDataFrame([(c, v is not None and v < SE.VARIANCE_THRESHOLD) for c, v in var.items()],
+                                 "column string, low_variance boolean")
+
+
+def _duck_corr(a, b, src="m_items"):
+    return (f"SELECT '{a}' AS a, '{b}' AS b, round(CASE WHEN isnan(r) THEN NULL ELSE r END, 6) AS r "
+            f"FROM (SELECT corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM {src})")
+
+
+@query("g2_corr", "\nUNION ALL\n".join(_duck_corr(_SEL_NUM[i], _SEL_NUM[j])
+                                       for j in range(len(_SEL_NUM)) for i in range(j)), ("m_items",))
+def g2_corr(spark, sf):
+    t = SE.correlation_table(m_items(spark, sf), _SEL_NUM)
+    return t.select("a", "b", F.round("r", 6).alias("r"))
+
+
+_SQ_COLS = _SEL_NUM + ["order_id_sq", "part_id_sq", "qty_sq"]
+_SQ_SRC = ("(SELECT *, CAST(order_id AS DOUBLE) * order_id AS order_id_sq, CAST(part_id AS DOUBLE) * part_id "
+           "AS part_id_sq, qty * qty AS qty_sq FROM m_items)")
+def _g3_sql():
+    var_rows = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS c, {i} AS o, coalesce(var_samp({c}) < 0.01, false) AS low FROM {_SQ_SRC}"
+        for i, c in enumerate(_SQ_COLS))
+    pairs = "\nUNION ALL\n".join(_duck_corr(_SQ_COLS[i], _SQ_COLS[j], _SQ_SRC)
+                                 for j in range(len(_SQ_COLS)) for i in range(j))
+    return f"""
+WITH v AS ({var_rows}), p AS ({pairs})
+SELECT DISTINCT p.b AS "column" FROM p JOIN v va ON p.a = va.c JOIN v vb ON p.b = vb.c
+WHERE NOT va.low AND NOT vb.low AND abs(p.r) > 0.95"""
+
+
+@query("g3_corrfilter", _g3_sql(), ("m_items",))
+def g3_corrfilter(spark, sf):
+    df, _ = FE.squares(m_items(spark, sf))
+    fit = SE.fit_select(df, "target")
+    return spark.createDataFrame([(c,) for c in fit.high_correlation], "column string")
+
+
+_ORD = " UNION ALL ".join(f"SELECT '{c}' AS c, {i} AS o" for i, c in enumerate(ITEM_COLS))
+
+
+def _g4_sql():
+    return f"""
+WITH cols AS ({_ORD}), v AS ({_VAR}),
+p AS ({" UNION ALL ".join(_duck_corr(_SEL_NUM[i], _SEL_NUM[j]) for j in range(len(_SEL_NUM)) for i in range(j))}),
+hi AS (SELECT DISTINCT p.b AS c FROM p JOIN v va ON p.a = va."column" JOIN v vb ON p.b = vb."column"
+       WHERE NOT va.low_variance AND NOT vb.low_variance AND abs(p.r) > 0.95),
+kept AS (SELECT c, o FROM cols WHERE c <> 'target'
+         AND c NOT IN (SELECT "column" FROM v WHERE low_variance) AND c NOT IN (SELECT c FROM hi))
+SELECT CAST(row_number() OVER (ORDER BY o) AS INTEGER) AS position, c AS "column" FROM kept
+UNION ALL
+SELECT CAST((SELECT count(*) FROM kept) + 1 AS INTEGER), 'target'"""
+
+
+@query("g4_target", _g4_sql(), ("m_items",))
+def g4_target(spark, sf):
+    df = m_items(spark, sf)
+    out = SE.apply_select(df, SE.fit_select(df, "target"))
+    return spark.createDataFrame([(i + 1, c) for i, c in enumerate(out.columns)], "position int, column string")
+
+
+@query("g5_removed", f"SELECT \"column\" AS feature, 'low variance' AS reason FROM ({_VAR}) WHERE low_variance",
+       ("m_items",))
+def g5_removed(spark, sf):
+    df = m_items(spark, sf)
+    fit = SE.fit_select(df, "target")
+    rows = [(c, "low variance") for c in fit.low_variance] + [(c, "high correlation") for c in fit.high_correlation]
+    return spark.createDataFrame(rows, "feature string, reason string")
+
+
+# ---------------------------------------------------------------- H: validation
+
+from ..operators import validate as VA  # noqa: E402
+
+
+@query("h2_residual", f"SELECT \"column\", null_count FROM ({_NULLS}) WHERE null_count > 0", ("m_items",))
+def h2_residual(spark, sf):
+    return VA.residual_nulls(m_items(spark, sf))
+
+
+_NULL_COLS = " + ".join(f"CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END" for c in ITEM_COLS)
+
+
+@query("h3_h4_status", f"""
+SELECT n AS "rows", 12 AS "columns", k AS residual_null_columns,
+       CASE WHEN k > 0 OR n < 10 THEN 'PASSED WITH WARNINGS' ELSE 'PASSED' END AS pipeline_status
+FROM (SELECT count(*) AS n, {_NULL_COLS} AS k FROM m_items)""", ("m_items",))
+def h3_h4_status(spark, sf):
+    return VA.status_frame(m_items(spark, sf)).select(
+        "rows", F.col("columns").cast("int"), F.col("residual_null_columns").cast("int"), "pipeline_status")
