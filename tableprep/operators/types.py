@@ -54,12 +54,12 @@ def parse_ts(c, fmt: str):
 
 def distinct_ratio(df: DataFrame) -> DataFrame:                        # C1
     """``(column, n_distinct, ratio)``; NULLs are not values but count as rows."""
+    rows = df.count()
     names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
-    rows = df.agg(F.count(F.lit(1)).alias("rows"))
     summ = value_summary(value_counts(df)).select("column", "n_distinct")
-    return (names.join(F.broadcast(summ), "column", "left").crossJoin(F.broadcast(rows))
-            .select("column", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
-                    (F.coalesce("n_distinct", F.lit(0)) / F.greatest(F.col("rows"), F.lit(1))).alias("ratio")))
+    n = F.coalesce("n_distinct", F.lit(0))
+    return (names.join(F.broadcast(summ), "column", "left")    # one row per column: bounded
+            .select("column", n.alias("n_distinct"), (n / F.lit(max(rows, 1))).alias("ratio")))
 
 
 def _datetime_probe_exprs(df: DataFrame):
