@@ -104,9 +104,7 @@ def sample_values(df: DataFrame, k: int = 5) -> DataFrame:         # B7
     vc = value_counts(df)
     top = smallest_values(vc, k)
     fams = families(df)
-    numeric = [c for c, f in fams.items() if f == NUMERIC]
     text = F.when(F.col("num").isNotNull(), F.col("num").cast("string")).otherwise(F.col("str"))
-    del numeric
     return top.select("column", "rank", text.alias("value"))
 
 

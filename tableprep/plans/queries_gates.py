@@ -1 +1,301 @@
-"""Registered queries for contract gates (J)."""
+"""Registered queries for the contract gates (J1-J22), all on ``m_items``.
+
+Output of every gate: ``(rule, column, observed, limit, fired)``; observed is
+rounded to 6 places on both sides.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import features as FE
+from ..operators import gates as G
+from ..operators import outliers as OU
+from ..operators import select as SE
+from ..operators import types as TY
+from .fixtures import m_items
+from .queries_prep import (_FENCE, _NULLS, _PCT, _RATIO, _SEM, ITEM_COLS, ITEM_NUMERIC, ITEM_STRING, _is_out,
+                           _with_fences)
+from .registry import per_column, query
+
+
+def _r(df):
+    return df.select("rule", "column", F.round("observed", 6).alias("observed"), "limit", "fired")
+
+
+def _sel(rule, column, observed, limit, fired, src):
+    return (f"SELECT '{rule}' AS rule, CAST({column} AS VARCHAR) AS \"column\", round(CAST({observed} AS DOUBLE), 6) "
+            f"AS observed, CAST({limit} AS DOUBLE) AS \"limit\", {fired} AS fired FROM {src}")
+
+
+def _semantic(spark, sf):
+    return TY.semantic_types(m_items(spark, sf), "exact").select("column", "semantic")
+
+
+@query("j1_sparse_share", _sel("J1", "NULL", "o", 0.3, "o > 0.3",
+                               f"(SELECT avg(CASE WHEN null_pct > 50 THEN 1.0 ELSE 0.0 END) AS o FROM ({_PCT}))"),
+       ("m_items",))
+def j1(spark, sf):
+    return _r(G.j1_sparse_share(m_items(spark, sf)))
+
+
+@query("j2_dedup_rows", _sel("J2", "NULL", "o", 50, "o < 50",
+                             "(SELECT count(*) AS o FROM (SELECT DISTINCT * FROM m_items))"), ("m_items",))
+def j2(spark, sf):
+    return _r(G.j2_rows_after_dedup(m_items(spark, sf)))
+
+
+_ZV = per_column("SELECT CASE WHEN min({c}) IS NOT DISTINCT FROM max({c}) THEN 1.0 ELSE 0.0 END AS z FROM m_items",
+                 ITEM_NUMERIC)
+
+
+@query("j3_all_zero_var", _sel("J3", "NULL", "o", 1.0, "coalesce(o = 1.0, false)", f"(SELECT avg(z) AS o FROM ({_ZV}))"),
+       ("m_items",))
+def j3(spark, sf):
+    return _r(G.j3_all_zero_variance(m_items(spark, sf)))
+
+
+@query("j4_not_good", _sel("J4", "NULL", "o", 40.0, "o > 40", f"(SELECT max(null_pct) AS o FROM ({_PCT}))"),
+       ("m_items",))
+def j4(spark, sf):
+    return _r(G.j4_not_good(m_items(spark, sf)))
+
+
+_TOP = per_column(
+    "SELECT '{c}' AS c, max(n) / sum(n) AS o FROM (SELECT count(*) AS n FROM m_items WHERE {c} IS NOT NULL GROUP BY {c})",
+    ITEM_COLS)
+
+
+@query("j5_near_constant", _sel("J5", "c", "o", 0.95, "o > 0.95", f"({_TOP})"), ("m_items",))
+def j5(spark, sf):
+    return _r(G.j5_near_constant(m_items(spark, sf)))
+
+
+@query("j6_untyped", _sel("J6", "NULL", "o", 0.5, "o > 0.5",
+                          f"(SELECT avg(CASE WHEN semantic = 'unknown' THEN 1.0 ELSE 0.0 END) AS o FROM ({_SEM}))"),
+       ("m_items",))
+def j6(spark, sf):
+    return _r(G.j6_untyped_share(_semantic(spark, sf)))
+
+
+_J7 = per_column("SELECT '{c}' AS c, count_if(regexp_matches({c}, '(N/A|[$%])')) / count({c}) AS o FROM m_items",
+                 ITEM_STRING)
+_J8 = per_column("SELECT '{c}' AS c, count_if(TRY_CAST({c} AS DOUBLE) IS NULL AND {c} IS NOT NULL) / count({c}) AS o "
+                 "FROM m_items", ITEM_STRING)
+
+
+@query("j7_dirty_tokens", _sel("J7", "c", "o", 0.1, "coalesce(o > 0.1, false)", f"({_J7})"), ("m_items",))
+def j7(spark, sf):
+    return _r(G.j7_dirty_numeric_tokens(m_items(spark, sf)))
+
+
+@query("j8_non_numeric", _sel("J8", "c", "o", 0.2, "coalesce(o > 0.2, false)", f"({_J8})"), ("m_items",))
+def j8(spark, sf):
+    return _r(G.j8_non_numeric_strings(m_items(spark, sf)))
+
+
+_NN = per_column("SELECT '{c}' AS \"column\", count({c}) AS non_null FROM m_items", ITEM_COLS)
+
+
+@query("j9_type_rules", _sel(
+    "J9", "r.\"column\"", "r.ratio", 0.95,
+    "(r.ratio > 0.95 AND s.semantic <> 'id') OR (s.semantic = 'datetime' AND n.non_null < 10)",
+    f"({_RATIO}) r JOIN ({_SEM}) s ON r.\"column\" = s.\"column\" JOIN ({_NN}) n ON r.\"column\" = n.\"column\""),
+    ("m_items",))
+def j9(spark, sf):
+    df = m_items(spark, sf)
+    ratios = TY.distinct_ratio(df).select("column", F.round("ratio", 6).alias("ratio"))
+    nn = G.column_profile(df).select("column", (F.col("rows") - F.col("null_count")).alias("non_null"))
+    return _r(G.j9_type_thresholds(ratios, _semantic(spark, sf), nn))
+
+
+# plan over every column: default rule, overridden for price and qty (J10, J21)
+_OVERRIDES = {"price": "mean", "qty": "mean"}
+_PLAN_ALL = (f"(SELECT \"column\", semantic, CASE \"column\" "
+             + " ".join(f"WHEN '{c}' THEN '{s}'" for c, s in _OVERRIDES.items())
+             + f" ELSE CASE WHEN semantic = 'numeric' THEN 'median' ELSE 'mode' END END AS strategy FROM ({_SEM}))")
+
+
+def _plan_all(spark, sf):
+    s = _semantic(spark, sf)
+    strategy = F.when(F.col("semantic") == "numeric", "median").otherwise("mode")
+    for c, v in _OVERRIDES.items():
+        strategy = F.when(F.col("column") == c, v).otherwise(strategy)
+    return s.select("column", "semantic", strategy.alias("strategy"))
+
+
+@query("j10_mean_misuse", _sel("J10", "\"column\"", "CASE WHEN strategy = 'mean' THEN 1.0 ELSE 0.0 END", 1.0,
+                               "strategy = 'mean' AND (semantic IN ('id', 'text') OR "
+                               "regexp_matches(lower(\"column\"), 'fraud|churn|default'))", _PLAN_ALL), ("m_items",))
+def j10(spark, sf):
+    return _r(G.j10_mean_misuse(_plan_all(spark, sf)))
+
+
+_J11 = "\nUNION ALL\n".join(
+    [f"SELECT '{c}' AS c, 'numeric' AS fam, (count(*) - count({c})) / count(*) * 100 AS p, skewness({c}) AS sk "
+     f"FROM m_items" for c in ITEM_NUMERIC]
+    + [f"SELECT '{c}', 'string', (count(*) - count({c})) / count(*) * 100, NULL FROM m_items" for c in ITEM_STRING])
+
+
+@query("j11_missing_advice", _sel(
+    "J11", "c", "p", 70.0,
+    "p > 70 OR (fam = 'numeric' AND p >= 20 AND p <= 70) OR (coalesce(abs(sk) > 1, false) AND p > 0)", f"({_J11})"),
+    ("m_items",))
+def j11(spark, sf):
+    return _r(G.j11_missing_advice(m_items(spark, sf)))
+
+
+@query("j12_synthetic", _sel("J12", "\"column\"", "null_count / n_rows", 0.3,
+                             "null_count / n_rows > 0.3 OR contains(lower(\"column\"), 'target')",
+                             f"({_NULLS}) WHERE null_count > 0"), ("m_items",))
+def j12(spark, sf):
+    return _r(G.j12_synthetic_share(m_items(spark, sf), "target"))
+
+
+_OUT_PCT = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS c, round_even(count_if({_is_out(c)}) / count(*) * 100, 2) AS pct FROM m_items"
+    for c in ITEM_NUMERIC)
+
+
+@query("j13_outlier_policy", _with_fences(_sel(
+    "J13", "c", "pct", 5.0, "pct > 5 OR regexp_matches(lower(c), 'fraud|anomaly') OR c = 'target'", f"({_OUT_PCT})")),
+    ("m_items",))
+def j13(spark, sf):
+    df = m_items(spark, sf)
+    return _r(G.j13_outlier_policy(OU.outlier_report(df, OU.fit_outliers(df)), "target"))
+
+
+_ANY = " OR ".join(_is_out(c) for c in ITEM_NUMERIC)
+
+
+@query("j14_outlier_backtrack", _with_fences(
+    _sel("J14", "NULL", "o", 0.2, "o > 0.2", f"(SELECT count_if({_ANY}) / count(*) AS o FROM m_items)")
+    + "\nUNION ALL\n" + _sel("J14", "\"column\"", "q3 - q1", 0.0, "q3 - q1 = 0", f"({_FENCE})")), ("m_items",))
+def j14(spark, sf):
+    df = m_items(spark, sf)
+    fit = OU.fit_outliers(df)
+    fences = spark.createDataFrame([(c, f.q1, f.q3) for c, f in fit.fences.items()], "column string, q1 double, q3 double")
+    return _r(G.j14_outlier_backtrack(OU.total_outlier_rows(df, fit), fences))
+
+
+_MINS = per_column("SELECT '{c}' AS c, CAST(min({c}) AS DOUBLE) AS vmin FROM m_items", ITEM_NUMERIC)
+_NDIST = per_column("SELECT '{c}' AS c, count(DISTINCT {c}) AS nd FROM m_items", ITEM_COLS)
+
+
+@query("j15_feature_bans", _sel(
+    "J15", "s.\"column\"", "d.nd", 50, "d.nd > 50 OR coalesce(m.vmin <= 0, false) OR s.semantic IN ('id', 'text')",
+    f"({_SEM}) s JOIN ({_NDIST}) d ON s.\"column\" = d.c LEFT JOIN ({_MINS}) m ON s.\"column\" = m.c"), ("m_items",))
+def j15(spark, sf):
+    df = m_items(spark, sf)
+    return _r(G.j15_feature_bans(df, _semantic(spark, sf)))
+
+
+_ENC_OLD = ["order_id", "part_id", "target"]
+
+
+def _codes(c):
+    return (f"(SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM "
+            f"(SELECT DISTINCT {c} AS v FROM m_items WHERE {c} IS NOT NULL))")
+
+
+_J16_SRC = (f"(SELECT *, coalesce(a.code, -1) AS flag_encoded, coalesce(b.code, -1) AS status_code_encoded "
+            f"FROM m_items LEFT JOIN {_codes('flag')} a ON flag = a.v LEFT JOIN {_codes('status_code')} b "
+            f"ON status_code = b.v)")
+_J16 = "\nUNION ALL\n".join(
+    f"SELECT '{a}={b}' AS c, count_if(CAST({a} AS DOUBLE) IS DISTINCT FROM CAST({b} AS DOUBLE)) AS o FROM {_J16_SRC}"
+    for a in ("flag_encoded", "status_code_encoded") for b in _ENC_OLD)
+
+
+@query("j16_identical", _sel("J16", "c", "o", 0.0, "o = 0", f"({_J16})"), ("m_items",))
+def j16(spark, sf):
+    df = m_items(spark, sf)
+    enc = FE.apply_encode(df, FE.fit_encode(df, ["flag", "status_code"]))
+    return _r(G.j16_identical_columns(enc, ["flag_encoded", "status_code_encoded"], _ENC_OLD))
+
+
+_LOWVAR = per_column("SELECT '{c}' AS c FROM m_items HAVING coalesce(var_samp({c}) < 0.01, false)",
+                     [c for c in ITEM_NUMERIC if c != "target"])
+
+
+@query("j17_selection_rules", _sel(
+    "J17", "s.\"column\"", "CASE WHEN r.c IS NULL THEN 0.0 ELSE 1.0 END", 0.0,
+    "(s.semantic = 'id' AND r.c IS NULL) OR (s.\"column\" = 'target' AND r.c IS NOT NULL)",
+    f"({_SEM}) s LEFT JOIN ({_LOWVAR}) r ON s.\"column\" = r.c"), ("m_items",))
+def j17(spark, sf):
+    df = m_items(spark, sf)
+    fit = SE.fit_select(df, "target")
+    removed = spark.createDataFrame([(c,) for c in fit.low_variance + fit.high_correlation], "column string")
+    return _r(G.j17_selection_rules(_semantic(spark, sf), removed, "target"))
+
+
+_TCORR = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS c, CASE WHEN isnan(r) THEN NULL ELSE r END AS r FROM "
+    f"(SELECT corr(CAST({c} AS DOUBLE), CAST(target AS DOUBLE)) AS r FROM m_items)"
+    for c in ITEM_NUMERIC if c != "target")
+_KEPT = f"(SELECT {len(ITEM_COLS) - 1} - (SELECT count(*) FROM ({_LOWVAR})) AS kept)"
+
+
+@query("j18_selection_backtrack",
+       _sel("J18", "NULL", "kept", 3, "kept < 3", _KEPT) + "\nUNION ALL\n"
+       + _sel("J18", "c", "abs(r)", 0.9, "coalesce(abs(r) > 0.9, false)", f"({_TCORR})"), ("m_items",))
+def j18(spark, sf):
+    df = m_items(spark, sf)
+    fit = SE.fit_select(df, "target")
+    kept = df.agg(F.lit(float(len(fit.kept))).alias("kept"))
+    cols = [c for c in ITEM_NUMERIC if c != "target"]
+    tc = SE.correlation_table(df.select(*cols, "target"), cols + ["target"]).where(F.col("b") == "target") \
+        .select(F.col("a").alias("column"), "r")
+    return _r(G.j18_selection_backtrack(kept, tc))
+
+
+_AFTER = "(SELECT * FROM m_items WHERE NOT (" + _ANY + "))"
+_J19 = (_sel("J19", "NULL", "1.0 - a / b", 0.4, "1.0 - a / b > 0.4",
+             f"(SELECT (SELECT count(*) FROM m_items) AS b, (SELECT count(*) FROM {_AFTER}) AS a)")
+        + "\nUNION ALL\n" + _sel("J19", "'target'", "0.0", 0.0, "false", "(SELECT 1)")
+        + "\nUNION ALL\n" + "\nUNION ALL\n".join(
+            _sel("J19", f"'{c}'", "n", 0.0, "n > 0", f"(SELECT count(*) - count({c}) AS n FROM {_AFTER})")
+            for c in ITEM_NUMERIC))
+
+
+@query("j19_validation", _with_fences(_J19), ("m_items",))
+def j19(spark, sf):
+    df = m_items(spark, sf)
+    after = OU.drop_rows(df, OU.fit_outliers(df))
+    return _r(G.j19_validation(df, after, "target"))
+
+
+_NULLSUM = " + ".join(f"(count(*) - count({c}))" for c in ITEM_COLS)
+
+
+@query("j20_routing", _with_fences(_sel(
+    "J20", "CASE WHEN n > 0 THEN 'missing' WHEN loss > 0.4 THEN 'outliers' END", "loss", 0.4,
+    "n > 0 OR loss > 0.4",
+    f"(SELECT ((SELECT count(*) FROM m_items) - count(*)) / (SELECT count(*) FROM m_items) AS loss, "
+    f"{_NULLSUM} AS n FROM {_AFTER})")), ("m_items",))
+def j20(spark, sf):
+    df = m_items(spark, sf)
+    after = OU.drop_rows(df, OU.fit_outliers(df))
+    return _r(G.j20_routing(df, after))
+
+
+@query("j21_mode_on_text", _sel("J21", "\"column\"", "CASE WHEN strategy = 'mode' AND semantic = 'text' THEN 1.0 "
+                                "ELSE 0.0 END", 0.0, "strategy = 'mode' AND semantic = 'text'", _PLAN_ALL),
+       ("m_items",))
+def j21(spark, sf):
+    return _r(G.j21_mode_on_text(_plan_all(spark, sf)))
+
+
+@query("j22_feature_counts", _sel(
+    "J22", "\"column\"", "k", 5.0, "CASE WHEN semantic = 'datetime' THEN k <> 5 ELSE k > 3 END",
+    f"(SELECT \"column\", semantic, CASE semantic WHEN 'datetime' THEN 5 WHEN 'categorical' THEN 1 ELSE 0 END AS k "
+    f"FROM ({_SEM}))"), ("m_items",))
+def j22(spark, sf):
+    df = m_items(spark, sf)
+    fit = TY.fit_types(df, "exact")
+    _, log = FE.engineer(TY.apply_types(df, fit), fit.semantic)
+    per = {}
+    for line in log:
+        src = line.split(":", 1)[0]
+        per[src] = per.get(src, 0) + (len(FE.DATE_PARTS) if "datetime decomposed" in line else 1)
+    lines = spark.createDataFrame(list(per.items()) or [("", 0)], "source string, n_features int")
+    return _r(G.j22_feature_counts(lines, _semantic(spark, sf)))
