@@ -616,3 +616,55 @@ FROM (SELECT count(*) AS n, {_NULL_COLS} AS k FROM m_items)""", ("m_items",))
 def h3_h4_status(spark, sf):
     return VA.status_frame(m_items(spark, sf)).select(
         "rows", F.col("columns").cast("int"), F.col("residual_null_columns").cast("int"), "pipeline_status")
+
+
+# ---------------------------------------------------------------- H1, H5, I1, I5 (composition)
+
+from ..sources.store import RunStore  # noqa: E402
+from .prepare import prepare  # noqa: E402
+from .render import render  # noqa: E402
+
+
+@query("i1_prepare")
+def i1_prepare(spark, sf):
+    """Flagship: the fully prepared item table (target protected and last)."""
+    return prepare(m_items(spark, sf), target="target").df
+
+
+@query("h1_steps")
+def h1_steps(spark, sf):
+    """Expected steps missing from the ledger of a run that stopped after types."""
+    df = m_items(spark, sf)
+    store = RunStore(spark)
+    store.add_report("partial", "intake", [(None, "rows", df.count())], label="intake")
+    store.add_report("partial", "audit", [(None, "overall_quality", P.audit(df).overall_quality)],
+                     label="quality_report")
+    fit = TY.fit_types(df)
+    store.add_report("partial", "types", [(c, "semantic", s) for c, s in fit.semantic.items()], label="type_report")
+    return VA.missing_steps(store.ledger(), "partial")
+
+
+@query("h5_rollup")
+def h5_rollup(spark, sf):
+    res = prepare(m_items(spark, sf), target="target", outlier_action="flag")
+    return VA.stats_rollup(res.report())
+
+
+_TEMPLATES = {
+    "missing": 'Column: "{col_name}", semantic type: "{col_type}", null percentage: {missing_pct}%.',
+    "unfilled": "Column {col_name} sample values: {sample_values}",
+}
+
+
+@query("i5_render", f"""
+SELECT s."column" AS col_name, 'missing' AS template_id,
+       'Column: "' || s."column" || '", semantic type: "' || s.semantic || '", null percentage: '
+       || CAST(coalesce(p.null_pct, 0.0) AS VARCHAR) || '%.' AS prompt
+FROM ({_SEM}) s LEFT JOIN ({_PCT}) p ON s."column" = p."column"
+UNION ALL
+SELECT "column", 'unfilled', 'Column {{col_name}} sample values: {{sample_values}}' FROM ({_SEM})""", ("m_items",))
+def i5_render(spark, sf):
+    df = m_items(spark, sf)
+    cards = P.column_cards(TY.semantic_types(df, "exact"), df).select(
+        F.col("column").alias("col_name"), F.col("semantic").alias("col_type"), F.col("null_pct").alias("missing_pct"))
+    return render(cards, _TEMPLATES, keep=["col_name"])
