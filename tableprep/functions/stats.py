@@ -107,13 +107,20 @@ def _in_bracket(c: Column, lo, hi) -> Column:
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
-              accuracy: int = 10000, max_local: int = 50000, max_rounds: int = 6) -> dict:
+              accuracy: int = 10000, max_local: int = 5000, max_rounds: int = 6) -> dict:
     """``{column: [q(p) for p in probs]}`` with linear interpolation (pandas/numpy
     default, Spark ``percentile``, DuckDB ``quantile_cont``).
 
     ``exact=False`` returns ``percentile_approx`` (one bounded sketch per
     column).  ``exact=True`` refines rank brackets until each holds at most
-    ``max_local`` distinct values, then resolves the rank from those counts.
+    ``max_local`` distinct values, then resolves the rank from those counts:
+
+    1. one aggregate: counts, HLL distinct estimates and a sketch bracket
+       ``[q(p - 2e), q(p + 2e)]`` per (column, p);
+    2. one aggregate: exact counts below / inside each bracket (this proves
+       the bracket holds the target ranks) and its distinct estimate;
+       a bracket still too wide is narrowed again with a sketch inside it;
+    3. one ``groupBy`` returning the (value, count) pairs inside the brackets.
     """
     if not cols:
         return {}
@@ -122,72 +129,73 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool =
         row = d.agg(*[F.percentile_approx(f"c{i}", list(probs), accuracy) for i in range(len(cols))]).first()
         return {c: (list(row[i]) if row[i] is not None else [None] * len(probs)) for i, c in enumerate(cols)}
 
-    counts = d.agg(*[F.count(f"c{i}") for i in range(len(cols))]).first()
+    eps = 2.0 / accuracy
     out = {c: [None] * len(probs) for c in cols}
+    k = len(cols)
+    row = d.agg(*[F.count(f"c{i}") for i in range(k)],
+                *[F.approx_count_distinct(f"c{i}", 0.05) for i in range(k)],
+                *[F.percentile_approx(f"c{i}", [x for p in probs for x in (max(0.0, p - eps), min(1.0, p + eps))],
+                                      accuracy) for i in range(k)]).first()
     tasks = []
-    for i, c in enumerate(cols):
-        n = counts[i]
+    for i in range(k):
+        n, nd, qs = row[i], row[k + i], row[2 * k + i]
         if not n:
             continue
         for j, p in enumerate(probs):
             h = (n - 1) * p
-            tasks.append({"i": i, "j": j, "h": h, "klo": math.floor(h), "khi": math.ceil(h),
-                          "lo": None, "hi": None, "below": 0, "m": n, "done": False})
-    eps = 1.0 / accuracy
-    for rnd in range(max_rounds + 1):
-        live = [t for t in tasks if not t["done"]]
-        if not live:
+            t = {"i": i, "j": j, "h": h, "klo": math.floor(h), "khi": math.ceil(h),
+                 "lo": None, "hi": None, "below": 0, "m": n, "nd": nd}
+            if nd * 1.2 > max_local:
+                t["cand"] = (qs[2 * j], qs[2 * j + 1])
+            tasks.append(t)
+    for rnd in range(max_rounds):
+        narrow = [t for t in tasks if "cand" in t]
+        if not narrow:
             break
-        # phase A: distinct estimate and approximate sub-quantiles inside each bracket
         exprs = []
-        for t in live:
-            x = F.when(_in_bracket(F.col(f"c{t['i']}"), t["lo"], t["hi"]), F.col(f"c{t['i']}"))
-            rlo = max(0.0, (t["klo"] - t["below"]) / t["m"] - 2 * eps)
-            rhi = min(1.0, (t["khi"] - t["below"] + 1) / t["m"] + 2 * eps)
-            exprs += [F.approx_count_distinct(x, 0.05), F.percentile_approx(x, [rlo, rhi], accuracy)]
+        for t in narrow:
+            c = F.col(f"c{t['i']}")
+            a, b = t["cand"]
+            inside = _in_bracket(c, t["lo"], t["hi"])
+            cand = inside & (c >= F.lit(a)) & (c <= F.lit(b))
+            exprs += [F.count_if(inside & (c < F.lit(a))), F.count_if(cand),
+                      F.approx_count_distinct(F.when(cand, c), 0.05)]
         row = d.agg(*exprs).first()
-        narrow, final = [], []
-        for k, t in enumerate(live):
-            nd, qs = row[2 * k], row[2 * k + 1]
-            if nd * 1.2 <= max_local or rnd == max_rounds or qs is None:
-                final.append(t)
-            else:
-                t["cand"] = (qs[0], qs[1])
-                narrow.append(t)
-        # phase B: check the narrower brackets with exact counts
-        if narrow:
+        again = []
+        for x, t in enumerate(narrow):
+            a, b = t.pop("cand")
+            below, m, nd = t["below"] + row[3 * x], row[3 * x + 1], row[3 * x + 2]
+            if below <= t["klo"] and t["khi"] < below + m and m < t["m"]:
+                t["lo"], t["hi"], t["below"], t["m"], t["nd"] = a, b, below, m, nd
+                if nd * 1.2 > max_local and rnd < max_rounds - 1:
+                    again.append(t)
+        if again:   # still wide: a sketch restricted to each bracket
             exprs = []
-            for t in narrow:
+            for t in again:
                 c = F.col(f"c{t['i']}")
-                a, b = t["cand"]
-                inside = _in_bracket(c, t["lo"], t["hi"])
-                exprs += [F.count_if(inside & (c < F.lit(a))), F.count_if(inside & (c >= F.lit(a)) & (c <= F.lit(b)))]
+                rlo = max(0.0, (t["klo"] - t["below"]) / t["m"] - eps)
+                rhi = min(1.0, (t["khi"] - t["below"] + 1) / t["m"] + eps)
+                exprs.append(F.percentile_approx(F.when(_in_bracket(c, t["lo"], t["hi"]), c), [rlo, rhi], accuracy))
             row = d.agg(*exprs).first()
-            for k, t in enumerate(narrow):
-                below = t["below"] + row[2 * k]
-                m = row[2 * k + 1]
-                if below <= t["klo"] and t["khi"] < below + m and m < t["m"]:
-                    t["lo"], t["hi"] = t["cand"]
-                    t["below"], t["m"] = below, m
-                else:  # sketch missed (should not happen); resolve what we have
-                    final.append(t)
-        # phase C: bounded (value, count) pairs inside final brackets
-        if final:
-            structs = [F.when(_in_bracket(F.col(f"c{t['i']}"), t["lo"], t["hi"]),
-                              F.struct(F.lit(k).alias("task"), F.col(f"c{t['i']}").alias("v")))
-                       for k, t in enumerate(final)]
-            pairs = (d.select(F.inline(F.filter(F.array(*structs), lambda s: s.isNotNull())))
-                      .groupBy("task", "v").count().collect())
-            per = {}
-            for r in pairs:
-                per.setdefault(r["task"], []).append((r["v"], r["count"]))
-            for k, t in enumerate(final):
-                vals = sorted(per.get(k, []))
-                vlo = _value_at(vals, t["klo"] - t["below"])
-                vhi = _value_at(vals, t["khi"] - t["below"])
-                frac = t["h"] - t["klo"]
-                out[cols[t["i"]]][t["j"]] = vlo + (vhi - vlo) * frac if frac else vlo
-                t["done"] = True
+            for x, t in enumerate(again):
+                t["cand"] = (row[x][0], row[x][1])
+    # bounded (value, count) pairs inside the final brackets
+    structs = [F.when(_in_bracket(F.col(f"c{t['i']}"), t["lo"], t["hi"]),
+                      F.struct(F.lit(x).alias("task"), F.col(f"c{t['i']}").alias("v")))
+               for x, t in enumerate(tasks)]
+    if not structs:
+        return out
+    pairs = (d.select(F.inline(F.filter(F.array(*structs), lambda s: s.isNotNull())))
+              .groupBy("task", "v").count().collect())
+    per = {}
+    for r in pairs:
+        per.setdefault(r["task"], []).append((r["v"], r["count"]))
+    for x, t in enumerate(tasks):
+        vals = sorted(per.get(x, []))
+        vlo = _value_at(vals, t["klo"] - t["below"])
+        vhi = _value_at(vals, t["khi"] - t["below"])
+        frac = t["h"] - t["klo"]
+        out[cols[t["i"]]][t["j"]] = vlo + (vhi - vlo) * frac if frac else vlo
     return out
 
 

@@ -71,7 +71,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return ensure_parallel(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def ensure_parallel(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A table stored as one unsplittable row group scans in ONE task; a
+    round-robin repartition lets every core work on it.  A large table already
+    has at least as many splits as cores and is returned untouched (no
+    shuffle is added at scale)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
