@@ -137,6 +137,8 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
 
     # outliers (E)
     def _outliers():
+        if outlier_action not in OU.ACTIONS:
+            raise ValueError(f"unknown outlier action {outlier_action!r}; expected one of {OU.ACTIONS}")
         o = OU.fit_outliers(cur, protect=protect, exact=exact)
         rep = OU.outlier_report(cur, o).collect()
         total = OU.total_outlier_rows(cur, o).first()["total_outlier_rows"]
@@ -155,7 +157,10 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
 
     # features (F)
     def _features():
-        out, log = FE.engineer(cur, tfit.semantic, polynomial)
+        cats = [c for c, k in tfit.semantic.items() if k == "categorical" and c in cur.columns]
+        enc = res.fits["encode"] = FE.fit_encode(cur, cats)
+        res.fits["polynomial"] = polynomial
+        out, log = FE.engineer(cur, tfit.semantic, polynomial, encode_fit=enc)
         store.add_report(run_id, "features", [(None, "engineered", line) for line in log]
                          + [(None, "new_columns", len(out.columns))], label="feature_report")
         return out
