@@ -74,10 +74,14 @@ def plan_actions(fractions: dict, semantic: dict, drop_threshold=DROP_THRESHOLD,
 
 
 def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: float = DROP_THRESHOLD,
-               overrides: dict | None = None, protect=(), constant=0, exact_median: bool = True) -> ImputeFit:
+               overrides: dict | None = None, protect=(), constant=0, exact_median: bool = True,
+               fractions: dict | None = None) -> ImputeFit:
+    """``fractions`` (column -> null fraction) may come from an earlier profile
+    of the same rows, saving a scan."""
     semantic = semantic or {}
     fams = families(df)
-    fr = {r["column"]: r["null_fraction"] for r in null_fractions(df).collect()}
+    fr = dict(fractions) if fractions is not None else \
+        {r["column"]: r["null_fraction"] for r in null_fractions(df).collect()}
     acts = plan_actions(fr, semantic, drop_threshold, overrides, protect)
 
     def numeric_ok(c):

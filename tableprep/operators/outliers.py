@@ -83,6 +83,23 @@ def outlier_report(df: DataFrame, fit: OutlierFit) -> DataFrame:
     return df.agg(F.array(*structs).alias("a")).select(F.inline("a"))
 
 
+def report_and_total(df: DataFrame, fit: OutlierFit):
+    """Per-column report rows and the any-column row count from ONE aggregate."""
+    rows = F.count(F.lit(1))
+    cols = list(fit.fences.items())
+    row = df.agg(rows.alias("rows"), F.count_if(any_outlier(fit)).alias("total"),
+                 *[F.count_if(outlier_cond(c, f)).alias(f"n{i}") for i, (c, f) in enumerate(cols)]).first()
+    n = row["rows"]
+    rep = []
+    for i, (c, f) in enumerate(cols):
+        k = row[f"n{i}"]
+        rep.append({"column": c, "outlier_count": k,
+                    "lower_bound": None if f.lower is None else round(float(f.lower), 4),
+                    "upper_bound": None if f.upper is None else round(float(f.upper), 4),
+                    "pct_outliers": round(k / n * 100, 2) if n else None})
+    return rep, row["total"], n
+
+
 def total_outlier_rows(df: DataFrame, fit: OutlierFit) -> DataFrame:                     # E3
     return df.agg(F.count_if(any_outlier(fit)).alias("total_outlier_rows"),
                   F.count(F.lit(1)).alias("rows"))

@@ -21,31 +21,85 @@ PAIRS_PER_AGGREGATE = 256
 
 
 def variances(df: DataFrame, cols) -> dict:                                          # G1
+    return {c: v[0] for c, v in _var_nulls(df, cols).items()}
+
+
+def _var_nulls(df: DataFrame, cols) -> dict:
+    """``{column: (var_samp, null_count, mean)}`` in one aggregate."""
     if not cols:
         return {}
-    row = df.agg(*[F.var_samp(col(c)).alias(f"v{i}") for i, c in enumerate(cols)]).first()
-    return {c: row[f"v{i}"] for i, c in enumerate(cols)}
+    row = df.agg(*[F.var_samp(col(c)).alias(f"v{i}") for i, c in enumerate(cols)],
+                 *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
+                 *[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    return {c: (row[f"v{i}"], row[f"n{i}"], row[f"m{i}"]) for i, c in enumerate(cols)}
+
+
+def centered_correlations(df: DataFrame, cols, means: dict) -> list[tuple[str, str, float | None]]:
+    """Pearson r for NULL-free columns from sums of centred products.
+
+    Second pass of the two-pass algorithm: with the exact means known, one
+    aggregate of plain ``sum`` of (x - mx)(y - my) gives the whole upper
+    triangle -- k(k+1)/2 one-field buffers instead of k(k-1)/2 moment
+    aggregates, no row shuffle, numerically stable."""
+    if len(cols) < 2:
+        return []
+    z = df.select(*[(col(c).cast("double") - F.lit(float(means[c]))).alias(f"z{i}") for i, c in enumerate(cols)])
+    idx = [(i, j) for j in range(len(cols)) for i in range(j + 1)]
+    row = z.agg(*[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}_{j}") for i, j in idx]).first()
+    out = []
+    for j in range(len(cols)):
+        for i in range(j):
+            den = (row[f"s{i}_{i}"] or 0.0) * (row[f"s{j}_{j}"] or 0.0)
+            out.append((cols[i], cols[j], row[f"s{i}_{j}"] / den ** 0.5 if den > 0 else None))
+    return out
+
 
+def correlations(df: DataFrame, cols, clean=()) -> list[tuple[str, str, float | None]]:   # G2
+    """Upper triangle ``(a, b, r)`` with a before b; r is NULL for constants.
 
-def correlations(df: DataFrame, cols) -> list[tuple[str, str, float | None]]:       # G2
-    """Upper triangle ``(a, b, r)`` with a before b; r is NULL for constants."""
+    Pairs of ``clean`` columns (no NULLs, non-zero variance) use Spark's
+    built-in ``corr`` (stable one-pass moments, 6 buffer fields); other pairs
+    use the NULL-safe pairwise-complete form."""
+    clean = set(clean)
     pairs = [(i, j) for j in range(len(cols)) for i in range(j)]
     out = []
     for s in range(0, len(pairs), PAIRS_PER_AGGREGATE):
         chunk = pairs[s:s + PAIRS_PER_AGGREGATE]
-        row = df.agg(*[safe_corr(col(cols[i]), col(cols[j])).alias(f"r{k}") for k, (i, j) in enumerate(chunk)]).first()
+
+        def r(i, j):
+            a, b = cols[i], cols[j]
+            return F.corr(col(a), col(b)) if a in clean and b in clean else safe_corr(col(a), col(b))
+        row = df.agg(*[r(i, j).alias(f"r{k}") for k, (i, j) in enumerate(chunk)]).first()
         out += [(cols[i], cols[j], row[f"r{k}"]) for k, (i, j) in enumerate(chunk)]
     return out
 
 
+def _pair_struct(a: str, b: str, ma: float, mb: float):
+    """Pairwise-complete Pearson r from centred sums over rows where both are set."""
+    both = col(a).isNotNull() & col(b).isNotNull()
+    za = F.when(both, col(a).cast("double") - F.lit(float(ma)))
+    zb = F.when(both, col(b).cast("double") - F.lit(float(mb)))
+    n = F.count_if(both).cast("double")
+    sa, sb = F.sum(za), F.sum(zb)
+    cab = F.sum(za * zb) - sa * sb / n
+    vaa = F.sum(za * za) - sa * sa / n
+    vbb = F.sum(zb * zb) - sb * sb / n
+    r = F.when((vaa > 0) & (vbb > 0), cab / F.sqrt(vaa * vbb))
+    return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
+
+
 def correlation_table(df: DataFrame, cols=None) -> DataFrame:
-    """Lazy ``(a, b, r)`` pairs as a DataFrame, one aggregate."""
+    """Upper-triangle ``(a, b, r)``, pairwise-complete, NULL for a constant side.
+
+    Two passes: the column means (one small aggregate, driver scalars), then one
+    aggregate of centred sums per pair -- plain ``sum`` buffers, no row shuffle."""
     cols = numeric_columns(df) if cols is None else list(cols)
-    structs = [F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"),
-                        safe_corr(col(cols[i]), col(cols[j])).alias("r"))
-               for j in range(len(cols)) for i in range(j)]
-    if not structs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    row = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    means = {c: (row[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
+    structs = [_pair_struct(cols[i], cols[j], means[cols[i]], means[cols[j]])
+               for j in range(len(cols)) for i in range(j)]
     return df.agg(F.array(*structs).alias("p")).select(F.inline("p"))
 
 
@@ -75,10 +129,14 @@ def fit_select(df: DataFrame, target: str | None = None, variance_threshold: flo
             raise ValueError(f"target column {target!r} not in table")
         target = None
     nums = numeric_columns(df, exclude=(target,) if target else ())
-    var = variances(df, nums)
-    low = [c for c in nums if var[c] is not None and var[c] < variance_threshold]
+    vn = _var_nulls(df, nums)
+    low = [c for c in nums if vn[c][0] is not None and vn[c][0] < variance_threshold]
     rest = [c for c in nums if c not in low]
-    pairs = correlations(df, rest)
+    if all(vn[c][1] == 0 for c in rest):
+        pairs = centered_correlations(df, rest, {c: vn[c][2] for c in rest})
+    else:
+        clean = [c for c in rest if vn[c][1] == 0 and vn[c][0]]
+        pairs = correlations(df, rest, clean)
     order = {c: i for i, c in enumerate(rest)}
     pairs.sort(key=lambda p: (order[p[1]], order[p[0]]))
     high = [c for c in rest if c in set(high_corr_drops(pairs, correlation_threshold))]

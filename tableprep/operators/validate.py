@@ -30,6 +30,13 @@ def residual_nulls(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*structs).alias("a")).select(F.inline("a")).where(F.col("null_count") > 0)
 
 
+def shape_and_nulls(df: DataFrame) -> tuple[int, dict]:
+    """Row count and ``{column: nulls}`` for columns with NULLs -- one aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"),
+                 *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]).first()
+    return row["rows"], {c: row[f"n{i}"] for i, c in enumerate(df.columns) if row[f"n{i}"]}
+
+
 def status_of(n_rows: int, n_cols: int, null_cols: dict, missing: list) -> tuple[str, list, list]:  # H3, H4
     errors, warnings = [], []
     if null_cols:

@@ -92,26 +92,20 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         res.timings[name] = round(time.time() - t0, 3)
         return out
 
-    # intake (A4)
-    def _intake():
-        n = cur.count()
-        store.add_report(run_id, "intake", [(None, "rows", n), (None, "columns", len(cur.columns))]
-                         + [(c, "column_name", c) for c in cur.columns], label="intake")
-        return n
-    stage("intake", _intake)
-
-    # audit (B)
+    # intake (A4) + audit (B): one profile aggregate and one duplicate count
     def _audit():
-        a = PR.audit(cur)
-        rows = [(None, "rows", a.rows), (None, "duplicate_rows", a.duplicate_rows),
-                (None, "overall_quality", a.overall_quality)]
-        rows += [(c, "null_count", n) for c, n in a.null_counts.items()]
-        rows += [(c, "null_pct", p) for c, p in a.null_pct.items()]
-        rows += [(c, "zero_variance", True) for c in a.zero_variance]
-        rows += [(None, "flag", f) for f in a.flags]
-        store.add_report(run_id, "audit", rows, label="quality_report")
-        return a
-    res.fits["audit"] = stage("audit", _audit)
+        return PR.audit(cur)
+    a = res.fits["audit"] = stage("audit", _audit)
+    store.add_report(run_id, "intake", [(None, "rows", a.rows), (None, "columns", len(cur.columns))]
+                     + [(c, "column_name", c) for c in cur.columns], label="intake")
+    res.steps_completed.insert(0, "intake")
+    rows = [(None, "rows", a.rows), (None, "duplicate_rows", a.duplicate_rows),
+            (None, "overall_quality", a.overall_quality)]
+    rows += [(c, "null_count", n) for c, n in a.null_counts.items()]
+    rows += [(c, "null_pct", p) for c, p in a.null_pct.items()]
+    rows += [(c, "zero_variance", True) for c in a.zero_variance]
+    rows += [(None, "flag", f) for f in a.flags]
+    store.add_report(run_id, "audit", rows, label="quality_report")
 
     # types (C)
     def _types():
@@ -126,7 +120,11 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
 
     # missing (D)
     def _missing():
-        m = IM.fit_impute(cur, tfit.semantic, drop_threshold, overrides, protect, exact_median=exact)
+        # datetime casts keep every non-null value (all of them parsed), so the
+        # audit's null counts still hold: no new scan for null fractions
+        fr = {c: (n / a.rows if a.rows else None) for c, n in a.null_counts.items()}
+        m = IM.fit_impute(cur, tfit.semantic, drop_threshold, overrides, protect, exact_median=exact,
+                          fractions=fr)
         rows = [(c, "strategy", a.action) for c, a in m.actions.items()]
         rows += [(c, "log", a.log) for c, a in m.actions.items()]
         rows += [(c, "fill", a.fill) for c, a in m.actions.items() if a.fill is not None]
@@ -140,8 +138,7 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         if outlier_action not in OU.ACTIONS:
             raise ValueError(f"unknown outlier action {outlier_action!r}; expected one of {OU.ACTIONS}")
         o = OU.fit_outliers(cur, protect=protect, exact=exact)
-        rep = OU.outlier_report(cur, o).collect()
-        total = OU.total_outlier_rows(cur, o).first()["total_outlier_rows"]
+        rep, total, _ = OU.report_and_total(cur, o)
         rows = [(None, "action", outlier_action), (None, "total_outlier_rows", total)]
         for r in rep:
             rows += [(r["column"], k, r[k]) for k in ("outlier_count", "lower_bound", "upper_bound", "pct_outliers")]
@@ -177,10 +174,10 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
 
     # validate (H)
     def _validate():
-        done = {r["step"] for r in store.ledger().where(f"run_id = '{run_id}'").select("step").collect()}
+        done = store.steps(run_id)
         missing = [s for s in VA.EXPECTED_STEPS if s not in done]
-        st = VA.status_frame(cur, len(missing)).first()
-        nulls = {r["column"]: r["null_count"] for r in VA.residual_nulls(cur).collect()}
+        n_rows, nulls = VA.shape_and_nulls(cur)
+        st = {"rows": n_rows, "columns": len(cur.columns)}
         status, errors, warnings = VA.status_of(st["rows"], st["columns"], nulls, missing)
         res.status, res.errors, res.warnings = status, errors, warnings
         res.stats = {

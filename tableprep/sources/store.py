@@ -35,6 +35,12 @@ class RunStore:
             self.spark.createDataFrame([row], LEDGER_SCHEMA).write.mode("append").parquet(
                 os.path.join(self.root, "ledger"))
 
+    def steps(self, run_id: str) -> set:
+        """Steps logged for a run (from this process when nothing is persisted)."""
+        if self.root:
+            return {r["step"] for r in self.ledger().where(F.col("run_id") == run_id).select("step").collect()}
+        return {s for r, s, _ in self._ledger if r == run_id}
+
     # --- report (A6)
     def add_report(self, run_id: str, stage: str, rows, label: str | None = None) -> None:
         rows = [(run_id, stage, c, m, None if v is None else str(v)) for c, m, v in rows]
