@@ -49,7 +49,8 @@ NEAR_THRESHOLD = 0.2    # relative band (4 sigma) around a threshold resolved ex
 def parse_ts(c, fmt: str):
     """Parse text to a zone-free timestamp, NULL on failure (never raises)."""
     shape = DATETIME_SHAPES[DATETIME_FORMATS.index(fmt)]
-    return F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz"))
+    digit_first = F.substring(c, 1, 1).between("0", "9")     # every format starts with a digit
+    return F.when(digit_first & c.rlike(shape), F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz"))
 
 
 def distinct_ratio(df: DataFrame) -> DataFrame:                        # C1

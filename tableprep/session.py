@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -70,24 +71,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_TABLES: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallel(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    """Driver table ``name``; the same DataFrame is returned for repeated reads
+    in one application (its split check runs once)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = ensure_parallel(spark.read.parquet(path))
+    return _TABLES[key]
 
 
 def ensure_parallel(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
     A table stored as one unsplittable row group scans in ONE task; a
-    round-robin repartition lets every core work on it.  A large table already
-    has at least as many splits as cores and is returned untouched (no
-    shuffle is added at scale)."""
+    round-robin repartition lets every core work on it, and because such a
+    table is at most one split (``spark.sql.files.maxPartitionBytes``) it is
+    also kept in memory/disk so repeated fits do not re-decode it.  A large
+    table already has at least as many splits as cores and is returned
+    untouched: no shuffle and no cache are added at scale."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register driver tables as temp views (lazy; nothing is read here)."""
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+    n = df.rdd.getNumPartitions()
+    if n >= cores:
+        return df
+    spread = df.repartition(cores)
+    if n == 1:
+        spread = spread.persist(StorageLevel.MEMORY_AND_DISK)
+    return spread
