@@ -1,4 +1,4 @@
-"""Call-log analytics (K8-K20, A8).
+"""Call-log analytics (K8-K20).
 
 The log is a table of model calls; detectors (``functions.text``) are
 projections, and every summary is a ``groupBy`` with map-side partial
@@ -45,11 +45,6 @@ def call_log(calls: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("rule_llm_agree"), F.lit("").alias("error"))
 
 
-def append_log(log: DataFrame, path: str) -> None:                               # A8
-    """Append-only sink partitioned by strategy (never overwritten)."""
-    log.write.mode("append").partitionBy("prompt_strategy").parquet(path)
-
-
 def group_summary(log: DataFrame) -> DataFrame:                                  # K8
     r = lambda c, a: F.round(F.avg(c), 3).alias(a)
     return log.groupBy("agent_name", "prompt_strategy").agg(
