@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import NUMERIC, STRING, col, families
 from ..functions.stats import value_counts, value_summary
-from .profile import column_profile
+from .profile import column_profile, duplicate_rows
 
 # Thresholds stated by the rules.
 LIMITS = {
@@ -45,9 +45,10 @@ def j1_sparse_share(df):
 
 
 def j2_rows_after_dedup(df):
-    keys = [col(c) for c in df.columns]
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("o"))
-    return _gate(g, "J2", None, F.col("o"), LIMITS["J2"], F.col("o") < LIMITS["J2"])
+    """Rows left after removing duplicates = rows - duplicate rows (fingerprint count)."""
+    g = _pair(df.agg(F.count(F.lit(1)).alias("rows")), duplicate_rows(df), "rows", "duplicate_rows")
+    o = F.col("rows") - F.col("duplicate_rows")
+    return _gate(g, "J2", None, o, LIMITS["J2"], o < LIMITS["J2"])
 
 
 def j3_all_zero_variance(df):

@@ -117,13 +117,40 @@ def overall_rating(df: DataFrame) -> DataFrame:                    # B6
 def sample_values(df: DataFrame, k: int = 5) -> DataFrame:         # B7
     """The k smallest distinct non-null values per column, as text.
 
-    (Order-free replacement of "first k non-null values".)
+    (Order-free replacement of "first k non-null values".)  Found by k rounds
+    of one ``min(value > previous)`` aggregate over all columns: no shuffle
+    of distinct values, bounded state, k scans of the needed columns only.
     """
-    vc = value_counts(df)
-    top = smallest_values(vc, k)
+    fields = [f for f in df.schema.fields
+              if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
     fams = families(df)
-    text = F.when(F.col("num").isNotNull(), F.col("num").cast("string")).otherwise(F.col("str"))
-    return top.select("column", "rank", text.alias("value"))
+    keyed = {f.name: (col(f.name).cast("double") if fams[f.name] == NUMERIC else col(f.name)) for f in fields}
+    prev = {f.name: None for f in fields}
+    found = []
+    for rank in range(1, k + 1):
+        live = [c for c in prev if prev[c] is not None or rank == 1]
+        if not live:
+            break
+        exprs = [F.min(keyed[c] if prev[c] is None else F.when(keyed[c] > F.lit(prev[c]), keyed[c])).alias(f"m{i}")
+                 for i, c in enumerate(live)]
+        row = df.agg(*exprs).first()
+        for i, c in enumerate(live):
+            v = row[f"m{i}"]
+            prev[c] = v
+            if v is not None:
+                found.append((c, rank, v))
+    def text(v):
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        return v.strftime("%Y-%m-%d %H:%M:%S") if hasattr(v, "strftime") else str(v)
+    # numbers are rendered by Spark's own double-to-text cast (same text as elsewhere)
+    num = [(c, r, float(v)) for c, r, v in found if fams[c] == NUMERIC]
+    other = [(c, r, text(v)) for c, r, v in found if fams[c] != NUMERIC]
+    spark = df.sparkSession
+    a = spark.createDataFrame(num, "column string, rank int, num double").select(
+        "column", "rank", F.col("num").cast("string").alias("value"))
+    b = spark.createDataFrame(other, "column string, rank int, value string")
+    return a.unionByName(b)
 
 
 def numeric_summary(df: DataFrame) -> DataFrame:                   # B8
