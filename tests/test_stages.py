@@ -143,3 +143,11 @@ def test_nan_normalised(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
     assert nan_to_null(df).where(F.col("x").isNull()).count() == 1
     assert not any(isinstance(r[0], float) and math.isnan(r[0]) for r in nan_to_null(df).collect())
+
+
+def test_advice_table_overrides_and_drop(spark):
+    df = spark.createDataFrame([(1.0, None), (None, "a"), (3.0, "b")], "x double, s string")
+    advice = spark.createDataFrame([("x", "mean"), ("s", "drop")], "column string, strategy string")
+    fit = IM.fit_impute(df, {"x": "numeric", "s": "categorical"}, overrides=advice)
+    out = IM.apply_impute(df, fit)
+    assert out.columns == ["x"] and sorted(r[0] for r in out.collect()) == [1.0, 2.0, 3.0]
