@@ -88,6 +88,14 @@ def _pair_struct(a: str, b: str, ma: float, mb: float):
     return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
 
 
+def _pairwise_table(df: DataFrame, cols, means: dict) -> DataFrame:
+    structs = [_pair_struct(cols[i], cols[j], means[cols[i]], means[cols[j]])
+               for j in range(len(cols)) for i in range(j)]
+    if not structs:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    return df.agg(F.array(*structs).alias("p")).select(F.inline("p"))
+
+
 def correlation_table(df: DataFrame, cols=None) -> DataFrame:
     """Upper-triangle ``(a, b, r)``, pairwise-complete, NULL for a constant side.
 
@@ -98,9 +106,7 @@ def correlation_table(df: DataFrame, cols=None) -> DataFrame:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
     row = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     means = {c: (row[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
-    structs = [_pair_struct(cols[i], cols[j], means[cols[i]], means[cols[j]])
-               for j in range(len(cols)) for i in range(j)]
-    return df.agg(F.array(*structs).alias("p")).select(F.inline("p"))
+    return _pairwise_table(df, cols, means)
 
 
 def high_corr_drops(pairs, threshold=CORRELATION_THRESHOLD) -> list[str]:            # G3
@@ -132,11 +138,11 @@ def fit_select(df: DataFrame, target: str | None = None, variance_threshold: flo
     vn = _var_nulls(df, nums)
     low = [c for c in nums if vn[c][0] is not None and vn[c][0] < variance_threshold]
     rest = [c for c in nums if c not in low]
+    means = {c: (vn[c][2] or 0.0) for c in rest}
     if all(vn[c][1] == 0 for c in rest):
-        pairs = centered_correlations(df, rest, {c: vn[c][2] for c in rest})
+        pairs = centered_correlations(df, rest, means)
     else:
-        clean = [c for c in rest if vn[c][1] == 0 and vn[c][0]]
-        pairs = correlations(df, rest, clean)
+        pairs = [(r["a"], r["b"], r["r"]) for r in _pairwise_table(df, rest, means).collect()]
     order = {c: i for i, c in enumerate(rest)}
     pairs.sort(key=lambda p: (order[p[1]], order[p[0]]))
     high = [c for c in rest if c in set(high_corr_drops(pairs, correlation_threshold))]
