@@ -24,13 +24,13 @@ def _has(key):
             f"WHEN 'VARCHAR' THEN contains(json_extract_string(output_text, '$'), '{key}') ELSE false END")
 
 
-_SCORE = (f"CASE WHEN kind IN ('OBJECT', 'ARRAY', 'VARCHAR') THEN least(round_even(3.0 "
+_SCORE = (f"CAST(CASE WHEN kind IN ('OBJECT', 'ARRAY', 'VARCHAR') THEN least(round_even(3.0 "
           f"+ CASE WHEN {_has('justification')} OR {_has('risk_summary')} THEN 0.5 ELSE 0.0 END "
           f"+ CASE WHEN {_has('backtrack')} THEN 0.3 ELSE 0.0 END "
           f"+ CASE WHEN {_has('risk_level')} OR {_has('risk_note')} THEN 0.4 ELSE 0.0 END "
           f"+ CASE WHEN {_has('readiness_score')} THEN 0.3 ELSE 0.0 END "
           f"+ CASE WHEN prompt_strategy = 'cdp' THEN 0.3 ELSE 0.0 END, 2), 5.0) "
-          f"WHEN prompt_strategy = 'baseline' THEN 2.5 ELSE 3.5 END")
+          f"WHEN prompt_strategy = 'baseline' THEN 2.5 ELSE 3.5 END AS DOUBLE)")
 
 _BT = "json_extract(output_text, '$.backtrack')"
 _TRUTHY = (f"CASE WHEN {_BT} IS NULL THEN false WHEN json_type({_BT}) = 'NULL' THEN false "
@@ -86,7 +86,8 @@ def k1_tokens(spark, sf):
     return t.select("conv_id", "turn", TX.token_estimate(F.col("text")).alias("token_estimate"))
 
 
-@query("k2_truncate", "SELECT conv_id, turn, substring(text, 1, 800) AS text_800, length(text) AS n_chars FROM m_text",
+@query("k2_truncate", "SELECT conv_id, turn, substring(text, 1, 800) AS text_800, CAST(length(text) AS INTEGER) AS n_chars "
+       "FROM m_text",
        ("m_text",))
 def k2_truncate(spark, sf):
     t = m_text(spark, sf)
@@ -220,7 +221,7 @@ _GRID = ", ".join(str(float(x)) for x in CL.FAILURE_GRID)
 @query("k14_retry_cost", _with_log(f"""
 SELECT fr AS failure_rate, round(tok_out_b * (1 + fr * 5), 6) AS baseline_cost, round(tok_out_c, 6) AS cdp_cost,
        round((tok_out_c - tok_out_b) / (tok_out_b * 5), 6) AS break_even
-FROM ({_ECON.replace('round(', '(').replace(', 6)', ')')}) e, (SELECT unnest([{_GRID}]) AS fr) g""", True),
+FROM ({_ECON.replace('round(', '(').replace(', 6)', ')')}) e, (SELECT CAST(unnest([{_GRID}]) AS DOUBLE) AS fr) g""", True),
        ("m_calls",))
 def k14_retry_cost(spark, sf):
     r = CL.retry_cost(CL.token_economy(_summary(spark, sf)))

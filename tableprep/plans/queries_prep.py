@@ -375,7 +375,7 @@ def e1_fences(spark, sf):
 
 
 _COUNTS = per_column(
-    "SELECT '{c}' AS \"column\", count_if(IS_OUT) AS outlier_count, "
+    "SELECT '{c}' AS \"column\", CAST(count_if(IS_OUT) AS BIGINT) AS outlier_count, "
     "round_even(LO, 4) AS lower_bound, round_even(HI, 4) AS upper_bound, "
     "round_even(count_if(IS_OUT) / count(*) * 100, 2) AS pct_outliers FROM m_items", ITEM_NUMERIC)
 _COUNTS = "\nUNION ALL\n".join(
@@ -392,7 +392,8 @@ def e2_counts(spark, sf):
 _ANY = " OR ".join(_is_out(c) for c in ITEM_NUMERIC)
 
 
-@query("e3_any", _with_fences(f"SELECT count_if({_ANY}) AS total_outlier_rows, count(*) AS \"rows\" FROM m_items"),
+@query("e3_any", _with_fences(f"SELECT CAST(count_if({_ANY}) AS BIGINT) AS total_outlier_rows, count(*) AS \"rows\" "
+                              f"FROM m_items"),
        ("m_items",))
 def e3_any(spark, sf):
     df = m_items(spark, sf)
@@ -428,8 +429,8 @@ def e6_drop(spark, sf):
 
 
 _Z = per_column(
-    "SELECT '{c}' AS \"column\", count_if(abs((CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM m_items)) / "
-    "(SELECT stddev_samp({c}) FROM m_items)) > 3) AS n_flagged FROM m_items",
+    "SELECT '{c}' AS \"column\", CAST(count_if(abs((CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM m_items)) / "
+    "(SELECT stddev_samp({c}) FROM m_items)) > 3) AS BIGINT) AS n_flagged FROM m_items",
     [c for c in ITEM_NUMERIC if c != "constant_col"])
 
 
@@ -447,8 +448,9 @@ from ..operators import features as FE  # noqa: E402
 
 
 @query("f1_dateparts", """
-SELECT item_id, year(d) AS ship_date_year, month(d) AS ship_date_month, day(d) AS ship_date_day,
-       isodow(d) - 1 AS ship_date_dayofweek, isodow(d) >= 6 AS ship_date_is_weekend
+SELECT item_id, CAST(year(d) AS INTEGER) AS ship_date_year, CAST(month(d) AS INTEGER) AS ship_date_month,
+       CAST(day(d) AS INTEGER) AS ship_date_day, CAST(isodow(d) - 1 AS INTEGER) AS ship_date_dayofweek,
+       isodow(d) >= 6 AS ship_date_is_weekend
 FROM (SELECT item_id, strptime(ship_date, '%Y-%m-%d') AS d FROM m_items)""", ("m_items",))
 def f1_dateparts(spark, sf):
     df = m_items(spark, sf)
