@@ -34,7 +34,7 @@ def _var_nulls(df: DataFrame, cols) -> dict:
     return {c: (row[f"v{i}"], row[f"n{i}"], row[f"m{i}"]) for i, c in enumerate(cols)}
 
 
-def centered_correlations(df: DataFrame, cols, means: dict) -> list[tuple[str, str, float | None]]:
+def centered_correlations(df: DataFrame, cols, means: dict, constant=()) -> list[tuple[str, str, float | None]]:
     """Pearson r for NULL-free columns from sums of centred products.
 
     Second pass of the two-pass algorithm: with the exact means known, one
@@ -43,6 +43,7 @@ def centered_correlations(df: DataFrame, cols, means: dict) -> list[tuple[str, s
     aggregates, no row shuffle, numerically stable."""
     if len(cols) < 2:
         return []
+    constant = set(constant or ())
     z = df.select(*[(col(c).cast("double") - F.lit(float(means[c]))).alias(f"z{i}") for i, c in enumerate(cols)])
     idx = [(i, j) for j in range(len(cols)) for i in range(j + 1)]
     row = z.agg(*[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}_{j}") for i, j in idx]).first()
@@ -50,7 +51,8 @@ def centered_correlations(df: DataFrame, cols, means: dict) -> list[tuple[str, s
     for j in range(len(cols)):
         for i in range(j):
             den = (row[f"s{i}_{i}"] or 0.0) * (row[f"s{j}_{j}"] or 0.0)
-            out.append((cols[i], cols[j], row[f"s{i}_{j}"] / den ** 0.5 if den > 0 else None))
+            ok = den > 0 and cols[i] not in constant and cols[j] not in constant
+            out.append((cols[i], cols[j], row[f"s{i}_{j}"] / den ** 0.5 if ok else None))
     return out
 
 
@@ -84,7 +86,10 @@ def _pair_struct(a: str, b: str, ma: float, mb: float):
     cab = F.sum(za * zb) - sa * sb / n
     vaa = F.sum(za * za) - sa * sa / n
     vbb = F.sum(zb * zb) - sb * sb / n
-    r = F.when((vaa > 0) & (vbb > 0), cab / F.sqrt(vaa * vbb))
+    # a side that is constant on the pair's rows gives NULL (pandas: NaN); tested
+    # exactly with min < max, never with a rounding-prone variance of ~0
+    varies = (F.min(za) < F.max(za)) & (F.min(zb) < F.max(zb))
+    r = F.when(varies & (vaa > 0) & (vbb > 0), cab / F.sqrt(vaa * vbb))
     return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
 
 
@@ -140,7 +145,7 @@ def fit_select(df: DataFrame, target: str | None = None, variance_threshold: flo
     rest = [c for c in nums if c not in low]
     means = {c: (vn[c][2] or 0.0) for c in rest}
     if all(vn[c][1] == 0 for c in rest):
-        pairs = centered_correlations(df, rest, means)
+        pairs = centered_correlations(df, rest, means, [c for c in rest if not vn[c][0]])
     else:
         pairs = [(r["a"], r["b"], r["r"]) for r in _pairwise_table(df, rest, means).collect()]
     order = {c: i for i, c in enumerate(rest)}
