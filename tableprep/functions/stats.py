@@ -107,7 +107,7 @@ def _in_bracket(c: Column, lo, hi) -> Column:
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
-              accuracy: int = 10000, max_local: int = 5000, max_rounds: int = 6) -> dict:
+              accuracy: int = 10000, max_local: int = 5000, max_rounds: int = 6, _fuse: bool = True) -> dict:
     """``{column: [q(p) for p in probs]}`` with linear interpolation (pandas/numpy
     default, Spark ``percentile``, DuckDB ``quantile_cont``).
 
@@ -121,6 +121,11 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool =
        the bracket holds the target ranks) and its distinct estimate;
        a bracket still too wide is narrowed again with a sketch inside it;
     3. one ``groupBy`` returning the (value, count) pairs inside the brackets.
+
+    When a sketch bracket is known to hold at most ``max_local`` rows (small
+    columns), step 2 is folded into step 3: the rows below the bracket are
+    counted by the same ``groupBy`` and the bracket is verified afterwards
+    (falling back to the full refinement if the sketch missed).
     """
     if not cols:
         return {}
@@ -148,6 +153,10 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool =
             if nd * 1.2 > max_local:
                 t["cand"] = (qs[2 * j], qs[2 * j + 1])
             tasks.append(t)
+    for t in tasks:
+        if _fuse and "cand" in t and 3 * eps * t["m"] <= max_local:
+            t["lo"], t["hi"] = t.pop("cand")
+            t["fused"] = True
     for rnd in range(max_rounds):
         narrow = [t for t in tasks if "cand" in t]
         if not narrow:
@@ -179,23 +188,45 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool =
             row = d.agg(*exprs).first()
             for x, t in enumerate(again):
                 t["cand"] = (row[x][0], row[x][1])
-    # bounded (value, count) pairs inside the final brackets
-    structs = [F.when(_in_bracket(F.col(f"c{t['i']}"), t["lo"], t["hi"]),
-                      F.struct(F.lit(x).alias("task"), F.col(f"c{t['i']}").alias("v")))
-               for x, t in enumerate(tasks)]
+    # bounded (value, count) pairs inside the final brackets (+ rows below a fused bracket)
+    structs = []
+    for x, t in enumerate(tasks):
+        c = F.col(f"c{t['i']}")
+        inside = F.struct(F.lit(x).alias("task"), F.lit(False).alias("below"), c.alias("v"))
+        e = F.when(_in_bracket(c, t["lo"], t["hi"]), inside)
+        if t.get("fused"):
+            e = e.when(c < F.lit(t["lo"]), F.struct(F.lit(x).alias("task"), F.lit(True).alias("below"),
+                                                     F.lit(None).cast("double").alias("v")))
+        structs.append(e)
     if not structs:
         return out
     pairs = (d.select(F.inline(F.filter(F.array(*structs), lambda s: s.isNotNull())))
-              .groupBy("task", "v").count().collect())
-    per = {}
+              .groupBy("task", "below", "v").count().collect())
+    per, below = {}, {}
     for r in pairs:
-        per.setdefault(r["task"], []).append((r["v"], r["count"]))
+        if r["below"]:
+            below[r["task"]] = r["count"]
+        else:
+            per.setdefault(r["task"], []).append((r["v"], r["count"]))
+    retry = set()
     for x, t in enumerate(tasks):
+        if t.get("fused"):
+            t["below"] = below.get(x, 0)
+            m = sum(n for _, n in per.get(x, []))
+            if not (t["below"] <= t["klo"] and t["khi"] < t["below"] + m):
+                retry.add(t["i"])          # sketch missed: resolve this column the long way
+                continue
+    for x, t in enumerate(tasks):
+        if t["i"] in retry:
+            continue
         vals = sorted(per.get(x, []))
         vlo = _value_at(vals, t["klo"] - t["below"])
         vhi = _value_at(vals, t["khi"] - t["below"])
         frac = t["h"] - t["klo"]
         out[cols[t["i"]]][t["j"]] = vlo + (vhi - vlo) * frac if frac else vlo
+    if retry:
+        names = [cols[i] for i in sorted(retry)]
+        out.update(quantiles(df, names, probs, True, accuracy, max_local, max_rounds, _fuse=False))
     return out
 
 

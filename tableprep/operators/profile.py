@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import NUMERIC, as_text, col, families, pct
-from ..functions.stats import smallest_values, value_counts
+from ..functions.columns import NUMERIC, col, families, pct
 
 # Fixed values of the audit rules.
 HIGH_NULL_PCT = 50          # flag when a column is more than this % missing
@@ -204,6 +203,3 @@ def audit(df: DataFrame) -> AuditFit:
     rating = "POOR" if len(flags) > POOR_FLAG_COUNT else "FAIR" if flags else "GOOD"
     return AuditFit(rows, len(df.columns), dups, nulls, pcts, zero, flags, rating)
 
-
-def value_text(c, dt):
-    return as_text(c, dt)
