@@ -95,21 +95,25 @@ def fit_encode(df: DataFrame, cols, order_by: str | None = None) -> EncodeFit:
     if not cols:
         return EncodeFit([])
     vals, keys = distinct_values(df, cols, order_by)
-    sizes = {r["column"]: r["n"] for r in vals.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [c for c in cols if sizes.get(c, 0) <= LITERAL_DICT_MAX]
+    # one bounded pass: at most LITERAL_DICT_MAX + 1 entries per column reach the
+    # driver (row_number <= k is planned with a partial limit before the shuffle)
+    w = Window.partitionBy("column").orderBy(*keys)
+    head = (vals.withColumn("__r", F.row_number().over(w))
+            .where(F.col("__r") <= LITERAL_DICT_MAX + 1).drop("__r").collect())
+    by_col = {}
+    for r in head:
+        by_col.setdefault(r["column"], []).append(r)
+    small = [c for c in cols if len(by_col.get(c, [])) <= LITERAL_DICT_MAX]
     large = [c for c in cols if c not in small]
-    literal = {c: {} for c in small}
-    if small:
-        rows = vals.where(F.col("column").isin(small)).collect()
-        by_col = {}
-        for r in rows:
-            by_col.setdefault(r["column"], []).append(r)
-        for c, rs in by_col.items():
-            rs.sort(key=_sort_key(keys))
-            literal[c] = {r["value"]: i for i, r in enumerate(rs)}
-    table = _ranked(vals.where(F.col("column").isin(large)), keys) if large else None
-    total_large = sum(sizes[c] for c in large)
-    return EncodeFit(cols, literal, table, total_large <= BROADCAST_DICT_MAX)
+    literal = {}
+    for c in small:
+        rs = sorted(by_col.get(c, []), key=_sort_key(keys))
+        literal[c] = {r["value"]: i for i, r in enumerate(rs)}
+    if not large:
+        return EncodeFit(cols, literal, None, True)
+    big = vals.where(F.col("column").isin(large))
+    total_large = big.count()
+    return EncodeFit(cols, literal, _ranked(big, keys), total_large <= BROADCAST_DICT_MAX)
 
 
 def apply_encode(df: DataFrame, fit: EncodeFit) -> DataFrame:

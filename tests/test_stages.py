@@ -151,3 +151,17 @@ def test_advice_table_overrides_and_drop(spark):
     fit = IM.fit_impute(df, {"x": "numeric", "s": "categorical"}, overrides=advice)
     out = IM.apply_impute(df, fit)
     assert out.columns == ["x"] and sorted(r[0] for r in out.collect()) == [1.0, 2.0, 3.0]
+
+
+def test_large_dictionary_path_matches_literal_path(spark, monkeypatch):
+    rows = [(f"v{i % 37:02d}", i) for i in range(500)] + [(None, 999)]
+    df = spark.createDataFrame(rows, "s string, o long")
+    small = {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, FE.fit_encode(df, ["s"])).collect()}
+    first = {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, FE.fit_encode(df, ["s"], order_by="o")).collect()}
+    monkeypatch.setattr(FE, "LITERAL_DICT_MAX", 5)
+    fit = FE.fit_encode(df, ["s"])
+    assert fit.table is not None
+    large = {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, fit).collect()}
+    assert large == small and small[None] == -1 and sorted(v for k, v in small.items() if k) == list(range(37))
+    fit_f = FE.fit_encode(df, ["s"], order_by="o")
+    assert {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, fit_f).collect()} == first
