@@ -116,3 +116,24 @@ def test_stream_replays_batch_fit(spark, items):
     got = spark.sql("SELECT * FROM prepared_stream")
     assert got.columns == res.df.columns
     assert got.count() == res.df.count()
+
+
+def test_prepare_empty_and_single_row(spark):
+    schema = "a double, b string, d string, flag boolean, y long"
+    empty = spark.createDataFrame([], schema)
+    r0 = prepare(empty, target="y", persist=False)
+    assert r0.df.count() == 0 and r0.status == "PASSED WITH WARNINGS"
+    one = spark.createDataFrame([(1.5, "x", "2024-01-02", True, 1)], schema)
+    r1 = prepare(one, target="y", persist=False)
+    out = r1.df.collect()
+    assert len(out) == 1 and r1.df.columns[-1] == "y"
+    # a single row has NULL variance: kept, never dropped as low-variance
+    assert "a" in r1.df.columns
+
+
+def test_boolean_columns_stay_out_of_numeric_work(spark):
+    from tableprep.operators import outliers as OU
+    from tableprep.operators import select as SE
+    df = spark.createDataFrame([(True, float(i)) for i in range(20)], "b boolean, x double")
+    assert list(OU.fit_outliers(df).fences) == ["x"]
+    assert "b" in SE.fit_select(df).kept
