@@ -58,23 +58,30 @@ def null_percent(df: DataFrame) -> DataFrame:                      # B2
     return column_profile(df).select("column", "null_pct")
 
 
-def duplicate_rows(df: DataFrame, method: str = "fingerprint") -> DataFrame:   # B3
+# Below this many cells the direct group-by is cheaper than fingerprint + verification.
+DIRECT_DEDUP_CELLS = 50_000_000
+
+
+def duplicate_rows(df: DataFrame, method: str = "fingerprint", rows: int | None = None) -> DataFrame:  # B3
     """Rows minus first occurrences; NULL equals NULL (groupBy semantics).
 
     ``fingerprint`` (default) shuffles 16 bytes per row instead of the whole
     row: rows are grouped by two independent 64-bit hashes (plus a NULL
     bitmap, so NULL positions matter); only rows whose fingerprint occurs more
     than once are re-grouped on their full values, which keeps the count exact
-    even under hash collisions.  ``group`` is the direct ``groupBy(all)``.
+    even under hash collisions.  ``group`` is the direct ``groupBy(all)``;
+    ``auto`` picks it when ``rows`` x columns is small (known from a profile).
     Both rely on map-side partial aggregation, so a set of copies holding a
     third of the table collapses inside each task before any shuffle."""
     keys = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    if method == "auto":
+        method = "group" if rows is not None and rows * max(len(keys), 1) <= DIRECT_DEDUP_CELLS else "fingerprint"
     if method == "group" or not keys:
         groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
     nullmap = F.concat(*[F.when(k.isNull(), "1").otherwise("0") for k in keys])
     h1 = F.xxhash64(nullmap, *keys).alias("__h1")
-    h2 = F.hash(F.lit("dup"), nullmap, *keys).alias("__h2")
+    h2 = F.xxhash64(F.lit("second-seed"), nullmap, *keys).alias("__h2")
     fp = df.select(h1, h2, *keys)
     multi = (fp.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") > 1).select("__h1", "__h2"))
@@ -191,8 +198,8 @@ class AuditFit:
 def audit(df: DataFrame) -> AuditFit:
     """Driver-side summary (per-column scalars only) for the pipeline report."""
     prof = column_profile(df).collect()
-    dups = duplicate_rows(df).first()["duplicate_rows"]
     rows = prof[0]["rows"] if prof else df.count()
+    dups = duplicate_rows(df, "auto", rows).first()["duplicate_rows"]
     nulls = {r["column"]: r["null_count"] for r in prof}
     pcts = {r["column"]: r["null_pct"] for r in prof}
     zero = [r["column"] for r in prof if r["zero_var"]]
