@@ -45,10 +45,6 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
     return [c for c, k in families(df).items() if k == NUMERIC and c not in exclude]
 
 
-def string_columns(df: DataFrame) -> list[str]:
-    return [c for c, k in families(df).items() if k == STRING]
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """pandas has one 'missing'; Spark has NULL and NaN.  Map NaN to NULL once."""
     exprs = []
@@ -69,10 +65,3 @@ def any_of(conds: list[Column]) -> Column:
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:
     """part/whole*100, rounded half-even like pandas; NULL when whole is 0."""
     return F.bround(F.try_divide(part.cast("double"), whole.cast("double")) * 100.0, digits)
-
-
-def as_text(c: Column, dt: T.DataType) -> Column:
-    """Readable text of a value (timestamps without zone, doubles as cast)."""
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    return c.cast("string")

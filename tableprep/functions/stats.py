@@ -80,19 +80,6 @@ def value_summary(vc: DataFrame) -> DataFrame:
     )
 
 
-def smallest_values(vc: DataFrame, k: int) -> DataFrame:
-    """``(column, rank, num, str)`` for the k smallest distinct values per column.
-
-    ``row_number() <= k`` is planned with a partial window-group limit before
-    the shuffle, so each column ships at most k rows per task.
-    """
-    from pyspark.sql import Window
-    w = Window.partitionBy("column").orderBy("num", "str")
-    return (vc.withColumn("rank", F.row_number().over(w))
-              .where(F.col("rank") <= k)
-              .select("column", "rank", "num", "str"))
-
-
 # --------------------------------------------------------------------------
 # exact quantiles
 # --------------------------------------------------------------------------
@@ -237,16 +224,3 @@ def _value_at(sorted_counts, rank):
         if rank < seen:
             return v
     return sorted_counts[-1][0] if sorted_counts else None
-
-
-# --------------------------------------------------------------------------
-# correlation
-# --------------------------------------------------------------------------
-
-def safe_corr(a: Column, b: Column) -> Column:
-    """Pearson r over pairwise-complete rows; NULL (not an ANSI error) when a
-    side is constant.  Matches pandas ``DataFrame.corr`` on the same rows."""
-    both = a.isNotNull() & b.isNotNull()
-    x = F.when(both, a.cast("double"))
-    y = F.when(both, b.cast("double"))
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))

@@ -12,12 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, numeric_columns
-from ..functions.stats import safe_corr
 
 # Fixed values of the selection rules.
 VARIANCE_THRESHOLD = 0.01
 CORRELATION_THRESHOLD = 0.95
-PAIRS_PER_AGGREGATE = 256
 
 
 def variances(df: DataFrame, cols) -> dict:                                          # G1
@@ -56,26 +54,6 @@ def centered_correlations(df: DataFrame, cols, means: dict, constant=()) -> list
     return out
 
 
-def correlations(df: DataFrame, cols, clean=()) -> list[tuple[str, str, float | None]]:   # G2
-    """Upper triangle ``(a, b, r)`` with a before b; r is NULL for constants.
-
-    Pairs of ``clean`` columns (no NULLs, non-zero variance) use Spark's
-    built-in ``corr`` (stable one-pass moments, 6 buffer fields); other pairs
-    use the NULL-safe pairwise-complete form."""
-    clean = set(clean)
-    pairs = [(i, j) for j in range(len(cols)) for i in range(j)]
-    out = []
-    for s in range(0, len(pairs), PAIRS_PER_AGGREGATE):
-        chunk = pairs[s:s + PAIRS_PER_AGGREGATE]
-
-        def r(i, j):
-            a, b = cols[i], cols[j]
-            return F.corr(col(a), col(b)) if a in clean and b in clean else safe_corr(col(a), col(b))
-        row = df.agg(*[r(i, j).alias(f"r{k}") for k, (i, j) in enumerate(chunk)]).first()
-        out += [(cols[i], cols[j], row[f"r{k}"]) for k, (i, j) in enumerate(chunk)]
-    return out
-
-
 def _pair_struct(a: str, b: str, ma: float, mb: float):
     """Pairwise-complete Pearson r from centred sums over rows where both are set."""
     both = col(a).isNotNull() & col(b).isNotNull()

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tableprep.functions.stats import quantiles, safe_corr
+from tableprep.functions.stats import quantiles
 from tableprep.operators import features as FE
 from tableprep.operators import impute as IM
 from tableprep.operators import outliers as OU
@@ -111,9 +111,12 @@ def test_date_parts_monday_zero(spark):
     assert [(r["d_dayofweek"], r["d_is_weekend"]) for r in out] == [(0, False), (5, True)]
 
 
-def test_safe_corr_constant_is_null(spark):
-    df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0), (1.0, 3.0)], "a double, b double")
-    assert df.agg(safe_corr(F.col("a"), F.col("b"))).first()[0] is None
+def test_corr_constant_side_is_null(spark):
+    df = spark.createDataFrame([(1.0, 1.0, None), (1.0, 2.0, 5.0), (1.0, 3.0, 5.0), (2.0, 4.0, None)],
+                               "a double, b double, c double")
+    got = {(r["a"], r["b"]): r["r"] for r in SE.correlation_table(df).collect()}
+    assert got[("b", "c")] is None          # c constant on the rows both are set
+    assert got[("a", "b")] == pytest.approx(pd.Series([1, 1, 1, 2.0]).corr(pd.Series([1, 2, 3, 4.0])))
 
 
 def test_corr_filter_drops_later_column(spark):
