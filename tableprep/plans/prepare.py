@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..operators import features as FE
+from ..operators import gates as GA
 from ..operators import impute as IM
 from ..operators import outliers as OU
 from ..operators import profile as PR
@@ -52,6 +53,7 @@ class Prepared:
     stats: dict = field(default_factory=dict)
     steps_completed: list = field(default_factory=list)
     timings: dict = field(default_factory=dict)
+    gates: list = field(default_factory=list)
 
     def report(self) -> DataFrame:
         return self.store.report()
@@ -193,8 +195,46 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         rows += [(None, "missing_step", s) for s in missing]
         rows += [(None, "warning", w) for w in warnings] + [(None, "error", e) for e in errors]
         store.add_report(run_id, "validate", rows, label="validation_report")
+        res.gates = run_gates(res, n_rows, nulls, target, len(df.columns), cur.columns)
+        store.add_report(run_id, "gates", [(c, f"{g}:{'fired' if f else 'ok'}", o) for g, c, o, _, f in res.gates],
+                         label="gate_report")
     stage("validate", _validate)
     if persist:
         df.unpersist()
     res.df = cur
     return res
+
+
+def run_gates(res: Prepared, n_rows: int, residual: dict, target: str | None, n_cols_in: int,
+              cols_out) -> list[tuple]:
+    """Contract gates evaluated from the fitted per-column scalars of this run
+    (no extra scan): ``(rule, column, observed, limit, fired)``."""
+    L = GA.LIMITS
+    a, t, m, o, s = (res.fits[k] for k in ("audit", "types", "missing", "outliers", "select"))
+    out = []
+    pcts = [p for p in a.null_pct.values() if p is not None]
+    share = sum(p > L["J1_col"] for p in pcts) / len(pcts) if pcts else 0.0
+    out.append(("J1", None, share, L["J1"], share > L["J1"]))
+    out.append(("J2", None, a.rows - a.duplicate_rows, L["J2"], a.rows - a.duplicate_rows < L["J2"]))
+    nums = [c for c, k in t.semantic.items() if k in ("numeric", "id") and c in a.null_counts]
+    zero = sum(c in a.zero_variance for c in nums) / len(nums) if nums else 0.0
+    out.append(("J3", None, zero, 1.0, bool(nums) and zero == 1.0))
+    worst = max(pcts) if pcts else 0.0
+    out.append(("J4", None, worst, L["J4"], worst > L["J4"]))
+    unknown = sum(k == "unknown" for k in t.semantic.values()) / max(len(t.semantic), 1)
+    out.append(("J6", None, unknown, L["J6"], unknown > L["J6"]))
+    for c, act in m.actions.items():
+        if act.action in ("mean", "median", "mode", "constant"):
+            out.append(("J12", c, act.null_fraction, L["J12"], act.null_fraction > L["J12"]))
+    iqr0 = [c for c, f in o.fences.items() if f.iqr == 0]
+    out += [("J14", c, 0.0, 0.0, True) for c in iqr0]
+    kept = len(s.kept)
+    out.append(("J18", None, kept, L["J18_min"], kept < L["J18_min"]))
+    loss = 1 - n_rows / a.rows if a.rows else 0.0
+    out.append(("J19", None, loss, L["J19_loss"], loss > L["J19_loss"]))
+    if target:
+        out.append(("J19", target, 0.0 if target in cols_out else 1.0, 0.0, target not in cols_out))
+    route = ("missing" if residual else "features" if len(cols_out) > L["J20_growth"] * max(n_cols_in, 1)
+             else "outliers" if loss > L["J19_loss"] else None)
+    out.append(("J20", route, loss, L["J19_loss"], route is not None))
+    return out

@@ -137,3 +137,12 @@ def test_boolean_columns_stay_out_of_numeric_work(spark):
     df = spark.createDataFrame([(True, float(i)) for i in range(20)], "b boolean, x double")
     assert list(OU.fit_outliers(df).fences) == ["x"]
     assert "b" in SE.fit_select(df).kept
+
+
+def test_prepare_reports_contract_gates(spark, items):
+    res = prepare(items, target="target", persist=False)
+    rules = {g[0] for g in res.gates}
+    assert {"J1", "J2", "J3", "J4", "J6", "J12", "J18", "J19", "J20"} <= rules
+    j4 = next(g for g in res.gates if g[0] == "J4")
+    assert j4[4] is True                       # mystery is 85 % null > 40 %
+    assert res.report().where("stage = 'gates'").count() == len(res.gates)
