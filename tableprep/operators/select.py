@@ -111,13 +111,54 @@ class SelectFit:
     removed: list
 
 
+def _one_pass(df: DataFrame, cols, centers: dict):
+    """Variances and the correlation triangle in ONE aggregate, from sums shifted
+    by a known centre per column (the shifted-data algorithm: stable whenever the
+    centre is near the mean, e.g. the fitted IQR midpoint).  Returns None when a
+    column holds NULLs (pairwise-complete sums are needed then)."""
+    z = {c: col(c).cast("double") - F.lit(float(centers.get(c) or 0.0)) for c in cols}
+    idx = [(i, j) for j in range(len(cols)) for i in range(j + 1)]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 *[F.count_if(col(c).isNull()).alias(f"k{i}") for i, c in enumerate(cols)],
+                 *[(F.min(col(c)) == F.max(col(c))).alias(f"e{i}") for i, c in enumerate(cols)],
+                 *[F.sum(z[c]).alias(f"s{i}") for i, c in enumerate(cols)],
+                 *[F.sum(z[cols[i]] * z[cols[j]]).alias(f"p{i}_{j}") for i, j in idx]).first()
+    n = row["n"]
+    if any(row[f"k{i}"] for i in range(len(cols))):
+        return None
+    if n < 2:
+        return {c: None for c in cols}, [(cols[i], cols[j], None) for j in range(len(cols)) for i in range(j)]
+    m2 = {i: max(row[f"p{i}_{i}"] - row[f"s{i}"] ** 2 / n, 0.0) for i in range(len(cols))}
+    const = {i for i in range(len(cols)) if row[f"e{i}"]}
+    var = {c: (0.0 if i in const else m2[i] / (n - 1)) for i, c in enumerate(cols)}
+    pairs = []
+    for j in range(len(cols)):
+        for i in range(j):
+            den = m2[i] * m2[j]
+            ok = den > 0 and i not in const and j not in const
+            cov = row[f"p{i}_{j}"] - row[f"s{i}"] * row[f"s{j}"] / n
+            pairs.append((cols[i], cols[j], cov / den ** 0.5 if ok else None))
+    return var, pairs
+
+
 def fit_select(df: DataFrame, target: str | None = None, variance_threshold: float = VARIANCE_THRESHOLD,
-               correlation_threshold: float = CORRELATION_THRESHOLD, strict_target: bool = True) -> SelectFit:
+               correlation_threshold: float = CORRELATION_THRESHOLD, strict_target: bool = True,
+               centers: dict | None = None) -> SelectFit:
+    """``centers`` (column -> a value near its mean, e.g. fitted medians or IQR
+    midpoints) lets variances and correlations come from one pass."""
     if target is not None and target not in df.columns:
         if strict_target:
             raise ValueError(f"target column {target!r} not in table")
         target = None
     nums = numeric_columns(df, exclude=(target,) if target else ())
+    one = _one_pass(df, nums, centers) if centers is not None and nums else None
+    if one is not None:
+        var, all_pairs = one
+        low = [c for c in nums if var[c] is not None and var[c] < variance_threshold]
+        rest = [c for c in nums if c not in low]
+        keep = set(rest)
+        pairs = [p for p in all_pairs if p[0] in keep and p[1] in keep]
+        return _decide(df, target, nums, low, rest, pairs, correlation_threshold)
     vn = _var_nulls(df, nums)
     low = [c for c in nums if vn[c][0] is not None and vn[c][0] < variance_threshold]
     rest = [c for c in nums if c not in low]
@@ -126,8 +167,12 @@ def fit_select(df: DataFrame, target: str | None = None, variance_threshold: flo
         pairs = centered_correlations(df, rest, means, [c for c in rest if not vn[c][0]])
     else:
         pairs = [(r["a"], r["b"], r["r"]) for r in _pairwise_table(df, rest, means).collect()]
+    return _decide(df, target, nums, low, rest, pairs, correlation_threshold)
+
+
+def _decide(df, target, nums, low, rest, pairs, correlation_threshold) -> SelectFit:
     order = {c: i for i, c in enumerate(rest)}
-    pairs.sort(key=lambda p: (order[p[1]], order[p[0]]))
+    pairs = sorted(pairs, key=lambda p: (order[p[1]], order[p[0]]))
     high = [c for c in rest if c in set(high_corr_drops(pairs, correlation_threshold))]
     kept = [c for c in df.columns if c not in low and c not in high and c != target]
     removed = [f"{c} (low variance)" for c in low] + [f"{c} (high correlation)" for c in high]

@@ -167,7 +167,10 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
 
     # select (G)
     def _select():
-        s = SE.fit_select(cur, target, variance_threshold, correlation_threshold, strict_target=False)
+        # centres near each mean: IQR midpoints of the clipped columns, 0 for small derived codes/parts
+        centers = {c: (f.q1 + f.q3) / 2 for c, f in ofit.fences.items() if f.q1 is not None}
+        s = SE.fit_select(cur, target, variance_threshold, correlation_threshold, strict_target=False,
+                          centers=centers)
         rows = [(c, "kept", True) for c in s.kept] + [(None, "removed", r) for r in s.removed]
         store.add_report(run_id, "select", rows, label="selector_report")
         return s

@@ -168,3 +168,12 @@ def test_large_dictionary_path_matches_literal_path(spark, monkeypatch):
     assert large == small and small[None] == -1 and sorted(v for k, v in small.items() if k) == list(range(37))
     fit_f = FE.fit_encode(df, ["s"], order_by="o")
     assert {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, fit_f).collect()} == first
+
+
+def test_one_pass_selection_matches_two_pass(spark):
+    df = spark.range(0, 300).select((F.col("id") * 1000.0 + 1e9).alias("a"), (F.col("id") * 2.0).alias("b"),
+                                    F.rand(3).alias("c"), F.lit(5.0).alias("k"), (F.col("id") % 2).alias("y"))
+    two = SE.fit_select(df, "y")
+    one = SE.fit_select(df, "y", centers={"a": 1e9 + 150000.0})
+    assert (one.low_variance, one.high_correlation, one.kept) == (two.low_variance, two.high_correlation, two.kept)
+    assert one.high_correlation == ["b"] and "k" in one.low_variance
