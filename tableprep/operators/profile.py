@@ -22,6 +22,16 @@ BAND_HIGH, BAND_MED = 50, 10
 
 
 def column_profile(df: DataFrame) -> DataFrame:
+    """Per-column profile rows (see ``profile_structs``) from one aggregate."""
+    structs = profile_structs(df)
+    if not structs:
+        return df.sparkSession.createDataFrame(
+            [], "column string, family string, rows long, null_count long, null_pct double, vmin double, "
+                "vmax double, mean double, std double, zero_var boolean")
+    return df.agg(F.array(*structs).alias("p")).select(F.inline("p"))
+
+
+def profile_structs(df: DataFrame) -> list:
     """``(column, family, rows, null_count, null_pct, vmin, vmax, mean, std, zero_var)``.
 
     ``zero_var`` (numeric only) is ``min <=> max``: true for a constant or an
@@ -43,11 +53,7 @@ def column_profile(df: DataFrame) -> DataFrame:
             F.avg(xd).alias("mean"), F.stddev_samp(xd).alias("std"),
             (F.min(xd).eqNullSafe(F.max(xd)) if isnum else F.lit(None).cast("boolean")).alias("zero_var"),
         ))
-    if not structs:
-        return df.sparkSession.createDataFrame(
-            [], "column string, family string, rows long, null_count long, null_pct double, vmin double, "
-                "vmax double, mean double, std double, zero_var boolean")
-    return df.agg(F.array(*structs).alias("p")).select(F.inline("p"))
+    return structs
 
 
 def null_counts(df: DataFrame) -> DataFrame:                       # B1
@@ -195,10 +201,17 @@ class AuditFit:
     overall_quality: str = "GOOD"
 
 
-def audit(df: DataFrame) -> AuditFit:
-    """Driver-side summary (per-column scalars only) for the pipeline report."""
-    prof = column_profile(df).collect()
-    rows = prof[0]["rows"] if prof else df.count()
+def audit(df: DataFrame, extra=()) -> AuditFit | tuple:
+    """Driver-side summary (per-column scalars only) for the pipeline report.
+
+    ``extra`` aggregate expressions (e.g. the type probes) ride along in the
+    same pass; their row is returned next to the fit."""
+    structs = profile_structs(df)
+    if structs:
+        row = df.agg(F.array(*structs).alias("p"), F.count(F.lit(1)).alias("__rows"), *extra).first()
+        prof, rows = row["p"], row["__rows"]
+    else:
+        row, prof, rows = None, [], df.count()
     dups = duplicate_rows(df, "auto", rows).first()["duplicate_rows"]
     nulls = {r["column"]: r["null_count"] for r in prof}
     pcts = {r["column"]: r["null_pct"] for r in prof}
@@ -208,5 +221,6 @@ def audit(df: DataFrame) -> AuditFit:
         flags.append(f"DUPLICATES: {dups} duplicate rows found")
     flags += [f"ZERO VARIANCE: '{c}' has only one unique value" for c in zero]
     rating = "POOR" if len(flags) > POOR_FLAG_COUNT else "FAIR" if flags else "GOOD"
-    return AuditFit(rows, len(df.columns), dups, nulls, pcts, zero, flags, rating)
+    fit = AuditFit(rows, len(df.columns), dups, nulls, pcts, zero, flags, rating)
+    return (fit, row.asDict() if row is not None else {}) if extra else fit
 

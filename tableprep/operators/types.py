@@ -98,13 +98,19 @@ class TypesFit:
         return [c for c, s in self.semantic.items() if s == kind]
 
 
-def fit_types(df: DataFrame, method: str = "auto") -> TypesFit:
+def probe_exprs(df: DataFrame) -> list:
+    """The aggregate expressions ``fit_types`` needs (row count, HLL, datetime probes)."""
+    approx = [F.approx_count_distinct(col(c), APPROX_RSD).alias(f"a::{c}") for c in df.columns]
+    return [F.count(F.lit(1)).alias("rows"), *approx, *_datetime_probe_exprs(df)]
+
+
+def fit_types(df: DataFrame, method: str = "auto", probes: dict | None = None) -> TypesFit:
     """One aggregate (HLL estimates + datetime probes), then exact distinct
-    counts only where needed (``method='exact'`` forces them everywhere)."""
+    counts only where needed (``method='exact'`` forces them everywhere).
+    ``probes`` is the row of ``probe_exprs`` when it was computed in an
+    earlier pass over the same rows."""
     fams = families(df)
-    probe = _datetime_probe_exprs(df)
-    approx = [F.approx_count_distinct(col(c), APPROX_RSD).alias(f"a::{c}") for c in df.columns]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *approx, *probe).first().asDict()
+    row = probes if probes is not None else df.agg(*probe_exprs(df)).first().asDict()
     rows = row["rows"]
     denom = max(rows, 1)
     ratios = {c: row[f"a::{c}"] / denom for c in df.columns}
