@@ -70,10 +70,11 @@ def truthy(v: Column) -> Column:
             .otherwise(True))
 
 
-def backtrack(text: Column) -> Column:                                           # K4
+def backtrack(text: Column, v: Column | None = None) -> Column:                   # K4
     """JSON object: truthiness of its ``backtrack`` key; otherwise the text
-    contains BACKTRACK (case-insensitive)."""
-    v = F.try_parse_json(text)
+    contains BACKTRACK (case-insensitive).  ``v`` may pass an already parsed
+    variant of ``text`` (parse once, use many times)."""
+    v = F.try_parse_json(text) if v is None else v
     is_obj = _kind(v) == "OBJECT"
     field = F.try_variant_get(v, "$.backtrack", "variant")
     return F.when(is_obj, truthy(field)).otherwise(F.coalesce(F.upper(text).contains("BACKTRACK"), F.lit(False)))
@@ -91,8 +92,8 @@ def _has(v: Column, kind: Column, key: str) -> Column:
             .otherwise(False))
 
 
-def quality_score(text: Column, strategy: Column) -> Column:                     # K5
-    v = F.try_parse_json(text)
+def quality_score(text: Column, strategy: Column, v: Column | None = None) -> Column:   # K5
+    v = F.try_parse_json(text) if v is None else v
     kind = _kind(v)
     score = F.lit(SCORE_BASE)
     for keys, bonus in SCORE_RULES:

@@ -34,14 +34,18 @@ def call_log(calls: DataFrame) -> DataFrame:
     """Detectors applied to raw calls ``(run_id, logged_at, prompt_strategy,
     agent_name, prompt_text, output_text, latency_ms)`` -> the 14-field log."""
     p, o = F.col("prompt_text"), F.col("output_text")
+    # parse each reply once; the optimizer keeps this projection because the
+    # parsed value is used by several expressions below
+    v = F.col("__v")
+    calls = calls.withColumn("__v", F.try_parse_json(o))
     return calls.select(
         "run_id", F.col("logged_at").alias("timestamp"), "prompt_strategy", "agent_name",
         TX.truncate(p).alias("prompt_text"), TX.truncate(o).alias("output_text"),
         F.round(F.col("latency_ms").cast("double"), 2).alias("latency_ms"),
         TX.token_estimate(p).alias("token_estimate_in"), TX.token_estimate(o).alias("token_estimate_out"),
-        TX.quality_score(o, F.col("prompt_strategy")).alias("quality_score"),
+        TX.quality_score(o, F.col("prompt_strategy"), v).alias("quality_score"),
         TX.silent_failure(o).cast("int").alias("silent_failure"),
-        TX.backtrack(o).cast("int").alias("backtrack_triggered"),
+        TX.backtrack(o, v).cast("int").alias("backtrack_triggered"),
         F.lit(None).cast("string").alias("rule_llm_agree"), F.lit("").alias("error"))
 
 
