@@ -93,6 +93,7 @@ class TypesFit:
     semantic: dict      # column -> id|numeric|datetime|categorical|text|unknown
     formats: dict       # column -> datetime format for string columns parsed as datetime
     ratios: dict        # column -> distinct ratio used for the decision
+    null_fractions: dict | None = None   # column -> NULL share (same pass, reusable by imputation)
 
     def columns_of(self, kind: str) -> list[str]:
         return [c for c, s in self.semantic.items() if s == kind]
@@ -101,7 +102,8 @@ class TypesFit:
 def probe_exprs(df: DataFrame) -> list:
     """The aggregate expressions ``fit_types`` needs (row count, HLL, datetime probes)."""
     approx = [F.approx_count_distinct(col(c), APPROX_RSD).alias(f"a::{c}") for c in df.columns]
-    return [F.count(F.lit(1)).alias("rows"), *approx, *_datetime_probe_exprs(df)]
+    nulls = [F.count_if(col(c).isNull()).alias(f"z::{c}") for c in df.columns]
+    return [F.count(F.lit(1)).alias("rows"), *approx, *nulls, *_datetime_probe_exprs(df)]
 
 
 def fit_types(df: DataFrame, method: str = "auto", probes: dict | None = None) -> TypesFit:
@@ -132,7 +134,10 @@ def fit_types(df: DataFrame, method: str = "auto", probes: dict | None = None) -
         if fmt:
             formats[c] = fmt
     dtypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return TypesFit(dtypes, semantic, formats, ratios)
+    fractions = None
+    if df.columns and f"z::{df.columns[0]}" in row:
+        fractions = {c: (row[f"z::{c}"] / rows if rows else None) for c in df.columns}
+    return TypesFit(dtypes, semantic, formats, ratios, fractions)
 
 
 def semantic_types(df: DataFrame, method: str = "exact") -> DataFrame:   # C2-C5

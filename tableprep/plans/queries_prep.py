@@ -274,7 +274,9 @@ def d3_plan(spark, sf):
 
 def _filled_items(spark, sf, overrides, constant=0):
     df = m_items(spark, sf)
-    fit = IM.fit_impute(df, TY.fit_types(df).semantic, overrides=overrides, constant=constant)
+    types = TY.fit_types(df)       # its pass also yields the NULL shares
+    fit = IM.fit_impute(df, types.semantic, overrides=overrides, constant=constant,
+                        fractions=types.null_fractions)
     return IM.apply_impute(df, fit)
 
 
