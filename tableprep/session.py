@@ -78,7 +78,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table ``name``; the same DataFrame is returned for repeated reads
     in one application (its split check runs once)."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 -- sessions without a local SparkContext (Spark Connect)
+        return spark.read.parquet(path)
+    key = (app, path)
     if key not in _TABLES:
         _TABLES[key] = ensure_parallel(spark.read.parquet(path))
     return _TABLES[key]
@@ -93,8 +97,11 @@ def ensure_parallel(df: DataFrame) -> DataFrame:
     also kept in memory/disk so repeated fits do not re-decode it.  A large
     table already has at least as many splits as cores and is returned
     untouched: no shuffle and no cache are added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD access (Spark Connect): leave the scan as is
+        return df
     if n >= cores:
         return df
     spread = df.repartition(cores)
