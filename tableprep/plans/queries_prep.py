@@ -166,13 +166,6 @@ def _duck_dt_any(c):
     return " OR ".join(parts)
 
 
-def _duck_dt_fmt(c):
-    whens = " ".join(
-        f"WHEN count({c}) = count(CASE WHEN regexp_matches({c}, '{s}') THEN try_strptime({c}, '{f}') END) THEN '{f}'"
-        for f, s in zip(_DUCK_FORMATS, _DUCK_SHAPES))
-    return f"CASE {whens} END"
-
-
 _SEM = (per_column("SELECT '{c}' AS \"column\", CASE WHEN count(DISTINCT {c}) / greatest(count(*), 1) > 0.95 "
                    "THEN 'id' ELSE 'numeric' END AS semantic FROM m_items", ITEM_NUMERIC)
         + "\nUNION ALL\n"
