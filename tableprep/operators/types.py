@@ -140,7 +140,7 @@ def fit_types(df: DataFrame, method: str = "auto", probes: dict | None = None) -
     return TypesFit(dtypes, semantic, formats, ratios, fractions)
 
 
-def semantic_types(df: DataFrame, method: str = "exact") -> DataFrame:   # C2-C5
+def semantic_types(df: DataFrame, method: str = "auto") -> DataFrame:   # C2-C5
     fit = fit_types(df, method)
     return df.sparkSession.createDataFrame(
         [(c, fit.dtypes[c], fit.semantic[c]) for c in df.columns], "column string, dtype string, semantic string")

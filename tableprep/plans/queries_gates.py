@@ -29,7 +29,7 @@ def _sel(rule, column, observed, limit, fired, src):
 
 
 def _semantic(spark, sf):
-    return TY.semantic_types(m_items(spark, sf), "exact").select("column", "semantic")
+    return TY.semantic_types(m_items(spark, sf)).select("column", "semantic")
 
 
 @query("j1_sparse_share", _sel("J1", "NULL", "o", 0.3, "o > 0.3",
@@ -291,7 +291,7 @@ def j21(spark, sf):
     f"FROM ({_SEM}))"), ("m_items",))
 def j22(spark, sf):
     df = m_items(spark, sf)
-    fit = TY.fit_types(df, "exact")
+    fit = TY.fit_types(df)
     _, log = FE.engineer(TY.apply_types(df, fit), fit.semantic)
     per = {}
     for line in log:

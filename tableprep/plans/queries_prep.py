@@ -177,7 +177,7 @@ _SEM = (per_column("SELECT '{c}' AS \"column\", CASE WHEN count(DISTINCT {c}) /
 
 @query("c2_c5_semantic", f"SELECT \"column\", semantic FROM ({_SEM})", ("m_items",))
 def c2_c5_semantic(spark, sf):
-    return TY.semantic_types(m_items(spark, sf), "exact").select("column", "semantic")
+    return TY.semantic_types(m_items(spark, sf)).select("column", "semantic")
 
 
 @query("c6_cast", "SELECT item_id, CAST(strptime(ship_date, '%Y-%m-%d') AS TIMESTAMP) AS ship_date FROM m_items",
@@ -206,7 +206,7 @@ FROM ({_SEM})
 @query("c9_typemap", _TYPEMAP, ("m_items",))
 def c9_typemap(spark, sf):
     df = m_items(spark, sf)
-    fit = TY.fit_types(df, "exact")
+    fit = TY.fit_types(df)
     logs = dict(TY.cast_log(fit))
     return spark.createDataFrame([(c, fit.semantic[c], logs.get(c)) for c in df.columns],
                                  "column string, semantic string, cast_log string")
@@ -221,7 +221,7 @@ FROM ({_SEM}) s LEFT JOIN ({_PCT}) p ON s."column" = p."column"
 @query("b11_cards", _CARDS, ("m_items",))
 def b11_cards(spark, sf):
     df = m_items(spark, sf)
-    types = TY.semantic_types(df, "exact")
+    types = TY.semantic_types(df)
     return P.column_cards(types, df)
 
 
@@ -261,7 +261,7 @@ FROM ({_FRAC}) f JOIN ({_SEM}) s ON f."column" = s."column"
 @query("d3_plan", _PLAN, ("m_items",))
 def d3_plan(spark, sf):
     df = m_items(spark, sf)
-    fit = IM.fit_impute(df, TY.fit_types(df, "exact").semantic)
+    fit = IM.fit_impute(df, TY.fit_types(df).semantic)
     return spark.createDataFrame([(c, a.action) for c, a in fit.actions.items()], "column string, strategy string")
 
 
@@ -333,7 +333,7 @@ FROM ({_FRAC}) f JOIN ({_SEM}) s ON f."column" = s."column"
 @query("d9_log", _LOG, ("m_items",))
 def d9_log(spark, sf):
     df = m_items(spark, sf)
-    fit = IM.fit_impute(df, TY.fit_types(df, "exact").semantic)
+    fit = IM.fit_impute(df, TY.fit_types(df).semantic)
     return spark.createDataFrame(IM.strategy_log(fit), "column string, log string")
 
 
@@ -505,7 +505,7 @@ SELECT CASE WHEN semantic = 'datetime' THEN "column" || ': datetime decomposed 
 FROM ({_SEM}) WHERE semantic IN ('datetime', 'categorical')""", ("m_items",))
 def f6_featlog(spark, sf):
     df = m_items(spark, sf)
-    fit = TY.fit_types(df, "exact")
+    fit = TY.fit_types(df)
     _, log = FE.engineer(TY.apply_types(df, fit), fit.semantic)
     return spark.createDataFrame([(x,) for x in log], "line string")
 
@@ -662,6 +662,6 @@ UNION ALL
 SELECT "column", 'unfilled', 'Column {{col_name}} sample values: {{sample_values}}' FROM ({_SEM})""", ("m_items",))
 def i5_render(spark, sf):
     df = m_items(spark, sf)
-    cards = P.column_cards(TY.semantic_types(df, "exact"), df).select(
+    cards = P.column_cards(TY.semantic_types(df), df).select(
         F.col("column").alias("col_name"), F.col("semantic").alias("col_type"), F.col("null_pct").alias("missing_pct"))
     return render(cards, _TEMPLATES, keep=["col_name"])
