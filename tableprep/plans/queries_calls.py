@@ -318,5 +318,4 @@ PIVOT (SELECT run_id, agent_name FROM m_calls WHERE run_id = 'run_0') ON agent_n
        ("m_calls",))
 def a11_bundle(spark, sf):
     rep = m_calls(spark, sf).select("run_id", F.col("agent_name").alias("stage"))
-    stages = [r[0] for r in rep.select("stage").distinct().orderBy("stage").limit(1001).collect()]
-    return ST.run_bundle(rep, "run_0", stages)
+    return ST.run_bundle(rep, "run_0")

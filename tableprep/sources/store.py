@@ -85,7 +85,11 @@ def list_runs(ledger: DataFrame) -> DataFrame:                          # A10
             .orderBy(F.col("last_at").desc(), F.col("run_id")))
 
 
-def run_bundle(report: DataFrame, run_id: str, stages) -> DataFrame:    # A11
-    """All stage reports of one run side by side: metric rows per stage."""
-    return (report.where(F.col("run_id") == run_id)
-            .groupBy("run_id").pivot("stage", list(stages)).agg(F.count(F.lit(1))))
+def run_bundle(report: DataFrame, run_id: str, stages=None) -> DataFrame:    # A11
+    """All stage reports of one run side by side: metric rows per stage.
+
+    Without ``stages`` Spark finds the stage names itself (and refuses more
+    than ``spark.sql.pivotMaxValues`` of them rather than dropping any)."""
+    g = report.where(F.col("run_id") == run_id).groupBy("run_id")
+    p = g.pivot("stage", list(stages)) if stages is not None else g.pivot("stage")
+    return p.agg(F.count(F.lit(1)))
