@@ -80,8 +80,9 @@ def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: floa
     of the same rows, saving a scan."""
     semantic = semantic or {}
     if isinstance(overrides, DataFrame):       # advice table (column, strategy), one row per column
-        rows = overrides.select("column", "strategy").take(len(df.columns) + 1)
-        overrides = {r["column"]: r["strategy"] for r in rows if r["column"] in df.columns}
+        rows = (overrides.where(F.col("column").isin(list(df.columns)))
+                .groupBy("column").agg(F.max("strategy").alias("strategy")).collect())   # <= one per column
+        overrides = {r["column"]: r["strategy"] for r in rows}
     fams = families(df)
     fr = dict(fractions) if fractions is not None else \
         {r["column"]: r["null_fraction"] for r in null_fractions(df).collect()}
