@@ -81,7 +81,8 @@ def duplicate_rows(df: DataFrame, method: str = "fingerprint", rows: int | None
     third of the table collapses inside each task before any shuffle."""
     keys = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     if method == "auto":
-        method = "group" if rows is not None and rows * max(len(keys), 1) <= DIRECT_DEDUP_CELLS else "fingerprint"
+        rows = df.count() if rows is None else rows          # a column-free scan
+        method = "group" if rows * max(len(keys), 1) <= DIRECT_DEDUP_CELLS else "fingerprint"
     if method == "group" or not keys:
         groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))

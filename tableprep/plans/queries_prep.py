@@ -42,7 +42,7 @@ _DUPS = ("SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM
 
 @query("b3_dups", _DUPS, ("m_items",))
 def b3_dups(spark, sf):
-    return P.duplicate_rows(m_items(spark, sf))
+    return P.duplicate_rows(m_items(spark, sf), "auto")
 
 
 _ZERO = per_column(
