@@ -71,9 +71,29 @@ def _pair_struct(a: str, b: str, ma: float, mb: float):
     return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
 
 
-def _pairwise_table(df: DataFrame, cols, means: dict) -> DataFrame:
-    structs = [_pair_struct(cols[i], cols[j], means[cols[i]], means[cols[j]])
-               for j in range(len(cols)) for i in range(j)]
+def _clean_pair_struct(a: str, b: str, ma: float, mb: float):
+    """Pearson r for two NULL-free columns: the per-column sums are identical
+    expressions across pairs, so Spark computes them once; each pair adds one sum."""
+    za = col(a).cast("double") - F.lit(float(ma))
+    zb = col(b).cast("double") - F.lit(float(mb))
+    n = F.count(F.lit(1)).cast("double")
+    sa, sb = F.sum(za), F.sum(zb)
+    vaa = F.sum(za * za) - sa * sa / n
+    vbb = F.sum(zb * zb) - sb * sb / n
+    cab = F.sum(za * zb) - sa * sb / n
+    varies = (F.min(col(a)) < F.max(col(a))) & (F.min(col(b)) < F.max(col(b)))
+    r = F.when(varies & (vaa > 0) & (vbb > 0), cab / F.sqrt(vaa * vbb))
+    return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
+
+
+def _pairwise_table(df: DataFrame, cols, means: dict, nulls: dict | None = None) -> DataFrame:
+    nulls = nulls or {}
+
+    def pair(a, b):
+        if nulls.get(a) == 0 and nulls.get(b) == 0:
+            return _clean_pair_struct(a, b, means[a], means[b])
+        return _pair_struct(a, b, means[a], means[b])
+    structs = [pair(cols[i], cols[j]) for j in range(len(cols)) for i in range(j)]
     if not structs:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
     return df.agg(F.array(*structs).alias("p")).select(F.inline("p"))
@@ -87,9 +107,11 @@ def correlation_table(df: DataFrame, cols=None) -> DataFrame:
     cols = numeric_columns(df) if cols is None else list(cols)
     if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    row = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                 *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     means = {c: (row[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
-    return _pairwise_table(df, cols, means)
+    nulls = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    return _pairwise_table(df, cols, means, nulls)
 
 
 def high_corr_drops(pairs, threshold=CORRELATION_THRESHOLD) -> list[str]:            # G3
