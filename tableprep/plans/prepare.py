@@ -71,7 +71,8 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
     while the ~20 fit aggregates scan it (lost blocks are recomputed from
     lineage); it is released before returning."""
     spark = df.sparkSession
-    if persist:
+    owned = persist and not df.is_cached        # never release a cache the caller made
+    if owned:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     run_id = run_id or f"run_{uuid.uuid4().hex[:8]}"
     store = store or RunStore(spark)
@@ -202,7 +203,7 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         store.add_report(run_id, "gates", [(c, f"{g}:{'fired' if f else 'ok'}", o) for g, c, o, _, f in res.gates],
                          label="gate_report")
     stage("validate", _validate)
-    if persist:
+    if owned:
         df.unpersist()
     res.df = cur
     return res
