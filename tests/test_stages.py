@@ -177,3 +177,14 @@ def test_one_pass_selection_matches_two_pass(spark):
     one = SE.fit_select(df, "y", centers={"a": 1e9 + 150000.0})
     assert (one.low_variance, one.high_correlation, one.kept) == (two.low_variance, two.high_correlation, two.kept)
     assert one.high_correlation == ["b"] and "k" in one.low_variance
+
+
+def test_sample_values_mixed_types(spark):
+    import datetime as dt
+    rows = [(3, "b", True, dt.datetime(2024, 1, 2)), (1, "a", False, dt.datetime(2024, 1, 1)),
+            (1, None, None, None), (2, "c", True, dt.datetime(2024, 1, 3))]
+    df = spark.createDataFrame(rows, "n long, s string, b boolean, t timestamp_ntz")
+    got = {(r["column"], r["rank"]): r["value"] for r in PR.sample_values(df, 2).collect()}
+    assert got == {("n", 1): "1.0", ("n", 2): "2.0", ("s", 1): "a", ("s", 2): "b",
+                   ("b", 1): "false", ("b", 2): "true",
+                   ("t", 1): "2024-01-01 00:00:00", ("t", 2): "2024-01-02 00:00:00"}
