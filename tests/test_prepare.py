@@ -146,3 +146,12 @@ def test_prepare_reports_contract_gates(spark, items):
     j4 = next(g for g in res.gates if g[0] == "J4")
     assert j4[4] is True                       # mystery is 85 % null > 40 %
     assert res.report().where("stage = 'gates'").count() == len(res.gates)
+
+
+def test_gates_route_residual_nulls_to_missing(spark):
+    rows = [(float(i), None if i % 4 == 0 else i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, y long")
+    res = prepare(df, target="y", persist=False)     # the protected target keeps its NULLs
+    j20 = next(g for g in res.gates if g[0] == "J20")
+    assert j20[1] == "missing" and j20[4] is True
+    assert res.status == "PASSED WITH WARNINGS"
