@@ -155,3 +155,15 @@ def test_gates_route_residual_nulls_to_missing(spark):
     j20 = next(g for g in res.gates if g[0] == "J20")
     assert j20[1] == "missing" and j20[4] is True
     assert res.status == "PASSED WITH WARNINGS"
+
+
+def test_stream_file_sink_with_checkpoint(spark, items):
+    from tableprep.streaming.apply import start
+    res = prepare(items, target="target", persist=False)
+    d = tempfile.mkdtemp(prefix="tp-sink-")
+    items.write.mode("overwrite").parquet(os.path.join(d, "in"))
+    stream = spark.readStream.schema(items.schema).parquet(os.path.join(d, "in"))
+    q = start(stream, res.fits, os.path.join(d, "out"), os.path.join(d, "ckpt"))
+    q.awaitTermination(120)
+    out = spark.read.parquet(os.path.join(d, "out"))
+    assert out.count() == items.count() and out.columns == res.df.columns
