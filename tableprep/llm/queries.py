@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from . import decontaminate, html_extract, secret_scan
+from . import decontaminate, html_extract, quality, secret_scan
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -31,3 +31,31 @@ def op5_benchmark_decontamination(spark, sf_dir):
     """Benchmark windows in every document."""
     return decontaminate.digest(decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@_query
+def op9_quality_rules(spark, sf_dir):
+    """Measures and verdict of every document."""
+    return quality.digest_columns(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+ORACLES["op9_quality_rules"] = r"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, [x FOR x IN regexp_split_to_array(text, '[ \x09-\x0D]+') IF x <> ''] AS words,
+             [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^ \x09-\x0D]')] AS lines FROM t),
+g AS (SELECT r, i, list_slice(words, i, i + 2) AS k
+      FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) >= 3)),
+d AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM g) WHERE n > 1),
+c AS (SELECT r, count(DISTINCT i + j) AS n FROM d, (SELECT unnest([0, 1, 2]) AS j) GROUP BY r),
+m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+             (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+             len(lines)::BIGINT AS n_lines,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             coalesce(c.n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN c USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 20 * n_words
+            OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+FROM m
+"""
