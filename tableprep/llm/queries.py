@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from . import decontaminate, html_extract, quality, secret_scan
+from . import decontaminate, html_extract, quality, secret_scan, simhash
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -59,3 +59,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
 FROM m
 """
+
+
+@_query
+def op10_simhash_near_dedup(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
