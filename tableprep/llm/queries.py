@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from . import decontaminate, html_extract, quality, secret_scan, simhash
+from . import decontaminate, html_extract, packing, quality, secret_scan, simhash
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -65,3 +65,9 @@ FROM m
 def op10_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_best_fit_packing(spark, sf_dir):
+    """Every piece of every document in its sequence."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
