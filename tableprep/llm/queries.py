@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from . import decontaminate, html_extract, packing, quality, secret_scan, simhash
+from . import decontaminate, html_extract, packing, quality, secret_scan, sharding, simhash
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -71,3 +71,9 @@ def op10_simhash_near_dedup(spark, sf_dir):
 def op4_best_fit_packing(spark, sf_dir):
     """Every piece of every document in its sequence."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_sharding(spark, sf_dir):
+    """Shard and slot of every document."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
