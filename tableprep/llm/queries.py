@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from . import decontaminate, html_extract, packing, quality, secret_scan, sharding, simhash
+from . import decontaminate, html_extract, packing, quality, secret_scan, sharding, simhash, toxicity
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -77,3 +77,9 @@ def op4_best_fit_packing(spark, sf_dir):
 def op7_sharding(spark, sf_dir):
     """Shard and slot of every document."""
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
