@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from . import decontaminate, html_extract, packing, quality, secret_scan, sharding, simhash, toxicity
+from . import decontaminate, html_extract, langid, packing, quality, secret_scan, sharding, simhash, toxicity
 from .common import table
 
 QUERIES, ORACLES = {}, {}
@@ -83,3 +83,9 @@ def op7_sharding(spark, sf_dir):
 def op8_toxicity(spark, sf_dir):
     """Toxicity score of every document."""
     return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op6_language_id(spark, sf_dir):
+    """Language of every document."""
+    return langid.held_out_predictions(table(spark, sf_dir, "documents"))
