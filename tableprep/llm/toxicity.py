@@ -107,7 +107,9 @@ def candidate_features(sample: DataFrame, prior: float, features: int, least: in
     """Features most over-represented among positives (z-score of document shares).
 
     ``pi * p / u`` estimates how many of the documents that show a feature are
-    toxic; features below ``precision`` are left out.
+    toxic; features below ``precision`` are left out, and so is a beginning of
+    which a longer feature covers at least 85 % of the positives: the longer
+    one says as much about fewer clean words.
     """
     def make():
         counts: dict[str, list[int]] = {}
@@ -129,7 +131,14 @@ def candidate_features(sample: DataFrame, prior: float, features: int, least: in
         F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= least)
     p, u = F.col("p") / n_p, (F.col("u") + 0.5) / (n_u + 1)
     z = (p - u) / F.sqrt(u * (1 - u) / n_p)
-    return [r[0] for r in df.withColumn("z", z).where((F.col("z") > 3) & (prior * p >= precision * u)).orderBy(F.desc("z"), "feature").limit(features).collect()]
+    rows = (df.withColumn("z", z).where((F.col("z") > 3) & (prior * p >= precision * u))
+            .orderBy(F.desc("z"), "feature").limit(8 * features).select("feature", F.col("p").alias("n")).collect())
+    most: dict[str, int] = {}                               # positives of the best longer feature
+    for r in rows:
+        for k in PREFIXES:
+            if k < len(r["feature"]):
+                most[r["feature"][:k]] = max(most.get(r["feature"][:k], 0), r["n"])
+    return [r["feature"] for r in rows if most.get(r["feature"], 0) < 0.85 * r["n"]][:features]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
