@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 
-from . import decontaminate, html_extract, langid, packing, quality, secret_scan, sharding, simhash, toxicity
-from .common import table
+from . import decontaminate, hmm_lm, html_extract, langid, packing, quality, secret_scan, sharding, simhash, toxicity
+from .common import id_remainder, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -89,3 +89,9 @@ def op8_toxicity(spark, sf_dir):
 def op6_language_id(spark, sf_dir):
     """Language of every document."""
     return langid.held_out_predictions(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_lm_scoring(spark, sf_dir):
+    """Unigram and hidden-Markov score of every document."""
+    return hmm_lm.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) != 2)
