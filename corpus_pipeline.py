@@ -7,16 +7,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableprep.llm import decontaminate, secret_scan
+from tableprep.llm import decontaminate, packing, quality, secret_scan, simhash
 from tableprep.llm.common import table
 from tableprep.session import ensure_checkpoint_dir
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a rule of the cascade rejects go."""
+    return quality.cascade(docs).where("rejected_by IS NULL").select(*docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component stays: the one with the smallest id."""
+    return simhash.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
-    names = docs.columns
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=names)
-    return found.where("size(spans) = 0").select(*names)
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
+    return found.where("size(spans) = 0").select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,21 +33,31 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secret_scan.redact_secrets(docs)
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
+    ("quality rules", quality_rules),
+    ("simhash near-dedup", simhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("secret scans", secret_scans),
+    ("best-fit packing", best_fit_packing),
 ]
 
-#: packing calls a tokenizer and the near-duplicate stage a hash that SQL lacks
+#: packing needs a tokenizer and the near-duplicate stage XXH64 and components, which SQL cannot express
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage's rows are written as Parquet and read again."""
+    """All stages over ``documents``; the rows of all but the last are written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
     root = os.path.join(ensure_checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
     for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(os.path.join(root, str(k)))
-        docs = spark.read.schema(out.schema).parquet(os.path.join(root, str(k)))
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            path = os.path.join(root, str(k))
+            docs.write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
     return docs

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from .common import WORD_SPACE, cut
 
 _WHITE = " \t\n\x0b\x0c\r"
-_WORDS, _LINES = "__words", "__lines"
 
 
 def _window_bits(n: Column) -> Column:
@@ -64,21 +63,33 @@ def repeated_words(words: Column) -> Column:
     return F.when(n >= 4, one[0]).otherwise(F.lit(0).cast("long"))
 
 
-def _n_words() -> Column:
-    return F.size(F.col(_WORDS)).cast("long")
+def lines_with_words(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(_WHITE)) != "")
 
 
-#: measure -> expression over the text column, the words and the lines with a word
-MEASURES: dict[str, Callable[[Column], Column]] = {
-    "n_words": lambda text: _n_words(),
-    "word_chars": lambda text: F.char_length(F.array_join(_WORDS, "")).cast("long"),
-    "n_symbols": lambda text: F.char_length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long"),
-    "n_lines": lambda text: F.size(_LINES).cast("long"),
-    "n_dup_lines": lambda text: (F.size(_LINES) - F.size(F.array_distinct(_LINES))).cast("long"),
-    "n_repeat_words": lambda text: repeated_words(F.col(_WORDS)),
+def _dup_lines(text: Column) -> Column:
+    return F.transform(F.array(lines_with_words(text)), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0]
+
+
+#: measure -> expression over the text and its words
+MEASURES: dict[str, Callable[[Column, Column], Column]] = {
+    "n_words": lambda text, words: F.size(words).cast("long"),
+    "word_chars": lambda text, words: F.char_length(F.array_join(words, "")).cast("long"),
+    "n_symbols": lambda text, words: F.char_length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long"),
+    "n_lines": lambda text, words: F.size(lines_with_words(text)).cast("long"),
+    "n_dup_lines": lambda text, words: _dup_lines(text).cast("long"),
+    "n_repeat_words": lambda text, words: repeated_words(words),
 }
 
 
+def with_words(text_col: str, result: Callable[[Column, Column], Column]) -> Column:
+    """``result(text, words)`` of a text column; the words are split once and bound, wherever the optimizer moves this."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    trimmed = F.btrim(text, F.lit(_WHITE))
+    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_SPACE))
+    return F.transform(F.array(F.struct(text.alias("t"), words.alias("w"))), lambda s: result(s["t"], s["w"]))[0]
+
+
 @dataclass(frozen=True)
 class Rule:
     """``rejects(measures)`` is true where the row goes; ``needs`` are the measures it reads besides ``n_words``."""
@@ -86,6 +97,9 @@ class Rule:
     needs: tuple[str, ...]
     rejects: Callable[[dict[str, Column]], Column]
 
+    def test(self, text: Column, words: Column) -> Column:
+        return self.rejects({m: MEASURES[m](text, words) for m in ("n_words", *self.needs)})
+
 
 #: the contract's base rules, then those of this operator
 RULES = (
@@ -99,19 +113,10 @@ RULES = (
 BASE_RULES = ("words", "repeats")
 
 
-def split_text(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds the words and the lines with a word."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    trimmed = F.btrim(text, F.lit(_WHITE))
-    return df.withColumns({
-        _WORDS: F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_SPACE)),
-        _LINES: F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(_WHITE)) != "")})
-
-
-def measure(docs: DataFrame, text_col: str = "text", names=tuple(MEASURES)) -> DataFrame:
-    """``docs`` with the measures ``names`` of every row, no rule applied."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return split_text(docs, text_col).withColumns({m: MEASURES[m](text) for m in names}).drop(_WORDS, _LINES)
+def measure(docs: DataFrame, text_col: str = "text", names=tuple(MEASURES), as_col: str = "measures") -> DataFrame:
+    """``docs`` with a struct of the measures ``names`` of every row, no rule applied."""
+    return docs.withColumn(as_col, with_words(
+        text_col, lambda text, words: F.struct(*[MEASURES[m](text, words).alias(m) for m in names])))
 
 
 def estimate(docs: DataFrame, text_col: str = "text", rules=RULES, sample_rows: int = 2000,
@@ -121,17 +126,15 @@ def estimate(docs: DataFrame, text_col: str = "text", rules=RULES, sample_rows:
     fraction = min(1.0, sample_rows / max(total, 1))
     sample = cut(docs.select(F.col(text_col).alias("text")).sample(fraction=fraction, seed=seed).repartition(1))
 
-    def seconds(*aggregates):
+    def seconds(test):
         began = time.perf_counter()
-        row = split_text(sample).agg(*aggregates).first()
+        row = sample.agg(F.count_if(with_words("text", test)), F.count(F.lit(1))).first()
         return time.perf_counter() - began, row
 
-    text = F.coalesce(F.col("text"), F.lit(""))
-    plain, _ = seconds(F.count(F.lit(1)), F.sum(F.size(_WORDS)), F.sum(F.size(_LINES)))
+    plain, _ = seconds(lambda text, words: F.size(words) < 0)
     found = []
     for r in rules:
-        m = {name: MEASURES[name](text) for name in ("n_words", *r.needs)}
-        spent, row = seconds(F.count_if(r.rejects(m)), F.count(F.lit(1)))
+        spent, row = seconds(lambda text, words, r=r: r.test(text, words))
         found.append((r.name, max(spent - plain, 1e-3), row[0] / row[1] if row[1] else 0.0))
     return found
 
@@ -150,16 +153,11 @@ def cascade(docs: DataFrame, text_col: str = "text", rules=RULES, order: list[st
     """
     order = order or cascade_order(estimate(docs, text_col, rules, sample_rows))
     by_name = {r.name: r for r in rules}
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    df = split_text(docs, text_col).withColumn("rejected_by", F.lit(None).cast("string"))
-    for name in order:
-        r = by_name[name]
-        alive = F.col("rejected_by").isNull()
-        df = df.withColumns({f"__{m}": F.when(alive, MEASURES[m](text)) for m in r.needs})
-        m = {"n_words": _n_words(), **{x: F.col(f"__{x}") for x in r.needs}}
-        df = df.withColumn("rejected_by", F.when(alive & r.rejects(m), F.lit(name)).otherwise(F.col("rejected_by")))
-        df = df.drop(*[f"__{x}" for x in r.needs])
-    return df.drop(_WORDS, _LINES)
+
+    def first(text, words):
+        return F.coalesce(*[F.when(by_name[n].test(text, words), F.lit(n)) for n in order])
+
+    return docs.withColumn("rejected_by", with_words(text_col, first))
 
 
 def digest_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 2000) -> DataFrame:
@@ -169,7 +167,7 @@ def digest_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cascade's tests read the measured columns in the estimated order.
     """
     order = cascade_order(estimate(docs, text_col, RULES, sample_rows))
-    df = measure(docs.select(F.col(id_col), F.col(text_col)), text_col)
+    df = measure(docs.select(F.col(id_col), F.col(text_col)), text_col).select(id_col, "measures.*")
     m = {name: F.col(name) for name in MEASURES}
     by_name = {r.name: r for r in RULES}
     first = F.coalesce(*[F.when(by_name[n].rejects(m), F.lit(n)) for n in order])
