@@ -16,6 +16,7 @@ for one (repeated rows are packed each); an empty table gives no pieces.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 
@@ -48,7 +49,7 @@ class ChunkEncoder:
     #: characters whose lower-case and composed forms do not depend on their neighbours
     PLAIN = regex.compile(r"[\x21-\x7e\xa1-įı-ſ]+")
 
-    def __init__(self, path: str, entries: int = 400_000):
+    def __init__(self, path: str, entries: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -115,6 +116,12 @@ class ChunkEncoder:
         return [b"".join(map(known, r)) for r in rows]
 
 
+@functools.cache
+def encoder(path: str) -> ChunkEncoder:
+    """One encoder per worker process; its cache serves all tasks that the process runs."""
+    return ChunkEncoder(path)
+
+
 def tokenizer_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -129,11 +136,11 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def make():
-        encoder = ChunkEncoder(vocabulary or tokenizer_path())
+        known = encoder(vocabulary or tokenizer_path())
 
         def f(ids, texts):
             out = [[] for _ in schema]
-            for i, raw in zip(ids, encoder.encode(texts)):
+            for i, raw in zip(ids, known.encode(texts)):
                 raw += end
                 for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at:at + 4 * capacity]
