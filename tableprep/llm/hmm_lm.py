@@ -193,7 +193,7 @@ def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.nd
 
     got = map_slices(rows, make, "slot int, v double", ROWS).groupBy("slot").agg(F.sum("v").alias("v")).toPandas()
     total = np.zeros(c + n)
-    total[got["slot"].to_numpy()] = got["v"].to_numpy()
+    total[got["slot"].to_numpy(np.int64)] = got["v"].to_numpy(float)
     emit = total[b:c].reshape(model.classes, states)
     return (reestimate(model, total[:a], total[a:b].reshape(states, states), emit),
             np.rint(total[c:]).astype(np.int64), np.rint(emit.sum(axis=1)).astype(np.int64))

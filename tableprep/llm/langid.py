@@ -118,10 +118,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", in_trai
     got = count_ngrams(rows, text_col, lang_col).toPandas()
     langs = sorted(got["lang"].unique())
     grams, scripts = np.zeros((BUCKETS, len(langs))), np.zeros((len(NAMES), len(langs)))
-    at = got["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
+    at = got["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(np.int64)
     for kind, t in enumerate((grams, scripts)):
         pick = (got["kind"] == kind).to_numpy()
-        t[got["slot"].to_numpy()[pick], at[pick]] = got["n"].to_numpy()[pick]
+        t[got["slot"].to_numpy(np.int64)[pick], at[pick]] = got["n"].to_numpy(float)[pick]
     used = max(1, int((grams.sum(axis=1) > 0).sum()))
     table = np.log((grams + smoothing) / (grams.sum(axis=0) + smoothing * used))
     share = scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1)
