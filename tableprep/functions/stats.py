@@ -15,27 +15,73 @@ Design points (see README, "Scale"):
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .columns import DATETIME, NUMERIC, col, family
+from .columns import col, q
 
-LONG_SCHEMA = "column string, num double, str string"
+LONG_SCHEMA = "column string, lng bigint, num double, str string"
+SLOTS = ("lng", "num", "str")
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
-def _long_struct(name: str, dt: T.DataType) -> Column:
-    fam = family(dt)
-    c = col(name)
-    if fam == NUMERIC:
-        num, s = c.cast("double"), F.lit(None).cast("string")
-    elif fam == DATETIME:
-        num, s = F.lit(None).cast("double"), F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+def typed_value(f: T.StructField) -> Column:
+    """``struct(lng, num, str)`` with the exact value in its type's slot, NULL for NULL.
+
+    Integers, dates (days) and times (microseconds) are longs, floats are
+    doubles, decimals keep their text beside a double that only orders them,
+    everything else is text.  Struct order is value order.
+    """
+    c, dt = col(f.name), f.dataType
+    lng, num, s = (F.lit(None).cast(t) for t in ("bigint", "double", "string"))
+    if isinstance(dt, T.IntegralType):
+        lng = c.cast("bigint")
+    elif isinstance(dt, T.DecimalType):
+        num, s = c.cast("double"), c.cast("string")
+    elif isinstance(dt, T.NumericType):
+        num = c.cast("double")
+    elif isinstance(dt, T.DateType):
+        lng = F.unix_date(c).cast("bigint")
+    elif isinstance(dt, T.TimestampType):
+        lng = F.unix_micros(c)
+    elif isinstance(dt, T.TimestampNTZType):
+        lng = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, {q(f.name)})")
     else:
-        num, s = F.lit(None).cast("double"), c.cast("string")
-    return F.struct(F.lit(name).alias("column"), num.alias("num"), s.alias("str"))
+        s = c.cast("string")
+    return F.when(c.isNotNull(), F.struct(lng.alias("lng"), num.alias("num"), s.alias("str")))
+
+
+def value_text(f: T.StructField) -> Column:
+    """Text of a typed value of column ``f`` (numbers as doubles are written)."""
+    dt = f.dataType
+    if isinstance(dt, T.NumericType):
+        return F.coalesce(F.col("str"), F.col("num").cast("string"), F.col("lng").cast("double").cast("string"))
+    if isinstance(dt, T.DateType):
+        return F.date_from_unix_date(F.col("lng").cast("int")).cast("string")
+    if isinstance(dt, T.TimestampType):
+        return F.timestamp_micros("lng").cast("string")
+    if isinstance(dt, T.TimestampNTZType):
+        return F.expr(f"CAST(timestampadd(MICROSECOND, lng, {_EPOCH}) AS STRING)")
+    return F.col("str")
+
+
+def python_value(dt: T.DataType, value):
+    """The driver-side value of a typed struct (``lng``, ``num``, ``str``)."""
+    if value is None:
+        return None
+    if isinstance(dt, T.DecimalType):
+        return decimal.Decimal(value["str"])
+    if isinstance(dt, T.DateType):
+        return datetime.date(1970, 1, 1) + datetime.timedelta(days=value["lng"])
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        zone = datetime.timezone.utc if isinstance(dt, T.TimestampType) else None
+        return datetime.datetime(1970, 1, 1, tzinfo=zone) + datetime.timedelta(microseconds=value["lng"])
+    return next((value[s] for s in SLOTS if value[s] is not None), None)
 
 
 def comparable_columns(df: DataFrame, cols=None) -> list[str]:
@@ -45,38 +91,37 @@ def comparable_columns(df: DataFrame, cols=None) -> list[str]:
 
 
 def long_values(df: DataFrame, cols=None) -> DataFrame:
-    """Unpivot to ``(column, num, str)`` keeping one typed slot per family.
+    """Unpivot to ``(column, lng, num, str)``, one exact slot per type.
 
-    Numbers keep numeric order in ``num``; everything else is ordered as text
-    in ``str``.  NULL cells are dropped here (they are neither values nor
-    distinct values in any consumer).
+    NULL cells are dropped here (they are neither values nor distinct values
+    in any consumer).
     """
-    fields = {f.name: f.dataType for f in df.schema.fields}
+    fields = {f.name: f for f in df.schema.fields}
     cols = comparable_columns(df, cols)
     if not cols:
         return df.sparkSession.createDataFrame([], LONG_SCHEMA)
-    arr = F.array(*[_long_struct(c, fields[c]) for c in cols])
-    return (df.select(F.inline(arr))
-            .where(F.col("num").isNotNull() | F.col("str").isNotNull()))
+    cells = [F.when(v.isNotNull(), F.struct(F.lit(c).alias("column"), *[v[s].alias(s) for s in SLOTS]))
+             for c, v in ((c, typed_value(fields[c])) for c in cols)]
+    return df.select(F.inline(F.array_compact(F.array(*cells))))
 
 
 def value_counts(df: DataFrame, cols=None) -> DataFrame:
-    """``(column, num, str, n)``: one row per distinct non-null value per column."""
-    return long_values(df, cols).groupBy("column", "num", "str").agg(F.count(F.lit(1)).alias("n"))
+    """``(column, lng, num, str, n)``: one row per distinct non-null value per column."""
+    return long_values(df, cols).groupBy("column", *SLOTS).agg(F.count(F.lit(1)).alias("n"))
 
 
 def value_summary(vc: DataFrame) -> DataFrame:
-    """Per column: distinct count, non-null count, top count and mode.
+    """Per column: distinct count, non-null count, top count and mode (a typed struct).
 
     Mode ties break to the smallest value (pandas ``mode()[0]``), using a
     ``min_by`` whose ordering key is ``(-n, value)`` -- a bounded aggregate.
     """
-    key = F.struct((-F.col("n")).alias("neg_n"), F.col("num"), F.col("str"))
+    key = F.struct((-F.col("n")).alias("neg_n"), *SLOTS)
     return vc.groupBy("column").agg(
         F.count(F.lit(1)).alias("n_distinct"),
         F.sum("n").alias("non_null"),
         F.max("n").alias("top_n"),
-        F.min_by(F.struct("num", "str"), key).alias("mode"),
+        F.min_by(F.struct(*SLOTS), key).alias("mode"),
     )
 
 
@@ -94,25 +139,22 @@ def _in_bracket(c: Column, lo, hi) -> Column:
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
-              accuracy: int = 10000, max_local: int = 5000, max_rounds: int = 6, _fuse: bool = True) -> dict:
+              accuracy: int = 10000, max_local: int = 5000) -> dict:
     """``{column: [q(p) for p in probs]}`` with linear interpolation (pandas/numpy
     default, Spark ``percentile``, DuckDB ``quantile_cont``).
 
     ``exact=False`` returns ``percentile_approx`` (one bounded sketch per
-    column).  ``exact=True`` refines rank brackets until each holds at most
-    ``max_local`` distinct values, then resolves the rank from those counts:
-
-    1. one aggregate: counts, HLL distinct estimates and a sketch bracket
-       ``[q(p - 2e), q(p + 2e)]`` per (column, p);
-    2. one aggregate: exact counts below / inside each bracket (this proves
-       the bracket holds the target ranks) and its distinct estimate;
-       a bracket still too wide is narrowed again with a sketch inside it;
-    3. one ``groupBy`` returning the (value, count) pairs inside the brackets.
-
-    When a sketch bracket is known to hold at most ``max_local`` rows (small
-    columns), step 2 is folded into step 3: the rows below the bracket are
-    counted by the same ``groupBy`` and the bracket is verified afterwards
-    (falling back to the full refinement if the sketch missed).
+    column).  ``exact=True`` narrows a bracket of values around each target
+    rank until it holds at most ``max_local`` distinct values (HLL estimate):
+
+    1. one aggregate proposes brackets: a sketch inside the present bracket,
+       or its middle where the sketch gave no narrower one;
+    2. one aggregate counts the rows below and inside each proposal exactly.
+       A proposal that provably holds the ranks is taken; one that does not
+       still tells on which side they are, so the bracket shrinks all the same.
+
+    Only then are the (value, count) pairs inside the proved brackets
+    collected.  No bracket is collected before its proof.
     """
     if not cols:
         return {}
@@ -122,101 +164,132 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool =
         return {c: (list(row[i]) if row[i] is not None else [None] * len(probs)) for i, c in enumerate(cols)}
 
     eps = 2.0 / accuracy
-    out = {c: [None] * len(probs) for c in cols}
     k = len(cols)
-    row = d.agg(*[F.count(f"c{i}") for i in range(k)],
-                *[F.approx_count_distinct(f"c{i}", 0.05) for i in range(k)],
-                *[F.percentile_approx(f"c{i}", [x for p in probs for x in (max(0.0, p - eps), min(1.0, p + eps))],
-                                      accuracy) for i in range(k)]).first()
-    tasks = []
+    row = d.agg(*[F.count(f"c{i}") for i in range(k)], *[F.approx_count_distinct(f"c{i}", 0.05) for i in range(k)],
+                *[F.min(f"c{i}") for i in range(k)], *[F.max(f"c{i}") for i in range(k)]).first()
+    tasks = {}                      # (column, rank) -> proved bracket of values
     for i in range(k):
-        n, nd, qs = row[i], row[k + i], row[2 * k + i]
-        if not n:
-            continue
-        for j, p in enumerate(probs):
-            h = (n - 1) * p
-            t = {"i": i, "j": j, "h": h, "klo": math.floor(h), "khi": math.ceil(h),
-                 "lo": None, "hi": None, "below": 0, "m": n, "nd": nd}
-            if nd * 1.2 > max_local:
-                t["cand"] = (qs[2 * j], qs[2 * j + 1])
-            tasks.append(t)
-    for t in tasks:
-        if _fuse and "cand" in t and 3 * eps * t["m"] <= max_local:
-            t["lo"], t["hi"] = t.pop("cand")
-            t["fused"] = True
-    for rnd in range(max_rounds):
-        narrow = [t for t in tasks if "cand" in t]
-        if not narrow:
-            break
-        exprs = []
-        for t in narrow:
-            c = F.col(f"c{t['i']}")
-            a, b = t["cand"]
-            inside = _in_bracket(c, t["lo"], t["hi"])
-            cand = inside & (c >= F.lit(a)) & (c <= F.lit(b))
-            exprs += [F.count_if(inside & (c < F.lit(a))), F.count_if(cand),
-                      F.approx_count_distinct(F.when(cand, c), 0.05)]
-        row = d.agg(*exprs).first()
-        again = []
-        for x, t in enumerate(narrow):
-            a, b = t.pop("cand")
-            below, m, nd = t["below"] + row[3 * x], row[3 * x + 1], row[3 * x + 2]
-            if below <= t["klo"] and t["khi"] < below + m and m < t["m"]:
-                t["lo"], t["hi"], t["below"], t["m"], t["nd"] = a, b, below, m, nd
-                if nd * 1.2 > max_local and rnd < max_rounds - 1:
-                    again.append(t)
-        if again:   # still wide: a sketch restricted to each bracket
-            exprs = []
-            for t in again:
-                c = F.col(f"c{t['i']}")
-                rlo = max(0.0, (t["klo"] - t["below"]) / t["m"] - eps)
-                rhi = min(1.0, (t["khi"] - t["below"] + 1) / t["m"] + eps)
-                exprs.append(F.percentile_approx(F.when(_in_bracket(c, t["lo"], t["hi"]), c), [rlo, rhi], accuracy))
-            row = d.agg(*exprs).first()
-            for x, t in enumerate(again):
-                t["cand"] = (row[x][0], row[x][1])
-    # bounded (value, count) pairs inside the final brackets (+ rows below a fused bracket)
-    structs = []
-    for x, t in enumerate(tasks):
-        c = F.col(f"c{t['i']}")
-        inside = F.struct(F.lit(x).alias("task"), F.lit(False).alias("below"), c.alias("v"))
-        e = F.when(_in_bracket(c, t["lo"], t["hi"]), inside)
-        if t.get("fused"):
-            e = e.when(c < F.lit(t["lo"]), F.struct(F.lit(x).alias("task"), F.lit(True).alias("below"),
-                                                     F.lit(None).cast("double").alias("v")))
-        structs.append(e)
-    if not structs:
-        return out
-    pairs = (d.select(F.inline(F.filter(F.array(*structs), lambda s: s.isNotNull())))
-              .groupBy("task", "below", "v").count().collect())
-    per, below = {}, {}
-    for r in pairs:
-        if r["below"]:
-            below[r["task"]] = r["count"]
-        else:
-            per.setdefault(r["task"], []).append((r["v"], r["count"]))
-    retry = set()
-    for x, t in enumerate(tasks):
-        if t.get("fused"):
-            t["below"] = below.get(x, 0)
-            m = sum(n for _, n in per.get(x, []))
-            if not (t["below"] <= t["klo"] and t["khi"] < t["below"] + m):
-                retry.add(t["i"])          # sketch missed: resolve this column the long way
+        for p in probs if row[i] else ():
+            h = (row[i] - 1) * p
+            for r in (math.floor(h), math.ceil(h)):
+                tasks[i, r] = {"c": F.col(f"c{i}"), "r": r, "below": 0, "m": row[i], "nd": row[k + i],
+                               "lo": row[2 * k + i], "hi": row[3 * k + i], "halve": False}
+    while wide := [t for t in tasks.values() if t["nd"] * 1.2 > max_local and t["lo"] < t["hi"]]:
+        _narrow(d, wide, eps, accuracy)
+    if not tasks:
+        return {c: [None] * len(probs) for c in cols}
+    inside = F.array(*[F.when(_in_bracket(t["c"], t["lo"], t["hi"]), F.struct(F.lit(x).alias("task"), t["c"].alias("v")))
+                       for x, t in enumerate(tasks.values())])
+    per: dict[int, list] = {}
+    for r in d.select(F.inline(F.array_compact(inside))).groupBy("task", "v").count().collect():
+        per.setdefault(r["task"], []).append((r["v"], r["count"]))
+    value = {key: _value_at(sorted(per[x]), t["r"] - t["below"]) for x, (key, t) in enumerate(tasks.items())}
+    out = {}
+    for i, c in enumerate(cols):
+        out[c] = []
+        for p in probs:
+            h = (row[i] - 1) * p
+            if not row[i]:
+                out[c].append(None)
                 continue
-    for x, t in enumerate(tasks):
-        if t["i"] in retry:
-            continue
-        vals = sorted(per.get(x, []))
-        vlo = _value_at(vals, t["klo"] - t["below"])
-        vhi = _value_at(vals, t["khi"] - t["below"])
-        frac = t["h"] - t["klo"]
-        out[cols[t["i"]]][t["j"]] = vlo + (vhi - vlo) * frac if frac else vlo
-    if retry:
-        names = [cols[i] for i in sorted(retry)]
-        out.update(quantiles(df, names, probs, True, accuracy, max_local, max_rounds, _fuse=False))
+            a, z = value[i, math.floor(h)], value[i, math.ceil(h)]
+            out[c].append(a + (z - a) * (h - math.floor(h)) if a != z else a)
     return out
 
 
+def _narrow(d: DataFrame, wide: list[dict], eps: float, accuracy: int) -> None:
+    """One round over all wide brackets: propose, count, shrink (each bracket keeps its rank, provably)."""
+    sketched = [t for t in wide if not t["halve"]]
+    if sketched:
+        row = d.agg(*[F.percentile_approx(
+            F.when(_in_bracket(t["c"], t["lo"], t["hi"]), t["c"]),
+            [max(0.0, (t["r"] - t["below"]) / t["m"] - eps), min(1.0, (t["r"] - t["below"] + 1) / t["m"] + eps)],
+            accuracy) for t in sketched]).first()
+        for t, (a, b) in zip(sketched, row):
+            t["cand"] = (a, b)
+    exprs = []
+    for t in wide:
+        if t["halve"]:
+            t["cand"] = (t["lo"], t["lo"] + (t["hi"] - t["lo"]) / 2)
+        c, (a, b) = t["c"], t["cand"]
+        inside = _in_bracket(c, t["lo"], t["hi"])
+        below, within, above = inside & (c < F.lit(a)), inside & (c >= F.lit(a)) & (c <= F.lit(b)), inside & (c > F.lit(b))
+        exprs += [F.count_if(below), F.count_if(within), F.max(F.when(below, c)), F.min(F.when(above, c))]
+        exprs += [F.approx_count_distinct(F.when(x, c), 0.05) for x in (below, within, above)]
+    row = d.agg(*exprs).first()
+    for x, t in enumerate(wide):
+        n_below, n_in, top_below, low_above, nd_below, nd_in, nd_above = row[7 * x:7 * x + 7]
+        (a, b), before = t.pop("cand"), (t["lo"], t["hi"])
+        first, last = t["below"] + n_below, t["below"] + n_below + n_in         # ranks inside the proposal
+        if first <= t["r"] < last:
+            t.update(lo=a, hi=b, below=first, m=n_in, nd=nd_in)
+        elif t["r"] < first:
+            t.update(hi=top_below, m=n_below, nd=nd_below)
+        else:
+            t.update(lo=low_above, below=last, m=t["m"] - n_below - n_in, nd=nd_above)
+        t["halve"] = t["halve"] or (t["lo"], t["hi"]) == before
+
+
+def group_quantile(df: DataFrame, group: str, value: str, p: float = 0.5, accuracy: int = 1000,
+                   max_rows: int = 200_000) -> DataFrame:
+    """``(group, q)``: exact quantile of every group, NULL group included, any number of groups.
+
+    A table of brackets, one row per group, is narrowed by sketches until no
+    bracket of distinct ends holds more than ``max_rows`` rows; every step
+    counts the rows below and inside exactly, and a bracket that misses its
+    ranks falls back to the side that holds them.  Rows are only compared with
+    their group's bracket, never gathered by group; the final ranking sees the
+    few (value, count) pairs inside the brackets.
+    """
+    from ..session import cut_lineage
+    d = df.select(col(group).alias("g"), col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    v, r = F.col("v"), F.col("r")
+    h = (F.col("n") - 1) * p
+    b = cut_lineage(
+        d.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .select(F.col("g").alias("bg"), h.alias("h"), "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("m"),
+                F.lit(False).alias("halve"), F.explode(F.array_distinct(F.array(F.floor(h), F.ceil(h)))).alias("r")))
+
+    def inside(brackets):
+        return d.join(brackets, F.col("g").eqNullSafe(F.col("bg"))).where(v.between(F.col("lo"), F.col("hi")))
+
+    def same(x, y):
+        return x["bg"].eqNullSafe(y["yg"]) & (x["r"] == y["yr"])
+
+    while b.where((F.col("m") > max_rows) & (F.col("lo") < F.col("hi"))).limit(1).count():
+        wide = (F.col("m") > max_rows) & (F.col("lo") < F.col("hi"))
+        grid = [i / accuracy for i in range(accuracy + 1)]
+        sketch = inside(b.where(wide)).groupBy("bg", "r").agg(F.percentile_approx("v", grid, accuracy * 4).alias("s")).select(
+            F.col("bg").alias("yg"), F.col("r").alias("yr"), "s")
+        at = F.floor((r - F.col("below")) / F.col("m") * accuracy).cast("int")
+        todo = b.where(wide)
+        prop = cut_lineage(todo.join(sketch, same(todo, sketch)).select(
+            *b.columns, F.when(F.col("halve"), F.col("lo")).otherwise(F.get("s", F.greatest(at - 1, F.lit(0)))).alias("a"),
+            F.when(F.col("halve"), F.col("lo") + (F.col("hi") - F.col("lo")) / 2)
+            .otherwise(F.get("s", F.least(at + 2, F.lit(accuracy)))).alias("z")))
+        low, mid, high = v < F.col("a"), v.between(F.col("a"), F.col("z")), v > F.col("z")
+        seen = inside(prop).groupBy("bg", "r").agg(
+            F.count_if(low).alias("nl"), F.count_if(mid).alias("ni"), F.max(F.when(low, v)).alias("tl"),
+            F.min(F.when(high, v)).alias("lh")).select(F.col("bg").alias("yg"), F.col("r").alias("yr"), "nl", "ni", "tl", "lh")
+        first = F.col("below") + F.col("nl")
+        last = first + F.col("ni")
+        left, right = r < first, r >= last
+        lo = F.when(left, F.col("lo")).when(right, F.col("lh")).otherwise(F.col("a"))
+        hi = F.when(left, F.col("tl")).when(right, F.col("hi")).otherwise(F.col("z"))
+        moved = prop.join(seen, same(prop, seen)).select(
+            "bg", "h", lo.alias("lo"), hi.alias("hi"),
+            F.when(left, F.col("below")).when(right, last).otherwise(first).alias("below"),
+            F.when(left, F.col("nl")).when(right, F.col("m") - F.col("nl") - F.col("ni")).otherwise(F.col("ni")).alias("m"),
+            (F.col("halve") | ((lo == F.col("lo")) & (hi == F.col("hi")))).alias("halve"), "r")
+        b = cut_lineage(b.where(~wide).unionByName(moved))
+    pairs = inside(b).groupBy("bg", "r", "h", "below", "v").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy("bg", "r").orderBy("v"))
+    at_rank = pairs.withColumn("upto", upto).where((r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+    a, z = F.min("v"), F.max("v")
+    return at_rank.groupBy("bg").agg((a + (z - a) * F.max(F.col("h") - F.floor("h"))).alias("q")).select(
+        F.col("bg").alias(group), "q")
+
+
 def _value_at(sorted_counts, rank):
     seen = 0
     for v, n in sorted_counts:

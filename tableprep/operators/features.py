@@ -1,29 +1,28 @@
 """Feature derivation (stage "features", F1-F6).
 
-Label encoding builds a dictionary ``(column, value, code)`` from the
-long-form distinct values.  Small dictionaries (size checked before use)
-become literal maps inside the projection; large ones are ranked with a
-range-partitioned, fully distributed numbering and joined back by a shuffle
-join (AQE splits a hot value's partition).
+Label encoding builds a dictionary ``(column, value, code)`` from the distinct
+values, ranked with a range-partitioned, fully distributed numbering, and
+joins it back; Spark chooses the join by the dictionary's size.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import os
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, numeric_columns
-from ..functions.stats import long_values
+from ..functions.stats import SLOTS, typed_value
+from ..session import ensure_checkpoint_dir
 
 # Fixed values of the feature rules.
 DATE_PARTS = ("year", "month", "day", "dayofweek", "is_weekend")
 WEEKEND_FROM = 5            # Monday = 0, so Saturday = 5
 POLY_COLUMNS = 3            # squares for the first three numeric columns
-LITERAL_DICT_MAX = 1000     # entries per column inlined as a literal map
-BROADCAST_DICT_MAX = 200_000  # total dictionary rows allowed in a broadcast join
 
 
 def date_parts(df: DataFrame, cols) -> DataFrame:                                    # F1
@@ -38,12 +37,12 @@ def date_parts(df: DataFrame, cols) -> DataFrame:
 
 
 def _ranked(values: DataFrame, order_cols) -> DataFrame:
-    """Exact 0-based dense codes per column for LARGE dictionaries, distributed.
+    """Exact 0-based dense codes per column, distributed.
 
     Range-partition the distinct values, number them inside each partition and
-    add the count of smaller values held by earlier partitions (a table of one
-    row per partition and column).  The partitioned values are checkpointed so
-    the partition ids stay fixed across the two branches that read them.
+    add the count of smaller values held by earlier partitions (one row per
+    partition and column).  The partitioned values are checkpointed so the
+    partition ids stay fixed across the two branches that read them.
     """
     from ..session import cut_lineage
     parts = cut_lineage(values.repartitionByRange("column", *order_cols)
@@ -53,18 +52,18 @@ def _ranked(values: DataFrame, order_cols) -> DataFrame:
     offsets = per.withColumn("offset", F.coalesce(F.sum("k").over(w_off), F.lit(0))).drop("k")
     w_in = Window.partitionBy("column", "pid").orderBy(*order_cols)
     return (parts.withColumn("r", F.row_number().over(w_in))
-            .join(F.broadcast(offsets), ["column", "pid"])
+            .join(offsets, ["column", "pid"])
             .select("column", "value", (F.col("offset") + F.col("r") - 1).cast("int").alias("code")))
 
 
 def distinct_values(df: DataFrame, cols, order_by: str | None = None) -> tuple[DataFrame, list[str]]:
-    """Unranked dictionary entries ``(column, value, <order keys>)``."""
+    """Unranked dictionary entries ``(column, value, <order keys>)``; ``value`` is the value's text."""
+    fields = {f.name: f for f in df.schema.fields}
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value"),
+                               *[typed_value(fields[c])[s].alias(s) for s in SLOTS]) for c in cols])
     if order_by is None:
-        lv = long_values(df, cols).select(
-            "column", F.coalesce(F.col("str"), F.col("num").cast("string")).alias("value"), "num")
-        return lv.select("column", "value", "num").distinct(), ["num", "value"]
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in cols])
-    firsts = (df.select(col(order_by).alias("__o"), F.inline(arr)).where(F.col("value").isNotNull())
+        return df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct(), [*SLOTS, "value"]
+    firsts = (df.select(col(order_by).alias("__o"), F.inline(cells)).where(F.col("value").isNotNull())
               .groupBy("column", "value").agg(F.min("__o").alias("first")))
     return firsts, ["first", "value"]
 
@@ -79,67 +78,35 @@ def dictionary(df: DataFrame, cols, order_by: str | None = None) -> DataFrame:
 @dataclass(frozen=True)
 class EncodeFit:
     columns: list
-    literal: dict = field(default_factory=dict)     # column -> {value: code}
-    table: DataFrame | None = None                  # large dictionaries, joined
-    broadcast: bool = True
-
-
-def _sort_key(keys):
-    return lambda r: tuple((r[k] is not None, r[k]) if r[k] is not None else (False, 0) for k in keys)
+    table: DataFrame | None = None                  # (column, value, code)
 
 
 def fit_encode(df: DataFrame, cols, order_by: str | None = None) -> EncodeFit:
-    """Size-check each dictionary first: small ones are ranked on the driver
-    (at most ``LITERAL_DICT_MAX`` entries each), large ones stay distributed."""
+    """The dictionary of all columns, written once; its size on disk lets Spark choose how to join it."""
     cols = list(cols)
     if not cols:
         return EncodeFit([])
-    vals, keys = distinct_values(df, cols, order_by)
-    # one bounded pass: at most LITERAL_DICT_MAX + 1 entries per column reach the
-    # driver (row_number <= k is planned with a partial limit before the shuffle)
-    w = Window.partitionBy("column").orderBy(*keys)
-    head = (vals.withColumn("__r", F.row_number().over(w))
-            .where(F.col("__r") <= LITERAL_DICT_MAX + 1).drop("__r").collect())
-    by_col = {}
-    for r in head:
-        by_col.setdefault(r["column"], []).append(r)
-    small = [c for c in cols if len(by_col.get(c, [])) <= LITERAL_DICT_MAX]
-    large = [c for c in cols if c not in small]
-    literal = {}
-    for c in small:
-        rs = sorted(by_col.get(c, []), key=_sort_key(keys))
-        literal[c] = {r["value"]: i for i, r in enumerate(rs)}
-    if not large:
-        return EncodeFit(cols, literal, None, True)
-    big = vals.where(F.col("column").isin(large))
-    total_large = big.count()
-    return EncodeFit(cols, literal, _ranked(big, keys), total_large <= BROADCAST_DICT_MAX)
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"dictionary-{uuid.uuid4().hex}")
+    codes = dictionary(df, cols, order_by)
+    codes.write.partitionBy("column").parquet(path)
+    # one folder per column: a column's dictionary is its own files, so its size is known
+    return EncodeFit(cols, spark.read.schema(codes.schema).parquet(path))
 
 
 def apply_encode(df: DataFrame, fit: EncodeFit) -> DataFrame:
-    """Adds ``{c}_encoded``: the code, -1 for NULL or unseen values."""
-    out = df
-    lit_cols = []
-    for c, m in fit.literal.items():
-        if m:
-            mp = F.create_map(*[x for k, v in sorted(m.items(), key=lambda kv: kv[1])
-                                for x in (F.lit(k), F.lit(v))])
-            code = F.coalesce(F.try_element_at(mp, col(c).cast("string")), F.lit(-1))
-        else:
-            code = F.lit(-1)
-        lit_cols.append((c, code.cast("int")))
-    joined = [c for c in fit.columns if c not in fit.literal]
-    for c in joined:
-        t = fit.table.where(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"),
-                                                          F.col("code").alias(f"__k_{c}"))
-        t = F.broadcast(t) if fit.broadcast else t
-        out = out.join(t, col(c).cast("string") == F.col(f"__v_{c}"), "left")
-    sel = [col(c) for c in df.columns]
-    enc = {c: code for c, code in lit_cols}
-    for c in joined:
-        enc[c] = F.coalesce(F.col(f"__k_{c}"), F.lit(-1)).cast("int")
-    sel += [enc[c].alias(f"{c}_encoded") for c in fit.columns]
-    return out.select(*sel)
+    """Adds ``{c}_encoded``: the code, -1 for NULL or unseen values.
+
+    NULLs join nothing; they get keys of their own spread over many
+    partitions, so a column that is mostly NULL does not meet in one task."""
+    if not fit.columns:
+        return df
+    out = df.withColumn("__spread", F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("string")))
+    for c in fit.columns:
+        t = fit.table.where(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__k_{c}"))
+        out = out.join(t, F.coalesce(col(c).cast("string"), F.col("__spread")) == col(f"__v_{c}"), "left")
+    return out.select(*map(col, df.columns),
+                      *[F.coalesce(col(f"__k_{c}"), F.lit(-1)).cast("int").alias(f"{c}_encoded") for c in fit.columns])
 
 
 def squares(df: DataFrame, k: int = POLY_COLUMNS) -> tuple[DataFrame, list[str]]:   # F4

@@ -8,14 +8,15 @@ single projection with the fitted fill values as literals.
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import DATETIME, NUMERIC, col, families
-from ..functions.stats import quantiles, value_counts, value_summary
+from ..functions.columns import NUMERIC, STRING, col, families
+from ..functions.stats import comparable_columns, python_value, quantiles, value_counts, value_summary
 
 # Fixed values of the missing-value rules.
 DROP_THRESHOLD = 0.7        # drop a column when its null fraction is >= this
@@ -95,6 +96,11 @@ def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: floa
     for c, a in list(acts.items()):
         if a in ("mean", "median") and not numeric_ok(c):
             acts[c] = "mode"
+    # a column whose values cannot be compared, or a constant its type cannot hold, is carried through
+    comparable = set(comparable_columns(df))
+    for c, a in list(acts.items()):
+        if a == "mode" and c not in comparable or a == "constant" and not _holds(df.schema[c].dataType, constant):
+            acts[c] = "skipped"
     means = [c for c, a in acts.items() if a == "mean"]
     medians = [c for c, a in acts.items() if a == "median"]
     modes = [c for c, a in acts.items() if a == "mode"]
@@ -106,12 +112,12 @@ def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: floa
         qs = quantiles(df, medians, [0.5], exact=exact_median)
         fills.update({c: qs[c][0] for c in medians})
     if modes:
+        dts = {f.name: f.dataType for f in df.schema.fields}
         for r in value_summary(value_counts(df, modes)).select("column", "mode").collect():
-            m = r["mode"]
-            fills[r["column"]] = m["num"] if m["num"] is not None else m["str"]
+            fills[r["column"]] = python_value(dts[r["column"]], r["mode"])
         for c in modes:
-            if c not in fills and fams[c] not in (NUMERIC,):
-                fills[c] = UNKNOWN_FILL if fams[c] != DATETIME else None
+            if c not in fills and fams[c] == STRING:
+                fills[c] = UNKNOWN_FILL
     for c, a in acts.items():
         if a == "constant":
             fills[c] = constant
@@ -122,17 +128,41 @@ def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: floa
             log = "no_action (no nulls)" if not f else "no_action (protected)"
         elif a == "drop":
             log = f"dropped ({f:.0%} missing)"
+        elif a == "skipped":
+            log = "skipped (no fill of this type)"
         else:
             log = f"applied: {a} (was {f:.0%} null)"
         actions[c] = ColumnAction(c, f, a, fills.get(c), log)
     return ImputeFit(actions)
 
 
+def _holds(dt: T.DataType, value) -> bool:
+    """Whether a constant fill can become a value of the column's type."""
+    if isinstance(dt, T.NumericType):
+        try:
+            float(value)
+        except (TypeError, ValueError):
+            return False
+        return True
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return isinstance(value, datetime.date)
+    if isinstance(dt, T.BooleanType):
+        return isinstance(value, bool)
+    return isinstance(dt, T.StringType)
+
+
 def _filled(c: str, value, dt: T.DataType):
     if isinstance(dt, T.NumericType):
         # a numeric column with holes is float in pandas; fills are doubles
         return F.coalesce(col(c).cast("double"), F.lit(float(value)))
-    return F.coalesce(col(c), F.lit(str(value)).cast(dt))
+    if isinstance(dt, T.StringType):
+        value = str(value)
+    elif isinstance(dt, T.TimestampNTZType) and value.tzinfo is None:
+        # the text form carries microseconds and no zone
+        return F.coalesce(col(c), F.lit(value.isoformat(sep=" ")).cast(dt))
+    elif isinstance(dt, T.BooleanType):
+        value = value if isinstance(value, bool) else value == "true"
+    return F.coalesce(col(c), F.lit(value).cast(dt))
 
 
 def apply_impute(df: DataFrame, fit: ImputeFit) -> DataFrame:

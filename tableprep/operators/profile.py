@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import NUMERIC, col, families, pct
+from ..functions.stats import typed_value, value_text
 
 # Fixed values of the audit rules.
 HIGH_NULL_PCT = 50          # flag when a column is more than this % missing
@@ -64,36 +65,32 @@ def null_percent(df: DataFrame) -> DataFrame:                      # B2
     return column_profile(df).select("column", "null_pct")
 
 
-# Below this many cells the direct group-by is cheaper than fingerprint + verification.
-DIRECT_DEDUP_CELLS = 50_000_000
+def _holds_map(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return True
+    if isinstance(dt, T.ArrayType):
+        return _holds_map(dt.elementType)
+    return isinstance(dt, T.StructType) and any(_holds_map(f.dataType) for f in dt.fields)
 
 
-def duplicate_rows(df: DataFrame, method: str = "fingerprint", rows: int | None = None) -> DataFrame:  # B3
+def group_key(f: T.StructField):
+    """The column as a grouping key: maps become their sorted entries (or JSON, if nested)."""
+    x = col(f.name)
+    if isinstance(f.dataType, T.MapType) and not _holds_map(f.dataType.valueType):
+        return F.sort_array(F.map_entries(x))
+    return F.to_json(x) if _holds_map(f.dataType) else x
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:  # B3
     """Rows minus first occurrences; NULL equals NULL (groupBy semantics).
 
-    ``fingerprint`` (default) shuffles 16 bytes per row instead of the whole
-    row: rows are grouped by two independent 64-bit hashes (plus a NULL
-    bitmap, so NULL positions matter); only rows whose fingerprint occurs more
-    than once are re-grouped on their full values, which keeps the count exact
-    even under hash collisions.  ``group`` is the direct ``groupBy(all)``;
-    ``auto`` picks it when ``rows`` x columns is small (known from a profile).
-    Both rely on map-side partial aggregation, so a set of copies holding a
-    third of the table collapses inside each task before any shuffle."""
-    keys = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    if method == "auto":
-        rows = df.count() if rows is None else rows          # a column-free scan
-        method = "group" if rows * max(len(keys), 1) <= DIRECT_DEDUP_CELLS else "fingerprint"
-    if method == "group" or not keys:
-        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
-    nullmap = F.concat(*[F.when(k.isNull(), "1").otherwise("0") for k in keys])
-    h1 = F.xxhash64(nullmap, *keys).alias("__h1")
-    h2 = F.xxhash64(F.lit("second-seed"), nullmap, *keys).alias("__h2")
-    fp = df.select(h1, h2, *keys)
-    multi = (fp.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") > 1).select("__h1", "__h2"))
-    cand = fp.join(multi, ["__h1", "__h2"], "left_semi").drop("__h1", "__h2")
-    groups = cand.groupBy(*[col(c) for c in cand.columns]).agg(F.count(F.lit(1)).alias("n"))
+    One ``groupBy`` over all columns with map-side partial aggregation: a set
+    of copies holding a third of the table is one row per task before any
+    shuffle."""
+    if not df.columns:
+        return df.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("duplicate_rows"))
+    keyed = df.select(*[group_key(f).alias(f"k{i}") for i, f in enumerate(df.schema.fields)])
+    groups = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
@@ -130,40 +127,41 @@ def overall_rating(df: DataFrame) -> DataFrame:                    # B6
 def sample_values(df: DataFrame, k: int = 5) -> DataFrame:         # B7
     """The k smallest distinct non-null values per column, as text.
 
-    (Order-free replacement of "first k non-null values".)  Found by k rounds
-    of one ``min(value > previous)`` aggregate over all columns: no shuffle
-    of distinct values, bounded state, k scans of the needed columns only.
+    (Order-free replacement of "first k non-null values".)  One scan: every
+    task keeps its k smallest distinct values of each column (Arrow batches),
+    so at most k x columns rows per task reach the final ranking.
     """
-    fields = [f for f in df.schema.fields
-              if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
-    fams = families(df)
-    keyed = {f.name: (col(f.name).cast("double") if fams[f.name] == NUMERIC else col(f.name)) for f in fields}
-    prev = {f.name: None for f in fields}
-    found = []
-    for rank in range(1, k + 1):
-        live = [c for c in prev if prev[c] is not None or rank == 1]
-        if not live:
-            break
-        exprs = [F.min(keyed[c] if prev[c] is None else F.when(keyed[c] > F.lit(prev[c]), keyed[c])).alias(f"m{i}")
-                 for i, c in enumerate(live)]
-        row = df.agg(*exprs).first()
-        for i, c in enumerate(live):
-            v = row[f"m{i}"]
-            prev[c] = v
-            if v is not None:
-                found.append((c, rank, v))
-    def text(v):
-        if isinstance(v, bool):
-            return "true" if v else "false"
-        return v.strftime("%Y-%m-%d %H:%M:%S") if hasattr(v, "strftime") else str(v)
-    # numbers are rendered by Spark's own double-to-text cast (same text as elsewhere)
-    num = [(c, r, float(v)) for c, r, v in found if fams[c] == NUMERIC]
-    other = [(c, r, text(v)) for c, r, v in found if fams[c] != NUMERIC]
-    spark = df.sparkSession
-    a = spark.createDataFrame(num, "column string, rank int, num double").select(
-        "column", "rank", F.col("num").cast("string").alias("value"))
-    b = spark.createDataFrame(other, "column string, rank int, value string")
-    return a.unionByName(b)
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    names = [f.name for f in df.schema.fields
+             if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
+    if not names or not k:
+        return df.sparkSession.createDataFrame([], "column string, rank int, value string")
+    typed = df.select(*[typed_value(f).alias(f"c{i}") for i, f in enumerate(df.select(*map(col, names)).schema.fields)])
+    slots = ("lng", "num", "str")
+    out = pa.schema([("column", pa.string()), ("lng", pa.int64()), ("num", pa.float64()), ("str", pa.string())])
+
+    def smallest(batches):
+        kept = [pa.array([], pa.struct(list(out)[1:])) for _ in names]
+        for b in batches:
+            for i in range(len(names)):
+                new = pc.drop_null(b.column(i)) if b.column(i).null_count else b.column(i)
+                t = pa.Table.from_batches([pa.RecordBatch.from_struct_array(x) for x in (kept[i], new.cast(kept[i].type))])
+                t = t.group_by(list(slots)).aggregate([])
+                t = t.take(pc.select_k_unstable(t, min(k, t.num_rows), [(s, "ascending") for s in slots])) \
+                    if t.num_rows > k else t
+                kept[i] = t.combine_chunks().to_struct_array().combine_chunks() if t.num_rows else kept[i]
+        for n, x in zip(names, kept):
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array([n] * len(x)), *x.flatten()], schema=out)
+
+    found = typed.mapInArrow(smallest, "column string, lng bigint, num double, str string").distinct()
+    w = Window.partitionBy("column").orderBy(*slots)
+    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    fields = {f.name: f for f in df.schema.fields}
+    text = F.coalesce(*[F.when(F.col("column") == n, value_text(fields[n])) for n in names])
+    return ranked.select("column", F.col("rank").cast("int").alias("rank"), text.alias("value"))
 
 
 def numeric_summary(df: DataFrame) -> DataFrame:                   # B8
@@ -213,7 +211,7 @@ def audit(df: DataFrame, extra=()) -> AuditFit | tuple:
         prof, rows = row["p"], row["__rows"]
     else:
         row, prof, rows = None, [], df.count()
-    dups = duplicate_rows(df, "auto", rows).first()["duplicate_rows"]
+    dups = duplicate_rows(df).first()["duplicate_rows"]
     nulls = {r["column"]: r["null_count"] for r in prof}
     pcts = {r["column"]: r["null_pct"] for r in prof}
     zero = [r["column"] for r in prof if r["zero_var"]]

@@ -11,7 +11,6 @@ Spark query start from identical input.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
@@ -60,18 +59,11 @@ VIEWS = {"m_items": (M_ITEMS_SQL, ("lineitem",)),
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The derived view over the whole source tables.  When every source is a
-    small single-split table (kept in memory by ``read_table``), the derived
-    rows are kept too, so repeated fits do not re-derive strings per row;
-    views over large tables stay lazy."""
+    """The derived view over the whole source tables, always lazy."""
     sql, sources = VIEWS[name]
-    tables = [read_table(spark, sf_dir, s) for s in sources]
-    for s, t in zip(sources, tables):
-        t.createOrReplaceTempView(s)
-    out = spark.sql(sql)
-    if all(t.is_cached for t in tables):
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    return out
+    for t in sources:
+        read_table(spark, sf_dir, t).createOrReplaceTempView(t)
+    return spark.sql(sql)
 
 
 def m_items(spark: SparkSession, sf_dir: str) -> DataFrame:

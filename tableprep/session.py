@@ -7,9 +7,9 @@ brings its own session; ``get_session`` only fills settings that are unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -56,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError(
             "set spark.checkpoint.dir to a shared folder; a machine-local folder "
             "does not survive executor loss on a cluster")
@@ -71,40 +71,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_TABLES: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table ``name``; the same DataFrame is returned for repeated reads
-    in one application (its split check runs once)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 -- sessions without a local SparkContext (Spark Connect)
-        return spark.read.parquet(path)
-    key = (app, path)
-    if key not in _TABLES:
-        _TABLES[key] = ensure_parallel(spark.read.parquet(path))
-    return _TABLES[key]
-
-
-def ensure_parallel(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A table stored as one unsplittable row group scans in ONE task; a
-    round-robin repartition lets every core work on it, and because such a
-    table is at most one split (``spark.sql.files.maxPartitionBytes``) it is
-    also kept in memory/disk so repeated fits do not re-decode it.  A large
-    table already has at least as many splits as cores and is returned
-    untouched: no shuffle and no cache are added at scale."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD access (Spark Connect): leave the scan as is
-        return df
-    if n >= cores:
-        return df
-    spread = df.repartition(cores)
-    if n == 1:
-        spread = spread.persist(StorageLevel.MEMORY_AND_DISK)
-    return spread
+    """Driver table ``name``: the plain scan, whatever its size."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -156,18 +156,77 @@ def test_advice_table_overrides_and_drop(spark):
     assert out.columns == ["x"] and sorted(r[0] for r in out.collect()) == [1.0, 2.0, 3.0]
 
 
-def test_large_dictionary_path_matches_literal_path(spark, monkeypatch):
-    rows = [(f"v{i % 37:02d}", i) for i in range(500)] + [(None, 999)]
+def test_dictionary_codes_and_first_appearance(spark):
+    rows = [(f"v{i % 37:02d}", 500 - i) for i in range(500)] + [(None, 999)]
     df = spark.createDataFrame(rows, "s string, o long")
-    small = {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, FE.fit_encode(df, ["s"])).collect()}
+    codes = {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, FE.fit_encode(df, ["s"])).collect()}
+    assert codes == {None: -1, **{f"v{i:02d}": i for i in range(37)}}
+    order = []
+    for s, _ in sorted(rows[:-1], key=lambda r: r[1]):
+        order += [s] if s not in order else []
     first = {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, FE.fit_encode(df, ["s"], order_by="o")).collect()}
-    monkeypatch.setattr(FE, "LITERAL_DICT_MAX", 5)
-    fit = FE.fit_encode(df, ["s"])
-    assert fit.table is not None
-    large = {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, fit).collect()}
-    assert large == small and small[None] == -1 and sorted(v for k, v in small.items() if k) == list(range(37))
-    fit_f = FE.fit_encode(df, ["s"], order_by="o")
-    assert {r["s"]: r["s_encoded"] for r in FE.apply_encode(df, fit_f).collect()} == first
+    assert first == {None: -1, **{s: i for i, s in enumerate(order)}}
+
+
+def test_typed_values_are_exact(spark):
+    import datetime as dt
+    from decimal import Decimal
+    big, dec = 1 << 60, 12345678901234567890123456789012345678
+    t = dt.datetime(2024, 1, 1, 12, 0, 0, 500_000)
+    rows = [(big + i, Decimal(dec + i), t + dt.timedelta(milliseconds=i), dt.date(2024, 1, 1) + dt.timedelta(days=i)) for i in range(10)]
+    schema = "a long, b decimal(38,0), c timestamp_ntz, d date"
+    df = spark.createDataFrame(rows, schema)
+    assert {r["column"]: r["n_distinct"] for r in TY.distinct_ratio(df).collect()} == dict.fromkeys("abcd", 10)
+    df = spark.createDataFrame([*rows[:3], rows[2], (None,) * 4], schema)
+    fit = IM.fit_impute(df, dict.fromkeys("abcd", "categorical"))
+    assert (fit.actions["a"].fill, fit.actions["b"].fill, fit.actions["c"].fill, fit.actions["d"].fill) == rows[2]
+    out = IM.apply_impute(df, fit).collect()[-1]
+    assert (out["c"], out["d"]) == rows[2][2:]
+
+
+def test_columns_without_a_fill_are_carried_through(spark):
+    import datetime as dt
+    df = spark.createDataFrame([([1], {"a": 1}, dt.date(2024, 1, 1)), (None, None, None)],
+                               "a array<int>, m map<string,int>, d date")
+    fit = IM.fit_impute(df, {}, overrides={"d": "constant"})
+    assert {c: a.action for c, a in fit.actions.items()} == dict.fromkeys("amd", "skipped")
+    assert IM.apply_impute(df, fit).where("a IS NULL AND m IS NULL AND d IS NULL").count() == 1
+    fit = IM.fit_impute(df, {}, overrides={"d": "constant"}, constant=dt.date(2000, 1, 1))
+    assert IM.apply_impute(df, fit).where("d = DATE'2000-01-01'").count() == 1
+
+
+def test_map_columns_count_for_duplicates(spark):
+    rows = [({"k": i, "j": 0}, [{"x": i}]) for i in range(40)] + [({"j": 0, "k": 3}, [{"x": 3}])]
+    df = spark.createDataFrame(rows, "m map<string,int>, a array<map<string,int>>")
+    assert PR.duplicate_rows(df).first()["duplicate_rows"] == 1
+
+
+def test_quantile_brackets_are_proved_before_they_are_collected(spark, monkeypatch):
+    from tableprep.functions import stats
+    df = spark.range(0, 6000).select(F.when(F.col("id") < 3000, F.col("id") * 1e-6).otherwise(F.col("id") * 1e6).alias("x"))
+    exp = pd.Series(df.toPandas()["x"]).quantile([0.1, 0.5, 0.5001]).tolist()
+    assert quantiles(df, ["x"], [0.1, 0.5, 0.5001], max_local=40, accuracy=50)["x"] == pytest.approx(exp)
+    real = stats._narrow
+
+    def misled(d, wide, eps, accuracy):                     # sketches that miss: halving still closes in
+        for t in wide:
+            t["halve"] = True
+        return real(d, wide, eps, accuracy)
+    monkeypatch.setattr(stats, "_narrow", misled)
+    assert quantiles(df, ["x"], [0.1, 0.5, 0.5001], max_local=200)["x"] == pytest.approx(exp)
+
+
+def test_group_quantiles_of_any_number_of_groups(spark):
+    from tableprep.functions.stats import group_quantile
+    pdf = pd.DataFrame([(None if g == 7 else f"g{g}", float((i * 7919) % 1009) ** 2) for g in range(9) for i in range(5 + 60 * g)],
+                       columns=["g", "v"])
+    df = spark.createDataFrame([tuple(r) for r in pdf.itertuples(index=False)], "g string, v double")
+    for p in (0.5, 0.37):
+        exp = pdf.groupby("g", dropna=False)["v"].quantile(p)
+        exp = {None if isinstance(k, float) else k: v for k, v in exp.items()}
+        for most in (200_000, 40):
+            got = {r["g"]: r["q"] for r in group_quantile(df, "g", "v", p, accuracy=20, max_rows=most).collect()}
+            assert got == pytest.approx(exp)
 
 
 def test_one_pass_selection_matches_two_pass(spark):
