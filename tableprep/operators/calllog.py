@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
-from ..functions.stats import quantiles
+from ..functions.columns import col
+from ..functions.stats import group_quantile
+from ..session import cut_lineage
 
 # Fixed values of the experiment analytics.
 STRATEGIES = ["baseline", "cdp"]
@@ -58,11 +60,15 @@ def group_summary(log: DataFrame) -> DataFrame:
         F.count("run_id").alias("call_count"))
 
 
-def pivot(summary: DataFrame, metrics=PIVOT_METRICS, strategies=STRATEGIES) -> DataFrame:   # K9
-    """One row per agent; columns ``{metric}_{strategy}``."""
-    p = summary.groupBy("agent_name").pivot("prompt_strategy", strategies).agg(
-        *[F.first(m).alias(m) for m in metrics])
-    return p.select("agent_name", *[F.col(f"{s}_{m}").alias(f"{m}_{s}") for m in metrics for s in strategies])
+def pivot(summary: DataFrame, metrics=PIVOT_METRICS, strategies=None) -> DataFrame:   # K9
+    """One row per agent; columns ``{metric}_{strategy}`` for every strategy of the
+    summary (or those given).  Spark finds the strategy names itself and refuses
+    more than ``spark.sql.pivotMaxValues`` of them rather than dropping any."""
+    g = summary.groupBy("agent_name")
+    p = (g.pivot("prompt_strategy", list(strategies)) if strategies is not None else g.pivot("prompt_strategy")).agg(
+        F.first(metrics[0]).alias(metrics[0]), *[F.first(m).alias(m) for m in metrics[1:]], F.count(F.lit(1)).alias("__n"))
+    names = [c[:-len("___n")] for c in p.columns if c.endswith("___n")]
+    return p.select("agent_name", *[col(f"{s}_{m}").alias(f"{m}_{s}") for m in metrics for s in names])
 
 
 def deltas(piv: DataFrame, metrics=DELTA_METRICS) -> DataFrame:                  # K10
@@ -123,15 +129,9 @@ def retry_cost(economy: DataFrame, grid=FAILURE_GRID) -> DataFrame:
                     F.try_divide(c - b, b * RETRY_MULTIPLIER).alias("break_even")))
 
 
-def group_medians(log: DataFrame, group: str, value: str, probs=(0.5,), max_groups: int = 1000) -> dict:
-    """Exact per-group quantiles without a per-group sort: one masked column per
-    group (groups are counted first and must stay below ``max_groups``)."""
-    groups = [r[0] for r in log.select(group).distinct().limit(max_groups + 1).collect()]
-    if len(groups) > max_groups:
-        raise ValueError(f"{group} has more than {max_groups} groups")
-    wide = log.select(*[F.when(F.col(group) == g, F.col(value)).alias(f"g{i}") for i, g in enumerate(groups)])
-    q = quantiles(wide, [f"g{i}" for i in range(len(groups))], list(probs))
-    return {g: q[f"g{i}"] for i, g in enumerate(groups)}
+def group_medians(log: DataFrame, group: str, value: str) -> DataFrame:          # K15
+    """``(group, median)``, exact, the NULL group included, for any number of groups."""
+    return group_quantile(log, group, value).withColumnRenamed("q", "median")
 
 
 def latency_histogram(log: DataFrame, bins: int = 10) -> DataFrame:             # K15 density
@@ -171,11 +171,20 @@ def min_max_scale(summary: DataFrame, metrics=SCALE_METRICS) -> DataFrame:
 def boundary_marks(summary: DataFrame) -> DataFrame:                             # K19
     """Rows (in agent, strategy order) whose strategy differs from the previous
     row.  The summary holds one row per agent and strategy."""
-    w = Window.orderBy("agent_name", "prompt_strategy")
-    prev = F.lag("prompt_strategy").over(w)
-    return summary.select(
+    # agents x strategies have no bound: number inside range partitions, shift by the partitions before
+    rows = cut_lineage(summary.select("agent_name", "prompt_strategy").repartitionByRange("agent_name", "prompt_strategy")
+                       .withColumn("pid", F.spark_partition_id()))
+    order = ["agent_name", "prompt_strategy"]
+    ends = rows.groupBy("pid").agg(F.count(F.lit(1)).alias("k"), F.max_by("prompt_strategy", F.struct(*order)).alias("end"))
+    before = Window.orderBy("pid")                              # one row per partition
+    ends = ends.select("pid", F.coalesce(F.sum("k").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"),
+                       F.lag("end").over(before).alias("end_before"))
+    w = Window.partitionBy("pid").orderBy(*order)
+    inside = rows.withColumns({"r": F.row_number().over(w), "prev": F.lag("prompt_strategy").over(w)}).join(ends, "pid")
+    prev = F.when(F.col("r") == 1, F.col("end_before")).otherwise(F.col("prev"))
+    return inside.select(
         F.concat(F.upper("prompt_strategy"), F.lit(" | "), F.col("agent_name")).alias("label"),
-        F.row_number().over(w).alias("position"),
+        (F.col("r") + F.col("o")).cast("int").alias("position"),
         F.coalesce(prev != F.col("prompt_strategy"), F.lit(False)).alias("boundary"))
 
 

@@ -63,7 +63,7 @@ def j4_not_good(df):
 
 
 def j5_near_constant(df, threshold=LIMITS["J5"]):
-    s = value_summary(value_counts(df)).select("column", (F.col("top_n") / F.col("non_null")).alias("o"))
+    s = value_summary(value_counts(df)).select("column", F.try_divide("top_n", "non_null").alias("o"))
     return _gate(s, "J5", F.col("column"), F.col("o"), threshold, F.col("o") > threshold)
 
 
@@ -76,6 +76,8 @@ def _per_string(df, rule, expr, limit):
     cols = [c for c, f in families(df).items() if f == STRING]
     structs = [F.struct(F.lit(c).alias("column"), F.try_divide(expr(col(c)), F.count(col(c)).cast("double")).alias("o"))
                for c in cols]
+    if not structs:
+        return df.sparkSession.createDataFrame([], GATE_SCHEMA)
     a = df.agg(F.array(*structs).alias("a")).select(F.inline("a"))
     return _gate(a, rule, F.col("column"), F.col("o"), limit, F.coalesce(F.col("o") > limit, F.lit(False)))
 
@@ -84,18 +86,24 @@ def j7_dirty_numeric_tokens(df):
     return _per_string(df, "J7", lambda x: F.count_if(x.rlike(TOKEN_PATTERN)).cast("double"), LIMITS["J7"])
 
 
-def j8_non_numeric_strings(df):
-    return _per_string(df, "J8", lambda x: F.count_if(x.try_cast("double").isNull() & x.isNotNull()).cast("double"),
-                       LIMITS["J8"])
+def j8_non_numeric_strings(df, typed_numeric):
+    """Share of values that are no number, in text columns that a type map calls numeric."""
+    cols = [c for c, f in families(df).items() if f == STRING and c in set(typed_numeric)]
+    return _per_string(df.select(*map(col, cols)), "J8",
+                       lambda x: F.count_if(x.try_cast("double").isNull() & x.isNotNull()).cast("double"), LIMITS["J8"])
 
 
 def j9_type_thresholds(ratios: DataFrame, semantic: DataFrame, nonnull: DataFrame):
-    """Ratio > 0.95 -> id (strings too); < 0.05 -> categorical; datetime with < 10 samples fires."""
+    """One row per column and rule: ``J9.id`` fires where a ratio above 0.95 is not typed id, ``J9.categorical``
+    where a ratio below 0.05 of a text column is not typed categorical, ``J9.datetime`` on a datetime of < 10 samples."""
     j = ratios.join(semantic, "column").join(nonnull, "column")
-    r = F.col("ratio")
-    fired = ((r > LIMITS["J9_id"]) & (F.col("semantic") != "id")) | \
-            ((F.col("semantic") == "datetime") & (F.col("non_null") < LIMITS["J9_dt"]))
-    return _gate(j, "J9", F.col("column"), r, LIMITS["J9_id"], fired)
+    r, k = F.col("ratio"), F.col("semantic")
+    c = F.col("column")
+    return _union([
+        _gate(j, "J9.id", c, r, LIMITS["J9_id"], (r > LIMITS["J9_id"]) & (k != "id")),
+        _gate(j, "J9.categorical", c, r, LIMITS["J9_cat"], (r < LIMITS["J9_cat"]) & ~k.isin("categorical", "datetime", "unknown")),
+        _gate(j, "J9.datetime", c, F.col("non_null"), LIMITS["J9_dt"],
+              (k == "datetime") & (F.col("non_null") < LIMITS["J9_dt"]))])
 
 
 def j10_mean_misuse(plan: DataFrame):
@@ -106,74 +114,103 @@ def j10_mean_misuse(plan: DataFrame):
 
 
 def j11_missing_advice(df):
-    """null pct > 70 -> drop; 20..70 numeric -> kNN candidate; |skewness| > 1 -> prefer median."""
+    """One row per column and rule: ``J11.drop`` above 70 % NULL, ``J11.knn`` for numeric columns of 20 to 70 %,
+    ``J11.median`` where |skewness| > 1 and NULLs are to be filled."""
     fams = families(df)
     structs = []
     for c, f in fams.items():
         sk = F.skewness(col(c)) if f == NUMERIC else F.lit(None).cast("double")
-        structs.append(F.struct(F.lit(c).alias("column"), F.lit(f).alias("family"),
-                                (F.count_if(col(c).isNull()) / F.count(F.lit(1)) * 100).alias("pct"),
-                                sk.alias("skew")))
+        pct = F.try_divide(F.count_if(col(c).isNull()), F.count(F.lit(1))) * 100
+        structs.append(F.struct(F.lit(c).alias("column"), F.lit(f).alias("family"), pct.alias("pct"), sk.alias("skew")))
     a = df.agg(F.array(*structs).alias("a")).select(F.inline("a"))
-    p, sk = F.col("pct"), F.col("skew")
-    fired = (p > LIMITS["J11_drop"]) | ((F.col("family") == NUMERIC) & (p >= LIMITS["J11_knn"]) & (p <= LIMITS["J11_drop"])) \
-        | (F.coalesce(F.abs(sk) > LIMITS["J11_skew"], F.lit(False)) & (p > 0))
-    return _gate(a, "J11", F.col("column"), p, LIMITS["J11_drop"], fired)
+    p, sk, c = F.coalesce("pct", F.lit(0.0)), F.coalesce(F.abs("skew"), F.lit(0.0)), F.col("column")
+    knn = (F.col("family") == NUMERIC) & p.between(LIMITS["J11_knn"], LIMITS["J11_drop"])
+    return _union([_gate(a, "J11.drop", c, p, LIMITS["J11_drop"], p > LIMITS["J11_drop"]),
+                   _gate(a, "J11.knn", c, p, LIMITS["J11_knn"], knn),
+                   _gate(a, "J11.median", c, sk, LIMITS["J11_skew"], (sk > LIMITS["J11_skew"]) & (p > 0))])
 
 
 def j12_synthetic_share(df, target: str | None = None):
     p = column_profile(df).where((F.col("null_count") > 0))
-    o = F.col("null_count") / F.col("rows")
+    o = F.try_divide("null_count", "rows")
     near_target = F.lit(False) if not target else F.lower(F.col("column")).contains(target.lower())
     return _gate(p, "J12", F.col("column"), o, LIMITS["J12"], (o > LIMITS["J12"]) | near_target)
 
 
-def j13_outlier_policy(report: DataFrame, target: str | None = None):
-    """report ``(column, pct_outliers, ...)``: drop banned above 5 %; clip banned on fraud/anomaly names."""
-    pct = F.col("pct_outliers")
-    fired = (pct > LIMITS["J13"]) | F.lower(F.col("column")).rlike(ANOMALY_NAMES)
-    if target:
-        fired = fired | (F.col("column") == target)
-    return _gate(report, "J13", F.col("column"), pct, LIMITS["J13"], fired)
+def j13_outlier_policy(report: DataFrame, target: str | None = None, actions: dict | None = None):
+    """report ``(column, pct_outliers, ...)`` and the planned action of each column (default ``clip``):
+    ``J13.drop`` fires where drop is planned above 5 %, ``J13.clip`` where clip is planned on an
+    anomaly name, ``J13.target`` where the target is touched at all."""
+    pct, c = F.col("pct_outliers"), F.col("column")
+    action = F.lit("clip")
+    for name, a in (actions or {}).items():
+        action = F.when(c == name, a).otherwise(action)
+    j = report.select("column", "pct_outliers", action.alias("action"))
+    act = F.col("action")
+    return _union([
+        _gate(j, "J13.drop", c, pct, LIMITS["J13"], (act == "drop") & (pct > LIMITS["J13"])),
+        _gate(j, "J13.clip", c, pct, 0.0, (act == "clip") & F.lower(c).rlike(ANOMALY_NAMES)),
+        _gate(j, "J13.target", c, pct, 0.0, act.isin("drop", "clip") & c.eqNullSafe(F.lit(target)))])
 
 
 def j14_outlier_backtrack(total: DataFrame, fences: DataFrame):
     """total ``(total_outlier_rows, rows)``; fences ``(column, q1, q3)`` -> IQR = 0 fires."""
-    share = total.select((F.col("total_outlier_rows") / F.col("rows")).alias("o"))
+    share = total.select(F.coalesce(F.try_divide("total_outlier_rows", "rows"), F.lit(0.0)).alias("o"))
     a = _gate(share, "J14", None, F.col("o"), LIMITS["J14_rows"], F.col("o") > LIMITS["J14_rows"])
     iqr = F.col("q3") - F.col("q1")
     b = _gate(fences, "J14", F.col("column"), iqr, 0.0, F.coalesce(iqr == 0, F.lit(False)))
     return a.unionByName(b)
 
 
-def j15_feature_bans(df, semantic: DataFrame):
-    """one-hot banned above 50 distinct; log needs min > 0; no polynomial for id/text."""
+#: kinds of transform a plan may name for J15
+TRANSFORMS = ("one_hot", "log", "polynomial")
+
+
+def j15_feature_bans(df, semantic: DataFrame, transforms: dict | None = None):
+    """One row per column and planned transform (default: all three): ``J15.one_hot`` fires above 50 distinct values,
+    ``J15.log`` where the minimum is not positive, ``J15.polynomial`` on id and text columns."""
     s = value_summary(value_counts(df)).select("column", "n_distinct")
     mins = column_profile(df).select("column", "vmin")
     j = semantic.join(s, "column", "left").join(mins, "column", "left")
-    n = F.coalesce(F.col("n_distinct"), F.lit(0))
-    fired = (n > LIMITS["J15_onehot"]) | F.coalesce(F.col("vmin") <= 0, F.lit(False)) \
-        | F.col("semantic").isin("id", "text")
-    return _gate(j, "J15", F.col("column"), n, LIMITS["J15_onehot"], fired)
-
-
-def j16_identical_columns(df, new_cols, old_cols):
-    """An encoded/derived column identical to an existing one: ``count_if(not a <=> b) = 0``."""
-    structs = [F.struct(F.lit(f"{a}={b}").alias("column"),
+    n, c = F.coalesce(F.col("n_distinct"), F.lit(0)), F.col("column")
+    bad = F.col("semantic").isin("id", "text")
+    rules = {"one_hot": (n, LIMITS["J15_onehot"], n > LIMITS["J15_onehot"]),
+             "log": (F.col("vmin"), 0.0, F.coalesce(F.col("vmin") <= 0, F.lit(False))),
+             "polynomial": (bad.cast("double"), 0.0, bad)}
+    out = []
+    for t in TRANSFORMS:
+        names = None if transforms is None else [x for x, kinds in transforms.items() if t in kinds]
+        out.append(_gate(j if names is None else j.where(c.isin(names)), f"J15.{t}", c, *rules[t]))
+    return _union(out)
+
+
+def j16_identical_columns(df, new_cols, old_cols, derived: dict | None = None):
+    """``J16.identical``: a derived column equal to an existing one; ``J16.nulls``: a transform (``derived``: new
+    column -> its source) that adds NULLs."""
+    structs = [F.struct(F.lit("J16.identical").alias("rule"), F.lit(f"{a}={b}").alias("column"),
                         F.count_if(~col(a).cast("double").eqNullSafe(col(b).cast("double"))).alias("o"))
                for a in new_cols for b in old_cols]
+    structs += [F.struct(F.lit("J16.nulls").alias("rule"), F.lit(f"{a}<-{b}").alias("column"),
+                         F.count_if(col(a).isNull() & col(b).isNotNull()).alias("o")) for a, b in (derived or {}).items()]
+    if not structs:
+        return df.sparkSession.createDataFrame([], GATE_SCHEMA)
     x = df.agg(F.array(*structs).alias("a")).select(F.inline("a"))
-    return _gate(x, "J16", F.col("column"), F.col("o"), 0.0, F.col("o") == 0)
+    same = F.col("rule") == "J16.identical"
+    g = _gate(x, "", F.col("column"), F.col("o"), 0.0, F.when(same, F.col("o") == 0).otherwise(F.col("o") > 0))
+    return g.withColumn("rule", F.when(g["column"].contains("<-"), "J16.nulls").otherwise("J16.identical"))
 
 
 def j17_selection_rules(semantic: DataFrame, removed: DataFrame, target: str | None):
-    """Flag id columns for removal; the target must never be removed."""
-    j = semantic.join(removed.select("column", F.lit(1.0).alias("rm")), "column", "left")
-    rm = F.coalesce(F.col("rm"), F.lit(0.0))
-    fired = (F.col("semantic") == "id") & (rm == 0)
-    if target:
-        fired = fired | ((F.col("column") == target) & (rm == 1))
-    return _gate(j, "J17", F.col("column"), rm, 0.0, fired)
+    """``removed(column[, reason])``: ``J17.id`` asks to flag id columns, ``J17.target`` fires if the target went,
+    ``J17.categorical`` if the correlation filter removed a categorical column."""
+    reason = F.col("reason") if "reason" in removed.columns else F.lit(None).cast("string")
+    j = semantic.join(removed.select("column", reason.alias("reason"), F.lit(1.0).alias("rm")), "column", "left")
+    rm, c = F.coalesce(F.col("rm"), F.lit(0.0)), F.col("column")
+    corr = F.coalesce(F.col("reason") == "high correlation", F.lit(False))
+    return _union([
+        _gate(j, "J17.id", c, rm, 0.0, (F.col("semantic") == "id") & (rm == 0)),
+        _gate(j, "J17.target", c, rm, 0.0, c.eqNullSafe(F.lit(target)) & (rm == 1)),
+        _gate(j, "J17.categorical", c, rm, 0.0, (F.col("semantic") == "categorical") & corr)])
 
 
 def j18_selection_backtrack(kept_count: DataFrame, target_corr: DataFrame):
@@ -190,9 +227,8 @@ def j19_validation(before: DataFrame, after: DataFrame, target: str | None):
     n_before = before.agg(F.count(F.lit(1)).alias("b"))
     agg = after.agg(F.count(F.lit(1)).alias("a"),
                     *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(nums)])
-    loss = _gate(_pair(n_before, agg, "b", "a"), "J19", None,
-                 F.lit(1.0) - F.col("a") / F.col("b"), LIMITS["J19_loss"],
-                 (F.lit(1.0) - F.col("a") / F.col("b")) > LIMITS["J19_loss"])
+    lost = F.coalesce(F.lit(1.0) - F.try_divide("a", "b"), F.lit(0.0))
+    loss = _gate(_pair(n_before, agg, "b", "a"), "J19", None, lost, LIMITS["J19_loss"], lost > LIMITS["J19_loss"])
     nulls = [_gate(agg, "J19", F.lit(c), F.col(f"n{i}"), 0.0, F.col(f"n{i}") > 0) for i, c in enumerate(nums)]
     has_t = target in after.columns if target else True
     miss = _gate(agg, "J19", F.lit(target), F.lit(0.0 if has_t else 1.0), 0.0, F.lit(not has_t))
@@ -211,7 +247,7 @@ def j20_routing(before: DataFrame, after: DataFrame):
     rows = _pair(before.agg(F.count(F.lit(1)).alias("b")), after.agg(F.count(F.lit(1)).alias("a")), "b", "a")
     nulls = after.agg(reduce(lambda x, y: x + y, [F.count_if(col(c).isNull()) for c in after.columns]).alias("n"))
     growth = len(after.columns) / max(len(before.columns), 1)
-    route = _pair(rows.select(((F.col("b") - F.col("a")) / F.col("b")).alias("loss")), nulls, "loss", "n")
+    route = _pair(rows.select(F.coalesce(F.try_divide(F.col("b") - F.col("a"), "b"), F.lit(0.0)).alias("loss")), nulls, "loss", "n")
     r = F.when(F.col("n") > 0, "missing").when(F.lit(growth > LIMITS["J20_growth"]), "features") \
         .when(F.col("loss") > LIMITS["J19_loss"], "outliers")
     return _gate(route, "J20", r, F.col("loss"), LIMITS["J19_loss"], r.isNotNull())

@@ -121,9 +121,14 @@ def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: floa
     for c, a in acts.items():
         if a == "constant":
             fills[c] = constant
-    actions = {}
-    for c, a in acts.items():
-        f = fr[c]
+    return ImputeFit({c: ColumnAction(c, fr[c], acts[c], fills.get(c), log) for c, log in plan_log(acts, fr)})
+
+
+def plan_log(actions: dict, fractions: dict) -> list[tuple[str, str]]:
+    """``(column, line)`` of planned actions; needs no fill values."""
+    out = []
+    for c, a in actions.items():
+        f = fractions[c]
         if a == "no_action":
             log = "no_action (no nulls)" if not f else "no_action (protected)"
         elif a == "drop":
@@ -132,8 +137,8 @@ def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: floa
             log = "skipped (no fill of this type)"
         else:
             log = f"applied: {a} (was {f:.0%} null)"
-        actions[c] = ColumnAction(c, f, a, fills.get(c), log)
-    return ImputeFit(actions)
+        out.append((c, log))
+    return out
 
 
 def _holds(dt: T.DataType, value) -> bool:

@@ -149,8 +149,7 @@ def sample_values(df: DataFrame, k: int = 5) -> DataFrame:         # B7
                 new = pc.drop_null(b.column(i)) if b.column(i).null_count else b.column(i)
                 t = pa.Table.from_batches([pa.RecordBatch.from_struct_array(x) for x in (kept[i], new.cast(kept[i].type))])
                 t = t.group_by(list(slots)).aggregate([])
-                t = t.take(pc.select_k_unstable(t, min(k, t.num_rows), [(s, "ascending") for s in slots])) \
-                    if t.num_rows > k else t
+                t = t.take(pc.sort_indices(t, [(s, "ascending") for s in slots])[:k])
                 kept[i] = t.combine_chunks().to_struct_array().combine_chunks() if t.num_rows else kept[i]
         for n, x in zip(names, kept):
             if len(x):

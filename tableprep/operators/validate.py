@@ -21,6 +21,14 @@ def missing_steps(ledger: DataFrame, run_id: str | None = None) -> DataFrame:
     return expected.join(done.select("step").distinct(), "step", "left_anti").select("step", "ord")
 
 
+def missing_steps_of_runs(ledger: DataFrame) -> DataFrame:
+    """``(run_id, step, ord)``: expected steps that a run of the ledger has not logged."""
+    steps = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(i).alias("ord")) for i, s in enumerate(EXPECTED_STEPS)])
+    expected = ledger.select("run_id").distinct().select("run_id", F.inline(steps))
+    done = ledger.where(F.col("step").isin(EXPECTED_STEPS)).select("run_id", "step").distinct()
+    return expected.join(done, ["run_id", "step"], "left_anti").select("run_id", "step", "ord")
+
+
 def residual_nulls(df: DataFrame) -> DataFrame:                                      # H2
     """``(column, null_count)`` for columns that still hold NULLs -- one aggregate."""
     structs = [F.struct(F.lit(c).alias("column"), F.count_if(col(c).isNull()).alias("null_count"))

@@ -5,10 +5,14 @@ The call log is ``m_calls`` (every ``events`` row is one logged call).
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..operators import calllog as CL
+from ..session import ensure_checkpoint_dir
 from ..sources import store as ST
 from .fixtures import m_calls, m_items, m_text
 from .registry import query
@@ -233,8 +237,7 @@ SELECT prompt_strategy, round(quantile_cont(latency_ms, 0.5), 6) AS median_laten
        ("m_calls",))
 def k15_latency_median(spark, sf):
     med = CL.group_medians(_log(spark, sf), "prompt_strategy", "latency_ms")
-    return spark.createDataFrame([(g, None if v[0] is None else round(v[0], 6)) for g, v in med.items()],
-                                 "prompt_strategy string, median_latency double")
+    return med.select("prompt_strategy", F.round("median", 6).alias("median_latency"))
 
 
 @query("k15_latency_hist", _with_log("""
@@ -300,22 +303,50 @@ def k20_dataset_summary(spark, sf):
 
 # ------------------------------------------------------------------ ledger views over the call log
 
-@query("a7_ledger", "SELECT run_id, agent_name AS step, logged_at AS at FROM m_calls", ("m_calls",))
+@query("a7_ledger", """
+SELECT run_id, agent_name AS step, min(logged_at) AS at FROM m_calls GROUP BY run_id, agent_name""", ("m_calls",))
 def a7_ledger(spark, sf):
-    return m_calls(spark, sf).select("run_id", F.col("agent_name").alias("step"), F.col("logged_at").alias("at"))
+    """Steps of the calls' runs appended to a ledger and read back."""
+    steps = m_calls(spark, sf).groupBy("run_id", F.col("agent_name").alias("step")).agg(F.min("logged_at").alias("at"))
+    root = os.path.join(ensure_checkpoint_dir(spark), f"ledger-{uuid.uuid4().hex}")
+    store = ST.RunStore(spark, root)
+    store.append_ledger(steps)
+    return store.ledger()
 
 
 @query("a10_runs", """
 SELECT run_id, min(logged_at) AS created_at, max(logged_at) AS last_at, count(*) AS steps
 FROM m_calls GROUP BY run_id""", ("m_calls",))
 def a10_runs(spark, sf):
-    ledger = a7_ledger(spark, sf)
+    ledger = m_calls(spark, sf).select("run_id", F.col("agent_name").alias("step"), F.col("logged_at").alias("at"))
     return ST.list_runs(ledger)
 
 
-@query("a11_bundle", """
-PIVOT (SELECT run_id, agent_name FROM m_calls WHERE run_id = 'run_0') ON agent_name USING count(*) GROUP BY run_id""",
-       ("m_calls",))
+# the reports of a run: one row per logged call of the stage
+_REPORT = """report AS (
+  SELECT run_id, agent_name AS stage, prompt_strategy AS "column", 'latency_ms' AS metric,
+         CAST(count(*) AS VARCHAR) AS value FROM m_calls GROUP BY run_id, agent_name, prompt_strategy)"""
+
+
+def _stage_report(spark, sf):
+    return m_calls(spark, sf).groupBy("run_id", F.col("agent_name").alias("stage"), F.col("prompt_strategy").alias("column")).agg(
+        F.lit("latency_ms").alias("metric"), F.count(F.lit(1)).cast("string").alias("value"))
+
+
+@query("a6_stage_report", f"""
+WITH {_REPORT} SELECT run_id, "column", metric, value FROM report
+WHERE stage = (SELECT min(stage) FROM report)""", ("m_calls",))
+def a6_stage_report(spark, sf):
+    rep = _stage_report(spark, sf)
+    first = rep.agg(F.min("stage")).first()[0]
+    return ST.stage_report(rep, first).select("run_id", "column", "metric", "value")
+
+
+@query("a11_bundle", f"""
+WITH {_REPORT}
+SELECT run_id, stage, string_agg("column" || '.' || metric || '=' || value, ';' ORDER BY "column", metric, value) AS entries
+FROM report WHERE run_id = 'run_0' GROUP BY run_id, stage""", ("m_calls",))
 def a11_bundle(spark, sf):
-    rep = m_calls(spark, sf).select("run_id", F.col("agent_name").alias("stage"))
-    return ST.run_bundle(rep, "run_0")
+    b = ST.run_bundle(_stage_report(spark, sf), "run_0")
+    line = F.transform("entries", lambda e: F.concat(e["column"], F.lit("."), e["metric"], F.lit("="), e["value"]))
+    return b.select("run_id", "stage", F.array_join(line, ";").alias("entries"))

@@ -80,8 +80,12 @@ def j6(spark, sf):
 
 _J7 = per_column("SELECT '{c}' AS c, count_if(regexp_matches({c}, '(N/A|[$%])')) / count({c}) AS o FROM m_items",
                  ITEM_STRING)
+# text forms of two numeric columns and one that only looks numeric in part
+_TYPED = ["qty_text", "part_text", "mixed"]
+_TYPED_SQL = ("(SELECT CAST(qty AS VARCHAR) AS qty_text, CAST(part_id AS VARCHAR) AS part_text, "
+              "CASE WHEN part_id % 3 = 0 THEN item_id ELSE CAST(part_id AS VARCHAR) END AS mixed, item_id FROM m_items)")
 _J8 = per_column("SELECT '{c}' AS c, count_if(TRY_CAST({c} AS DOUBLE) IS NULL AND {c} IS NOT NULL) / count({c}) AS o "
-                 "FROM m_items", ITEM_STRING)
+                 f"FROM {_TYPED_SQL}", _TYPED)
 
 
 @query("j7_dirty_tokens", _sel("J7", "c", "o", 0.1, "coalesce(o > 0.1, false)", f"({_J7})"), ("m_items",))
@@ -91,22 +95,33 @@ def j7(spark, sf):
 
 @query("j8_non_numeric", _sel("J8", "c", "o", 0.2, "coalesce(o > 0.2, false)", f"({_J8})"), ("m_items",))
 def j8(spark, sf):
-    return _r(G.j8_non_numeric_strings(m_items(spark, sf)))
+    text = m_items(spark, sf).select(
+        F.col("qty").cast("string").alias("qty_text"), F.col("part_id").cast("string").alias("part_text"),
+        F.when(F.col("part_id") % 3 == 0, F.col("item_id")).otherwise(F.col("part_id").cast("string")).alias("mixed"), "item_id")
+    return _r(G.j8_non_numeric_strings(text, _TYPED))
 
 
 _NN = per_column("SELECT '{c}' AS \"column\", count({c}) AS non_null FROM m_items", ITEM_COLS)
 
 
-@query("j9_type_rules", _sel(
-    "J9", "r.\"column\"", "r.ratio", 0.95,
-    "(r.ratio > 0.95 AND s.semantic <> 'id') OR (s.semantic = 'datetime' AND n.non_null < 10)",
-    f"({_RATIO}) r JOIN ({_SEM}) s ON r.\"column\" = s.\"column\" JOIN ({_NN}) n ON r.\"column\" = n.\"column\""),
-    ("m_items",))
+# the item types with one wrong entry each way, so that both ratio rules fire
+_TYPES9 = (f"(SELECT \"column\", CASE \"column\" WHEN 'status_code' THEN 'text' ELSE semantic END AS semantic FROM ({_SEM}))")
+_J9_SRC = (f"({_RATIO}) r JOIN {_TYPES9} s ON r.\"column\" = s.\"column\" JOIN ({_NN}) n ON r.\"column\" = n.\"column\"")
+
+
+@query("j9_type_rules",
+       _sel("J9.id", "r.\"column\"", "r.ratio", 0.95, "r.ratio > 0.95 AND s.semantic <> 'id'", _J9_SRC) + "\nUNION ALL\n"
+       + _sel("J9.categorical", "r.\"column\"", "r.ratio", 0.05,
+              "r.ratio < 0.05 AND s.semantic NOT IN ('categorical', 'datetime', 'unknown')", _J9_SRC) + "\nUNION ALL\n"
+       + _sel("J9.datetime", "r.\"column\"", "n.non_null", 10, "s.semantic = 'datetime' AND n.non_null < 10", _J9_SRC),
+       ("m_items",))
 def j9(spark, sf):
     df = m_items(spark, sf)
     ratios = TY.distinct_ratio(df).select("column", F.round("ratio", 6).alias("ratio"))
     nn = G.column_profile(df).select("column", (F.col("rows") - F.col("null_count")).alias("non_null"))
-    return _r(G.j9_type_thresholds(ratios, _semantic(spark, sf), nn))
+    types = _semantic(spark, sf).withColumn(
+        "semantic", F.when(F.col("column") == "status_code", "text").otherwise(F.col("semantic")))
+    return _r(G.j9_type_thresholds(ratios, types, nn))
 
 
 # plan over every column: default rule, overridden for price and qty (J10, J21)
@@ -132,15 +147,15 @@ def j10(spark, sf):
 
 
 _J11 = "\nUNION ALL\n".join(
-    [f"SELECT '{c}' AS c, 'numeric' AS fam, (count(*) - count({c})) / count(*) * 100 AS p, skewness({c}) AS sk "
+    [f"SELECT '{c}' AS c, 'numeric' AS fam, (count(*) - count({c})) / count(*) * 100 AS p, skewness({c}) * (count({c}) - 2) / sqrt(count({c}) * (count({c}) - 1)) AS sk "
      f"FROM m_items" for c in ITEM_NUMERIC]
     + [f"SELECT '{c}', 'string', (count(*) - count({c})) / count(*) * 100, NULL FROM m_items" for c in ITEM_STRING])
 
 
-@query("j11_missing_advice", _sel(
-    "J11", "c", "p", 70.0,
-    "p > 70 OR (fam = 'numeric' AND p >= 20 AND p <= 70) OR (coalesce(abs(sk) > 1, false) AND p > 0)", f"({_J11})"),
-    ("m_items",))
+@query("j11_missing_advice",
+       _sel("J11.drop", "c", "p", 70.0, "p > 70", f"({_J11})") + "\nUNION ALL\n"
+       + _sel("J11.knn", "c", "p", 20.0, "fam = 'numeric' AND p >= 20 AND p <= 70", f"({_J11})") + "\nUNION ALL\n"
+       + _sel("J11.median", "c", "coalesce(abs(sk), 0)", 1.0, "coalesce(abs(sk), 0) > 1 AND p > 0", f"({_J11})"), ("m_items",))
 def j11(spark, sf):
     return _r(G.j11_missing_advice(m_items(spark, sf)))
 
@@ -157,12 +172,20 @@ _OUT_PCT = "\nUNION ALL\n".join(
     for c in ITEM_NUMERIC)
 
 
-@query("j13_outlier_policy", _with_fences(_sel(
-    "J13", "c", "pct", 5.0, "pct > 5 OR regexp_matches(lower(c), 'fraud|anomaly') OR c = 'target'", f"({_OUT_PCT})")),
+# planned actions: order_id and price are to be dropped, qty is kept as a signal, all others clipped
+_ACTIONS = {"order_id": "drop", "price": "drop", "qty": "keep_as_signal"}
+_J13_SRC = (f"(SELECT c, pct, CASE c " + " ".join(f"WHEN '{c}' THEN '{a}'" for c, a in _ACTIONS.items())
+            + f" ELSE 'clip' END AS act FROM (SELECT CASE c WHEN 'mystery' THEN 'anomaly_tax' ELSE c END AS c, pct FROM ({_OUT_PCT})))")
+
+
+@query("j13_outlier_policy", _with_fences(
+    _sel("J13.drop", "c", "pct", 5.0, "act = 'drop' AND pct > 5", _J13_SRC) + "\nUNION ALL\n"
+    + _sel("J13.clip", "c", "pct", 0.0, "act = 'clip' AND regexp_matches(lower(c), 'fraud|anomaly')", _J13_SRC)
+    + "\nUNION ALL\n" + _sel("J13.target", "c", "pct", 0.0, "act IN ('drop', 'clip') AND c = 'target'", _J13_SRC)),
     ("m_items",))
 def j13(spark, sf):
-    df = m_items(spark, sf)
-    return _r(G.j13_outlier_policy(OU.outlier_report(df, OU.fit_outliers(df)), "target"))
+    df = m_items(spark, sf).withColumnRenamed("mystery", "anomaly_tax")
+    return _r(G.j13_outlier_policy(OU.outlier_report(df, OU.fit_outliers(df)), "target", _ACTIONS))
 
 
 _ANY = " OR ".join(_is_out(c) for c in ITEM_NUMERIC)
@@ -182,9 +205,14 @@ _MINS = per_column("SELECT '{c}' AS c, CAST(min({c}) AS DOUBLE) AS vmin FROM m_i
 _NDIST = per_column("SELECT '{c}' AS c, count(DISTINCT {c}) AS nd FROM m_items", ITEM_COLS)
 
 
-@query("j15_feature_bans", _sel(
-    "J15", "s.\"column\"", "d.nd", 50, "d.nd > 50 OR coalesce(m.vmin <= 0, false) OR s.semantic IN ('id', 'text')",
-    f"({_SEM}) s JOIN ({_NDIST}) d ON s.\"column\" = d.c LEFT JOIN ({_MINS}) m ON s.\"column\" = m.c"), ("m_items",))
+_J15_SRC = f"({_SEM}) s JOIN ({_NDIST}) d ON s.\"column\" = d.c LEFT JOIN ({_MINS}) m ON s.\"column\" = m.c"
+
+
+@query("j15_feature_bans",
+       _sel("J15.one_hot", "s.\"column\"", "d.nd", 50, "d.nd > 50", _J15_SRC) + "\nUNION ALL\n"
+       + _sel("J15.log", "s.\"column\"", "m.vmin", 0.0, "coalesce(m.vmin <= 0, false)", _J15_SRC) + "\nUNION ALL\n"
+       + _sel("J15.polynomial", "s.\"column\"", "CASE WHEN s.semantic IN ('id', 'text') THEN 1.0 ELSE 0.0 END", 0.0,
+              "s.semantic IN ('id', 'text')", _J15_SRC), ("m_items",))
 def j15(spark, sf):
     df = m_items(spark, sf)
     return _r(G.j15_feature_bans(df, _semantic(spark, sf)))
@@ -206,25 +234,41 @@ _J16 = "\nUNION ALL\n".join(
     for a in ("flag_encoded", "status_code_encoded") for b in _ENC_OLD)
 
 
-@query("j16_identical", _sel("J16", "c", "o", 0.0, "o = 0", f"({_J16})"), ("m_items",))
+@query("j16_identical", _sel("J16.identical", "c", "o", 0.0, "o = 0", f"({_J16})") + "\nUNION ALL\n"
+       + _sel("J16.nulls", "'log_qty<-qty'", "o", 0.0, "o > 0",
+              "(SELECT count_if(qty <= 10) AS o FROM m_items)") + "\nUNION ALL\n"
+       + _sel("J16.identical", "'part_copy=part_id'", "0.0", 0.0, "true", "(SELECT 1)"), ("m_items",))
 def j16(spark, sf):
     df = m_items(spark, sf)
     enc = FE.apply_encode(df, FE.fit_encode(df, ["flag", "status_code"]))
-    return _r(G.j16_identical_columns(enc, ["flag_encoded", "status_code_encoded"], _ENC_OLD))
+    # a transform that is undefined for quantities up to 10, and a plain copy of a column
+    more = df.select("qty", "part_id", F.when(F.col("qty") > 10, F.ln(F.col("qty") - 10)).alias("log_qty"),
+                     F.col("part_id").alias("part_copy"))
+    return _r(G.j16_identical_columns(enc, ["flag_encoded", "status_code_encoded"], _ENC_OLD).unionByName(
+        G.j16_identical_columns(more, ["part_copy"], ["part_id"], {"log_qty": "qty"})))
 
 
 _LOWVAR = per_column("SELECT '{c}' AS c FROM m_items HAVING coalesce(var_samp({c}) < 0.01, false)",
                      [c for c in ITEM_NUMERIC if c != "target"])
 
 
-@query("j17_selection_rules", _sel(
-    "J17", "s.\"column\"", "CASE WHEN r.c IS NULL THEN 0.0 ELSE 1.0 END", 0.0,
-    "(s.semantic = 'id' AND r.c IS NULL) OR (s.\"column\" = 'target' AND r.c IS NOT NULL)",
-    f"({_SEM}) s LEFT JOIN ({_LOWVAR}) r ON s.\"column\" = r.c"), ("m_items",))
+_J17_SRC = (f"({_SEM}) s LEFT JOIN (SELECT c, 'low variance' AS why FROM ({_LOWVAR}) UNION ALL "
+            f"SELECT 'flag', 'high correlation') r ON s.\"column\" = r.c")
+_RM = "CASE WHEN r.c IS NULL THEN 0.0 ELSE 1.0 END"
+
+
+@query("j17_selection_rules",
+       _sel("J17.id", "s.\"column\"", _RM, 0.0, "s.semantic = 'id' AND r.c IS NULL", _J17_SRC) + "\nUNION ALL\n"
+       + _sel("J17.target", "s.\"column\"", _RM, 0.0, "s.\"column\" = 'target' AND r.c IS NOT NULL", _J17_SRC) + "\nUNION ALL\n"
+       + _sel("J17.categorical", "s.\"column\"", _RM, 0.0,
+              "s.semantic = 'categorical' AND coalesce(r.why = 'high correlation', false)", _J17_SRC), ("m_items",))
 def j17(spark, sf):
     df = m_items(spark, sf)
     fit = SE.fit_select(df, "target")
-    removed = spark.createDataFrame([(c,) for c in fit.low_variance + fit.high_correlation], "column string")
+    # one categorical column is reported as removed by the correlation filter, which no plan may do
+    removed = spark.createDataFrame([(c, "low variance") for c in fit.low_variance]
+                                    + [(c, "high correlation") for c in fit.high_correlation + ["flag"]],
+                                    "column string, reason string")
     return _r(G.j17_selection_rules(_semantic(spark, sf), removed, "target"))
 
 

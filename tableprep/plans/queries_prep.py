@@ -112,9 +112,17 @@ def b8_summary(spark, sf):
     return s.select("column", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max")
 
 
-@query("b9_dtypes")
+_DTYPES = per_column(
+    "SELECT '{c}' AS \"column\", CASE lower(max(typeof({c}))) WHEN 'varchar' THEN 'string' ELSE lower(max(typeof({c}))) END "
+    "AS dtype, count({c}) AS non_null FROM m_items", ITEM_COLS)
+
+
+@query("b9_dtypes", _DTYPES, ("m_items",))
 def b9_dtypes(spark, sf):
-    return P.dtype_map(m_items(spark, sf))
+    """Type of every column and how many values of it the table holds."""
+    df = m_items(spark, sf)
+    held = P.column_profile(df).select("column", (F.col("rows") - F.col("null_count")).alias("non_null"))
+    return P.dtype_map(df).join(held, "column")
 
 
 _BAND = f"""
@@ -246,8 +254,8 @@ def d1_nullfrac(spark, sf):
 @query("d2_drop", f"SELECT \"column\" FROM ({_FRAC}) WHERE frac >= 0.7", ("m_items",))
 def d2_drop(spark, sf):
     df = m_items(spark, sf)
-    fit = IM.fit_impute(df, TY.fit_types(df).semantic)
-    return spark.createDataFrame([(c,) for c in fit.dropped], "column string")
+    fr = {r["column"]: r["null_fraction"] for r in IM.null_fractions(df).collect()}
+    return spark.createDataFrame([(c,) for c, a in IM.plan_actions(fr, {}).items() if a == "drop"], "column string")
 
 
 _PLAN = f"""
@@ -261,8 +269,9 @@ FROM ({_FRAC}) f JOIN ({_SEM}) s ON f."column" = s."column"
 @query("d3_plan", _PLAN, ("m_items",))
 def d3_plan(spark, sf):
     df = m_items(spark, sf)
-    fit = IM.fit_impute(df, TY.fit_types(df).semantic)
-    return spark.createDataFrame([(c, a.action) for c, a in fit.actions.items()], "column string, strategy string")
+    types = TY.fit_types(df)
+    acts = IM.plan_actions(types.null_fractions, types.semantic)
+    return spark.createDataFrame(list(acts.items()), "column string, strategy string")
 
 
 def _filled_items(spark, sf, overrides, constant=0):
@@ -274,8 +283,10 @@ def _filled_items(spark, sf, overrides, constant=0):
 
 
 @query("d4_mean", """
-SELECT order_id, part_id, round(coalesce(qty, (SELECT avg(qty) FROM m_items)), 6) AS qty,
-       round(coalesce(discount, (SELECT avg(discount) FROM m_items)), 6) AS discount FROM m_items""", ("m_items",))
+WITH items AS MATERIALIZED (SELECT order_id, part_id, qty, discount FROM m_items),
+     means AS MATERIALIZED (SELECT avg(qty) AS q, avg(discount) AS d FROM items)
+SELECT order_id, part_id, round(coalesce(qty, q), 6) AS qty, round(coalesce(discount, d), 6) AS discount
+FROM items, means""", ("m_items",))
 def d4_mean(spark, sf):
     out = _filled_items(spark, sf, {"qty": "mean", "discount": "mean"})
     return out.select("order_id", "part_id", F.round("qty", 6).alias("qty"), F.round("discount", 6).alias("discount"))
@@ -312,8 +323,9 @@ def d7_const(spark, sf):
 
 
 @query("d8_override", """
-SELECT order_id, part_id, round(coalesce(qty, (SELECT avg(qty) FROM m_items)), 6) AS qty, price,
-       coalesce(flag, '0') AS flag, status_code, ship_date, item_id, constant_col, target FROM m_items""",
+WITH items AS MATERIALIZED (SELECT * FROM m_items), means AS MATERIALIZED (SELECT avg(qty) AS q FROM items)
+SELECT order_id, part_id, round(coalesce(qty, q), 6) AS qty, price,
+       coalesce(flag, '0') AS flag, status_code, ship_date, item_id, constant_col, target FROM items, means""",
        ("m_items",))
 def d8_override(spark, sf):
     out = _filled_items(spark, sf, {"qty": "mean", "discount": "drop", "flag": "constant"})
@@ -333,8 +345,9 @@ FROM ({_FRAC}) f JOIN ({_SEM}) s ON f."column" = s."column"
 @query("d9_log", _LOG, ("m_items",))
 def d9_log(spark, sf):
     df = m_items(spark, sf)
-    fit = IM.fit_impute(df, TY.fit_types(df).semantic)
-    return spark.createDataFrame(IM.strategy_log(fit), "column string, log string")
+    types = TY.fit_types(df)
+    acts = IM.plan_actions(types.null_fractions, types.semantic)
+    return spark.createDataFrame(IM.plan_log(acts, types.null_fractions), "column string, log string")
 
 
 # ---------------------------------------------------------------- E: outliers
@@ -628,38 +641,71 @@ def i1_prepare(spark, sf):
     return prepare(m_items(spark, sf), target="target").df
 
 
-@query("h1_steps")
+# a ledger of runs (day and a part of it) whose events name the steps they logged
+_STEP = ("CASE user_id % 9 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(VA.EXPECTED_STEPS)) + " ELSE 'other' END")
+_LEDGER_SQL = (f"SELECT CONCAT('day-', CAST(CAST(ts AS DATE) AS STRING), '-', CAST(event_id % 101 AS STRING)) AS run_id, "
+               f"{_STEP} AS step, ts AS at FROM events")
+
+
+@query("h1_steps", f"""
+WITH ledger AS ({_LEDGER_SQL.replace('STRING', 'VARCHAR')}),
+     expected AS ({" UNION ALL ".join(f"SELECT '{s}' AS step, {i} AS ord" for i, s in enumerate(VA.EXPECTED_STEPS))}),
+     runs AS (SELECT DISTINCT run_id FROM ledger)
+SELECT r.run_id, e.step, CAST(e.ord AS INTEGER) AS ord FROM runs r, expected e
+WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.run_id = r.run_id AND l.step = e.step)""")
 def h1_steps(spark, sf):
-    """Expected steps missing from the ledger of a run that stopped after types."""
-    df = m_items(spark, sf)
-    store = RunStore(spark)
-    store.add_report("partial", "intake", [(None, "rows", df.count())], label="intake")
-    store.add_report("partial", "audit", [(None, "overall_quality", P.audit(df).overall_quality)],
-                     label="quality_report")
-    fit = TY.fit_types(df)
-    store.add_report("partial", "types", [(c, "semantic", s) for c, s in fit.semantic.items()], label="type_report")
-    return VA.missing_steps(store.ledger(), "partial")
+    """Expected steps that the runs of a ledger have not logged."""
+    from ..session import read_table
+    read_table(spark, sf, "events").createOrReplaceTempView("events")
+    return VA.missing_steps_of_runs(spark.sql(_LEDGER_SQL))
+
+
+_REPORT_SQL = f"""
+SELECT 'audit' AS stage, "column", 'null_count' AS metric, CAST(null_count AS VARCHAR) AS value FROM ({_NULLS})
+UNION ALL SELECT 'audit', NULL, 'duplicate_rows', CAST(duplicate_rows AS VARCHAR) FROM ({_DUPS})
+UNION ALL SELECT 'audit', NULL, 'overall_quality', overall_quality FROM ({_RATING})
+UNION ALL SELECT 'audit', "column", 'zero_variance', 'True' FROM ({_ZERO})
+UNION ALL SELECT 'types', "column", 'semantic', semantic FROM ({_SEM})
+UNION ALL SELECT 'missing', "column", 'strategy', strategy FROM ({_PLAN})
+"""
+
+
+@query("i1_report", _REPORT_SQL, ("m_items",))
+def i1_report(spark, sf):
+    """Stage metrics of the full run: audit, types and the missing-value plan."""
+    rep = prepare(m_items(spark, sf), target="target").report()
+    return rep.where("metric IN ('null_count', 'duplicate_rows', 'overall_quality', 'zero_variance', 'semantic', 'strategy')"
+                     ).select("stage", "column", "metric", "value")
+
+
+# the run's removals: one constant column; its features: five date parts are one line, codes one each
+_H5 = f"""
+WITH s AS MATERIALIZED ({_SEM}), r AS MATERIALIZED ({_RATING})
+SELECT (SELECT overall_quality FROM r) AS original_quality,
+       (SELECT count(*) FROM s WHERE semantic IN ('datetime', 'categorical')) AS features_engineered
+"""
 
 
-@query("h5_rollup")
+@query("h5_rollup", _H5, ("m_items",))
 def h5_rollup(spark, sf):
     res = prepare(m_items(spark, sf), target="target", outlier_action="flag")
-    return VA.stats_rollup(res.report())
+    return VA.stats_rollup(res.report()).select("original_quality", "features_engineered")
 
 
 _TEMPLATES = {
-    "missing": 'Column: "{col_name}", semantic type: "{col_type}", null percentage: {missing_pct}%.',
-    "unfilled": "Column {col_name} sample values: {sample_values}",
+    "card": "{{{col_name}}} is held as {col_type}; {missing_pct} of 100 cells are empty",
+    "unfilled": "{col_name} by {no_such_column}",
 }
 
 
 @query("i5_render", f"""
-SELECT s."column" AS col_name, 'missing' AS template_id,
-       'Column: "' || s."column" || '", semantic type: "' || s.semantic || '", null percentage: '
-       || CAST(coalesce(p.null_pct, 0.0) AS VARCHAR) || '%.' AS prompt
+SELECT s."column" AS col_name, 'card' AS template_id,
+       '{{{{' || s."column" || '}}}} is held as ' || s.semantic || '; ' || CAST(coalesce(p.null_pct, 0.0) AS VARCHAR)
+       || ' of 100 cells are empty' AS prompt
 FROM ({_SEM}) s LEFT JOIN ({_PCT}) p ON s."column" = p."column"
 UNION ALL
-SELECT "column", 'unfilled', 'Column {{col_name}} sample values: {{sample_values}}' FROM ({_SEM})""", ("m_items",))
+SELECT "column", 'unfilled', '{{col_name}} by {{no_such_column}}' FROM ({_SEM})""".replace("{{{{", "{{").replace("}}}}", "}}")
+       .replace("{{", "{").replace("}}", "}"), ("m_items",))
 def i5_render(spark, sf):
     df = m_items(spark, sf)
     cards = P.column_cards(TY.semantic_types(df), df).select(

@@ -1,30 +1,31 @@
 """Template rendering (I5): fill ``{name}`` placeholders from columns.
 
-Mirrors ``str.format``: when a placeholder names a column the table does not
-have, the template is returned unformatted.  Filling is a chain of
-``replace`` calls on JVM strings, one projection for the whole table.
+Mirrors ``str.format``: the template is cut into text and placeholders once,
+``{{`` and ``}}`` are braces, and filled values are never filled again.  When
+a placeholder names a column the table does not have, the template is
+returned unformatted.  One projection fills the whole table.
 """
 
 from __future__ import annotations
 
-import re
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col
 
-PLACEHOLDER = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
-
 
 def render_expr(template: str, columns) -> Column:
-    names = PLACEHOLDER.findall(template)
-    if any(n not in columns for n in names):
+    parts = [(text, name) for text, name, _, _ in string.Formatter().parse(template)]
+    if any(name is not None and name not in columns for _, name in parts):
         return F.lit(template)
-    out = F.lit(template)
-    for n in dict.fromkeys(names):
-        out = F.replace(out, F.lit("{" + n + "}"), F.coalesce(col(n).cast("string"), F.lit("None")))
-    return out
+    out = [F.lit("")]
+    for text, name in parts:
+        out.append(F.lit(text))
+        if name is not None:
+            out.append(F.coalesce(col(name).cast("string"), F.lit("None")))
+    return F.concat(*out)
 
 
 def render(df: DataFrame, templates: dict, keep=()) -> DataFrame:

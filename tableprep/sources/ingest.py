@@ -18,6 +18,7 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 BOOL_TOKENS = ["True", "False", "true", "false", "TRUE", "FALSE"]
 FORMATS = ("csv", "json", "parquet")
+_CORRUPT = "__corrupt_record"
 
 
 def _na_to_null(df: DataFrame) -> DataFrame:
@@ -50,17 +51,23 @@ def infer_text_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def read_any(spark: SparkSession, path: str, file_type: str = "csv", json_lines: bool | None = None) -> DataFrame:
-    """A1-A3.  Unsupported formats raise (the reference returned an error dict)."""
+def read_any(spark: SparkSession, path: str, file_type: str = "csv", json_lines: bool = True,
+             multi_line: bool = True) -> DataFrame:
+    """A1-A3.  Unsupported formats raise (the reference returned an error dict).
+
+    CSV: quotes are doubled inside quoted fields; with ``multi_line`` a quoted
+    field may hold newlines, which makes a file one task -- switch it off for
+    large files without such fields.  JSON: ``json_lines`` says whether a file
+    holds one object per line or one array (or object); text that is neither
+    raises.  ``path`` may be a file or a folder on any file system of Spark.
+    """
     if file_type == "csv":
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        raw = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line).csv(path)
         return nan_to_null(infer_text_types(_na_to_null(raw)))
     if file_type == "json":
-        if json_lines is None:
-            with open(path, encoding="utf-8") as fh:
-                head = fh.read(1).strip() if not path.startswith(("hdfs:", "s3", "gs:", "abfs")) else "["
-            json_lines = head != "["
-        df = spark.read.option("multiLine", not json_lines).json(path)
+        df = spark.read.options(multiLine=not json_lines, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).json(path)
+        if _CORRUPT in df.columns:
+            raise ValueError(f"{path} is not {'JSON lines' if json_lines else 'a JSON document'}; see json_lines")
         return nan_to_null(df)
     if file_type == "parquet":
         return nan_to_null(spark.read.parquet(path))

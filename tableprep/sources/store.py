@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 REPORT_SCHEMA = "run_id string, stage string, column string, metric string, value string"
 LEDGER_SCHEMA = "run_id string, step string, at timestamp"
+SNAPSHOT_SCHEMA = "run_id string, label string, path string, at timestamp"
 
 
 class RunStore:
@@ -51,28 +54,45 @@ class RunStore:
         self.log_step(run_id, label or f"{stage}_report")
 
     def report(self) -> DataFrame:
-        if self.root and os.path.exists(os.path.join(self.root, "report")):
+        if self.root and path_exists(self.spark, os.path.join(self.root, "report")):
             return self.spark.read.schema(REPORT_SCHEMA).parquet(os.path.join(self.root, "report"))
         return self.spark.createDataFrame(self._report, REPORT_SCHEMA)
 
+    def stage_report(self, run_id: str, stage: str) -> DataFrame:
+        """One stage's report of a run; empty if the run has none."""
+        return stage_report(self.report().where(F.col("run_id") == run_id), stage)
+
     def ledger(self) -> DataFrame:
-        if self.root and os.path.exists(os.path.join(self.root, "ledger")):
+        if self.root and path_exists(self.spark, os.path.join(self.root, "ledger")):
             return self.spark.read.schema(LEDGER_SCHEMA).parquet(os.path.join(self.root, "ledger"))
         return self.spark.createDataFrame(self._ledger, LEDGER_SCHEMA)
 
-    # --- snapshots (A5): only the latest stage output per run survives
+    def append_ledger(self, steps: DataFrame) -> None:
+        """Appends ``(run_id, step, at)`` rows of a table."""
+        steps.select(*[F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(LEDGER_SCHEMA)]).write.mode("append").parquet(
+            os.path.join(self.root, "ledger"))
+
+    # --- snapshots (A5): each in a folder of its own, so a reader of an earlier one is never overwritten
     def save_snapshot(self, df: DataFrame, run_id: str, label: str) -> DataFrame:
         if not self.root:
             self.log_step(run_id, label)
             return df
-        path = os.path.join(self.root, "snapshots", run_id)
-        df.write.mode("overwrite").parquet(path)
+        path = os.path.join(self.root, "snapshots", run_id, f"{label}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        row = (run_id, label, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+        self.spark.createDataFrame([row], SNAPSHOT_SCHEMA).write.mode("append").parquet(os.path.join(self.root, "latest"))
         self.log_step(run_id, label)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def load_snapshot(self, run_id: str, label: str | None = None) -> DataFrame:
+        """The run's latest snapshot (of ``label``, if given)."""
+        known = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(os.path.join(self.root, "latest")).where(F.col("run_id") == run_id)
+        known = known if label is None else known.where(F.col("label") == label)
+        path = known.agg(F.max_by("path", "at")).first()[0]
+        if path is None:
+            raise ValueError(f"run {run_id!r} has no snapshot")
         return self.spark.read.parquet(path)
 
-    def load_snapshot(self, run_id: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.root, "snapshots", run_id))
-
     def write_report_json(self, path: str) -> None:                    # A9-style sink
         self.report().coalesce(1).write.mode("overwrite").json(path)
 
@@ -85,11 +105,23 @@ def list_runs(ledger: DataFrame) -> DataFrame:                          # A10
             .orderBy(F.col("last_at").desc(), F.col("run_id")))
 
 
-def run_bundle(report: DataFrame, run_id: str, stages=None) -> DataFrame:    # A11
-    """All stage reports of one run side by side: metric rows per stage.
+def stage_report(report: DataFrame, stage: str) -> DataFrame:
+    """Rows of one stage; none if the stage never reported."""
+    return report.where(F.col("stage") == stage)
+
+
+def run_bundle(report: DataFrame, run_id: str) -> DataFrame:    # A11
+    """All stage reports of one run together: ``(run_id, stage, entries)``, entries
+    being the stage's ``(column, metric, value)`` rows in order.
+
+    Reports hold rows per column of a table, not per row of it, so a stage's
+    entries are few."""
+    entry = F.struct("column", "metric", "value")
+    return (report.where(F.col("run_id") == run_id).groupBy("run_id", "stage")
+            .agg(F.sort_array(F.collect_list(entry)).alias("entries")))
+
 
-    Without ``stages`` Spark finds the stage names itself (and refuses more
-    than ``spark.sql.pivotMaxValues`` of them rather than dropping any)."""
-    g = report.where(F.col("run_id") == run_id).groupBy("run_id")
-    p = g.pivot("stage", list(stages)) if stages is not None else g.pivot("stage")
-    return p.agg(F.count(F.lit(1)))
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system it belongs to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tableprep.operators import calllog as CL
@@ -17,17 +18,47 @@ SF = "/root/testdata/sf0.001"
 
 def test_read_json_array_and_lines(spark):
     d = tempfile.mkdtemp(prefix="tp-json-")
-    arr, lines = os.path.join(d, "a.json"), os.path.join(d, "l.json")
+    arr, lines = os.path.join(d, "a.json"), os.path.join(d, "l.jsonl")
     recs = [{"x": 1, "y": "a"}, {"x": None, "y": "b"}, {"x": 3.5, "y": None}]
     with open(arr, "w") as f:
         json.dump(recs, f)
     with open(lines, "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs))
-    for p in (arr, lines):
-        df = read_any(spark, p, "json")
+    for p, as_lines in ((arr, False), (lines, True), (os.path.dirname(lines) + "/*.jsonl", True)):
+        df = read_any(spark, p, "json", json_lines=as_lines)
         assert df.count() == 3 and df.where(F.col("x").isNull()).count() == 1
-    prof = intake_profile(read_any(spark, arr, "json"), arr, "json").first()
+    prof = intake_profile(read_any(spark, arr, "json", json_lines=False), arr, "json").first()
     assert prof["rows"] == 3 and prof["columns"] == 2
+    with pytest.raises(ValueError):
+        read_any(spark, arr, "json", json_lines=True)
+
+
+def test_csv_quotes_and_quoted_newlines(spark):
+    p = os.path.join(tempfile.mkdtemp(prefix="tp-csv-"), "q.csv")
+    with open(p, "w") as f:
+        f.write('a,b\n1,"say ""hi"", ok"\n2,"two\nlines"\n')
+    assert [tuple(r) for r in read_any(spark, p, "csv").orderBy("a").collect()] == [(1, 'say "hi", ok'), (2, "two\nlines")]
+    assert read_any(spark, os.path.dirname(p), "csv").count() == 2
+
+
+def test_second_snapshot_keeps_the_first(spark):
+    st = RunStore(spark, tempfile.mkdtemp(prefix="tp-store-"))
+    one = st.save_snapshot(spark.range(3).toDF("x"), "r", "intake")
+    two = st.save_snapshot(one.where("x > 0"), "r", "types")
+    assert (one.count(), two.count(), st.load_snapshot("r").count(), st.load_snapshot("r", "intake").count()) == (3, 2, 2, 3)
+    with pytest.raises(ValueError):
+        st.load_snapshot("other")
+
+
+def test_stage_report_and_bundle(spark):
+    st = RunStore(spark, tempfile.mkdtemp(prefix="tp-store-"))
+    assert st.stage_report("r", "audit").count() == 0
+    st.add_report("r", "audit", [("b", "null_count", 2), ("a", "null_count", 1)])
+    st.add_report("r", "types", [("a", "semantic", "id")])
+    st.add_report("s", "types", [("a", "semantic", "text")])
+    assert st.stage_report("r", "types").first()["value"] == "id" and st.stage_report("r", "select").count() == 0
+    got = {r["stage"]: [tuple(e) for e in r["entries"]] for r in run_bundle(st.report(), "r").collect()}
+    assert got == {"audit": [("a", "null_count", "1"), ("b", "null_count", "2")], "types": [("a", "semantic", "id")]}
 
 
 def test_run_store_persists_report_ledger_snapshot(spark, items):
