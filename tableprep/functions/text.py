@@ -51,50 +51,67 @@ def silent_failure(text: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def _kind(v: Column) -> Column:
-    """Top-level JSON kind of a parsed variant: OBJECT, ARRAY, STRING, BOOLEAN, number, VOID."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
+#: number literals that Python's parser takes and JSON has not, after a structural character
+_NON_FINITE = r"([:\[,]\s*)-?(?:NaN|Infinity)(?=\s*[,}\]])"
+_OBJECT = r"^\s*\{"
+_MAP_OPTIONS = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
+
+
+def parse_reply(text: Column) -> Column:
+    """The reply as a variant, NULL if it is no JSON.
+
+    NaN and Infinity, which Python's parser takes, are read as 1 (a number,
+    and true); an object with a repeated key, which the strict parser refuses,
+    is read again as a map and keeps the key's last value."""
+    t = F.regexp_replace(text, _NON_FINITE, "$11")
+    entries = F.map_entries(F.from_json(t, "map<string,variant>", _MAP_OPTIONS))
+    late = F.transform(F.array(entries), lambda es: F.filter(
+        es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.size(es)), lambda x: x["key"] == e["key"])))[0]
+    last = F.try_parse_json(F.to_json(F.map_from_entries(late)))
+    v = F.coalesce(F.try_parse_json(t), F.when(text.rlike(_OBJECT), last))
+    # the parsers stop after the first value; text after it makes the reply no JSON
+    return F.when(text.rlike(r'(?s)^\s*(\{.*\}|\[.*\]|".*"|[^\s{\["]\S*)\s*$'), v)
+
+
+def _kind(json: Column) -> Column:
+    """Kind of a JSON text by its first character: { [ " t f n, or a digit or sign."""
+    return F.substring(F.ltrim(F.translate(json, "\t\r\n", "   ")), 1, 1)
 
 
 def truthy(v: Column) -> Column:
     """Python truthiness of a JSON value held in a variant (missing -> False)."""
     t = F.to_json(v)
-    k = _kind(v)
-    num = t.try_cast("double")
-    return (F.when(v.isNull(), False)
-            .when(k == "VOID", False)
-            .when(k == "BOOLEAN", t == "true")
-            .when(k == "STRING", t != '""')
-            .when(k.isin("ARRAY", "OBJECT"), ~t.isin("[]", "{}"))
-            .when(num.isNotNull(), num != 0)
-            .otherwise(True))
+    k = _kind(t)
+    return (F.when(v.isNull() | (k == "n"), False)
+            .when(k.isin("t", "f"), k == "t")
+            .when(k == '"', t != '""')
+            .when(k.isin("[", "{"), ~t.isin("[]", "{}"))
+            .otherwise(F.coalesce(t.try_cast("double") != 0, F.lit(True))))
 
 
 def backtrack(text: Column, v: Column | None = None) -> Column:                   # K4
     """JSON object: truthiness of its ``backtrack`` key; otherwise the text
     contains BACKTRACK (case-insensitive).  ``v`` may pass an already parsed
-    variant of ``text`` (parse once, use many times)."""
-    v = F.try_parse_json(text) if v is None else v
-    is_obj = _kind(v) == "OBJECT"
+    reply (``parse_reply``; parse once, use many times)."""
+    v = parse_reply(text) if v is None else v
+    is_obj = v.isNotNull() & (_kind(text) == "{")
     field = F.try_variant_get(v, "$.backtrack", "variant")
     return F.when(is_obj, truthy(field)).otherwise(F.coalesce(F.upper(text).contains("BACKTRACK"), F.lit(False)))
 
 
 def _has(v: Column, kind: Column, key: str) -> Column:
     """Python ``key in data`` for dict keys, list elements and substrings."""
-    keys = F.json_object_keys(F.to_json(v))
     arr = F.try_variant_get(v, "$", "array<variant>")
-    in_list = F.exists(arr, lambda x: (_kind(x) == "STRING") & (F.try_variant_get(x, "$", "string") == key))
-    s = F.try_variant_get(v, "$", "string")
-    return (F.when(kind == "OBJECT", F.array_contains(keys, key))
-            .when(kind == "ARRAY", F.coalesce(in_list, F.lit(False)))
-            .when(kind == "STRING", s.contains(key))
+    in_list = F.exists(arr, lambda x: F.to_json(x) == f'"{key}"')
+    return (F.when(kind == "{", F.try_variant_get(v, f"$.{key}", "variant").isNotNull())
+            .when(kind == "[", F.coalesce(in_list, F.lit(False)))
+            .when(kind == '"', F.try_variant_get(v, "$", "string").contains(key))
             .otherwise(False))
 
 
 def quality_score(text: Column, strategy: Column, v: Column | None = None) -> Column:   # K5
-    v = F.try_parse_json(text) if v is None else v
-    kind = _kind(v)
+    v = parse_reply(text) if v is None else v
+    kind = F.when(v.isNotNull(), _kind(text))
     score = F.lit(SCORE_BASE)
     for keys, bonus in SCORE_RULES:
         cond = _has(v, kind, keys[0])
@@ -104,7 +121,7 @@ def quality_score(text: Column, strategy: Column, v: Column | None = None) -> Co
     score = score + F.when(strategy == TREATMENT, TREATMENT_BONUS).otherwise(0.0)
     parsed = F.least(F.bround(score, 2), F.lit(SCORE_CAP))
     unparsable = F.when(strategy == "baseline", UNPARSABLE_SCORE["baseline"]).otherwise(UNPARSABLE_SCORE["cdp"])
-    return F.when(kind.isin("OBJECT", "ARRAY", "STRING"), parsed).otherwise(unparsable)
+    return F.when(kind.isin("{", "[", '"'), parsed).otherwise(unparsable)
 
 
 def strip_fences(text: Column) -> Column:                                        # K6
@@ -119,7 +136,7 @@ def strip_fences(text: Column) -> Column:
 def lenient_json(text: Column) -> Column:
     """``(ok, cleaned)``: cleaned text and whether it parses as JSON."""
     cleaned = strip_fences(text)
-    return F.struct(F.try_parse_json(cleaned).isNotNull().alias("ok"), cleaned.alias("cleaned"))
+    return F.struct(parse_reply(cleaned).isNotNull().alias("ok"), cleaned.alias("cleaned"))
 
 
 def score_from_reply(text: Column) -> Column:                                    # K7

@@ -39,7 +39,7 @@ def call_log(calls: DataFrame) -> DataFrame:
     # parse each reply once; the optimizer keeps this projection because the
     # parsed value is used by several expressions below
     v = F.col("__v")
-    calls = calls.withColumn("__v", F.try_parse_json(o))
+    calls = calls.withColumn("__v", TX.parse_reply(o))
     return calls.select(
         "run_id", F.col("logged_at").alias("timestamp"), "prompt_strategy", "agent_name",
         TX.truncate(p).alias("prompt_text"), TX.truncate(o).alias("output_text"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, numeric_columns
-from ..functions.stats import SLOTS, typed_value
+from ..functions.stats import SLOTS, comparable_columns, typed_value
 from ..session import ensure_checkpoint_dir
 
 # Fixed values of the feature rules.
@@ -101,7 +101,8 @@ def apply_encode(df: DataFrame, fit: EncodeFit) -> DataFrame:
     partitions, so a column that is mostly NULL does not meet in one task."""
     if not fit.columns:
         return df
-    out = df.withColumn("__spread", F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("string")))
+    keys = [col(c) for c in comparable_columns(df)]
+    out = df.withColumn("__spread", F.concat(F.lit("\0"), F.pmod(F.xxhash64(*keys), F.lit(4096)).cast("string")))
     for c in fit.columns:
         t = fit.table.where(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__k_{c}"))
         out = out.join(t, F.coalesce(col(c).cast("string"), F.col("__spread")) == col(f"__v_{c}"), "left")

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from ..functions.columns import nan_to_null
 from ..operators import features as FE
 from ..operators import gates as GA
 from ..operators import impute as IM
@@ -71,6 +72,7 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
     while the ~20 fit aggregates scan it (lost blocks are recomputed from
     lineage); it is released before returning."""
     spark = df.sparkSession
+    df = nan_to_null(df)
     owned = persist and not df.is_cached        # never release a cache the caller made
     if owned:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)

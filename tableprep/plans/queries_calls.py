@@ -99,13 +99,10 @@ def k2_truncate(spark, sf):
                     F.char_length("text").alias("n_chars"))
 
 
-_SILENT_TEXT = " OR ".join(f"regexp_matches(lower(text), '{TX.portable(p)}')" for p in TX.SILENT_FAILURE_PATTERNS)
-
-
-@query("k3_silent", f"SELECT conv_id, turn, {_SILENT_TEXT} AS silent_failure FROM m_text", ("m_text",))
+@query("k3_silent", f"SELECT run_id, agent_name, latency_ms, {_SILENT} AS silent_failure FROM m_calls", ("m_calls",))
 def k3_silent(spark, sf):
-    t = m_text(spark, sf)
-    return t.select("conv_id", "turn", TX.silent_failure(F.col("text")).alias("silent_failure"))
+    c = m_calls(spark, sf)
+    return c.select("run_id", "agent_name", "latency_ms", TX.silent_failure(F.col("output_text")).alias("silent_failure"))
 
 
 @query("k4_backtrack", _with_log("SELECT run_id, agent_name, latency_ms, backtrack_triggered FROM log"), ("m_calls",))
@@ -133,11 +130,11 @@ def k6_lenient(spark, sf):
 
 
 @query("k7_reply_score", """
-SELECT conv_id, turn, CASE WHEN regexp_extract(text, '[1-5]', 0) <> ''
-       THEN CAST(regexp_extract(text, '[1-5]', 0) AS DOUBLE) END AS score FROM m_text""", ("m_text",))
+SELECT run_id, agent_name, latency_ms, CASE WHEN regexp_extract(output_text, '[1-5]', 0) <> ''
+       THEN CAST(regexp_extract(output_text, '[1-5]', 0) AS DOUBLE) END AS score FROM m_calls""", ("m_calls",))
 def k7_reply_score(spark, sf):
-    t = m_text(spark, sf)
-    return t.select("conv_id", "turn", TX.score_from_reply(F.col("text")).alias("score"))
+    c = m_calls(spark, sf)
+    return c.select("run_id", "agent_name", "latency_ms", TX.score_from_reply(F.col("output_text")).alias("score"))
 
 
 # ------------------------------------------------------------------ K8-K20 (aggregates)
@@ -290,15 +287,23 @@ def k19_boundaries(spark, sf):
     return CL.boundary_marks(_summary(spark, sf))
 
 
-@query("k20_dataset_summary", """
+_K20_COLS = ["order_id", "part_id", "qty", "price", "discount", "mystery", "flag", "status_code", "ship_date", "item_id",
+             "constant_col", "target"]
+
+
+@query("k20_dataset_summary", f"""
 SELECT count(*) AS "rows", 12 AS "columns",
-       (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM m_items GROUP BY ALL_COLS))
-       AS duplicate_rows FROM m_items""".replace("ALL_COLS", "order_id, part_id, qty, price, discount, mystery, flag, "
-                                                  "status_code, ship_date, item_id, constant_col, target"),
-       ("m_items",))
+       (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM m_items GROUP BY {", ".join(_K20_COLS)}))
+       AS duplicate_rows,
+       '[{",".join(f'"{c}"' for c in _K20_COLS)}]' AS column_names,
+       {", ".join(f"round_even((count(*) - count({c})) / count(*) * 100, 2) AS null_pct_{c}" for c in _K20_COLS)}
+FROM m_items""", ("m_items",))
 def k20_dataset_summary(spark, sf):
     s = CL.dataset_summary(m_items(spark, sf))
-    return s.select("rows", F.col("columns").cast("int"), "duplicate_rows")
+    j = F.col("summary_json")
+    return s.select("rows", F.col("columns").cast("int"), "duplicate_rows",
+                    F.get_json_object(j, "$.column_names").alias("column_names"),
+                    *[F.get_json_object(j, f"$.null_pct.{c}").cast("double").alias(f"null_pct_{c}") for c in _K20_COLS])
 
 
 # ------------------------------------------------------------------ ledger views over the call log

@@ -21,7 +21,7 @@ def test_read_json_array_and_lines(spark):
     arr, lines = os.path.join(d, "a.json"), os.path.join(d, "l.jsonl")
     recs = [{"x": 1, "y": "a"}, {"x": None, "y": "b"}, {"x": 3.5, "y": None}]
     with open(arr, "w") as f:
-        json.dump(recs, f)
+        json.dump(recs, f, indent=1)
     with open(lines, "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs))
     for p, as_lines in ((arr, False), (lines, True), (os.path.dirname(lines) + "/*.jsonl", True)):
@@ -73,8 +73,8 @@ def test_run_store_persists_report_ledger_snapshot(spark, items):
     assert rep.where("run_id = 'r1'").count() == 2
     runs = list_runs(st.ledger()).collect()
     assert {r["run_id"] for r in runs} == {"r1", "r2"} and runs[0]["last_at"] >= runs[-1]["last_at"]
-    b = run_bundle(rep, "r1", ["audit", "types"]).first()
-    assert b["audit"] == 2 and b["types"] is None
+    b = run_bundle(rep, "r1").first()
+    assert (b["stage"], len(b["entries"])) == ("audit", 2)
     assert st.steps("r1") == {"intake", "quality_report"}
 
 
