@@ -1,13 +1,17 @@
 """Feature selection (stage "select", G1-G5).
 
-Variances are one aggregate; the upper-triangle correlation matrix is one
-aggregate per chunk of pairs (k(k-1)/2 bounded expressions, no row shuffle).
+All pairs of k numeric columns come from one pass: every task turns its Arrow
+batches into k x k matrices of pairwise-complete sums (numpy cross-products),
+and one group-by adds the matrices up.  What reaches the driver is k x k
+entries, whatever the number of rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,99 +23,103 @@ CORRELATION_THRESHOLD = 0.95
 
 
 def variances(df: DataFrame, cols) -> dict:                                          # G1
-    return {c: v[0] for c, v in _var_nulls(df, cols).items()}
-
-
-def _var_nulls(df: DataFrame, cols) -> dict:
-    """``{column: (var_samp, null_count, mean)}`` in one aggregate."""
     if not cols:
         return {}
-    row = df.agg(*[F.var_samp(col(c)).alias(f"v{i}") for i, c in enumerate(cols)],
-                 *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
-                 *[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    return {c: (row[f"v{i}"], row[f"n{i}"], row[f"m{i}"]) for i, c in enumerate(cols)}
-
-
-def centered_correlations(df: DataFrame, cols, means: dict, constant=()) -> list[tuple[str, str, float | None]]:
-    """Pearson r for NULL-free columns from sums of centred products.
-
-    Second pass of the two-pass algorithm: with the exact means known, one
-    aggregate of plain ``sum`` of (x - mx)(y - my) gives the whole upper
-    triangle -- k(k+1)/2 one-field buffers instead of k(k-1)/2 moment
-    aggregates, no row shuffle, numerically stable."""
-    if len(cols) < 2:
-        return []
-    constant = set(constant or ())
-    z = df.select(*[(col(c).cast("double") - F.lit(float(means[c]))).alias(f"z{i}") for i, c in enumerate(cols)])
-    idx = [(i, j) for j in range(len(cols)) for i in range(j + 1)]
-    row = z.agg(*[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}_{j}") for i, j in idx]).first()
-    out = []
-    for j in range(len(cols)):
-        for i in range(j):
-            den = (row[f"s{i}_{i}"] or 0.0) * (row[f"s{j}_{j}"] or 0.0)
-            ok = den > 0 and cols[i] not in constant and cols[j] not in constant
-            out.append((cols[i], cols[j], row[f"s{i}_{j}"] / den ** 0.5 if ok else None))
-    return out
-
-
-def _pair_struct(a: str, b: str, ma: float, mb: float):
-    """Pairwise-complete Pearson r from centred sums over rows where both are set."""
-    both = col(a).isNotNull() & col(b).isNotNull()
-    za = F.when(both, col(a).cast("double") - F.lit(float(ma)))
-    zb = F.when(both, col(b).cast("double") - F.lit(float(mb)))
-    n = F.count_if(both).cast("double")
-    sa, sb = F.sum(za), F.sum(zb)
-    cab = F.sum(za * zb) - sa * sb / n
-    vaa = F.sum(za * za) - sa * sa / n
-    vbb = F.sum(zb * zb) - sb * sb / n
-    # a side that is constant on the pair's rows gives NULL (pandas: NaN); tested
-    # exactly with min < max, never with a rounding-prone variance of ~0
-    varies = (F.min(za) < F.max(za)) & (F.min(zb) < F.max(zb))
-    r = F.when(varies & (vaa > 0) & (vbb > 0), cab / F.sqrt(vaa * vbb))
-    return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
-
-
-def _clean_pair_struct(a: str, b: str, ma: float, mb: float):
-    """Pearson r for two NULL-free columns: the per-column sums are identical
-    expressions across pairs, so Spark computes them once; each pair adds one sum."""
-    za = col(a).cast("double") - F.lit(float(ma))
-    zb = col(b).cast("double") - F.lit(float(mb))
-    n = F.count(F.lit(1)).cast("double")
-    sa, sb = F.sum(za), F.sum(zb)
-    vaa = F.sum(za * za) - sa * sa / n
-    vbb = F.sum(zb * zb) - sb * sb / n
-    cab = F.sum(za * zb) - sa * sb / n
-    varies = (F.min(col(a)) < F.max(col(a))) & (F.min(col(b)) < F.max(col(b)))
-    r = F.when(varies & (vaa > 0) & (vbb > 0), cab / F.sqrt(vaa * vbb))
-    return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
-
-
-def _pairwise_table(df: DataFrame, cols, means: dict, nulls: dict | None = None) -> DataFrame:
-    nulls = nulls or {}
-
-    def pair(a, b):
-        if nulls.get(a) == 0 and nulls.get(b) == 0:
-            return _clean_pair_struct(a, b, means[a], means[b])
-        return _pair_struct(a, b, means[a], means[b])
-    structs = [pair(cols[i], cols[j]) for j in range(len(cols)) for i in range(j)]
-    if not structs:
-        return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    return df.agg(F.array(*structs).alias("p")).select(F.inline("p"))
+    row = df.agg(*[F.var_samp(col(c)) for c in cols]).first()
+    return dict(zip(cols, row))
+
+
+@dataclass(frozen=True)
+class Moments:
+    """k x k matrices over the rows where columns i and j are both set, values shifted by ``centers``:
+    ``n`` rows, ``s`` sums of i, ``q`` sums of i squared, ``p`` sums of products, ``low`` and ``high`` of i."""
+    cols: list
+    n: np.ndarray
+    s: np.ndarray
+    q: np.ndarray
+    p: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def varies(self) -> np.ndarray:
+        """Whether i has two values on the pair's rows (exactly, not by a variance near 0)."""
+        return self.low < self.high
+
+    def variances(self) -> dict:
+        d = np.arange(len(self.cols))
+        n, s, q = self.n[d, d], self.s[d, d], self.q[d, d]
+        out = {}
+        for i, c in enumerate(self.cols):
+            flat = not self.varies()[i, i]
+            out[c] = None if n[i] < 2 else 0.0 if flat else max(q[i] - s[i] ** 2 / n[i], 0.0) / (n[i] - 1)
+        return out
+
+    def correlations(self) -> list[tuple[str, str, float | None]]:
+        """Upper triangle ``(a, b, r)``; r is None where a side is constant."""
+        with np.errstate(all="ignore"):
+            cov = self.p - self.s * self.s.T / self.n
+            v = self.q - self.s ** 2 / self.n
+            r = cov / np.sqrt(v * v.T)
+        ok = self.varies() & self.varies().T & (v > 0) & (v.T > 0) & (self.n > 0)
+        return [(self.cols[i], self.cols[j], float(r[i, j]) if ok[i, j] else None)
+                for j in range(len(self.cols)) for i in range(j)]
+
+
+def pair_moments(df: DataFrame, cols, centers: dict) -> Moments:
+    """Moments of all pairs of ``cols`` in one pass; ``centers`` near the means keep the sums exact."""
+    cols, k = list(cols), len(cols)
+    z = df.select(*[F.nanvl(col(c).cast("double") - F.lit(float(centers.get(c) or 0.0)), F.lit(None)).alias(f"z{i}")
+                    for i, c in enumerate(cols)])
+    schema = "i int, j int, n double, s double, q double, p double, low double, high double"
+    arrow = pa.schema([("i", pa.int32()), ("j", pa.int32())] + [(x, pa.float64()) for x in ("n", "s", "q", "p", "low", "high")])
+
+    def sums(batches):
+        n, s, q, p = (np.zeros((k, k)) for _ in range(4))
+        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
+            there = ~np.isnan(x)
+            m, x0 = there.astype(float), np.where(there, x, 0.0)
+            n += m.T @ m
+            s += x0.T @ m
+            q += (x0 * x0).T @ m
+            p += x0.T @ x0
+            lo, hi = np.where(there, x, np.inf), np.where(there, x, -np.inf)
+            low_all, high_all = lo.min(axis=0), hi.max(axis=0)
+            full = there.all(axis=0)
+            low[:, full] = np.minimum(low[:, full], low_all[:, None])
+            high[:, full] = np.maximum(high[:, full], high_all[:, None])
+            for j in np.flatnonzero(~full):                     # rows where column j is set
+                rows = there[:, j]
+                if rows.any():
+                    low[:, j] = np.minimum(low[:, j], lo[rows].min(axis=0))
+                    high[:, j] = np.maximum(high[:, j], hi[rows].max(axis=0))
+        i, j = np.indices((k, k), dtype=np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(a.ravel()) for a in (i, j, n, s, q, p, low, high)], schema=arrow)
+
+    rows = z.mapInArrow(sums, schema).groupBy("i", "j").agg(
+        *[F.sum(x).alias(x) for x in ("n", "s", "q", "p")], F.min("low").alias("low"), F.max("high").alias("high")).collect()
+    out = [np.zeros((k, k)) for _ in range(4)] + [np.full((k, k), np.inf), np.full((k, k), -np.inf)]
+    for r in rows:
+        for m, v in zip(out, r[2:]):
+            m[r["i"], r["j"]] = v
+    return Moments(cols, *out)
+
+
+def column_means(df: DataFrame, cols) -> dict:
+    row = df.agg(*[F.avg(F.nanvl(col(c).cast("double"), F.lit(None))) for c in cols]).first()
+    return {c: row[i] or 0.0 for i, c in enumerate(cols)}
 
 
 def correlation_table(df: DataFrame, cols=None) -> DataFrame:
     """Upper-triangle ``(a, b, r)``, pairwise-complete, NULL for a constant side.
 
-    Two passes: the column means (one small aggregate, driver scalars), then one
-    aggregate of centred sums per pair -- plain ``sum`` buffers, no row shuffle."""
+    Two passes: the column means, then the pair moments centred by them."""
     cols = numeric_columns(df) if cols is None else list(cols)
-    if len(cols) < 2:
-        return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    row = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    means = {c: (row[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
-    nulls = {c: row[f"n{i}"] for i, c in enumerate(cols)}
-    return _pairwise_table(df, cols, means, nulls)
+    pairs = pair_moments(df, cols, column_means(df, cols)).correlations() if len(cols) > 1 else []
+    return df.sparkSession.createDataFrame(pairs, "a string, b string, r double")
 
 
 def high_corr_drops(pairs, threshold=CORRELATION_THRESHOLD) -> list[str]:            # G3
@@ -133,62 +141,24 @@ class SelectFit:
     removed: list
 
 
-def _one_pass(df: DataFrame, cols, centers: dict):
-    """Variances and the correlation triangle in ONE aggregate, from sums shifted
-    by a known centre per column (the shifted-data algorithm: stable whenever the
-    centre is near the mean, e.g. the fitted IQR midpoint).  Returns None when a
-    column holds NULLs (pairwise-complete sums are needed then)."""
-    z = {c: col(c).cast("double") - F.lit(float(centers.get(c) or 0.0)) for c in cols}
-    idx = [(i, j) for j in range(len(cols)) for i in range(j + 1)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 *[F.count_if(col(c).isNull()).alias(f"k{i}") for i, c in enumerate(cols)],
-                 *[(F.min(col(c)) == F.max(col(c))).alias(f"e{i}") for i, c in enumerate(cols)],
-                 *[F.sum(z[c]).alias(f"s{i}") for i, c in enumerate(cols)],
-                 *[F.sum(z[cols[i]] * z[cols[j]]).alias(f"p{i}_{j}") for i, j in idx]).first()
-    n = row["n"]
-    if any(row[f"k{i}"] for i in range(len(cols))):
-        return None
-    if n < 2:
-        return {c: None for c in cols}, [(cols[i], cols[j], None) for j in range(len(cols)) for i in range(j)]
-    m2 = {i: max(row[f"p{i}_{i}"] - row[f"s{i}"] ** 2 / n, 0.0) for i in range(len(cols))}
-    const = {i for i in range(len(cols)) if row[f"e{i}"]}
-    var = {c: (0.0 if i in const else m2[i] / (n - 1)) for i, c in enumerate(cols)}
-    pairs = []
-    for j in range(len(cols)):
-        for i in range(j):
-            den = m2[i] * m2[j]
-            ok = den > 0 and i not in const and j not in const
-            cov = row[f"p{i}_{j}"] - row[f"s{i}"] * row[f"s{j}"] / n
-            pairs.append((cols[i], cols[j], cov / den ** 0.5 if ok else None))
-    return var, pairs
-
-
 def fit_select(df: DataFrame, target: str | None = None, variance_threshold: float = VARIANCE_THRESHOLD,
                correlation_threshold: float = CORRELATION_THRESHOLD, strict_target: bool = True,
                centers: dict | None = None) -> SelectFit:
-    """``centers`` (column -> a value near its mean, e.g. fitted medians or IQR
-    midpoints) lets variances and correlations come from one pass."""
+    """``centers`` (column -> a value near its mean, e.g. IQR midpoints) save the
+    pass that finds the means; variances and correlations share one pass."""
     if target is not None and target not in df.columns:
         if strict_target:
             raise ValueError(f"target column {target!r} not in table")
         target = None
     nums = numeric_columns(df, exclude=(target,) if target else ())
-    one = _one_pass(df, nums, centers) if centers is not None and nums else None
-    if one is not None:
-        var, all_pairs = one
-        low = [c for c in nums if var[c] is not None and var[c] < variance_threshold]
-        rest = [c for c in nums if c not in low]
-        keep = set(rest)
-        pairs = [p for p in all_pairs if p[0] in keep and p[1] in keep]
-        return _decide(df, target, nums, low, rest, pairs, correlation_threshold)
-    vn = _var_nulls(df, nums)
-    low = [c for c in nums if vn[c][0] is not None and vn[c][0] < variance_threshold]
+    if not nums:
+        return _decide(df, target, nums, [], [], [], correlation_threshold)
+    moments = pair_moments(df, nums, column_means(df, nums) if centers is None else centers)
+    var = moments.variances()
+    low = [c for c in nums if var[c] is not None and var[c] < variance_threshold]
     rest = [c for c in nums if c not in low]
-    means = {c: (vn[c][2] or 0.0) for c in rest}
-    if all(vn[c][1] == 0 for c in rest):
-        pairs = centered_correlations(df, rest, means, [c for c in rest if not vn[c][0]])
-    else:
-        pairs = [(r["a"], r["b"], r["r"]) for r in _pairwise_table(df, rest, means).collect()]
+    keep = set(rest)
+    pairs = [p for p in moments.correlations() if p[0] in keep and p[1] in keep]
     return _decide(df, target, nums, low, rest, pairs, correlation_threshold)
 
 

@@ -247,3 +247,19 @@ def test_sample_values_mixed_types(spark):
     assert got == {("n", 1): "1.0", ("n", 2): "2.0", ("s", 1): "a", ("s", 2): "b",
                    ("b", 1): "false", ("b", 2): "true",
                    ("t", 1): "2024-01-01 00:00:00", ("t", 2): "2024-01-02 00:00:00"}
+
+
+def test_wide_correlations_are_one_pass(spark):
+    import time
+    import numpy as np
+    x = np.random.default_rng(0).normal(size=(10_000, 200))
+    x[:, 150] = x[:, 3] * 2 + 1e-3 * x[:, 150]
+    x[::7, 20] = np.nan
+    pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(200)])
+    df = spark.createDataFrame(pdf)
+    began = time.time()
+    fit = SE.fit_select(df)
+    assert time.time() - began < 60 and fit.high_correlation == ["c150"]
+    got = {(r["a"], r["b"]): r["r"] for r in SE.correlation_table(df, [f"c{i}" for i in range(15, 25)]).collect()}
+    corr = pdf.corr()
+    assert all(r == pytest.approx(corr.loc[a, b], abs=1e-9) for (a, b), r in got.items())
