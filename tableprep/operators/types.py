@@ -8,8 +8,9 @@ Rules (order-free version of the reference's):
 * timestamp/date -> ``datetime``; anything else (boolean, arrays, ...) -> ``unknown``.
 
 ``fit_types(method="auto")`` first estimates distinct counts with HLL
-(``approx_count_distinct``, one pass, bounded state) and computes exact
-distinct counts only for columns whose estimate lies near a threshold.
+(``approx_count_distinct``, one pass, bounded state), looks again with a finer
+HLL where an estimate lies near a threshold, and computes exact distinct
+counts only where that one is near, too.
 """
 
 from __future__ import annotations
@@ -43,7 +44,9 @@ DATETIME_SHAPES = [
     r"^\d{2}\.\d{2}\.\d{4}$",
 ]
 APPROX_RSD = 0.05      # HLL++ relative std error (rsd 0.01 is ~20x slower)
-NEAR_THRESHOLD = 0.2    # relative band (4 sigma) around a threshold resolved exactly
+NEAR_THRESHOLD = 0.2    # relative band (4 sigma) around a threshold that a finer estimate looks at
+FINE_RSD = 0.01
+FINE_THRESHOLD = 0.03   # relative band (3 sigma of the finer estimate) that is counted exactly
 
 
 def parse_ts(c, fmt: str):
@@ -107,8 +110,8 @@ def probe_exprs(df: DataFrame) -> list:
 
 
 def fit_types(df: DataFrame, method: str = "auto", probes: dict | None = None) -> TypesFit:
-    """One aggregate (HLL estimates + datetime probes), then exact distinct
-    counts only where needed (``method='exact'`` forces them everywhere).
+    """One aggregate (HLL estimates + datetime probes), then finer estimates and
+    exact distinct counts only where needed (``method='exact'`` forces them everywhere).
     ``probes`` is the row of ``probe_exprs`` when it was computed in an
     earlier pass over the same rows."""
     fams = families(df)
@@ -117,10 +120,15 @@ def fit_types(df: DataFrame, method: str = "auto", probes: dict | None = None) -
     denom = max(rows, 1)
     ratios = {c: row[f"a::{c}"] / denom for c in df.columns}
 
-    def near(r):
-        return any(abs(r - t) <= NEAR_THRESHOLD * t for t in (ID_RATIO, CATEGORICAL_RATIO))
+    def near(r, band):
+        return any(abs(r - t) <= band * t for t in (ID_RATIO, CATEGORICAL_RATIO))
 
-    need = [c for c in df.columns if fams[c] in (NUMERIC, STRING) and (method == "exact" or near(ratios[c]))]
+    asked = [c for c in df.columns if fams[c] in (NUMERIC, STRING)]
+    need = asked if method == "exact" else [c for c in asked if near(ratios[c], NEAR_THRESHOLD)]
+    if need and method != "exact":              # a unique column is far enough from 0.95 for the finer estimate
+        fine = df.agg(*[F.approx_count_distinct(col(c), FINE_RSD) for c in need]).first()
+        ratios.update({c: fine[i] / denom for i, c in enumerate(need)})
+        need = [c for c in need if near(ratios[c], FINE_THRESHOLD)]
     if need:
         got = {r["column"]: r["n_distinct"]
                for r in value_summary(value_counts(df, need)).select("column", "n_distinct").collect()}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as TX
 from ..operators import calllog as CL
 from ..session import ensure_checkpoint_dir
+from ..sources import artifacts as AR
 from ..sources import store as ST
 from .fixtures import m_calls, m_items, m_text
 from .registry import query
@@ -308,6 +309,16 @@ def k20_dataset_summary(spark, sf):
 
 # ------------------------------------------------------------------ ledger views over the call log
 
+@query("a8_call_log", _with_log("SELECT run_id, agent_name, latency_ms, token_estimate_out, silent_failure FROM log"), ("m_calls",))
+def a8_call_log(spark, sf):
+    """The call log appended to its table, run by run, and read back."""
+    root = os.path.join(ensure_checkpoint_dir(spark), f"calls-{uuid.uuid4().hex}")
+    log = _log(spark, sf)
+    for run in ("run_0", "run_1", "run_2"):
+        AR.append_call_log(log.where(F.col("run_id") == run), root)
+    return AR.read_call_log(spark, root).select("run_id", "agent_name", "latency_ms", "token_estimate_out", "silent_failure")
+
+
 @query("a7_ledger", """
 SELECT run_id, agent_name AS step, min(logged_at) AS at FROM m_calls GROUP BY run_id, agent_name""", ("m_calls",))
 def a7_ledger(spark, sf):

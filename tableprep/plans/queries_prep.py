@@ -6,9 +6,14 @@ name says otherwise.  Oracle SQL is written independently for DuckDB.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import profile as P
+from ..session import ensure_checkpoint_dir
+from ..sources.store import RunStore
 from .fixtures import m_items
 from .registry import per_column, query
 
@@ -195,6 +200,34 @@ def c6_cast(spark, sf):
     return TY.apply_types(df, TY.fit_types(df)).select("item_id", "ship_date")
 
 
+def _duck_dictionary(c):
+    return (f"SELECT '{c}' AS \"column\", v AS value, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code "
+            f"FROM (SELECT DISTINCT {c} AS v FROM m_items WHERE {c} IS NOT NULL)")
+
+
+@query("c7_categories", " UNION ALL ".join(f"({_duck_dictionary(c)})" for c in ("flag", "status_code")), ("m_items",))
+def c7_categories(spark, sf):
+    """Ordered categories of the categorical columns."""
+    from ..operators.features import dictionary
+    df = m_items(spark, sf)
+    return dictionary(df, TY.fit_types(df).columns_of("categorical"))
+
+
+@query("a5_snapshot", """
+SELECT order_id, part_id, qty, CAST(strptime(ship_date, '%Y-%m-%d') AS TIMESTAMP) AS ship_date, 'types' AS label FROM m_items
+UNION ALL SELECT order_id, part_id, qty, NULL, 'intake' FROM m_items""", ("m_items",))
+def a5_snapshot(spark, sf):
+    """Two snapshots of one run, both read back."""
+    df = m_items(spark, sf)
+    store = RunStore(spark, os.path.join(ensure_checkpoint_dir(spark), f"store-{uuid.uuid4().hex}"))
+    one = store.save_snapshot(df, "r", "intake")
+    store.save_snapshot(TY.apply_types(one, TY.fit_types(one)), "r", "types")
+    last, first = store.load_snapshot("r"), store.load_snapshot("r", "intake")
+    return last.select("order_id", "part_id", "qty", "ship_date", F.lit("types").alias("label")).unionByName(
+        first.select("order_id", "part_id", "qty", F.lit(None).cast("timestamp_ntz").alias("ship_date"),
+                     F.lit("intake").alias("label")))
+
+
 @query("c8_coerce", "SELECT TRY_CAST(CAST(qty AS VARCHAR) AS DOUBLE) AS qty_text, TRY_CAST(item_id AS DOUBLE) AS item_id "
        "FROM m_items", ("m_items",))
 def c8_coerce(spark, sf):
@@ -630,7 +663,6 @@ def h3_h4_status(spark, sf):
 
 # ---------------------------------------------------------------- H1, H5, I1, I5 (composition)
 
-from ..sources.store import RunStore  # noqa: E402
 from .prepare import prepare  # noqa: E402
 from .render import render  # noqa: E402
 
