@@ -122,29 +122,25 @@ def interaction(df: DataFrame, cols) -> DataFrame:
     return df.select("*", (col(a).cast("double") * col(b).cast("double")).alias(f"{a}_x_{b}"))
 
 
+@dataclass(frozen=True)
+class Derived:
+    """What was derived: ``count`` new columns of a ``kind`` from ``sources``."""
+    kind: str
+    sources: tuple
+    count: int = 1
+
+
 def engineer(df: DataFrame, semantic: dict, polynomial: bool = False, encode_fit: EncodeFit | None = None):
-    """F1-F6 in reference order; returns ``(df, log lines)``."""
-    log = []
-    dt_cols = [c for c, s in semantic.items() if s == "datetime" and c in df.columns]
-    cat_cols = [c for c, s in semantic.items() if s == "categorical" and c in df.columns]
-    out = date_parts(df, dt_cols)
-    log += [f"{c}: datetime decomposed → year/month/day/dayofweek/is_weekend" for c in dt_cols]
-    fit = encode_fit or fit_encode(out, cat_cols)
-    out = apply_encode(out, fit)
-    log += [f"{c}: label encoded → {c}_encoded" for c in cat_cols]
-    # the reference appends date parts and codes in type-map order; reorder to match
-    base = list(df.columns)
-    added = []
-    for c in semantic:
-        if c in dt_cols:
-            added += [f"{c}_{p}" for p in DATE_PARTS]
-        elif c in cat_cols:
-            added.append(f"{c}_encoded")
-    out = out.select(*[col(c) for c in base + added])
+    """F1-F6: date parts, codes, then squares and a product; returns ``(df, [Derived])``."""
+    dates = [c for c, s in semantic.items() if s == "datetime" and c in df.columns]
+    cats = [c for c, s in semantic.items() if s == "categorical" and c in df.columns]
+    out = date_parts(df, dates)
+    out = apply_encode(out, encode_fit or fit_encode(out, cats))
+    done = [Derived("date_parts", (c,), len(DATE_PARTS)) for c in dates] + [Derived("codes", (c,)) for c in cats]
+    new = {c: [f"{c}_{p}" for p in DATE_PARTS] for c in dates} | {c: [f"{c}_encoded"] for c in cats}
+    out = out.select(*map(col, df.columns), *[col(n) for c in semantic for n in new.get(c, ())])   # in type-map order
     if polynomial:
-        out, sq = squares(out)
-        log += [f"{c}: squared → {c}_sq" for c in sq]
-        if len(sq) >= 2:
-            out = interaction(out, sq)
-            log.append(f"interaction: {sq[0]} × {sq[1]}")
-    return out, log
+        out, squared = squares(out)
+        out = interaction(out, squared)
+        done += [Derived("square", (c,)) for c in squared] + ([Derived("product", tuple(squared[:2]))] if len(squared) > 1 else [])
+    return out, done

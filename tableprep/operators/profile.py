@@ -99,18 +99,15 @@ def zero_variance(df: DataFrame) -> DataFrame:                     # B4
 
 
 def quality_flags(df: DataFrame) -> DataFrame:                     # B5
-    """``(kind, column, value, message)`` -- one row per flag."""
+    """``(kind, column, value)`` -- one row per flag."""
     prof = column_profile(df)
     high = prof.where(F.col("null_pct") > HIGH_NULL_PCT).select(
-        F.lit("HIGH NULLS").alias("kind"), "column", F.col("null_pct").alias("value"),
-        F.format_string("HIGH NULLS: '%s' is %s%% missing", "column", F.col("null_pct").cast("string")).alias("message"))
+        F.lit("HIGH NULLS").alias("kind"), "column", F.col("null_pct").alias("value"))
     dups = duplicate_rows(df).where(F.col("duplicate_rows") > 0).select(
         F.lit("DUPLICATES").alias("kind"), F.lit(None).cast("string").alias("column"),
-        F.col("duplicate_rows").cast("double").alias("value"),
-        F.format_string("DUPLICATES: %d duplicate rows found", "duplicate_rows").alias("message"))
+        F.col("duplicate_rows").cast("double").alias("value"))
     zero = prof.where(F.col("zero_var")).select(
-        F.lit("ZERO VARIANCE").alias("kind"), "column", F.lit(None).cast("double").alias("value"),
-        F.format_string("ZERO VARIANCE: '%s' has only one unique value", "column").alias("message"))
+        F.lit("ZERO VARIANCE").alias("kind"), "column", F.lit(None).cast("double").alias("value"))
     return high.unionByName(dups).unionByName(zero)
 
 
@@ -214,10 +211,9 @@ def audit(df: DataFrame, extra=()) -> AuditFit | tuple:
     nulls = {r["column"]: r["null_count"] for r in prof}
     pcts = {r["column"]: r["null_pct"] for r in prof}
     zero = [r["column"] for r in prof if r["zero_var"]]
-    flags = [f"HIGH NULLS: '{c}' is {p}% missing" for c, p in pcts.items() if p is not None and p > HIGH_NULL_PCT]
-    if dups > 0:
-        flags.append(f"DUPLICATES: {dups} duplicate rows found")
-    flags += [f"ZERO VARIANCE: '{c}' has only one unique value" for c in zero]
+    flags = [("HIGH NULLS", c, p) for c, p in pcts.items() if p is not None and p > HIGH_NULL_PCT]
+    flags += [("DUPLICATES", None, dups)] if dups > 0 else []
+    flags += [("ZERO VARIANCE", c, None) for c in zero]
     rating = "POOR" if len(flags) > POOR_FLAG_COUNT else "FAIR" if flags else "GOOD"
     fit = AuditFit(rows, len(df.columns), dups, nulls, pcts, zero, flags, rating)
     return (fit, row.asDict() if row is not None else {}) if extra else fit

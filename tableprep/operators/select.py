@@ -167,7 +167,7 @@ def _decide(df, target, nums, low, rest, pairs, correlation_threshold) -> Select
     pairs = sorted(pairs, key=lambda p: (order[p[1]], order[p[0]]))
     high = [c for c in rest if c in set(high_corr_drops(pairs, correlation_threshold))]
     kept = [c for c in df.columns if c not in low and c not in high and c != target]
-    removed = [f"{c} (low variance)" for c in low] + [f"{c} (high correlation)" for c in high]
+    removed = [(c, "low variance") for c in low] + [(c, "high correlation") for c in high]
     return SelectFit(target, low, high, kept, removed)
 
 

@@ -173,10 +173,7 @@ def coerce_numeric(df: DataFrame, cols) -> DataFrame:                   # C8
 
 
 def cast_log(fit: TypesFit) -> list[tuple[str, str]]:                   # C9
-    out = []
-    for c, s in fit.semantic.items():
-        if s == "datetime" and c in fit.formats:
-            out.append((c, f"{c}: cast to datetime"))
-        elif s == "categorical":
-            out.append((c, f"{c}: cast to category"))
-    return out
+    """``(column, type it becomes)`` of the columns whose type changes."""
+    to = {c: "datetime" for c in fit.formats}
+    to.update({c: "category" for c in fit.columns_of("categorical")})
+    return [(c, to[c]) for c in fit.semantic if c in to]

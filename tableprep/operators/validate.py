@@ -46,15 +46,11 @@ def shape_and_nulls(df: DataFrame) -> tuple[int, dict]:
 
 
 def status_of(n_rows: int, n_cols: int, null_cols: dict, missing: list) -> tuple[str, list, list]:  # H3, H4
-    errors, warnings = [], []
-    if null_cols:
-        warnings.append(f"Residual nulls found: {null_cols}")
-    if missing:
-        warnings.append(f"Steps not completed: {missing}")
-    if n_cols == 0:
-        errors.append("Dataset has 0 columns after pipeline!")
-    if n_rows < MIN_ROWS:
-        warnings.append(f"Very few rows remaining: {n_rows}")
+    """``(status, errors, warnings)``; findings are ``(kind, column or step, value)``."""
+    warnings = [("residual_nulls", c, n) for c, n in null_cols.items()]
+    warnings += [("missing_step", s, None) for s in missing]
+    warnings += [("few_rows", None, n_rows)] if n_rows < MIN_ROWS else []
+    errors = [("no_columns", None, 0)] if n_cols == 0 else []
     status = "FAILED" if errors else "PASSED WITH WARNINGS" if warnings else "PASSED"
     return status, errors, warnings
 

@@ -109,7 +109,7 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
     rows += [(c, "null_count", n) for c, n in a.null_counts.items()]
     rows += [(c, "null_pct", p) for c, p in a.null_pct.items()]
     rows += [(c, "zero_variance", True) for c in a.zero_variance]
-    rows += [(None, "flag", f) for f in a.flags]
+    rows += [(c, f"flag:{kind}", value) for kind, c, value in a.flags]
     store.add_report(run_id, "audit", rows, label="quality_report")
 
     # types (C)
@@ -117,7 +117,7 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         t = TY.fit_types(cur, type_method)
         rows = [(c, "semantic", s) for c, s in t.semantic.items()]
         rows += [(c, "dtype", d) for c, d in t.dtypes.items()]
-        rows += [(c, "cast", msg) for c, msg in TY.cast_log(t)]
+        rows += [(c, "cast", to) for c, to in TY.cast_log(t)]
         store.add_report(run_id, "types", rows, label="type_report")
         return t
     tfit = res.fits["types"] = stage("types", _types)
@@ -163,7 +163,7 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         enc = res.fits["encode"] = FE.fit_encode(cur, cats)
         res.fits["polynomial"] = polynomial
         out, log = FE.engineer(cur, tfit.semantic, polynomial, encode_fit=enc)
-        store.add_report(run_id, "features", [(None, "engineered", line) for line in log]
+        store.add_report(run_id, "features", [(",".join(f.sources), "engineered", f"{f.kind}:{f.count}") for f in log]
                          + [(None, "new_columns", len(out.columns))], label="feature_report")
         return out
     cur = barrier(stage("features", _features))
@@ -174,7 +174,7 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         centers = {c: (f.q1 + f.q3) / 2 for c, f in ofit.fences.items() if f.q1 is not None}
         s = SE.fit_select(cur, target, variance_threshold, correlation_threshold, strict_target=False,
                           centers=centers)
-        rows = [(c, "kept", True) for c in s.kept] + [(None, "removed", r) for r in s.removed]
+        rows = [(c, "kept", True) for c in s.kept] + [(c, "removed", why) for c, why in s.removed]
         store.add_report(run_id, "select", rows, label="selector_report")
         return s
     sfit = res.fits["select"] = stage("select", _select)
@@ -199,7 +199,7 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         rows = [(None, "pipeline_status", status), (None, "rows", st["rows"]), (None, "columns", st["columns"])]
         rows += [(c, "residual_nulls", n) for c, n in nulls.items()]
         rows += [(None, "missing_step", s) for s in missing]
-        rows += [(None, "warning", w) for w in warnings] + [(None, "error", e) for e in errors]
+        rows += [(c, f"warning:{k}", v) for k, c, v in warnings] + [(c, f"error:{k}", v) for k, c, v in errors]
         store.add_report(run_id, "validate", rows, label="validation_report")
         res.gates = run_gates(res, n_rows, nulls, target, len(df.columns), cur.columns)
         store.add_report(run_id, "gates", [(c, f"{g}:{'fired' if f else 'ok'}", o) for g, c, o, _, f in res.gates],

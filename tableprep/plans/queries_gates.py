@@ -336,10 +336,6 @@ def j21(spark, sf):
 def j22(spark, sf):
     df = m_items(spark, sf)
     fit = TY.fit_types(df)
-    _, log = FE.engineer(TY.apply_types(df, fit), fit.semantic)
-    per = {}
-    for line in log:
-        src = line.split(":", 1)[0]
-        per[src] = per.get(src, 0) + (len(FE.DATE_PARTS) if "datetime decomposed" in line else 1)
-    lines = spark.createDataFrame(list(per.items()) or [("", 0)], "source string, n_features int")
+    _, done = FE.engineer(TY.apply_types(df, fit), fit.semantic)
+    lines = spark.createDataFrame([(c, d.count) for d in done for c in d.sources], "source string, n_features int")
     return _r(G.j22_feature_counts(lines, _semantic(spark, sf)))

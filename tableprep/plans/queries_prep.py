@@ -238,8 +238,8 @@ def c8_coerce(spark, sf):
 _TYPEMAP = f"""
 SELECT "column", semantic,
        CASE WHEN semantic = 'datetime' AND "column" IN ({", ".join(f"'{c}'" for c in ITEM_STRING)})
-            THEN "column" || ': cast to datetime'
-            WHEN semantic = 'categorical' THEN "column" || ': cast to category' END AS cast_log
+            THEN 'datetime'
+            WHEN semantic = 'categorical' THEN 'category' END AS cast_log
 FROM ({_SEM})
 """
 
@@ -546,14 +546,16 @@ def f5_interaction(spark, sf):
 
 
 @query("f6_featlog", f"""
-SELECT CASE WHEN semantic = 'datetime' THEN "column" || ': datetime decomposed → year/month/day/dayofweek/is_weekend'
-            ELSE "column" || ': label encoded → ' || "column" || '_encoded' END AS line
-FROM ({_SEM}) WHERE semantic IN ('datetime', 'categorical')""", ("m_items",))
+SELECT CASE WHEN semantic = 'datetime' THEN 'date_parts' ELSE 'codes' END AS kind, "column" AS source,
+       CASE WHEN semantic = 'datetime' THEN 5 ELSE 1 END AS n_columns
+FROM ({_SEM}) WHERE semantic IN ('datetime', 'categorical')
+UNION ALL SELECT 'square', unnest(['order_id', 'part_id', 'qty']), 1
+UNION ALL SELECT 'product', 'order_id,part_id', 1""", ("m_items",))
 def f6_featlog(spark, sf):
     df = m_items(spark, sf)
     fit = TY.fit_types(df)
-    _, log = FE.engineer(TY.apply_types(df, fit), fit.semantic)
-    return spark.createDataFrame([(x,) for x in log], "line string")
+    _, done = FE.engineer(TY.apply_types(df, fit), fit.semantic, polynomial=True)
+    return spark.createDataFrame([(d.kind, ",".join(d.sources), d.count) for d in done], "kind string, source string, n_columns int")
 
 
 # ---------------------------------------------------------------- G: selection
