@@ -244,7 +244,8 @@ def group_near_duplicates(table: DataFrame, id_col: str = "doc_id", distance: in
     named = fps.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
     named = cut(named)
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # written, so that both sides of the join are dealt anew and a large group's root can be split
+    smallest = cut(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
     labels = cut(named.select("fingerprint", "root").join(smallest, "root"))
     return table.join(labels, "fingerprint", "left")
 
