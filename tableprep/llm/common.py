@@ -49,7 +49,7 @@ def cut_table(df: DataFrame) -> DataFrame:
 
 
 def map_slices(df: DataFrame, make: Callable[[], Callable], schema: str | StructType, rows: int = 512) -> DataFrame:
-    """``mapInArrow`` in slices of at most ``rows`` rows.
+    """``mapInArrow`` in slices of at most ``rows`` rows (fewer where texts are very long).
 
     ``make()`` runs once per task and returns ``f(*columns) -> columns`` over
     Python lists, so a task holds one slice of decoded texts at a time.  If
@@ -66,11 +66,20 @@ def map_slices(df: DataFrame, make: Callable[[], Callable], schema: str | Struct
                 [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, arrow.types)], schema=arrow)
 
         for b in batches:
-            for i in range(0, b.num_rows, rows):
-                s = b.slice(i, rows)
+            for s in _slices(b, rows):
                 yield batch(f(*[c.to_pylist() for c in s.columns]))
         finish = getattr(f, "finish", None)
         if finish is not None:
             yield batch(finish())
 
     return df.mapInArrow(run, st)
+
+
+def _slices(batch: pa.RecordBatch, rows: int, most_bytes: int = 32_000_000):
+    at = 0
+    while at < batch.num_rows:
+        part = batch.slice(at, rows)
+        while part.num_rows > 1 and part.nbytes > most_bytes:
+            part = part.slice(0, part.num_rows // 2)
+        yield part
+        at += part.num_rows

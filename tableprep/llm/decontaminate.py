@@ -92,16 +92,15 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[list[tuple]]:
-    """The benchmark in blocks of about ``block_bytes``, so that no broadcast grows with it."""
+def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
+    """Number of blocks, and the blocks one after another: about ``block_bytes`` of benchmark text each, so
+    that neither a broadcast nor the driver grows with the benchmark."""
     b = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(
         F.col("text").isNotNull()).distinct()
     total = b.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    if n == 1:
-        return [[(r[0], r[1]) for r in b.collect()]]
     b = b.withColumn("k", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
-    return [[(r[0], r[1]) for r in b.where(F.col("k") == k).select("item", "text").collect()] for k in range(n)]
+    return n, ([(r[0], r[1]) for r in b.where(F.col("k") == k).select("item", "text").collect()] for k in range(n))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -121,10 +120,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                          "items": F.array().cast("array<string>")})
     names = df.columns
     at, n_keep = names.index(text_col), len(names) - 3
-    blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
+    n_blocks, blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
     for k, block in enumerate(blocks):
         sent = spark.sparkContext.broadcast(block)
-        out = [f for f in df.schema if k < len(blocks) - 1 or f.name in keep or f.name in names[n_keep:]]
+        out = [f for f in df.schema if k < n_blocks - 1 or f.name in keep or f.name in names[n_keep:]]
 
         def make(sent=sent, drop=len(out) < len(names)):
             tables = build_tables(sent.value, window)
