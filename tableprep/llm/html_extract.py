@@ -1,8 +1,9 @@
 """HTML extraction by line-block distribution.
 
 Markup is stripped into block lines.  Every line has a text length; lines in
-menus, headers, footers, sidebars, notices, adverts, forms, comments and (on
-pages with an article) lines outside the article weigh nothing.  Lengths are
+menus, headers, footers, sidebars, notices, adverts, forms, comments weigh
+nothing, nor do lines outside the article on pages that have one and lines of
+links on pages that have none.  Lengths are
 summed over sliding windows of lines; a surge point is where the window sum
 rises to the threshold, a dive point where it is back at zero, and the lines
 with weight between the two are the text.
@@ -77,21 +78,26 @@ def _open(tag: str, attrs: str, inside: bool) -> _Element:
     return _Element(tag, tag in DROPPED or named or hidden, tag not in DROPPED and not hidden, False)
 
 
-def block_lines(page: str) -> list[tuple[str, bool, bool]]:
-    """``(text, furniture, in_article)`` of every non-empty block, in page order."""
+def block_lines(page: str) -> list[tuple[str, bool, bool, bool]]:
+    """``(text, furniture, in_article, mostly links)`` of every non-empty block, in page order."""
     lines, parts, stack, heading = [], [], [], [False]
+    linked = [0]
 
     def flush():
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            raw = "".join(parts)
+            text = " ".join(html.unescape(raw).split())
+            links, linked[0] = linked[0] > len(raw.strip()) / 2, 0
             parts.clear()
             if text:
-                lines.append((text, [e for e in stack if e.flag], any(e.article for e in stack), heading[0]))
+                lines.append((text, [e for e in stack if e.flag], any(e.article for e in stack), heading[0], links))
 
     pos = 0
     for m in _TOKEN.finditer(page):
         if m.start() > pos:
             parts.append(page[pos:m.start()])
+            if stack and any(e.tag == "a" for e in stack):
+                linked[0] += len(parts[-1].strip())
         pos = m.end()
         tag = m["tag"] or m["tag2"]
         if tag is None:
@@ -145,8 +151,8 @@ def block_lines(page: str) -> list[tuple[str, bool, bool]]:
     if pos < len(page):
         parts.append(re.sub(r"<[a-zA-Z/!?][^>]*\Z", "", page[pos:]))
     flush()
-    return [(t, any(e.flag is True or e.flag == "header" and not h for e in flags if e.flag), a)
-            for t, flags, a, h in lines]
+    return [(t, any(e.flag is True or e.flag == "header" and not h for e in flags if e.flag), a, links)
+            for t, flags, a, h, links in lines]
 
 
 def main_text(page: str | None, window: int = 3, threshold: int = 86) -> str:
@@ -154,8 +160,8 @@ def main_text(page: str | None, window: int = 3, threshold: int = 86) -> str:
     lines = block_lines(page) if page else []
     if not lines:
         return ""
-    semantic = any(a and not f for _, f, a in lines)
-    weight = [0 if f or semantic and not a else len(t) for t, f, a in lines]
+    semantic = any(a and not f for _, f, a, _ in lines)
+    weight = [0 if f or (not a if semantic else links) else len(t) for t, f, a, links in lines]
     n = len(lines)
     sums = [sum(weight[i:i + window]) for i in range(n)]
     top = max(sums)

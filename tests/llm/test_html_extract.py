@@ -16,6 +16,7 @@ PAGES = [
     ("<div class='content with-sidebar'><article><p>wrapped</p></article></div><div class='sidebar'>links</div>", "wrapped"),
     (f"<div class='menu'>a | b</div><div><p>{LONG}</p><p>short</p><p>{LONG}</p></div><p>Imprint</p>",
      f"{LONG.strip()}\nshort\n{LONG.strip()}\nImprint"),
+    (f"<ul><li><a href='/a'>Home</a><li><a href='/b'>About us</a></ul><p>{LONG} <a href='/c'>more</a></p>", f"{LONG.strip()} more"),
     ("<ul><li>first<li>second</ul>", "first\nsecond"),
     ("<article><p title='a > b'>attr</p><p hidden>no</p><p style='display: none'>no</p></article>", "attr"),
     ("plain text only", "plain text only"), ("", ""), (None, ""), ("<p", ""), ("<article></article>", ""),
