@@ -45,7 +45,7 @@ DATETIME_SHAPES = [
 ]
 APPROX_RSD = 0.05      # HLL++ relative std error (rsd 0.01 is ~20x slower)
 NEAR_THRESHOLD = 0.2    # relative band (4 sigma) around a threshold that a finer estimate looks at
-FINE_RSD = 0.01
+FINE_LOG2 = 14          # HLL sketch of 2^14 registers: relative std error below 0.01
 FINE_THRESHOLD = 0.03   # relative band (3 sigma of the finer estimate) that is counted exactly
 
 
@@ -126,8 +126,9 @@ def fit_types(df: DataFrame, method: str = "auto", probes: dict | None = None) -
     asked = [c for c in df.columns if fams[c] in (NUMERIC, STRING)]
     need = asked if method == "exact" else [c for c in asked if near(ratios[c], NEAR_THRESHOLD)]
     if need and method != "exact":              # a unique column is far enough from 0.95 for the finer estimate
-        fine = df.agg(*[F.approx_count_distinct(col(c), FINE_RSD) for c in need]).first()
-        ratios.update({c: fine[i] / denom for i, c in enumerate(need)})
+        fine = df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(F.when(col(c).isNotNull(), F.xxhash64(col(c))), F.lit(FINE_LOG2)))
+                        for c in need]).first()
+        ratios.update({c: (fine[i] or 0) / denom for i, c in enumerate(need)})
         need = [c for c in need if near(ratios[c], FINE_THRESHOLD)]
     if need:
         got = {r["column"]: r["n_distinct"]
