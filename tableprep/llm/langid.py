@@ -108,8 +108,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", in_trai
         smoothing: float = 0.5, least_share: float = 0.01) -> Model:
     """Model from the text and the non-NULL language of all training rows.
 
-    A language is a candidate for a script if it has ``least_share`` of the
-    script's training words.  What reaches the driver is one table of
+    A language is a candidate for a script if ``least_share`` of its own
+    training words are of the script, however rare the language is.  What reaches the driver is one table of
     ``BUCKETS`` counts per language.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
@@ -124,7 +124,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", in_trai
         t[got["slot"].to_numpy(np.int64)[pick], at[pick]] = got["n"].to_numpy(float)[pick]
     used = max(1, int((grams.sum(axis=1) > 0).sum()))
     table = np.log((grams + smoothing) / (grams.sum(axis=0) + smoothing * used))
-    share = scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1)
+    share = scripts / np.maximum(scripts.sum(axis=0), 1)
     candidates = share >= least_share
     candidates[~candidates.any(axis=1)] = True
     return Model(list(langs), table, candidates)

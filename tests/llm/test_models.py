@@ -95,6 +95,16 @@ def test_viterbi_is_the_best_path_and_the_shortcut_agrees():
             assert math.isclose(value([top] * n), value(best), abs_tol=1e-9)
 
 
+def test_rare_language_stays_a_candidate_of_its_script(spark):
+    rng = random.Random(2)
+    word = {"big": lambda: "".join(rng.choice("abcde") for _ in range(6)), "rare": lambda: "".join(rng.choice("uvwxy") for _ in range(6))}
+    rows = [(i, " ".join(word["big"]() for _ in range(500)), "big") for i in range(100)]
+    rows += [(1000, " ".join(word["rare"]() for _ in range(100)), "rare")]         # 0.2 % of the words
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [" ".join(word[k]() for _ in range(30)) for k in ("rare", "big", "rare")]
+    assert [r["lang_pred"] for r in rows_of(L.identify(documents(spark, texts), model))] == ["rare", "big", "rare"]
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
