@@ -8,8 +8,9 @@ constant penalty per switch labels spans; the prediction is the language of
 most words, its score their share.
 
 A text is of one language without a search if no stretch of words gains more
-than the penalty in another language, which two running minima show; only
-mixed texts take the full recursion, many texts at a time.
+than the penalty in another language, and none at either end of the text more
+than half of it: a path of k stretches then gains at most the k - 1 penalties
+it pays.  All other texts take the full recursion, many texts at a time.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score
 0, as are all texts if nothing was learned; rows are kept one for one; ties go
@@ -184,10 +185,15 @@ class Labeller:
 
 
 def one_language(s: np.ndarray, best: int, penalty: float) -> bool:
-    """Whether no stretch of words gains more than the penalty over language ``best``."""
+    """Whether no path beats language ``best``, that of the best sum, for the whole text.
+
+    A stretch between two switches may gain the penalty over ``best``, the
+    first and the last stretch half of it each.
+    """
     gain = np.cumsum(s - s[:, best:best + 1], axis=0)
     low = np.minimum.accumulate(np.vstack([np.zeros((1, s.shape[1])), gain[:-1]]), axis=0)
-    return bool((gain - low).max() <= penalty)
+    ends = max(gain.max(), (gain[-1] - gain[:-1]).max(initial=0.0))
+    return bool(ends <= penalty / 2 and (gain - low).max() <= penalty)
 
 
 def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:

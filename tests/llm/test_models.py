@@ -95,6 +95,23 @@ def test_viterbi_is_the_best_path_and_the_shortcut_agrees():
             assert math.isclose(value([top] * n), value(best), abs_tol=1e-9)
 
 
+def test_one_language_shortcut_is_plain_viterbi():
+    a, c, b = [0.0] * 5 + [-7.0] * 5, [-3.0] * 10, [-7.0] * 5 + [0.0] * 5
+    s = np.array([a, b, c]).T
+    assert not L.one_language(s, 2, 20.0) and L.viterbi([s], 20.0)[0].tolist() == [0] * 5 + [1] * 5
+    r = np.random.default_rng(8)
+    taken = 0
+    for _ in range(3000):
+        n, p = int(r.integers(1, 16)), float(r.uniform(0, 12))
+        s = np.repeat(r.normal(size=(3, 3)), 5, axis=0)[:n] * 2 + r.normal(size=(n, 3)) / 2
+        got, best = L.viterbi([s], p)[0], int(s.sum(axis=0).argmax())
+        if L.one_language(s, best, p):
+            taken += 1
+            value = s[np.arange(n), got].sum() - p * np.count_nonzero(np.diff(got))
+            assert math.isclose(s[:, best].sum(), value, abs_tol=1e-9)
+    assert taken > 300
+
+
 def test_rare_language_stays_a_candidate_of_its_script(spark):
     rng = random.Random(2)
     word = {"big": lambda: "".join(rng.choice("abcde") for _ in range(6)), "rare": lambda: "".join(rng.choice("uvwxy") for _ in range(6))}
