@@ -2,7 +2,9 @@
 
 Markup is stripped into block lines.  Every line has a text length; lines in
 menus, headers, footers, sidebars, notices, adverts, forms, comments weigh
-nothing, nor do lines outside the article on pages that have one and lines of
+nothing (by tag, or by a class, id or role that is such a word or a compound
+of which it is the head: ``cookie-notice`` is, ``search-algorithms`` is not;
+a block of long prose overrules the less certain words), nor do lines outside the article on pages that have one and lines of
 links on pages that have none.  Lengths are
 summed over sliding windows of lines; a surge point is where the window sum
 rises to the threshold, a dive point where it is back at zero, and the lines
@@ -37,6 +39,18 @@ FURNITURE = frozenset(
     "masthead footer comment comments disqus respond reply replies share sharing social related recommended toolbar "
     "alert search complementary contentinfo form".split())
 COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+#: fixed values: furniture words that are as well the subject of a text; a block of ``PROSE`` characters overrules them
+SOFT = frozenset(
+    "alert banner form header login modal notice notices overlay popup promotion reply replies respond search share "
+    "sharing signup social subscription toolbar widget widgets".split())
+PROSE = 300
+#: fixed values: last parts of a compound that do not say what it holds; first parts that name a topic or a state
+LAYOUT = frozenset(
+    "area bar block body bottom box button buttons col column container content group holder icon icons inner item items "
+    "left link links list outer panel right row section slot thread title top unit wrap wrapper".split())
+TOPIC = frozenset("category cat tag tags topic term type status has with without no is".split())
+#: fixed values: elements whose id is the slug of a heading
+SLUGGED = HEADINGS | {"p", "section", "li", "dt", "dd", "blockquote", "figure", "pre", "table", "tr", "td"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -52,10 +66,23 @@ _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}
 
 
 class _Element:
-    __slots__ = ("tag", "flag", "by_name", "article")
+    __slots__ = ("tag", "flag", "by_name", "article", "soft")
 
-    def __init__(self, tag, flag, by_name, article):
-        self.tag, self.flag, self.by_name, self.article = tag, flag, by_name, article
+    def __init__(self, tag, flag, by_name, article, soft=False):
+        self.tag, self.flag, self.by_name, self.article, self.soft = tag, flag, by_name, article, soft
+
+
+def _heads(value: str, whole: bool = False) -> set[str]:
+    """The word that each token of a class, id or role is about; with ``whole`` only of tokens of one word."""
+    heads = set()
+    for token in value.split():
+        parts = [w.lower() for w in _WORDS.findall(token)]
+        if len(parts) > 1 and (whole or parts[0] in TOPIC):
+            continue
+        while len(parts) > 1 and parts[-1] in LAYOUT:
+            parts.pop()
+        heads.update(parts[-1:])
+    return heads
 
 
 def _open(tag: str, attrs: str, inside: bool) -> _Element:
@@ -67,15 +94,20 @@ def _open(tag: str, attrs: str, inside: bool) -> _Element:
                 hidden = True
             elif name == "style":
                 hidden |= "display:none" in value.lower().replace(" ", "")
+            elif name == "id":
+                if tag in HEADINGS or tag == "p" or inside and tag in SLUGGED:
+                    continue
+                words |= _heads(value, whole=inside or tag in SLUGGED or tag == "article")
             elif name != "aria-hidden":
-                words.update(w.lower() for w in _WORDS.findall(value))
+                words |= _heads(value)
     if tag in ("html", "body", "main", "article"):
         comment = tag == "article" and bool(words & COMMENTS)
         return _Element(tag, comment or hidden, False, tag in ("main", "article") and not comment)
     named = bool(words & FURNITURE)
+    soft = named and not hidden and tag not in DROPPED and not (words & FURNITURE) - SOFT
     if tag == "header" or tag not in DROPPED and words & FURNITURE == {"header"}:
-        return _Element(tag, "header" if inside and not hidden else True, tag != "header", False)
-    return _Element(tag, tag in DROPPED or named or hidden, tag not in DROPPED and not hidden, False)
+        return _Element(tag, "header" if inside and not hidden else True, tag != "header", False, soft)
+    return _Element(tag, tag in DROPPED or named or hidden, tag not in DROPPED and not hidden, False, soft)
 
 
 def block_lines(page: str) -> list[tuple[str, bool, bool, bool]]:
@@ -90,6 +122,9 @@ def block_lines(page: str) -> list[tuple[str, bool, bool, bool]]:
             links, linked[0] = linked[0] > len(raw.strip()) / 2, 0
             parts.clear()
             if text:
+                if len(text) >= PROSE and not links and all(e.soft for e in stack if e.flag):
+                    for e in stack:
+                        e.flag = e.flag and not e.soft
                 lines.append((text, [e for e in stack if e.flag], any(e.article for e in stack), heading[0], links))
 
     pos = 0

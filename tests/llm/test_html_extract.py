@@ -28,6 +28,24 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+SLUGS = [
+    ("<article><section id='search-algorithms'><h2 id='related-work'>Related</h2><p id='form-factor'>small</p></section>"
+     "<h3 id='search'>Search</h3><div id='binary-search'>halves</div><section class='comments'>no</section></article>",
+     "Related\nsmall\nSearch\nhalves"),
+    (f"<div class='post category-social-media tag-search'><p>{LONG}</p></div><div class='site-footer'>{LONG}</div>", LONG.strip()),
+    (f"<div class='content has-sidebar'><p>{LONG}</p></div><div class='ad-container'>{LONG}</div>", LONG.strip()),
+    (f"<div class='notice'><h2>Head</h2><p>{LONG * 2}</p></div>", f"Head\n{(LONG * 2).strip()}"),
+    (f"<article><p>keep</p><div class='comment-list'><p>{LONG * 2}</p></div><div class='notice'>short</div>"
+     "<div id='ad-1'>buy</div><div class='social-share-buttons'>tell</div></article>", "keep"),
+    ("<article id='how-to-reply'><p>keep</p></article>", "keep"),
+]
+
+
+@pytest.mark.parametrize("html,text", SLUGS)
+def test_furniture_words_count_as_heads_only(html, text):
+    assert main_text(html) == text
+
+
 def test_table_keeps_rows_and_counts_code_points(spark):
     rows = [(i, f"u{i}", h, "clash") for i, (h, _) in enumerate(PAGES)] + [(None, None, "<p>𝄞é</p>", "c"), (1, "u1", PAGES[1][0], "c")]
     out = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
