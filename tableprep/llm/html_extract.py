@@ -4,8 +4,9 @@ Markup is stripped into block lines.  Every line has a text length; lines in
 menus, headers, footers, sidebars, notices, adverts, forms, comments weigh
 nothing (by tag, or by a class, id or role that is such a word or a compound
 of which it is the head: ``cookie-notice`` is, ``search-algorithms`` is not;
-a block of long prose overrules the less certain words), nor do lines outside the article on pages that have one and lines of
-links on pages that have none.  Lengths are
+a block of long prose overrules the less certain words), nor do lines outside
+the article on pages where article elements hold at least half of the text
+that is not furniture, and lines of links on all other pages.  Lengths are
 summed over sliding windows of lines; a surge point is where the window sum
 rises to the threshold, a dive point where it is back at zero, and the lines
 with weight between the two are the text.
@@ -66,9 +67,10 @@ _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}
 
 
 class _Element:
-    __slots__ = ("tag", "flag", "by_name", "article", "soft")
+    __slots__ = ("tag", "flag", "by_name", "article", "soft", "wraps")
 
     def __init__(self, tag, flag, by_name, article, soft=False):
+        self.wraps = False                              # flagged by name around an article
         self.tag, self.flag, self.by_name, self.article, self.soft = tag, flag, by_name, article, soft
 
 
@@ -112,7 +114,7 @@ def _open(tag: str, attrs: str, inside: bool) -> _Element:
 
 def block_lines(page: str) -> list[tuple[str, bool, bool, bool]]:
     """``(text, furniture, in_article, mostly links)`` of every non-empty block, in page order."""
-    lines, parts, stack, heading = [], [], [], [False]
+    lines, parts, stack, heading, wrappers = [], [], [], [False], []
     linked = [0]
 
     def flush():
@@ -125,7 +127,7 @@ def block_lines(page: str) -> list[tuple[str, bool, bool, bool]]:
                 if len(text) >= PROSE and not links and all(e.soft for e in stack if e.flag):
                     for e in stack:
                         e.flag = e.flag and not e.soft
-                lines.append((text, [e for e in stack if e.flag], any(e.article for e in stack), heading[0], links))
+                lines.append((text, [e for e in stack if e.flag or e.article], heading[0], links))
 
     pos = 0
     for m in _TOKEN.finditer(page):
@@ -179,15 +181,35 @@ def block_lines(page: str) -> list[tuple[str, bool, bool, bool]]:
                     break
             e = _open(tag, attrs, article)
             if e.article:
-                for outer in stack:                     # a wrapper of the article is no furniture
-                    if outer.by_name and not outer.article:
-                        outer.flag = False
+                for outer in stack:
+                    if outer.flag and outer.by_name and not outer.wraps:
+                        outer.wraps = True
+                        wrappers.append(outer)
             stack.append(e)
     if pos < len(page):
         parts.append(re.sub(r"<[a-zA-Z/!?][^>]*\Z", "", page[pos:]))
     flush()
-    return [(t, any(e.flag is True or e.flag == "header" and not h for e in flags if e.flag), a, links)
-            for t, flags, a, h, links in lines]
+    for w in wrappers:
+        _unflag_wrapper(w, lines)
+    return [(t, any(e.flag is True or e.flag == "header" and not h for e in marks if e.flag),
+             any(e.article for e in marks), links) for t, marks, h, links in lines]
+
+
+def _unflag_wrapper(w: _Element, lines: list) -> None:
+    """A wrapper is no furniture if one article in it is longer than all unflagged text outside of it."""
+    sizes, outside = {}, 0
+    for text, marks, _, links in lines:
+        if links:
+            continue
+        if w not in marks:
+            outside += 0 if any(e.flag for e in marks) else len(text)
+        elif not any(e.flag and not e.wraps for e in marks):
+            for e in marks[marks.index(w):]:
+                if e.article:
+                    sizes[id(e)] = sizes.get(id(e), 0) + len(text)
+                    break
+    if max(sizes.values(), default=0) > outside:
+        w.flag = False
 
 
 def main_text(page: str | None, window: int = 3, threshold: int = 86) -> str:
@@ -195,7 +217,9 @@ def main_text(page: str | None, window: int = 3, threshold: int = 86) -> str:
     lines = block_lines(page) if page else []
     if not lines:
         return ""
-    semantic = any(a and not f for _, f, a, _ in lines)
+    inside = sum(len(t) for t, f, a, links in lines if a and not f and not links)
+    outside = sum(len(t) for t, f, a, links in lines if not a and not f and not links)
+    semantic = inside >= outside and any(a and not f for _, f, a, _ in lines)
     weight = [0 if f or (not a if semantic else links) else len(t) for t, f, a, links in lines]
     n = len(lines)
     sums = [sum(weight[i:i + window]) for i in range(n)]
@@ -214,16 +238,14 @@ def main_text(page: str | None, window: int = 3, threshold: int = 86) -> str:
             regions.append((start, i))                  # dive: nothing within the window
         else:
             i += 1
-    size = [sum(weight[a:b]) for a, b in regions]
-    least = 0 if semantic else max(size) / 5
-    return "\n".join(lines[i][0] for (a, b), s in zip(regions, size) if s >= least for i in range(a, b) if weight[i])
+    return "\n".join(lines[i][0] for a, b in regions for i in range(a, b) if weight[i])
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                       window: int = 3, threshold: int = 86) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every page; other columns are not read.
 
-    ``window`` lines are summed; on pages without an article element a surge
+    ``window`` lines are summed; on pages that no article element frames a surge
     needs ``threshold`` characters (or the page's largest sum, if smaller).
     """
     cols = pages.select(id_col, url_col, html_col)

@@ -46,6 +46,24 @@ def test_furniture_words_count_as_heads_only(html, text):
     assert main_text(html) == text
 
 
+LEAD = "A lead of one sentence that is long enough to surge by itself, as the threshold asks for it."
+CARD = "<article><h3>Teaser</h3><p>Read this too</p></article>"
+GAP = "<div class='ad'>buy</div>" * 4
+FRAMES = [
+    (f"<div><p>{LEAD}</p></div>{GAP}<div><p>{LONG * 4}</p><p>{LONG * 4}</p></div>{GAP}<div><p>{LEAD}</p></div>",
+     "\n".join([LEAD, (LONG * 4).strip(), (LONG * 4).strip(), LEAD])),
+    (f"<div><p>{LONG}</p></div>{GAP}{CARD}", LONG.strip()),
+    (f"<div><p>{LONG}</p></div><div class='related'>{CARD * 9}</div>", LONG.strip()),
+    (f"<article><p>{LONG}</p><div class='related'>{CARD}</div></article><p>outside</p>", LONG.strip()),
+    (f"<div class='sidebar'><article><p>{LONG}</p></article></div><p>outside</p>", LONG.strip()),
+]
+
+
+@pytest.mark.parametrize("html,text", FRAMES)
+def test_regions_and_frames(html, text):
+    assert main_text(html) == text
+
+
 def test_table_keeps_rows_and_counts_code_points(spark):
     rows = [(i, f"u{i}", h, "clash") for i, (h, _) in enumerate(PAGES)] + [(None, None, "<p>𝄞é</p>", "c"), (1, "u1", PAGES[1][0], "c")]
     out = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
