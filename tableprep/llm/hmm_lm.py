@@ -13,10 +13,12 @@ class's tokens N_k and distinct words V_k, and the spare unit for unknown
 words; a word that is its own class has probability 1 in it.
 
 Counts of words are exact over all training texts.  The vocabulary has no
-bound, so it is never broadcast: words of a bounded list (the frequent words
-of a sample) are counted in each task, all others travel as one row per
-(text, word) to the word's partition, get their count there, and come back
-summed per text.  The list only decides which way a word is counted.
+bound, so it is never broadcast: words of a bounded list are counted in each
+task, all others travel as one row per (text, word) to the word's partition,
+get their count there, and come back summed per text.  The list begins with
+the classes of their own, which are the most frequent words by their exact
+counts over all training texts; the frequent words of a sample follow, and
+for those the list only decides which way a word is counted.
 
 Defined results: NULL and empty texts are the end token alone; a NULL id
 counts as empty text for the split; rows are kept one for one, repeated rows
@@ -62,6 +64,7 @@ class Model:
     class_tokens: np.ndarray = None     # N_k
     class_words: np.ndarray = None      # V_k
     lookup: dict = field(default=None, repr=False)
+    likelihoods: list = field(default_factory=list)     # log10 per training token before each round over all texts
 
     @property
     def classes(self) -> int:
@@ -126,9 +129,9 @@ def forward(sequences: list[np.ndarray], model: Model, keep: bool = False):
     return (log, padded, active, alphas, scales) if keep else log
 
 
-def expected_counts(sequences: list[np.ndarray], model: Model):
-    """Baum-Welch counts of a batch: ``(start, move, emit)``."""
-    _, padded, active, alphas, scales = forward(sequences, model, keep=True)
+def expected_counts(sequences: list[np.ndarray], model: Model, likelihood: bool = False):
+    """Baum-Welch counts of a batch: ``(start, move, emit)``, with ``likelihood`` also the log likelihood's sum."""
+    log, padded, active, alphas, scales = forward(sequences, model, keep=True)
     steps, n, states = alphas.shape
     weight = np.zeros((steps, n, states))           # emission * beta / scale of the token, for the step into it
     beta = np.ones((n, states))
@@ -149,7 +152,8 @@ def expected_counts(sequences: list[np.ndarray], model: Model):
     flat = padded[mask]
     g = gamma[mask]
     emit = np.stack([np.bincount(flat, weights=g[:, s], minlength=model.classes) for s in range(states)], axis=1)
-    return gamma[0].sum(axis=0), move * model.move, emit
+    counts = gamma[0].sum(axis=0), move * model.move, emit
+    return (*counts, log.sum()) if likelihood else counts
 
 
 def reestimate(model: Model, start, move, emit, strength: float = 500.0) -> Model:
@@ -162,8 +166,9 @@ def reestimate(model: Model, start, move, emit, strength: float = 500.0) -> Mode
     return replace(model, start=s / s.sum(), move=m / m.sum(axis=1, keepdims=True), emit=e / e.sum(axis=0))
 
 
-def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.ndarray]:
-    """One Baum-Welch round over all ``rows(text)``: new model, counts of frequent words, tokens of classes."""
+def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.ndarray, float]:
+    """One Baum-Welch round over all ``rows(text)``: new model, counts of frequent words, tokens of classes, and the
+    natural log likelihood of the classes under ``model``."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
     states, n = len(model.start), len(model.frequent)
     a, b, c = states, states + states * states, states + states * states + model.classes * states
@@ -171,14 +176,15 @@ def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.nd
     def make():
         m = sent.value
         coder = Coder(m)
-        total = np.zeros(c + n)
+        total = np.zeros(c + n + 1)
 
         def f(texts):
             codes = [coder.codes(words_of(t)) for t in texts]
-            total[c:] += np.bincount(np.concatenate(codes), minlength=n)[:n] if codes else 0
+            total[c:c + n] += np.bincount(np.concatenate(codes), minlength=n)[:n] if codes else 0
             sequences = [np.append(coder.class_of[x], END) for x in codes]
             for part in batches(sequences):
-                start, move, emit = expected_counts([sequences[i] for i in part], m)
+                start, move, emit, log = expected_counts([sequences[i] for i in part], m, likelihood=True)
+                total[c + n] += log
                 total[:a] += start
                 total[a:b] += move.ravel()
                 total[b:c] += emit.ravel()
@@ -192,27 +198,35 @@ def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.nd
         return f
 
     got = map_slices(rows, make, "slot int, v double", ROWS).groupBy("slot").agg(F.sum("v").alias("v")).toPandas()
-    total = np.zeros(c + n)
+    total = np.zeros(c + n + 1)
     total[got["slot"].to_numpy(np.int64)] = got["v"].to_numpy(float)
     emit = total[b:c].reshape(model.classes, states)
     return (reestimate(model, total[:a], total[a:b].reshape(states, states), emit),
-            np.rint(total[c:]).astype(np.int64), np.rint(emit.sum(axis=1)).astype(np.int64))
+            np.rint(total[c:c + n]).astype(np.int64), np.rint(emit.sum(axis=1)).astype(np.int64), float(total[c + n]))
 
 
-def frequent_words(sample: DataFrame, limit: int) -> list[bytes]:
-    """Words of the sample that occur twice or more, most frequent first, ``limit`` at most."""
+def frequent_words(texts: DataFrame, limit: int, entries: int = 200_000) -> list[bytes]:
+    """Words of all ``texts`` that occur twice or more, most frequent first, ``limit`` at most.
+
+    Tasks add words up in a table of about ``entries`` words, which they send on when it is full.
+    """
     def make():
         seen: Counter = Counter()
 
         def f(texts):
             for t in texts:
                 seen.update(words_of(t))
-            return [], []
+            return full() if len(seen) > entries else ([], [])
+
+        def full():
+            out = list(seen), list(seen.values())
+            seen.clear()
+            return out
 
-        f.finish = lambda: (list(seen), list(seen.values()))
+        f.finish = full
         return f
 
-    rows = (map_slices(sample, make, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = (map_slices(texts, make, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
             .where("n > 1").orderBy(F.desc("n"), "word").limit(limit).select("word").collect())
     return [bytes(r[0]) for r in rows]
 
@@ -232,25 +246,30 @@ def first_guess(model: Model, sample: DataFrame, states: int) -> Model:
 
 
 def train(training: DataFrame, states: int = 8, sample_docs: int = 8000, guess_docs: int = 1500, guess_rounds: int = 6,
-          rounds: int = 1, frequent: int = 100_000, own: int = 2000, shared: int = 6000) -> Model:
+          rounds: int = 3, frequent: int = 100_000, own: int = 2000, shared: int = 6000) -> Model:
     """Model from ``training(id, text)``.
 
-    ``sample_docs`` texts give the word list, ``guess_docs`` of them the
-    starting point by ``guess_rounds`` of Baum-Welch; then ``rounds`` go over
-    all training texts, and all counts used in scores come from those.
+    The ``own`` words of the highest counts over all training texts become
+    classes; ``sample_docs`` texts give the rest of the word list, and
+    ``guess_docs`` of them the starting point by ``guess_rounds`` of
+    Baum-Welch; then ``rounds`` go over all training texts, and all counts
+    used in scores come from those.
     """
     ids = cut(training.select("id").orderBy(F.xxhash64("id"), "id").limit(sample_docs).distinct()
               .withColumn("r", F.xxhash64("id")))                               # bounded: fit to broadcast
     sample = cut(training.join(F.broadcast(ids), "id").dropDuplicates(["id"]).select("r", "text"))
-    words = frequent_words(sample.select("text"), frequent)
-    model = Model(words, min(own, len(words)), shared)
+    words = frequent_words(training.select("text"), min(own, frequent))
+    model = Model(words, len(words), shared)
+    listed = set(words)
+    words.extend([w for w in frequent_words(sample.select("text"), frequent) if w not in listed][:frequent - len(words)])
     edge = ids.orderBy("r").limit(guess_docs).agg(F.max("r")).first()[0]
     few = cut(sample.where(F.col("r") <= F.lit(edge)).select("text").repartition(8))
     model = first_guess(model, few, states)
     for _ in range(guess_rounds):
-        model, _, _ = count_round(few, model)
+        model, *_ = count_round(few, model)
     for _ in range(rounds):
-        model, counts, class_tokens = count_round(training.select("text"), model)
+        model, counts, class_tokens, log = count_round(training.select("text"), model)
+        model.likelihoods.append(log / np.log(10) / max(1, int(class_tokens.sum())))
     return replace(model, counts=counts, class_tokens=class_tokens, tokens=int(class_tokens.sum()))
 
 

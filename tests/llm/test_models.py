@@ -73,6 +73,23 @@ def test_base_score_and_model_score(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) and all(r.score <= 0 for r in out)
 
 
+def test_own_classes_are_the_words_of_the_highest_exact_counts(spark):
+    texts = [f"common w{i % 7} text" for i in range(60)] + ["seldom " * 90 + "x y z"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string").repartition(3)
+    want = [w.encode() for w, _ in sorted(Counter(" ".join(texts).split()).items(), key=lambda x: (-x[1], x[0]))[:3]]
+    assert want == [b"seldom", b"common", b"text"]
+    model = M.train(docs, **SMALL | {"sample_docs": 5, "guess_docs": 5, "own": 3, "frequent": 20})
+    assert model.frequent[:model.own] == want and len(set(model.frequent)) == len(model.frequent)
+    assert sum(model.class_tokens) == sum(len(t.split()) + 1 for t in texts)
+    assert M.frequent_words(docs.select("text"), 3, entries=2) == want
+
+
+def test_rounds_over_all_texts_raise_the_likelihood(spark):
+    docs = tables(spark, "documents").selectExpr("doc_id AS id", "text")
+    logs = M.train(docs, **SMALL | {"guess_docs": 10}).likelihoods
+    assert len(logs) >= 3 and logs == sorted(logs) and logs[-1] > logs[0]
+
+
 def test_scores_without_training_rows_or_rows(spark):
     assert M.score(documents(spark, []), id_remainder("doc_id", 7) != 2, **SMALL).count() == 0
     held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
