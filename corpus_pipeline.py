@@ -12,9 +12,16 @@ from tableprep.llm.common import table
 from tableprep.session import ensure_checkpoint_dir
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named by position, as input columns may be called like those a stage adds; new name by old."""
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*inner), dict(zip(docs.columns, inner))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a rule of the cascade rejects go."""
-    return quality.cascade(docs).where("rejected_by IS NULL").select(*docs.columns)
+    inner, named = numbered(docs)
+    return quality.cascade(inner, named["text"]).where("rejected_by IS NULL").select(*inner.columns).toDF(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +31,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return found.where("size(spans) = 0").select(*docs.columns)
+    inner, named = numbered(docs)
+    found = decontaminate.contamination(inner, table(spark, sf_dir, "benchmark"), named["doc_id"], named["text"],
+                                        keep=inner.columns)
+    return found.where("size(spans) = 0").select(*inner.columns).toDF(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

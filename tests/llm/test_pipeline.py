@@ -43,6 +43,16 @@ def test_stages_match_a_plain_run(spark):
     check_packing(final, [open_[i] for i in order], 2048)
 
 
+def test_stages_keep_columns_called_like_their_own(spark):
+    docs = tables(spark, "documents").selectExpr(
+        "doc_id", "'a' AS rejected_by", "doc_id + 1 AS n_words", "'s' AS spans", "text", "n_chars", "doc_id + 2 AS items")
+    want = {r.doc_id: tuple(r) for r in docs.collect()}
+    for name, stage in C.STAGES[:1] + C.STAGES[2:3]:
+        got = stage(spark, docs, SF)
+        rows = got.collect()
+        assert got.columns == docs.columns and rows and all(tuple(r) == want[r.doc_id] for r in rows), name
+
+
 def test_run_gives_the_last_stage(spark):
     out = C.run(spark, SF)
     assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(out.columns)
