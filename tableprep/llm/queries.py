@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
-from . import decontaminate, hmm_lm, html_extract, langid, packing, quality, secret_scan, sharding, simhash, toxicity
+from . import decontaminate, hard_negatives, hmm_lm, html_extract, langid, packing, quality, secret_scan, sharding, simhash, toxicity
 from .common import id_remainder, table
 
 QUERIES, ORACLES = {}, {}
@@ -95,3 +96,11 @@ def op6_language_id(spark, sf_dir):
 def op2_lm_scoring(spark, sf_dir):
     """Unigram and hidden-Markov score of every document."""
     return hmm_lm.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) != 2)
+
+
+@_query
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every anchor and positive."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 50 == 0,
+                               label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
