@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, hard_negatives, hmm_lm, html_extract, langid, packing, quality, secret_scan, sharding, simhash, toxicity
+from . import decontaminate, hard_negatives, hmm_lm, html_extract, langid, packing, quality, secret_scan, sharding, simhash, token_align, toxicity
 from .common import id_remainder, table
 
 QUERIES, ORACLES = {}, {}
@@ -104,3 +104,9 @@ def op11_hard_negatives(spark, sf_dir):
     vec_id, label = F.col("vec_id"), F.col("label")
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 50 == 0,
                                label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
+@_query
+def op12_token_alignment(spark, sf_dir):
+    """Groups and links of two tokenizers in every document."""
+    return token_align.link_figures(table(spark, sf_dir, "documents"))
