@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, hard_negatives, hmm_lm, html_extract, langid, packing, quality, secret_scan, sharding, simhash, token_align, toxicity
+from . import decontaminate, hard_negatives, hmm_lm, html_extract, langid, packing, quality, secret_scan, sharding, simhash, token_align, toxicity, warc
 from .common import id_remainder, table
 
 QUERIES, ORACLES = {}, {}
@@ -110,3 +110,11 @@ def op11_hard_negatives(spark, sf_dir):
 def op12_token_alignment(spark, sf_dir):
     """Groups and links of two tokenizers in every document."""
     return token_align.link_figures(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_warc(spark, sf_dir):
+    """Archive of all pages, read back as capture histories; the pages have no time, so the id makes one."""
+    found = warc.capture_histories(table(spark, sf_dir, "pages"), date=F.timestamp_seconds(1_700_000_000 + F.col("page_id")))
+    first = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return found.select(*first, *[c for c in found.columns if c not in first])
