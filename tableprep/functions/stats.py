@@ -7,10 +7,10 @@ Design points (see README, "Scale"):
   ``inline`` and a ``groupBy`` with map-side partial aggregation, so a value
   that holds a third of all rows collapses to one row per task before the
   shuffle;
-* exact quantiles are found by bracket refinement: ``percentile_approx``
-  narrows a rank window, counts check it, and only a bounded number of
-  (value, count) pairs inside the final window reach the driver.  No task
-  ever holds all distinct values of a column.
+* exact quantiles: one mergeable sketch per column proposes an interval of
+  values, exact counts prove it, and only a bounded number of (value, count)
+  pairs inside reach the driver.  No task ever holds all distinct values of a
+  column.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import datetime
 import decimal
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,13 +130,63 @@ def value_summary(vc: DataFrame) -> DataFrame:
 # exact quantiles
 # --------------------------------------------------------------------------
 
-def _in_bracket(c: Column, lo, hi) -> Column:
-    cond = c.isNotNull()
-    if lo is not None:
-        cond = cond & (c >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (c <= F.lit(hi))
-    return cond
+#: columns of one aggregate; wider plans leave compiled code and fill a task with sketches
+CHUNK = 48
+NAN = float("nan")
+
+
+class _Target(dict):
+    """The ranks around one quantile of one column, and the open interval of values that still holds some of them.
+
+    Its one item ``halve`` says that sketches did not narrow the interval and its middle is proposed instead.
+    """
+
+    def __init__(self, c: Column, h: float, n: int):
+        super().__init__(halve=False)
+        self.c, self.h, self.value = c, h, {}
+        self.open = sorted({math.floor(h), math.ceil(h)})
+        self.lo = self.hi = self.proposal = None
+        self.under, self.m = 0, n               # rows at or below lo; rows inside
+
+    def inside(self) -> Column:
+        cond = self.c.isNotNull() & ~F.isnan(self.c)
+        for end, test in ((self.lo, self.c.__gt__), (self.hi, self.c.__lt__)):
+            if end is not None:
+                cond = cond & test(F.lit(end))
+        return cond
+
+    def fractions(self, eps: float) -> list[float]:
+        """Where the sketch of the rows inside is asked for a value below and one above the open ranks."""
+        return [max(0.0, (self.open[0] - self.under) / self.m - eps), min(1.0, (self.open[-1] - self.under + 1) / self.m + eps)]
+
+    def counts(self) -> list[Column]:
+        a, b = map(F.lit, self.proposal)
+        inside = self.inside()
+        return [F.count_if(inside & x) for x in (self.c < a, self.c == a, (self.c > a) & (self.c < b), self.c == b)]
+
+    def prove(self, below: int, at_a: int, between: int, at_b: int) -> None:
+        """Exact counts settle the ranks that fall on an end of the proposal; the others lie in one of three parts."""
+        a, b = self.proposal
+        at_b = at_b if b != a else 0
+        at = self.under
+        parts = []
+        for ends, n in (((self.lo, a), below), (a, at_a), ((a, b), between), (b, at_b),
+                        ((b, self.hi), self.m - below - at_a - between - at_b)):
+            for r in [r for r in self.open if at <= r < at + n]:
+                if isinstance(ends, tuple):
+                    parts.append((ends, at, n))
+                else:
+                    self.value[r] = ends
+                    self.open.remove(r)
+            at += n
+        before = self.m
+        if parts:                               # neighbouring ranks: never in two parts, an end lies between these
+            (self.lo, self.hi), self.under, self.m = parts[0]
+        self["halve"] = self["halve"] or 2 * self.m > before
+
+    def result(self) -> float:
+        a, z = self.value[math.floor(self.h)], self.value[math.ceil(self.h)]
+        return a + (z - a) * (self.h - math.floor(self.h)) if a != z else a
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
@@ -144,90 +195,106 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool =
     default, Spark ``percentile``, DuckDB ``quantile_cont``).
 
     ``exact=False`` returns ``percentile_approx`` (one bounded sketch per
-    column).  ``exact=True`` narrows a bracket of values around each target
-    rank until it holds at most ``max_local`` distinct values (HLL estimate):
+    column).  ``exact=True``:
+
+    1. one aggregate makes one mergeable sketch (KLL) per column and asks it
+       for a value below and a value above the ranks of every quantile, as far
+       off as the sketch's rank error;
+    2. one aggregate counts the rows below, on, between and above these two
+       values.  The counts are the proof: a rank that falls on one of the two
+       is settled, the others lie in one known open interval;
+    3. the (value, count) pairs of intervals with at most ``max_local`` rows
+       are collected.  Wider intervals get 1 and 2 again, with a sketch of
+       their own rows, which leaves a few thousandths of them; where a sketch
+       misses, the interval is halved instead, so the search always ends.
+
+    NaN counts as the largest value.  Columns go in chunks, so that neither
+    the plan nor what reaches the driver at once grows with their number.
+    """
+    out = {}
+    for at in range(0, len(cols), CHUNK):
+        out.update(_chunk_quantiles(df, list(cols)[at:at + CHUNK], probs, exact, accuracy, max_local))
+    return out
 
-    1. one aggregate proposes brackets: a sketch inside the present bracket,
-       or its middle where the sketch gave no narrower one;
-    2. one aggregate counts the rows below and inside each proposal exactly.
-       A proposal that provably holds the ranks is taken; one that does not
-       still tells on which side they are, so the bracket shrinks all the same.
 
-    Only then are the (value, count) pairs inside the proved brackets
-    collected.  No bracket is collected before its proof.
-    """
-    if not cols:
-        return {}
+def _chunk_quantiles(df, cols, probs, exact, accuracy, max_local) -> dict:
     d = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
     if not exact:
         row = d.agg(*[F.percentile_approx(f"c{i}", list(probs), accuracy) for i in range(len(cols))]).first()
         return {c: (list(row[i]) if row[i] is not None else [None] * len(probs)) for i, c in enumerate(cols)}
 
-    eps = 2.0 / accuracy
-    k = len(cols)
-    row = d.agg(*[F.count(f"c{i}") for i in range(k)], *[F.approx_count_distinct(f"c{i}", 0.05) for i in range(k)],
-                *[F.min(f"c{i}") for i in range(k)], *[F.max(f"c{i}") for i in range(k)]).first()
-    tasks = {}                      # (column, rank) -> proved bracket of values
-    for i in range(k):
-        for p in probs if row[i] else ():
-            h = (row[i] - 1) * p
-            for r in (math.floor(h), math.ceil(h)):
-                tasks[i, r] = {"c": F.col(f"c{i}"), "r": r, "below": 0, "m": row[i], "nd": row[k + i],
-                               "lo": row[2 * k + i], "hi": row[3 * k + i], "halve": False}
-    while wide := [t for t in tasks.values() if t["nd"] * 1.2 > max_local and t["lo"] < t["hi"]]:
-        _narrow(d, wide, eps, accuracy)
-    if not tasks:
-        return {c: [None] * len(probs) for c in cols}
-    inside = F.array(*[F.when(_in_bracket(t["c"], t["lo"], t["hi"]), F.struct(F.lit(x).alias("task"), t["c"].alias("v")))
-                       for x, t in enumerate(tasks.values())])
-    per: dict[int, list] = {}
-    for r in d.select(F.inline(F.array_compact(inside))).groupBy("task", "v").count().collect():
-        per.setdefault(r["task"], []).append((r["v"], r["count"]))
-    value = {key: _value_at(sorted(per[x]), t["r"] - t["below"]) for x, (key, t) in enumerate(tasks.items())}
-    out = {}
+    size = min(max(accuracy, 8), 65535)
+    eps = 2 * 2.296 / size ** 0.9021                    # twice the sketch's rank error (at 99 %)
+    asked = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
+    aggs = []
+    for i in range(len(cols)):
+        c = F.col(f"c{i}")
+        aggs += [F.count(c), F.count_if(F.isnan(c)), _sketched(c, asked, size)]
+    row = d.agg(*aggs).first()
+    targets, slots = [], {}
     for i, c in enumerate(cols):
-        out[c] = []
-        for p in probs:
-            h = (row[i] - 1) * p
-            if not row[i]:
-                out[c].append(None)
+        n, nans, values = row[3 * i:3 * i + 3]
+        for k, p in enumerate(probs):
+            if not n:
                 continue
-            a, z = value[i, math.floor(h)], value[i, math.ceil(h)]
-            out[c].append(a + (z - a) * (h - math.floor(h)) if a != z else a)
-    return out
-
-
-def _narrow(d: DataFrame, wide: list[dict], eps: float, accuracy: int) -> None:
-    """One round over all wide brackets: propose, count, shrink (each bracket keeps its rank, provably)."""
-    sketched = [t for t in wide if not t["halve"]]
-    if sketched:
-        row = d.agg(*[F.percentile_approx(
-            F.when(_in_bracket(t["c"], t["lo"], t["hi"]), t["c"]),
-            [max(0.0, (t["r"] - t["below"]) / t["m"] - eps), min(1.0, (t["r"] - t["below"] + 1) / t["m"] + eps)],
-            accuracy) for t in sketched]).first()
-        for t, (a, b) in zip(sketched, row):
-            t["cand"] = (a, b)
-    exprs = []
-    for t in wide:
-        if t["halve"]:
-            t["cand"] = (t["lo"], t["lo"] + (t["hi"] - t["lo"]) / 2)
-        c, (a, b) = t["c"], t["cand"]
-        inside = _in_bracket(c, t["lo"], t["hi"])
-        below, within, above = inside & (c < F.lit(a)), inside & (c >= F.lit(a)) & (c <= F.lit(b)), inside & (c > F.lit(b))
-        exprs += [F.count_if(below), F.count_if(within), F.max(F.when(below, c)), F.min(F.when(above, c))]
-        exprs += [F.approx_count_distinct(F.when(x, c), 0.05) for x in (below, within, above)]
-    row = d.agg(*exprs).first()
-    for x, t in enumerate(wide):
-        n_below, n_in, top_below, low_above, nd_below, nd_in, nd_above = row[7 * x:7 * x + 7]
-        (a, b), before = t.pop("cand"), (t["lo"], t["hi"])
-        first, last = t["below"] + n_below, t["below"] + n_below + n_in         # ranks inside the proposal
-        if first <= t["r"] < last:
-            t.update(lo=a, hi=b, below=first, m=n_in, nd=nd_in)
-        elif t["r"] < first:
-            t.update(hi=top_below, m=n_below, nd=nd_below)
-        else:
-            t.update(lo=low_above, below=last, m=t["m"] - n_below - n_in, nd=nd_above)
-        t["halve"] = t["halve"] or (t["lo"], t["hi"]) == before
+            t = slots[c, k] = _Target(F.col(f"c{i}"), (n - 1) * p, n - nans)
+            for r in [r for r in t.open if r >= n - nans]:
+                t.value[r] = NAN
+                t.open.remove(r)
+            if t.open:
+                t.proposal = values[k], values[len(probs) + k]
+                targets.append(t)
+    _prove(d, targets)
+    while wide := [t for t in targets if t.open and t.m > max_local]:
+        _narrow(d, wide, eps, size)
+    _collect(d, [t for t in targets if t.open])
+    return {c: [slots[c, k].result() if (c, k) in slots else None for k in range(len(probs))] for c in cols}
+
+
+def _prove(d: DataFrame, todo: list[_Target]) -> None:
+    if todo:
+        row = d.agg(*[x for t in todo for x in t.counts()]).first()
+        for x, t in enumerate(todo):
+            t.prove(*row[4 * x:4 * x + 4])
+
+
+def _narrow(d: DataFrame, wide: list[_Target], eps: float, size: int) -> None:
+    """One round over wide intervals: two values inside, from a sketch or the middle, and the proof of where the ranks lie.
+
+    Proposals are values of the column, so neighbouring ranks never lie on both sides of one without being on it.
+    """
+    rows = [F.when(t.inside(), t.c) for t in wide]
+    row = d.agg(*[F.array(F.min(x), F.max(x)) if t["halve"] else _sketched(x, t.fractions(eps), size)
+                  for x, t in zip(rows, wide)]).first()
+    for t, (a, b) in zip(wide, row):
+        t.proposal = a, b
+    if halved := [(t, x) for t, x in zip(wide, rows) if t["halve"]]:
+        middle = [a if math.isinf(a) else max(a, min(a / 2 + b / 2, b)) for a, b in (t.proposal for t, _ in halved)]
+        for (t, _), v in zip(halved, d.agg(*[F.max(F.when(x <= F.lit(m), x)) for (_, x), m in zip(halved, middle)]).first()):
+            t.proposal = v, v
+    _prove(d, wide)
+
+
+def _sketched(c: Column, fractions: list[float], size: int) -> Column:
+    """The values of ``c`` at rank ``fractions`` of a sketch, NULL without rows."""
+    asked = F.array(*[F.lit(float(x)) for x in fractions])
+    real = F.when(~F.isnan(c), c)
+    return F.when(F.count(real) > 0, F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(real, F.lit(size)), asked))
+
+
+def _collect(d: DataFrame, todo: list[_Target]) -> None:
+    """Settles the open ranks from the (value, count) pairs inside their intervals, each of bounded size."""
+    if not todo:
+        return
+    cells = F.array(*[F.when(t.inside(), F.struct(F.lit(x).alias("task"), t.c.alias("v"))) for x, t in enumerate(todo)])
+    pairs = d.select(F.inline(F.array_compact(cells))).groupBy("task", "v").count().toArrow().sort_by(
+        [("task", "ascending"), ("v", "ascending")])
+    task, v, n = (np.asarray(pairs.column(c)) for c in ("task", "v", "count"))
+    for x, t in enumerate(todo):
+        mine = slice(*np.searchsorted(task, [x, x + 1]))
+        upto = np.cumsum(n[mine]) + t.under
+        for r in t.open:
+            t.value[r] = float(v[mine][np.searchsorted(upto, r, side="right")])
 
 
 def group_quantile(df: DataFrame, group: str, value: str, p: float = 0.5, accuracy: int = 1000,
@@ -288,12 +355,3 @@ def group_quantile(df: DataFrame, group: str, value: str, p: float = 0.5, accura
     a, z = F.min("v"), F.max("v")
     return at_rank.groupBy("bg").agg((a + (z - a) * F.max(F.col("h") - F.floor("h"))).alias("q")).select(
         F.col("bg").alias(group), "q")
-
-
-def _value_at(sorted_counts, rank):
-    seen = 0
-    for v, n in sorted_counts:
-        seen += n
-        if rank < seen:
-            return v
-    return sorted_counts[-1][0] if sorted_counts else None

@@ -216,6 +216,46 @@ def test_quantile_brackets_are_proved_before_they_are_collected(spark, monkeypat
     assert quantiles(df, ["x"], [0.1, 0.5, 0.5001], max_local=200)["x"] == pytest.approx(exp)
 
 
+def test_quantiles_of_heavy_values_infinities_nan_and_empty_columns(spark, monkeypatch):
+    from tableprep.functions import stats
+    inf, nan = float("inf"), float("nan")
+    cols = {"few": [float(i % 3) for i in range(3000)], "one": [7.0] * 3000, "none": [None] * 3000,
+            "ends": [-inf if i % 3 == 0 else inf if i % 3 == 1 else float(i) for i in range(3000)],
+            "nan": [nan if i % 2 else float(i) for i in range(3000)], "huge": [(-1) ** i * 1.7e308 / (i + 1) for i in range(3000)],
+            "tiny": [5e-324 * (i % 9) for i in range(3000)], "gap": [float(i) if i % 2 else None for i in range(3000)],
+            "hot": [5.0 if i % 3 else float(i) for i in range(3000)]}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols))
+    probs = [0.0, 0.2, 0.25, 0.5, 0.999, 1.0]
+
+    def exact(values, p):
+        v = sorted((x for x in values if x is not None), key=lambda x: (x != x, x))
+        if not v:
+            return None
+        h = (len(v) - 1) * p
+        a, z = v[int(h)], v[-int(-h // 1)]
+        return a if a == z else a + (z - a) * (h - int(h))
+
+    want = {c: [exact(v, p) for p in probs] for c, v in cols.items()}
+    real = stats._narrow
+
+    def halving(d, wide, eps, size):
+        for t in wide:
+            t["halve"] = True
+        return real(d, wide, eps, size)
+    for most, accuracy, narrow in ((5000, 10000, real), (5, 40, real), (5, 40, halving)):
+        monkeypatch.setattr(stats, "_narrow", narrow)
+        got = quantiles(df, list(cols), probs, max_local=most, accuracy=accuracy)
+        for c in cols:
+            assert got[c] == (want[c] if want[c][0] is None else pytest.approx(want[c], nan_ok=True, rel=1e-12)), c
+
+
+def test_quantiles_of_many_columns_go_in_chunks(spark):
+    from tableprep.functions import stats
+    n = 2 * stats.CHUNK + 3
+    df = spark.range(0, 101).select(*[(F.col("id") * (i + 1)).alias(f"c{i}") for i in range(n)])
+    assert quantiles(df, df.columns, [0.25, 0.5]) == {f"c{i}": [25.0 * (i + 1), 50.0 * (i + 1)] for i in range(n)}
+
+
 def test_group_quantiles_of_any_number_of_groups(spark):
     from tableprep.functions.stats import group_quantile
     pdf = pd.DataFrame([(None if g == 7 else f"g{g}", float((i * 7919) % 1009) ** 2) for g in range(9) for i in range(5 + 60 * g)],
