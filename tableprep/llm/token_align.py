@@ -26,6 +26,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -67,9 +68,10 @@ class Aligner:
         self.size_a, self.size_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
         self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
         self.entries, self.memo_bytes, self.memo = entries, 4 * memo_tokens, {}
+        self.link = struct.Struct("<q").pack
 
     def tokenize(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        a = [np.array(e.ids, dtype="<u4") for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        a = [np.array(e.ids, dtype="<u4") for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         return a, [np.array(e, dtype="<u4") for e in self.b.encode(texts, num_threads=1)]
 
     def spells(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
@@ -79,15 +81,23 @@ class Aligner:
 
     def window(self, raw_a: bytes, raw_b: bytes) -> tuple[str, bytes, int]:
         """Groups as text, links as 64-bit (A id, B id) pairs, number of groups: one group ends at every shared end."""
-        a, b = np.frombuffer(raw_a, dtype="<u4"), np.frombuffer(raw_b, dtype="<u4")
-        _, i, j = np.intersect1d(np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), assume_unique=True,
-                                 return_indices=True)
-        links = (a[i].astype("<i8") << 32) | b[j]
-        a, b, out, m, n = list(map(str, a.tolist())), list(map(str, b.tolist())), [], 0, 0
-        for i, j in zip((i + 1).tolist(), (j + 1).tolist()):
-            out.append(",".join(a[m:i]) + "|" + ",".join(b[n:j]))
-            m, n = i, j
-        return ";".join(out), links.tobytes(), len(out)
+        a, b = memoryview(raw_a).cast("I").tolist(), memoryview(raw_b).cast("I").tolist()
+        text_a, text_b = list(map(str, a)), list(map(str, b))
+        if len(a) == 1 or len(b) == 1:
+            return ",".join(text_a) + "|" + ",".join(text_b), self.link(a[-1] << 32 | b[-1]), 1
+        size_a, size_b, out, links, m, n, j = self.bytes_a, self.bytes_b, [], [], 0, 0, 0
+        ahead = -len(size_b[b[0]])              # bytes that A's tokens so far are ahead of B's up to j
+        for i, x in enumerate(a):
+            ahead += len(size_a[x])
+            while ahead > 0:
+                j += 1
+                ahead -= len(size_b[b[j]])
+            if not ahead:
+                out.append(",".join(text_a[m:i + 1]) + "|" + ",".join(text_b[n:j + 1]))
+                links.append(x << 32 | b[j])
+                m, n, j = i + 1, j + 1, j + 1
+                ahead = -len(size_b[b[j]]) if j < len(b) else 0
+        return ";".join(out), b"".join(map(self.link, links)), len(out)
 
     def windows(self, a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray):
         """Aligned windows of documents in a row (each starts at ``first_``), and every document's first window."""
