@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import NUMERIC, STRING, col, families
+from ..functions.heavy import top_table
 from ..functions.stats import value_counts, value_summary
 from .profile import column_profile, duplicate_rows
 
@@ -63,7 +64,7 @@ def j4_not_good(df):
 
 
 def j5_near_constant(df, threshold=LIMITS["J5"]):
-    s = value_summary(value_counts(df)).select("column", F.try_divide("top_n", "non_null").alias("o"))
+    s = top_table(df).select("column", F.try_divide("top_n", "non_null").alias("o"))
     return _gate(s, "J5", F.col("column"), F.col("o"), threshold, F.col("o") > threshold)
 
 

@@ -1,9 +1,9 @@
 """Missing values (stage "missing", D1-D9).
 
 ``fit_impute`` runs one aggregate for null fractions, one for means, the
-exact-quantile refinement for medians and one long-form ``groupBy`` for
-modes -- each only over the columns that need it.  ``apply_impute`` is a
-single projection with the fitted fill values as literals.
+exact quantiles for medians and frequent-value summaries for modes -- each
+only over the columns that need it.  ``apply_impute`` is a single projection
+with the fitted fill values as literals.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import NUMERIC, STRING, col, families
-from ..functions.stats import comparable_columns, python_value, quantiles, value_counts, value_summary
+from ..functions.heavy import top_values
+from ..functions.stats import comparable_columns, python_value, quantiles
 
 # Fixed values of the missing-value rules.
 DROP_THRESHOLD = 0.7        # drop a column when its null fraction is >= this
@@ -113,8 +114,8 @@ def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: floa
         fills.update({c: qs[c][0] for c in medians})
     if modes:
         dts = {f.name: f.dataType for f in df.schema.fields}
-        for r in value_summary(value_counts(df, modes)).select("column", "mode").collect():
-            fills[r["column"]] = python_value(dts[r["column"]], r["mode"])
+        for c, (_, _, mode) in top_values(df, modes).items():
+            fills[c] = python_value(dts[c], mode)
         for c in modes:
             if c not in fills and fams[c] == STRING:
                 fills[c] = UNKNOWN_FILL
