@@ -201,6 +201,22 @@ def test_map_columns_count_for_duplicates(spark):
     assert PR.duplicate_rows(df).first()["duplicate_rows"] == 1
 
 
+@pytest.mark.parametrize("bits", [64, 2, 0])
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_duplicates_with_colliding_digests(spark, monkeypatch, bits, most):
+    """Digests cut to few bits collide all the time; NULLs in other places and empty lists are other rows."""
+    real = PR.row_digest
+    monkeypatch.setattr(PR, "row_digest", lambda keys: [F.shiftrightunsigned(c, 64 - bits).alias(n) if bits else F.lit(0).alias(n)
+                                                        for c, n in zip(real(keys), ("d0", "d1"))] if bits < 64 else real(keys))
+    rows = [(1, None, []), (None, 1, []), (1, None, [None]), (1, None, []), (None, None, None), (None, None, None)]
+    rows += [(i % 40, i % 3, [i % 2]) for i in range(300)] + [(7, 7, [7])] * 200
+    df = spark.createDataFrame(rows, "a int, b int, c array<int>").repartition(4)
+    exp = len(rows) - len({(a, b, None if c is None else tuple(c)) for a, b, c in rows})
+    assert PR.duplicate_rows(df, most).first()["duplicate_rows"] == exp
+    assert PR.duplicate_rows(df.distinct(), most).first()["duplicate_rows"] == 0
+    assert PR.duplicate_rows(df.limit(0), most).first()["duplicate_rows"] == 0
+
+
 def test_quantile_brackets_are_proved_before_they_are_collected(spark, monkeypatch):
     from tableprep.functions import stats
     df = spark.range(0, 6000).select(F.when(F.col("id") < 3000, F.col("id") * 1e-6).otherwise(F.col("id") * 1e6).alias("x"))
