@@ -316,10 +316,9 @@ def _filled_items(spark, sf, overrides, constant=0):
 
 
 @query("d4_mean", """
-WITH items AS MATERIALIZED (SELECT order_id, part_id, qty, discount FROM m_items),
-     means AS MATERIALIZED (SELECT avg(qty) AS q, avg(discount) AS d FROM items)
-SELECT order_id, part_id, round(coalesce(qty, q), 6) AS qty, round(coalesce(discount, d), 6) AS discount
-FROM items, means""", ("m_items",))
+SELECT order_id, part_id, round(coalesce(qty, avg(qty) OVER ()), 6) AS qty,
+       round(coalesce(discount, avg(discount) OVER ()), 6) AS discount
+FROM m_items""", ("m_items",))
 def d4_mean(spark, sf):
     out = _filled_items(spark, sf, {"qty": "mean", "discount": "mean"})
     return out.select("order_id", "part_id", F.round("qty", 6).alias("qty"), F.round("discount", 6).alias("discount"))
@@ -356,9 +355,8 @@ def d7_const(spark, sf):
 
 
 @query("d8_override", """
-WITH items AS MATERIALIZED (SELECT * FROM m_items), means AS MATERIALIZED (SELECT avg(qty) AS q FROM items)
-SELECT order_id, part_id, round(coalesce(qty, q), 6) AS qty, price,
-       coalesce(flag, '0') AS flag, status_code, ship_date, item_id, constant_col, target FROM items, means""",
+SELECT order_id, part_id, round(coalesce(qty, avg(qty) OVER ()), 6) AS qty, price,
+       coalesce(flag, '0') AS flag, status_code, ship_date, item_id, constant_col, target FROM m_items""",
        ("m_items",))
 def d8_override(spark, sf):
     out = _filled_items(spark, sf, {"qty": "mean", "discount": "drop", "flag": "constant"})
