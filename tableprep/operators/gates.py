@@ -11,10 +11,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import NUMERIC, STRING, col, families
+from ..functions.columns import NUMERIC, STRING, col, families, family
 from ..functions.heavy import top_table
-from ..functions.stats import value_counts, value_summary
+from ..functions.stats import comparable_columns, typed_value, value_counts, value_summary
 from .profile import column_profile, duplicate_rows
 
 # Thresholds stated by the rules.
@@ -185,20 +186,64 @@ def j15_feature_bans(df, semantic: DataFrame, transforms: dict | None = None):
     return _union(out)
 
 
+def _same_value(f: T.StructField):
+    """One comparable form per value: whole numbers as longs whatever their type, other numbers as doubles (decimals
+    with their digits where a double cannot hold them), dates, times and text apart from numbers."""
+    x, dt = col(f.name), f.dataType
+    none = {s: F.lit(None).cast(t) for s, t in (("lng", "bigint"), ("num", "double"), ("str", "string"))}
+    if not isinstance(dt, T.NumericType):
+        v = typed_value(f)
+        return F.when(x.isNotNull(), F.struct(F.lit(families_of(dt)).alias("kind"), *[v[s].alias(s) for s in none]))
+    double = x.cast("double")
+    whole = F.coalesce((F.abs(double) < 2.0 ** 63) & (x == F.floor(x)), F.lit(False))
+    if isinstance(dt, T.IntegralType):
+        none["lng"] = x.cast("bigint")
+    else:
+        none["lng"] = F.when(whole, x.try_cast("bigint"))
+        none["num"] = F.when(~whole, double)
+        if isinstance(dt, T.DecimalType):
+            none["str"] = F.when(~whole & ~F.coalesce(double.try_cast(dt) == x, F.lit(False)), x.cast("string"))
+    return F.when(x.isNotNull(), F.struct(F.lit(NUMERIC).alias("kind"), *[c.alias(s) for s, c in none.items()]))
+
+
+def families_of(dt: T.DataType) -> str:
+    """Family of a type, dates and times apart."""
+    return dt.simpleString() if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)) else family(dt)
+
+
 def j16_identical_columns(df, new_cols, old_cols, derived: dict | None = None):
     """``J16.identical``: a derived column equal to an existing one; ``J16.nulls``: a transform (``derived``: new
-    column -> its source) that adds NULLs."""
-    structs = [F.struct(F.lit("J16.identical").alias("rule"), F.lit(f"{a}={b}").alias("column"),
-                        F.count_if(~col(a).cast("double").eqNullSafe(col(b).cast("double"))).alias("o"))
-               for a in new_cols for b in old_cols]
-    structs += [F.struct(F.lit("J16.nulls").alias("rule"), F.lit(f"{a}<-{b}").alias("column"),
-                         F.count_if(col(a).isNull() & col(b).isNotNull()).alias("o")) for a, b in (derived or {}).items()]
-    if not structs:
-        return df.sparkSession.createDataFrame([], GATE_SCHEMA)
-    x = df.agg(F.array(*structs).alias("a")).select(F.inline("a"))
-    same = F.col("rule") == "J16.identical"
-    g = _gate(x, "", F.col("column"), F.col("o"), 0.0, F.when(same, F.col("o") == 0).otherwise(F.col("o") > 0))
-    return g.withColumn("rule", F.when(g["column"].contains("<-"), "J16.nulls").otherwise("J16.identical"))
+    column -> its source) that adds NULLs.
+
+    Columns get fingerprints first: per column one order-free aggregate of its
+    values' hashes, each mixed with the hash of its row.  Different
+    fingerprints prove different columns (``observed`` NULL); only pairs with
+    equal ones are compared row by row (``observed``: the rows that differ).
+    """
+    pairs = [(a, b) for a in new_cols for b in old_cols]
+    names = list(dict.fromkeys(x for p in pairs for x in p))
+    same = []
+    if pairs:
+        row = F.xxhash64(*map(col, comparable_columns(df)))
+        seen = [F.xxhash64(F.lit(0), row, _same_value(df.schema[c]).isNull(), _same_value(df.schema[c])) for c in names]
+        # sums of 20 bits cannot overflow; equal rows would cancel out in a bit sum alone
+        got = df.agg(*[F.struct(F.bit_xor(h), F.sum(h.bitwiseAND(0xFFFFF))) for h in seen]).first()
+        of = dict(zip(names, map(tuple, got)))
+        same = [(a, b) for a, b in pairs if of[a] == of[b]]
+    structs = [F.struct(F.lit(f"{a}={b}").alias("column"),
+                        F.count_if(~_same_value(df.schema[a]).eqNullSafe(_same_value(df.schema[b]))).alias("o")) for a, b in same]
+    added = [F.struct(F.lit(f"{a}<-{b}").alias("column"),
+                      F.count_if(col(a).isNull() & col(b).isNotNull()).alias("o")) for a, b in (derived or {}).items()]
+    out = []
+    for rule, cells, fired in (("J16.identical", structs, F.col("o") == 0), ("J16.nulls", added, F.col("o") > 0)):
+        if cells:
+            x = df.agg(F.array(*cells).alias("a")).select(F.inline("a"))
+            out.append(_gate(x, rule, F.col("column"), F.col("o"), 0.0, fired))
+    rest = [(f"{a}={b}",) for a, b in pairs if (a, b) not in same]
+    if rest:
+        x = df.sparkSession.createDataFrame(rest, "column string")
+        out.append(_gate(x, "J16.identical", F.col("column"), F.lit(None), 0.0, F.lit(False)))
+    return _union(out) if out else df.sparkSession.createDataFrame([], GATE_SCHEMA)
 
 
 def j17_selection_rules(semantic: DataFrame, removed: DataFrame, target: str | None):

@@ -232,20 +232,29 @@ _J16_SRC = (f"(SELECT *, coalesce(a.code, -1) AS flag_encoded, coalesce(b.code,
 _J16 = "\nUNION ALL\n".join(
     f"SELECT '{a}={b}' AS c, count_if(CAST({a} AS DOUBLE) IS DISTINCT FROM CAST({b} AS DOUBLE)) AS o FROM {_J16_SRC}"
     for a in ("flag_encoded", "status_code_encoded") for b in _ENC_OLD)
-
-
-@query("j16_identical", _sel("J16.identical", "c", "o", 0.0, "o = 0", f"({_J16})") + "\nUNION ALL\n"
-       + _sel("J16.nulls", "'log_qty<-qty'", "o", 0.0, "o > 0",
-              "(SELECT count_if(qty <= 10) AS o FROM m_items)") + "\nUNION ALL\n"
-       + _sel("J16.identical", "'part_copy=part_id'", "0.0", 0.0, "true", "(SELECT 1)"), ("m_items",))
+# copies, a text beside another text, and longs that only differ beyond the digits of a double
+_J16_MORE = ("(SELECT qty, part_id, item_id, flag, status_code, part_id AS part_copy, item_id AS item_copy, "
+             "9007199254740992 + part_id % 2 AS large, CAST(9007199254740992 AS BIGINT) AS even, "
+             "CASE WHEN qty > 10 THEN ln(qty - 10) END AS log_qty FROM m_items)")
+_J16_PAIRS = [(a, b) for a in ("part_copy", "item_copy", "large", "flag") for b in ("part_id", "item_id", "even", "status_code")]
+_J16_TYPED = "\nUNION ALL\n".join(
+    f"SELECT '{a}={b}' AS c, count_if(CAST({a} AS VARCHAR) IS DISTINCT FROM CAST({b} AS VARCHAR)) AS o FROM {_J16_MORE}"
+    for a, b in _J16_PAIRS)
+
+
+@query("j16_identical", _sel("J16.identical", "c", "CASE WHEN o = 0 THEN o END", 0.0, "o = 0", f"({_J16}\nUNION ALL\n{_J16_TYPED})")
+       + "\nUNION ALL\n" + _sel("J16.nulls", "'log_qty<-qty'", "o", 0.0, "o > 0",
+                                f"(SELECT count_if(log_qty IS NULL AND qty IS NOT NULL) AS o FROM {_J16_MORE})"), ("m_items",))
 def j16(spark, sf):
     df = m_items(spark, sf)
     enc = FE.apply_encode(df, FE.fit_encode(df, ["flag", "status_code"]))
-    # a transform that is undefined for quantities up to 10, and a plain copy of a column
-    more = df.select("qty", "part_id", F.when(F.col("qty") > 10, F.ln(F.col("qty") - 10)).alias("log_qty"),
-                     F.col("part_id").alias("part_copy"))
+    # a transform that is undefined for quantities up to 10, plain copies, and longs beyond a double's digits
+    more = df.select("qty", "part_id", "item_id", "flag", "status_code", F.col("part_id").alias("part_copy"),
+                     F.col("item_id").alias("item_copy"), (F.lit(1 << 53) + F.col("part_id") % 2).alias("large"),
+                     F.lit(1 << 53).alias("even"), F.when(F.col("qty") > 10, F.ln(F.col("qty") - 10)).alias("log_qty"))
     return _r(G.j16_identical_columns(enc, ["flag_encoded", "status_code_encoded"], _ENC_OLD).unionByName(
-        G.j16_identical_columns(more, ["part_copy"], ["part_id"], {"log_qty": "qty"})))
+        G.j16_identical_columns(more, ["part_copy", "item_copy", "large", "flag"], ["part_id", "item_id", "even", "status_code"],
+                                {"log_qty": "qty"})))
 
 
 _LOWVAR = per_column("SELECT '{c}' AS c FROM m_items HAVING coalesce(var_samp({c}) < 0.01, false)",

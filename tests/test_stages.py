@@ -319,3 +319,33 @@ def test_wide_correlations_are_one_pass(spark):
     got = {(r["a"], r["b"]): r["r"] for r in SE.correlation_table(df, [f"c{i}" for i in range(15, 25)]).collect()}
     corr = pdf.corr()
     assert all(r == pytest.approx(corr.loc[a, b], abs=1e-9) for (a, b), r in got.items())
+
+
+def test_identical_columns_of_all_types(spark):
+    """Pairs by rows: text, longs beyond doubles, numbers of unequal types, dates beside numbers, NULLs, equal rows."""
+    import datetime
+    import decimal
+    from tableprep.operators import gates as G
+    big, day = 1 << 53, datetime.date(1970, 1, 3)
+    rows = [(big, big + 1, 2, 2.0, decimal.Decimal("2.00"), "x", "x", day, 0.5, decimal.Decimal("0.50"), None, True),
+            (big, big, 3, 3.0, decimal.Decimal("3.00"), "y", "y", day, -0.0, decimal.Decimal("0.00"), None, False)] * 2
+    rows += [(1, 1, None, None, None, None, None, None, float("nan"), None, None, None)]
+    df = spark.createDataFrame(rows, "a long, b long, i int, d double, m decimal(9,2), s string, t string, day date, h double, "
+                                     "k decimal(9,2), n string, f boolean").repartition(3)
+    cols = df.columns
+    got = {r["column"]: (r["observed"], r["fired"]) for r in G.j16_identical_columns(df, cols, cols).collect()}
+    same = {(x, x) for x in cols} | {(x, y) for g in (("i", "d", "m"), ("s", "t")) for x in g for y in g}
+    for x in cols:
+        for y in cols:
+            assert got[f"{x}={y}"] == ((0.0, True) if (x, y) in same else (None, False)), (x, y)
+    assert G.j16_identical_columns(df, [], cols).collect() == []
+    nulls = G.j16_identical_columns(df, [], [], {"i": "a"}).collect()
+    assert [(r["rule"], r["column"], r["observed"], r["fired"]) for r in nulls] == [("J16.nulls", "i<-a", 1.0, True)]
+
+
+def test_identical_columns_with_equal_fingerprints_are_compared(spark, monkeypatch):
+    from tableprep.operators import gates as G
+    monkeypatch.setattr(G.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    df = spark.createDataFrame([(1, 1, 2), (2, 2, 2), (3, 3, 3)], "a int, b int, c int")
+    got = {r["column"]: (r["observed"], r["fired"]) for r in G.j16_identical_columns(df, ["a"], ["b", "c"]).collect()}
+    assert got == {"a=b": (0.0, True), "a=c": (1.0, False)}
