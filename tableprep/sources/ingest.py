@@ -1,15 +1,24 @@
-"""Intake (A1-A4): read CSV / JSON / parquet, normalise missing values, infer types.
+"""Intake (A1-A4): read CSV / JSON / parquet, set broken records apart, normalise missing values, infer types.
 
 CSV is read as text, NA tokens become NULL, then each column takes the
 narrowest type that EVERY non-null value casts to (one aggregate of
 ``try_cast`` success counts) -- the order-free equivalent of ``read_csv``'s
 inference.  NaN is mapped to NULL once, for every format.
+
+A record is never repaired in silence.  Records that do not fit are rejects,
+``(file, record, reason)``: a CSV line with fields beyond or short of the
+header or with a quotation that does not close, a JSON line or document that
+does not parse.  The caller says whether they raise or are kept apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col, nan_to_null
 
@@ -18,60 +27,180 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 BOOL_TOKENS = ["True", "False", "true", "false", "TRUE", "FALSE"]
 FORMATS = ("csv", "json", "parquet")
-_CORRUPT = "__corrupt_record"
+ON_BAD = ("raise", "keep_apart")
+CHUNK = 64                  # columns of one aggregate
+REJECT_SCHEMA = "file string, record string, reason string"
+_CORRUPT, _FILE, _REASON = "__corrupt_record", "__file", "__reason"
+
+
+@dataclass(frozen=True)
+class Intake:
+    """Rows that fit, and the records that do not with their number."""
 
+    df: DataFrame
+    rejects: DataFrame
+    n_rejects: int
 
-def _na_to_null(df: DataFrame) -> DataFrame:
-    return df.select(*[F.when(col(c).isin(NA_TOKENS), F.lit(None)).otherwise(col(c)).alias(c)
-                       for c in df.columns])
+
+def _na_to_null(x: Column) -> Column:
+    return F.when(x.isin(NA_TOKENS), F.lit(None)).otherwise(x)
 
 
 def infer_text_types(df: DataFrame) -> DataFrame:
     """Cast text columns to bigint / double / boolean when every non-null value fits."""
-    exprs = []
-    for c in df.columns:
-        x = col(c)
-        exprs += [F.count(x).alias(f"n::{c}"), F.count(x.try_cast("bigint")).alias(f"l::{c}"),
-                  F.count(x.try_cast("double")).alias(f"d::{c}"),
-                  F.count_if(x.isin(BOOL_TOKENS)).alias(f"b::{c}")]
-    row = df.agg(*exprs).first().asDict() if exprs else {}
-    out = []
-    for c in df.columns:
-        n = row[f"n::{c}"]
-        if n and row[f"l::{c}"] == n:
-            out.append(col(c).try_cast("bigint").alias(c))
-        elif n and row[f"d::{c}"] == n:
-            out.append(col(c).try_cast("double").alias(c))
-        elif n and row[f"b::{c}"] == n:
-            out.append(F.lower(col(c)).try_cast("boolean").alias(c))
-        elif n == 0:
-            out.append(col(c).cast("double").alias(c))   # all-missing column reads as float
-        else:
-            out.append(col(c))
-    return df.select(*out)
+    return _typed(df, df.columns)[0]
 
 
-def read_any(spark: SparkSession, path: str, file_type: str = "csv", json_lines: bool = True,
-             multi_line: bool = True) -> DataFrame:
-    """A1-A3.  Unsupported formats raise (the reference returned an error dict).
-
-    CSV: quotes are doubled inside quoted fields; with ``multi_line`` a quoted
-    field may hold newlines, which makes a file one task -- switch it off for
-    large files without such fields.  JSON: ``json_lines`` says whether a file
-    holds one object per line or one array (or object); text that is neither
-    raises.  ``path`` may be a file or a folder on any file system of Spark.
+def _typed(df: DataFrame, cols: list[str], reason: Column | None = None) -> tuple[DataFrame, int]:
+    """``cols`` of the rows without a ``reason``, typed, and the number of rows with one: one aggregate per chunk of columns."""
+    fits = F.lit(True) if reason is None else reason.isNull()
+    out, rejects = [], 0
+    for at in range(0, max(len(cols), 1), CHUNK):
+        some = cols[at:at + CHUNK]
+        exprs = [F.count_if(~fits).alias("rejects")]
+        for i, c in enumerate(some):
+            x = F.when(fits, col(c))
+            exprs += [F.count(x).alias(f"n{i}"), F.count(x.try_cast("bigint")).alias(f"l{i}"),
+                      F.count(x.try_cast("double")).alias(f"d{i}"), F.count_if(x.isin(BOOL_TOKENS)).alias(f"b{i}")]
+        row = df.agg(*exprs).first()
+        rejects = row["rejects"]
+        for i, c in enumerate(some):
+            n = row[f"n{i}"]
+            if n and row[f"l{i}"] == n:
+                out.append(col(c).try_cast("bigint").alias(c))
+            elif n and row[f"d{i}"] == n:
+                out.append(col(c).try_cast("double").alias(c))
+            elif n and row[f"b{i}"] == n:
+                out.append(F.lower(col(c)).try_cast("boolean").alias(c))
+            elif n == 0:
+                out.append(col(c).cast("double").alias(c))   # all-missing column reads as float
+            else:
+                out.append(col(c))
+    return (df if reason is None else df.where(fits)).select(*out), rejects
+
+
+# --- CSV
+
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, file)`` of all lines but every file's first and blank ones.
+
+    The reader sees one field per line: nothing is a quote, and a line that
+    holds the separator is handed over whole as a corrupt record.
+    """
+    raw = spark.read.schema(f"line string, {_CORRUPT} string").options(
+        header=True, sep="\x01", quote="", mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).csv(path)
+    return raw.select(F.coalesce(F.col(_CORRUPT), F.col("line")).alias("line"), F.col("_metadata.file_path").alias("file"))
+
+
+def _quotes(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit('"')))
+
+
+def _line_fault(line: Column, fields: int) -> Column:
+    """Why a line is not ``fields`` fields, NULL if it is.  Quotes are doubled inside a quoted field.
+
+    Pairs of quotes become marks (\\x02), quoted fields go, and what then starts with a quote or mark was not closed.
+    """
+    marked = F.replace(F.replace(line, F.lit("\x02"), F.lit("")), F.lit('""'), F.lit("\x02"))
+    plain = F.regexp_replace(marked, '(^|,)(?:\x02*"[^"]*"|\x02+)(?=,|$)', "$1")
+    n = F.length(plain) - F.length(F.replace(plain, F.lit(","))) + 1
+    return (F.when(plain.rlike('(^|,)["\x02]'), "open quotation")
+            .when(n > fields, "surplus fields").when(n < fields, "missing fields"))
+
+
+def _seen(names: list[str]) -> Column:
+    """Always true, but it reads the columns: Spark refuses plans that ask for the corrupt record alone."""
+    return F.length(F.to_json(F.struct(*map(col, names)))) >= 0
+
+
+def _read_csv(spark: SparkSession, path: str, multi_line: bool | None) -> tuple[DataFrame, DataFrame, int]:
+    head = dict(header=True, inferSchema=False, quote='"', escape='"')
+    names = spark.read.options(**head).csv(path).columns
+    inner = [f"c{i}" for i in range(len(names))]
+    ddl = ", ".join(f"{c} string" for c in inner)
+    raw = _raw_lines(spark, path)
+    line = F.col("line")
+    lines = raw.select(F.from_csv("line", ddl, {"quote": '"', "escape": '"'}).alias("r"), line.alias(_CORRUPT),
+                       F.col("file").alias(_FILE), _line_fault(line, len(names)).alias(_REASON)).select("r.*", _CORRUPT, _FILE, _REASON)
+    bad = F.col(_CORRUPT)
+    whole = spark.read.schema(f"{ddl}, {_CORRUPT} string").options(
+        **head, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).csv(path).select(
+        *inner, F.col("_metadata.file_path").alias(_FILE), _CORRUPT,
+        F.when(bad.isNotNull() & _seen(inner), F.coalesce(_line_fault(bad, len(names)), F.lit("open quotation"))).alias(_REASON))
+    if multi_line is None:
+        # an open quotation is either a field over several lines or a fault: the reading in which more rows fit.  A value
+        # that starts with a quote may be what the reader made of a fault.
+        stray = reduce(lambda a, b: a | b, [F.coalesce(F.col(c).startswith('"'), F.lit(False)) for c in inner])
+        seen = raw.agg(F.max(_quotes(line) % 2).alias("open"), F.count_if(_line_fault(line, len(names)).isNull()).alias("fit")).first()
+        multi_line = bool(seen["open"]) and whole.where(F.col(_REASON).isNull() & ~stray).count() > seen["fit"]
+    rows = (whole if multi_line else lines).withColumns({c: _na_to_null(F.col(c)) for c in inner})
+    good, n = _typed(rows, inner, F.col(_REASON))
+    bad = rows.where(F.col(_REASON).isNotNull()).select(
+        F.col(_FILE).alias("file"), F.col(_CORRUPT).alias("record"), F.col(_REASON).alias("reason"))
+    return good.toDF(*names), bad, n
+
+
+def _read_json(spark: SparkSession, path: str, json_lines: bool) -> tuple[DataFrame, DataFrame, int]:
+    df = spark.read.options(multiLine=not json_lines, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).json(path)
+    if _CORRUPT not in df.columns:
+        return df, spark.createDataFrame([], REJECT_SCHEMA), 0
+    names = [c for c in df.columns if c != _CORRUPT]
+    if not names:                                           # no record parses: a column to ask for beside the records
+        df = spark.read.schema(f"__none string, {_CORRUPT} string").options(
+            multiLine=not json_lines, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).json(path)
+        names = ["__none"]
+    rows = df.select("*", F.col("_metadata.file_path").alias(_FILE))
+    bad = rows.where(F.col(_CORRUPT).isNotNull() & _seen(names)).select(
+        F.col(_FILE).alias("file"), F.col(_CORRUPT).alias("record"),
+        F.lit("not a JSON object" if json_lines else "not a JSON document").alias("reason"))
+    # the filter reads every column, so a record is corrupt or not whatever a later query asks for
+    good = rows.where(F.col(_CORRUPT).isNull() & _seen(names)).select(*[col(c) for c in names if c != "__none"])
+    return good, bad, bad.count()
+
+
+def read_checked(spark: SparkSession, path: str, file_type: str = "csv", json_lines: bool = True,
+                 multi_line: bool | None = None) -> Intake:
+    """Rows that fit and rejects of ``path``, a file or a folder on any file system of Spark.
+
+    CSV: quotes are doubled inside quoted fields; blank lines are passed over;
+    every file starts with the header.  ``multi_line`` says whether quoted
+    fields may hold newlines, which makes a file one task.  None finds out:
+    where lines leave a quotation open, both readings are counted and the one
+    in which more rows fit is taken.  Read by lines, a quotation must close on
+    its line.
+    JSON: ``json_lines`` says whether a file holds one object per line or one
+    array (or object); a document that does not parse is one reject.
     """
     if file_type == "csv":
-        raw = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line).csv(path)
-        return nan_to_null(infer_text_types(_na_to_null(raw)))
-    if file_type == "json":
-        df = spark.read.options(multiLine=not json_lines, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).json(path)
-        if _CORRUPT in df.columns:
-            raise ValueError(f"{path} is not {'JSON lines' if json_lines else 'a JSON document'}; see json_lines")
-        return nan_to_null(df)
-    if file_type == "parquet":
-        return nan_to_null(spark.read.parquet(path))
-    raise ValueError(f"Unsupported file_type: {file_type}; expected one of {FORMATS}")
+        good, bad, n = _read_csv(spark, path, multi_line)
+    elif file_type == "json":
+        good, bad, n = _read_json(spark, path, json_lines)
+    elif file_type == "parquet":
+        good, bad, n = spark.read.parquet(path), spark.createDataFrame([], REJECT_SCHEMA), 0
+    else:
+        raise ValueError(f"Unsupported file_type: {file_type}; expected one of {FORMATS}")
+    return Intake(nan_to_null(good), bad, n)
+
+
+def read_any(spark: SparkSession, path: str, file_type: str = "csv", json_lines: bool = True,
+             multi_line: bool | None = None, on_bad: str = "raise", rejects_path: str | None = None) -> DataFrame:
+    """A1-A3: ``read_checked`` with a rule for rejects.  Unsupported formats raise (the reference returned an error dict).
+
+    ``on_bad="raise"``: any reject raises ``ValueError`` with their number and
+    examples.  ``"keep_apart"``: the rows that fit are returned and rejects
+    are appended to the Parquet table ``rejects_path``.
+    """
+    if on_bad not in ON_BAD:
+        raise ValueError(f"unknown on_bad {on_bad!r}; expected one of {ON_BAD}")
+    if on_bad == "keep_apart" and not rejects_path:
+        raise ValueError("keep_apart needs a rejects_path")
+    got = read_checked(spark, path, file_type, json_lines, multi_line)
+    if got.n_rejects and on_bad == "raise":
+        some = [f"{r['reason']}: {(r['record'] or '')[:80]!r}" for r in got.rejects.limit(3).collect()]
+        raise ValueError(f"{path}: {got.n_rejects} records are not {file_type} as asked for ({'; '.join(some)})")
+    if got.n_rejects:
+        got.rejects.write.mode("append").parquet(rejects_path)
+    return got.df
 
 
 def intake_profile(df: DataFrame, path: str = "", file_type: str = "") -> DataFrame:   # A4
