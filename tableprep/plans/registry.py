@@ -36,4 +36,4 @@ def per_column(template: str, cols, sep: str = "\nUNION ALL\n") -> str:
 
 def load_all() -> None:
     # importing the modules registers their queries
-    from . import queries_prep, queries_calls, queries_gates  # noqa: F401
+    from . import queries_prep, queries_calls, queries_gates, queries_intake  # noqa: F401
