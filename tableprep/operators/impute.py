@@ -82,7 +82,8 @@ def fit_impute(df: DataFrame, semantic: dict | None = None, drop_threshold: floa
     of the same rows, saving a scan."""
     semantic = semantic or {}
     if isinstance(overrides, DataFrame):       # advice table (column, strategy), one row per column
-        rows = (overrides.where(F.col("column").isin(list(df.columns)))
+        # a row without a strategy is no advice
+        rows = (overrides.where(F.col("column").isin(list(df.columns)) & F.col("strategy").isNotNull())
                 .groupBy("column").agg(F.max("strategy").alias("strategy")).collect())   # <= one per column
         overrides = {r["column"]: r["strategy"] for r in rows}
     fams = families(df)

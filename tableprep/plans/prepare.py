@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..functions.columns import nan_to_null
+from ..operators import advise as AD
 from ..operators import features as FE
 from ..operators import gates as GA
 from ..operators import impute as IM
@@ -55,6 +57,7 @@ class Prepared:
     steps_completed: list = field(default_factory=list)
     timings: dict = field(default_factory=dict)
     gates: list = field(default_factory=list)
+    steps_resumed: list = field(default_factory=list)
 
     def report(self) -> DataFrame:
         return self.store.report()
@@ -67,10 +70,20 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
             protect_target: bool = True, overrides: dict | None = None,
             run_id: str | None = None, store: RunStore | None = None,
             checkpoint: bool = False, exact: bool = True, type_method: str = "auto",
-            persist: bool = True) -> Prepared:
+            persist: bool = True, resume: bool = False, adviser: Callable[[dict], dict] | None = None,
+            adviser_timeout: float | None = None) -> Prepared:
     """Run all stages.  ``persist`` keeps the input in executor memory/disk
     while the ~20 fit aggregates scan it (lost blocks are recomputed from
-    lineage); it is released before returning."""
+    lineage); it is released before returning.
+
+    Every stage's fit is saved in the store as soon as the stage is done.
+    ``resume`` takes the fits that run ``run_id`` has saved there, from this
+    driver or another, and runs only the stages behind them; other parameters
+    or another table than the run began with raise.
+
+    ``adviser`` is asked for the strategy of every column with holes (see
+    ``operators.advise``); ``overrides`` go before its advice.
+    """
     spark = df.sparkSession
     df = nan_to_null(df)
     owned = persist and not df.is_cached        # never release a cache the caller made
@@ -81,36 +94,55 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
     protect = (target,) if (target and protect_target) else ()
     res = Prepared(df, run_id, store)
     cur = df
+    begun = {"columns": [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "target": target,
+             "outlier_action": outlier_action, "polynomial": polynomial, "drop_threshold": drop_threshold,
+             "variance_threshold": variance_threshold, "correlation_threshold": correlation_threshold,
+             "protect_target": protect_target, "exact": exact, "type_method": type_method}
+    saved = store.load_fits(run_id) if resume else {}
+    if resume and not saved:
+        raise ValueError(f"run {run_id!r} has saved no fits")
+    if saved and saved["run"] != begun:
+        other = [k for k in begun if saved["run"].get(k) != begun[k]]
+        raise ValueError(f"run {run_id!r} began with another {', '.join(other)}")
+    if not saved:
+        store.save_fit(run_id, "run", begun)
 
     def barrier(d):
         return cut_lineage(d) if checkpoint else d
 
     def stage(name, fn):
         t0 = time.time()
+        if name in saved:
+            res.steps_completed.append(name)
+            res.steps_resumed.append(name)
+            return saved[name]
         try:
             out = fn()
         except StageError:
             raise
         except Exception as e:  # noqa: BLE001
             raise StageError(name, list(res.steps_completed), e) from e
+        if name != "validate":
+            store.save_fit(run_id, name, out)
         res.steps_completed.append(name)
         res.timings[name] = round(time.time() - t0, 3)
         return out
 
     # intake (A4) + audit (B): one profile aggregate and one duplicate count
     def _audit():
-        return PR.audit(cur)
+        a = PR.audit(cur)
+        store.add_report(run_id, "intake", [(None, "rows", a.rows), (None, "columns", len(cur.columns))]
+                         + [(c, "column_name", c) for c in cur.columns], label="intake")
+        rows = [(None, "rows", a.rows), (None, "duplicate_rows", a.duplicate_rows),
+                (None, "overall_quality", a.overall_quality)]
+        rows += [(c, "null_count", n) for c, n in a.null_counts.items()]
+        rows += [(c, "null_pct", p) for c, p in a.null_pct.items()]
+        rows += [(c, "zero_variance", True) for c in a.zero_variance]
+        rows += [(c, f"flag:{kind}", value) for kind, c, value in a.flags]
+        store.add_report(run_id, "audit", rows, label="quality_report")
+        return a
     a = res.fits["audit"] = stage("audit", _audit)
-    store.add_report(run_id, "intake", [(None, "rows", a.rows), (None, "columns", len(cur.columns))]
-                     + [(c, "column_name", c) for c in cur.columns], label="intake")
     res.steps_completed.insert(0, "intake")
-    rows = [(None, "rows", a.rows), (None, "duplicate_rows", a.duplicate_rows),
-            (None, "overall_quality", a.overall_quality)]
-    rows += [(c, "null_count", n) for c, n in a.null_counts.items()]
-    rows += [(c, "null_pct", p) for c, p in a.null_pct.items()]
-    rows += [(c, "zero_variance", True) for c in a.zero_variance]
-    rows += [(c, f"flag:{kind}", value) for kind, c, value in a.flags]
-    store.add_report(run_id, "audit", rows, label="quality_report")
 
     # types (C)
     def _types():
@@ -128,11 +160,20 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         # datetime casts keep every non-null value (all of them parsed), so the
         # audit's null counts still hold: no new scan for null fractions
         fr = {c: (n / a.rows if a.rows else None) for c, n in a.null_counts.items()}
-        m = IM.fit_impute(cur, tfit.semantic, drop_threshold, overrides, protect, exact_median=exact,
+        advice, faults = dict(overrides or {}) if not isinstance(overrides, DataFrame) else overrides, []
+        if adviser is not None:
+            if isinstance(advice, DataFrame):
+                raise ValueError("give overrides as a dict beside an adviser")
+            told = AD.column_facts(cur, tfit.semantic, fr, drop_threshold, protect)
+            for r in AD.advise_columns(told, adviser, timeout=adviser_timeout).collect():     # at most one row per column
+                faults += [(r["column"], AD.ERROR, r[AD.ERROR])] if r[AD.ERROR] else []
+                if r["strategy"] is not None:
+                    advice.setdefault(r["column"], r["strategy"])
+        m = IM.fit_impute(cur, tfit.semantic, drop_threshold, advice, protect, exact_median=exact,
                           fractions=fr)
         rows = [(c, "strategy", a.action) for c, a in m.actions.items()]
         rows += [(c, "log", a.log) for c, a in m.actions.items()]
-        rows += [(c, "fill", a.fill) for c, a in m.actions.items() if a.fill is not None]
+        rows += [(c, "fill", a.fill) for c, a in m.actions.items() if a.fill is not None] + faults
         store.add_report(run_id, "missing", rows, label="missing_report")
         return m
     mfit = res.fits["missing"] = stage("missing", _missing)
@@ -150,23 +191,22 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         store.add_report(run_id, "outliers", rows, label="outlier_report")
         return o
     ofit = res.fits["outliers"] = stage("outliers", _outliers)
-    before = None
-    if outlier_action == "drop":
-        before = res.fits["audit"].rows
     cur = barrier(OU.apply_outliers(cur, ofit, outlier_action))
-    if before is not None:
-        store.add_report(run_id, "outliers", [(None, "rows_dropped", before - cur.count())], label="outlier_rows")
+    if outlier_action == "drop" and "outliers" not in saved:
+        store.add_report(run_id, "outliers", [(None, "rows_dropped", a.rows - cur.count())], label="outlier_rows")
 
     # features (F)
     def _features():
         cats = [c for c, k in tfit.semantic.items() if k == "categorical" and c in cur.columns]
-        enc = res.fits["encode"] = FE.fit_encode(cur, cats)
-        res.fits["polynomial"] = polynomial
+        enc = FE.fit_encode(cur, cats)
         out, log = FE.engineer(cur, tfit.semantic, polynomial, encode_fit=enc)
         store.add_report(run_id, "features", [(",".join(f.sources), "engineered", f"{f.kind}:{f.count}") for f in log]
                          + [(None, "new_columns", len(out.columns))], label="feature_report")
-        return out
-    cur = barrier(stage("features", _features))
+        return enc
+    enc = res.fits["encode"] = stage("features", _features)
+    res.fits["polynomial"] = polynomial
+    cur, derived = FE.engineer(cur, tfit.semantic, polynomial, encode_fit=enc)
+    cur = barrier(cur)
 
     # select (G)
     def _select():
@@ -190,11 +230,11 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
         res.status, res.errors, res.warnings = status, errors, warnings
         res.stats = {
             "original_quality": res.fits["audit"].overall_quality,
-            "features_engineered": sum(1 for r in store._report if r[1] == "features" and r[3] == "engineered"),
+            "features_engineered": len(derived),
             "features_removed": len(sfit.removed),
             "features_kept": len(sfit.kept),
-            "outlier_rows_flagged": next((r[4] for r in store._report
-                                          if r[1] == "outliers" and r[3] == "total_outlier_rows"), "N/A"),
+            "outlier_rows_flagged": next((r["value"] for r in store.stage_report(run_id, "outliers").where(
+                "metric = 'total_outlier_rows'").select("value").collect()), "N/A"),
         }
         rows = [(None, "pipeline_status", status), (None, "rows", st["rows"]), (None, "columns", st["columns"])]
         rows += [(c, "residual_nulls", n) for c, n in nulls.items()]

@@ -29,6 +29,7 @@ class RunStore:
         self.root = root
         self._report: list[tuple] = []
         self._ledger: list[tuple] = []
+        self._fits: dict[str, dict] = {}
 
     # --- ledger (A7)
     def log_step(self, run_id: str, step: str) -> None:
@@ -58,6 +59,21 @@ class RunStore:
             return self.spark.read.schema(REPORT_SCHEMA).parquet(os.path.join(self.root, "report"))
         return self.spark.createDataFrame(self._report, REPORT_SCHEMA)
 
+    # --- fitted state (A5, I2, I3)
+    def save_fit(self, run_id: str, stage: str, fit) -> None:
+        self._fits.setdefault(run_id, {})[stage] = fit
+        if self.root:
+            from .fits import save_fit
+            save_fit(self.spark, self.root, run_id, stage, fit)
+
+    def load_fits(self, run_id: str) -> dict:
+        """``{stage: fit}`` of what the run has fitted so far, whichever driver fitted it; empty for an unknown run."""
+        path = os.path.join(self.root, "fits") if self.root else None
+        if path and path_exists(self.spark, path):
+            from .fits import FITS_SCHEMA, read_fits
+            return read_fits(self.spark.read.schema(FITS_SCHEMA).parquet(path), run_id)
+        return dict(self._fits.get(run_id, {}))
+
     def stage_report(self, run_id: str, stage: str) -> DataFrame:
         """One stage's report of a run; empty if the run has none."""
         return stage_report(self.report().where(F.col("run_id") == run_id), stage)
