@@ -48,8 +48,16 @@ def cut_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_slices(df: DataFrame, make: Callable[[], Callable], schema: str | StructType, rows: int = 512) -> DataFrame:
-    """``mapInArrow`` in slices of at most ``rows`` rows (fewer where texts are very long).
+def byte_alphabet() -> dict[str, int]:
+    """Fixed rule of byte-level vocabularies: printable Latin-1 stands for itself, the other bytes for U+0100 onwards."""
+    plain = {b for lo, hi in ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)) for b in range(lo, hi + 1)}
+    others = [b for b in range(256) if b not in plain]
+    return {**{chr(b): b for b in plain}, **{chr(256 + k): b for k, b in enumerate(others)}}
+
+
+def map_slices(df: DataFrame, make: Callable[[], Callable], schema: str | StructType, rows: int = 512,
+               most_bytes: int = 32_000_000) -> DataFrame:
+    """``mapInArrow`` in slices of at most ``rows`` rows (fewer where they hold more than ``most_bytes``).
 
     ``make()`` runs once per task and returns ``f(*columns) -> columns`` over
     Python lists, so a task holds one slice of decoded texts at a time.  If
@@ -66,7 +74,7 @@ def map_slices(df: DataFrame, make: Callable[[], Callable], schema: str | Struct
                 [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, arrow.types)], schema=arrow)
 
         for b in batches:
-            for s in _slices(b, rows):
+            for s in _slices(b, rows, most_bytes):
                 yield batch(f(*[c.to_pylist() for c in s.columns]))
         finish = getattr(f, "finish", None)
         if finish is not None:
@@ -75,7 +83,7 @@ def map_slices(df: DataFrame, make: Callable[[], Callable], schema: str | Struct
     return df.mapInArrow(run, st)
 
 
-def _slices(batch: pa.RecordBatch, rows: int, most_bytes: int = 32_000_000):
+def _slices(batch: pa.RecordBatch, rows: int, most_bytes: int):
     at = 0
     while at < batch.num_rows:
         part = batch.slice(at, rows)

@@ -5,7 +5,8 @@ model (B).  Both token rows spell the same bytes, so an offset where a
 space-marked token starts in both is a verified shared end of the tokens
 before it.  These anchors split a document into windows of token ids; what a
 window's groups and links are depends on its ids alone, so it is worked out
-once per pair of id tuples and remembered.
+once per pair of id tuples among the windows of a slice of documents (about a
+thousand, less where they are long) and remembered for all that are equal.
 
 Inside a window the offsets where A and B tokens both end cut the tokens into
 groups, and the two tokens that end there are linked.  How often an (A id, B
@@ -25,8 +26,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import os
-import struct
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -35,95 +35,126 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut_table, map_slices, with_fields
+from .common import byte_alphabet, cut_table, map_slices, with_fields
 
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: fixed value: the word pattern of byte-level vocabularies
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 FIGURES = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 
 
-def byte_alphabet() -> dict[str, int]:
-    """Fixed rule of byte-level vocabularies: printable Latin-1 stands for itself, the other bytes for U+0100 onwards."""
-    plain = {b for lo, hi in ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)) for b in range(lo, hi + 1)}
-    others = [b for b in range(256) if b not in plain]
-    return {**{chr(b): b for b in plain}, **{chr(256 + k): b for k, b in enumerate(others)}}
-
-
 class Aligner:
-    """Both tokenizers, the bytes of their tokens and the remembered windows."""
+    """Both tokenizers and the bytes of their tokens."""
 
-    def __init__(self, path_a: str, path_b: str, entries: int = 200_000, memo_tokens: int = 48):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        import tiktoken
+        with open(path_a, encoding="utf-8") as f:
+            given = json.load(f)
+        # ids of a byte-level vocabulary are in the order of its merges, so they are the merges' ranks; the added
+        # tokens are left out, which makes their strings plain text
+        added = {t["content"] for t in given["added_tokens"]}
         of = byte_alphabet()
-        vocab = self.a.get_vocab(with_added_tokens=True)
-        self.bytes_a = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            self.bytes_a[i] = bytes(map(of.get, token)) if all(c in of for c in token) else token.encode()
+        ranks = {bytes(map(of.get, t)): i for t, i in given["model"]["vocab"].items() if t not in added}
+        self.a = tiktoken.Encoding("byte level", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.path_a, self.slow_a = path_a, None
+        self.bytes_a = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.bytes_a[i] = token
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         self.size_a, self.size_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
         self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
-        self.entries, self.memo_bytes, self.memo = entries, 4 * memo_tokens, {}
-        self.link = struct.Struct("<q").pack
+        random = np.random.default_rng(0)       # for hashes that only gather equal windows
+        self.mix, self.odd = random.integers(0, 1 << 64, 2 * 65536, dtype=np.uint64), random.integers(0, 1 << 64, 64, dtype=np.uint64) | np.uint64(1)
+        digits = [f"{i}," for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.digits = np.frombuffer("".join(digits).encode(), dtype=np.uint8)
+        self.digit_ends = np.cumsum([0, *map(len, digits)])
+
+    def tokenize_a(self, text: str) -> np.ndarray:
+        try:
+            return np.asarray(self.a.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+        except ValueError:                      # its expressions run out of stack on millions of blanks in a row
+            if self.slow_a is None:
+                from tokenizers import Tokenizer
+                self.slow_a = Tokenizer.from_file(self.path_a)
+                self.slow_a.encode_special_tokens = True
+            return np.array(self.slow_a.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def tokenize(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        a = [np.array(e.ids, dtype="<u4") for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        return a, [np.array(e, dtype="<u4") for e in self.b.encode(texts, num_threads=1)]
+        return [self.tokenize_a(" " + t) for t in texts], [np.array(e, dtype="<u4") for e in self.b.encode(texts, num_threads=1)]
 
     def spells(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether the tokens' bytes are space + text; A's merges start from these bytes, so their number tells."""
         raw = (" " + text).encode()
-        return (b"".join(map(self.bytes_a.__getitem__, a.tolist())) == raw
+        return (int(self.size_a[a].sum()) == len(raw)
                 and b"".join(map(self.bytes_b.__getitem__, b.tolist())) == raw)
 
-    def window(self, raw_a: bytes, raw_b: bytes) -> tuple[str, bytes, int]:
-        """Groups as text, links as 64-bit (A id, B id) pairs, number of groups: one group ends at every shared end."""
-        a, b = memoryview(raw_a).cast("I").tolist(), memoryview(raw_b).cast("I").tolist()
-        text_a, text_b = list(map(str, a)), list(map(str, b))
-        if len(a) == 1 or len(b) == 1:
-            return ",".join(text_a) + "|" + ",".join(text_b), self.link(a[-1] << 32 | b[-1]), 1
-        size_a, size_b, out, links, m, n, j = self.bytes_a, self.bytes_b, [], [], 0, 0, 0
-        ahead = -len(size_b[b[0]])              # bytes that A's tokens so far are ahead of B's up to j
-        for i, x in enumerate(a):
-            ahead += len(size_a[x])
-            while ahead > 0:
-                j += 1
-                ahead -= len(size_b[b[j]])
-            if not ahead:
-                out.append(",".join(text_a[m:i + 1]) + "|" + ",".join(text_b[n:j + 1]))
-                links.append(x << 32 | b[j])
-                m, n, j = i + 1, j + 1, j + 1
-                ahead = -len(size_b[b[j]]) if j < len(b) else 0
-        return ";".join(out), b"".join(map(self.link, links)), len(out)
+    def align_windows(self, a: np.ndarray, b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> tuple[list, list]:
+        """Groups as text and links as 64-bit pairs of windows in a row, which end before ``stop_``.
+
+        A group ends at every shared end.
+        """
+        # both sides of a window have the same bytes, so ends may be counted on over all windows
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        at = np.searchsorted(ends_b, ends_a)
+        last_a = np.flatnonzero(ends_b[at] == ends_a)
+        last_b = at[last_a]
+        of_a, of_b = (np.searchsorted(last, np.arange(len(x))) for last, x in ((last_a, a), (last_b, b)))     # groups
+        # a group's A tokens, then its B tokens, each followed by its separator
+        place_a, place_b = np.arange(len(a)) + np.append(0, last_b + 1)[of_a], np.arange(len(b)) + last_a[of_b] + 1
+        ids, after = np.empty(len(a) + len(b), dtype=np.int64), np.full(len(a) + len(b), ord(","), dtype=np.uint8)
+        ids[place_a], ids[place_b] = a, b
+        after[place_a[last_a]], after[place_b[last_b]] = ord("|"), ord(";")
+        size = self.digit_ends[ids + 1] - self.digit_ends[ids]
+        ends = np.cumsum(size)
+        text = self.digits[np.repeat(self.digit_ends[ids] - ends + size, size) + np.arange(ends[-1])]
+        text[ends - 1] = after
+        text, links = text.tobytes(), ((a[last_a].astype("<i8") << 32) | b[last_b]).tobytes()
+        groups = (8 * (of_a[stop_a - 1] + 1)).tolist()
+        texts = ends[stop_a + stop_b - 1].tolist()
+        return ([text[s:e - 1] for s, e in zip([0, *texts], texts)], [links[g:h] for g, h in zip([0, *groups], groups)])
 
     def windows(self, a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray):
-        """Aligned windows of documents in a row (each starts at ``first_``), and every document's first window."""
+        """Aligned windows of documents in a row (each starts at ``first_``).
+
+        ``(found, of, first)``: the alignment of every kind of window, each worked out once, every window's kind, and
+        every document's first window.
+        """
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         mark_a, mark_b = self.space_a[a], self.space_b[b]
         mark_a[first_a], mark_b[first_b] = True, True
         at_a, at_b = np.flatnonzero(mark_a), np.flatnonzero(mark_b)
         start_a, start_b = ends_a[at_a] - self.size_a[a[at_a]], ends_b[at_b] - self.size_b[b[at_b]]
         anchors, i, j = np.intersect1d(start_a, start_b, assume_unique=True, return_indices=True)
-        raw_a, raw_b, memo, out = a.tobytes(), b.tobytes(), self.memo, []
-        cut_a = [*(4 * at_a[i]).tolist(), len(raw_a)]
-        cut_b = [*(4 * at_b[j]).tolist(), len(raw_b)]
-        for s, e, t, f in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]):
-            key = raw_a[s:e], raw_b[t:f]
-            known = memo.get(key)
-            if known is None:
-                known = self.window(*key)
-                if e - s + f - t <= self.memo_bytes:
-                    if len(memo) >= self.entries:
-                        memo.clear()
-                    memo[key] = known
-            out.append(known)
-        return out, np.searchsorted(anchors, ends_a[first_a] - self.size_a[a[first_a]])
+        cut_a, cut_b = np.append(at_a[i], len(a)), np.append(at_b[j], len(b))
+        one, of = self.equal_windows(a, cut_a, b, cut_b)
+        kinds = [(c[:-1][one], np.diff(c)[one]) for c in (cut_a, cut_b)]
+        stops = [np.cumsum(n) for _, n in kinds]
+        tokens = [x[np.repeat(first - stop + n, n) + np.arange(stop[-1])] for x, (first, n), stop in zip((a, b), kinds, stops)]
+        return self.align_windows(*tokens, *stops), of, np.searchsorted(anchors, ends_a[first_a] - self.size_a[a[first_a]])
+
+    def equal_windows(self, a: np.ndarray, cut_a: np.ndarray, b: np.ndarray, cut_b: np.ndarray):
+        """``(one, of)``: the number of one window of each kind, and every window's kind by its place in ``one``.
+
+        Windows are told apart by a 64-bit hash, and then every token is compared with that of its kind's window.
+        """
+        sizes, starts = [np.diff(c) for c in (cut_a, cut_b)], [c[:-1] for c in (cut_a, cut_b)]
+        place = [np.arange(len(x)) - np.repeat(s, n) for x, s, n in zip((a, b), starts, sizes)]
+        mixed = [self.mix[x + 65536 * side] * self.odd[np.minimum(p, len(self.odd) - 1)]
+                 for side, (x, p) in enumerate(zip((a, b), place))]
+        _, one, of = np.unique(np.add.reduceat(mixed[0], starts[0]) + np.add.reduceat(mixed[1], starts[1]),
+                               return_index=True, return_inverse=True)
+        same = (sizes[0] == sizes[0][one[of]]) & (sizes[1] == sizes[1][one[of]])
+        if same.all():
+            same = all((x == x[np.repeat(s[one[of]], n) + p]).all() for x, s, n, p in zip((a, b), starts, sizes, place))
+        if not np.all(same):                    # two kinds share a hash: every window for itself
+            one = of = np.arange(len(starts[0]))
+        return one, of
 
     def align(self, texts: list[str | None]) -> list[tuple | None]:
-        """``(n_a, n_b, n_groups, groups, links)`` of each text, None without tokens."""
+        """``(n_a, n_b, groups as text, links)`` of each text, None without tokens."""
         out: list[tuple | None] = [None] * len(texts)
         some = [k for k, t in enumerate(texts) if t]
         tokens = zip(some, *self.tokenize([texts[k] for k in some]))
@@ -131,18 +162,19 @@ class Aligner:
         if not some:
             return out
         size_a, size_b = (np.array([len(x[c]) for x in some]) for c in (1, 2))
-        found, first = self.windows(np.concatenate([x[1] for x in some]), np.concatenate([x[2] for x in some]),
+        found, of, first = self.windows(np.concatenate([x[1] for x in some]), np.concatenate([x[2] for x in some]),
                                     np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b)
-        cuts = [*first.tolist(), len(found)]
+        cuts, of = [*first.tolist(), len(of)], of.tolist()
+        groups, links = found
         for (k, a, b), s, e in zip(some, cuts, cuts[1:]):
-            groups, links, n = zip(*found[s:e])
-            out[k] = len(a), len(b), sum(n), ";".join(groups), np.frombuffer(b"".join(links), dtype="<i8")
+            out[k] = (len(a), len(b), b";".join([groups[x] for x in of[s:e]]),
+                      np.frombuffer(b"".join([links[x] for x in of[s:e]]), dtype="<i8"))
         return out
 
 
 @functools.cache
 def aligner(path_a: str, path_b: str) -> Aligner:
-    """One aligner per worker process; what it remembers serves all tasks that the process runs."""
+    """One aligner per worker process, for all tasks that it runs."""
     return Aligner(path_a, path_b)
 
 
@@ -168,14 +200,15 @@ def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         def f(ids, texts):
             out = []
             for i, one in zip(ids, known.align(texts)):
-                n_a, n_b, n, groups, links = one or (0, 0, 0, "", np.empty(0, dtype="<i8"))
+                n_a, n_b, groups, links = one or (0, 0, b"", np.empty(0, dtype="<i8"))
                 pairs, times = np.unique(links, return_counts=True)
-                out.append((i, n_a, n_b, n, len(links), hashlib.sha256(groups.encode()).hexdigest() if one else "",
-                            next(numbers), pairs, times.astype(np.int32), groups)[:len(schema)])
+                # tokens are never empty, so one A and one B token end where a group ends: one link per group
+                out.append((i, n_a, n_b, len(links), len(links), hashlib.sha256(groups).hexdigest() if one else "",
+                            next(numbers), pairs, times.astype(np.int32), groups.decode())[:len(schema)])
             return list(zip(*out))
         return f
 
-    return map_slices(df, make, schema)
+    return map_slices(df, make, schema, rows=1024, most_bytes=8_000_000)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
