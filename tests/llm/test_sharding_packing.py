@@ -123,3 +123,22 @@ def test_rule_takes_the_smallest_sum_of_squares():
             assert o == fill.get(b, 0)
             fill[b] = o + s
             gaps[b] = 30 - fill[b]
+
+
+def test_encoder_same_as_the_tokenizer():
+    """Plain texts, texts of many scripts, blanks of all kinds, special strings, long words, and the vocabulary's own parts."""
+    path = P.tokenizer_path()
+    t = Tokenizer.from_file(path)
+    rng = random.Random(8)
+    parts = [x.removesuffix("</w>") for x in t.get_vocab(with_added_tokens=False)]
+    plain = [x for x in parts if x.isascii() and x.isalpha()]
+    latin = [chr(c) for c in range(0x180)]
+    odd = [*latin, "\u0301", "İ", "ß", "ﬁ", "日本", "Привет", "\U0001f600", "'S", "'ll", "<|endoftext|>", "<|", "\x1c", "\u2028", "\u3000"]
+    texts = [None, "", " ", "\n\t", "a" * 20_000, "it's we'LL O'Neil 'sa ''s", "x" * 300 + "\xa0" + "9" * 300, "Ünïcödé ÀÉ ŒÞ ǅ"]
+    texts += [" ".join("".join(rng.choice(plain) for _ in range(rng.randrange(1, 4))) for _ in range(300)) for _ in range(60)]
+    texts += ["".join(rng.choice(latin + plain[:500] + [" "] * 60) for _ in range(400)) for _ in range(60)]
+    texts += ["".join(rng.choice(odd + plain[:500] + [" "] * 60) for _ in range(200)) for _ in range(60)]
+    want = [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    got = [np.frombuffer(x, dtype="<u4").tolist() for x in P.ChunkEncoder(path).encode(texts)]
+    for x, a, b in zip(texts, got, want):
+        assert a == b, x
