@@ -1,21 +1,23 @@
 """Feature derivation (stage "features", F1-F6).
 
 Label encoding builds a dictionary ``(column, value, code)`` from the distinct
-values, ranked with a range-partitioned, fully distributed numbering, and
-joins it back; Spark chooses the join by the dictionary's size.
+values, ranked with a range-partitioned, fully distributed numbering.  Small
+dictionaries are broadcast to code the rows; values of large ones are looked
+up in long form, all columns together.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, numeric_columns
+from ..functions.heavy import summaries
 from ..functions.stats import SLOTS, comparable_columns, typed_value
 from ..session import ensure_checkpoint_dir
 
@@ -75,14 +77,23 @@ def dictionary(df: DataFrame, cols, order_by: str | None = None) -> DataFrame:
     return _ranked(vals, keys)
 
 
+#: a dictionary is broadcast up to so many entries and bytes of text
+MOST_ENTRIES, MOST_BYTES = 500_000, 32_000_000
+#: a larger one has the codes of its most frequent values (a share above this one, at most) beside it
+HEAVY_SHARE = 0.001
+
+
 @dataclass(frozen=True)
 class EncodeFit:
     columns: list
     table: DataFrame | None = None                  # (column, value, code)
+    large: list = field(default_factory=list)       # columns whose dictionary is not broadcast
+    heavy: dict = field(default_factory=dict)       # large column -> {frequent value: code}
 
 
-def fit_encode(df: DataFrame, cols, order_by: str | None = None) -> EncodeFit:
-    """The dictionary of all columns, written once; its size on disk lets Spark choose how to join it."""
+def fit_encode(df: DataFrame, cols, order_by: str | None = None, most_entries: int = MOST_ENTRIES,
+               most_bytes: int = MOST_BYTES) -> EncodeFit:
+    """The dictionary of all columns, written once, and which of its columns are large."""
     cols = list(cols)
     if not cols:
         return EncodeFit([])
@@ -90,24 +101,81 @@ def fit_encode(df: DataFrame, cols, order_by: str | None = None) -> EncodeFit:
     path = os.path.join(ensure_checkpoint_dir(spark), f"dictionary-{uuid.uuid4().hex}")
     codes = dictionary(df, cols, order_by)
     codes.write.partitionBy("column").parquet(path)
-    # one folder per column: a column's dictionary is its own files, so its size is known
-    return EncodeFit(cols, spark.read.schema(codes.schema).parquet(path))
+    # one folder per column: a column's dictionary is its own files
+    table = spark.read.schema(codes.schema).parquet(path)
+    sizes = table.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()
+    large = [c for c in cols if any(r["column"] == c and (r["n"] > most_entries or r["b"] > most_bytes) for r in sizes)]
+    return EncodeFit(cols, table, large, _heavy_codes(df, large, table))
+
+
+def _heavy_codes(df: DataFrame, large: list, table: DataFrame) -> dict:
+    """Codes of the frequent values of large columns: 1 / ``HEAVY_SHARE`` values a column at most."""
+    if not large:
+        return {}
+    counts = summaries(df.select(*[col(c).cast("string").alias(c) for c in large]), large)
+    names = F.element_at(F.array(*map(F.lit, large)), F.col("i") + 1)
+    total = counts.where("str IS NULL").select(names.alias("column"), F.col("total").alias("t"))
+    found = counts.where("str IS NOT NULL").select(names.alias("column"), F.col("str").alias("value"), "n").join(
+        F.broadcast(total), "column").where(F.col("n") > F.col("t") * HEAVY_SHARE)
+    out = {c: {} for c in large}
+    for r in table.join(F.broadcast(found), ["column", "value"]).select("column", "value", "code").collect():
+        out[r["column"]][r["value"]] = r["code"]
+    return out
 
 
 def apply_encode(df: DataFrame, fit: EncodeFit) -> DataFrame:
     """Adds ``{c}_encoded``: the code, -1 for NULL or unseen values.
 
-    NULLs join nothing; they get keys of their own spread over many
-    partitions, so a column that is mostly NULL does not meet in one task."""
+    Small dictionaries are broadcast and move no row.  Of large ones the
+    codes of frequent values are literals; the other values of all large
+    columns together are looked up in long form, so the table is shuffled
+    once whatever their number, and never by a hot value or by NULL.
+    """
     if not fit.columns:
         return df
-    keys = [col(c) for c in comparable_columns(df)]
-    out = df.withColumn("__spread", F.concat(F.lit("\0"), F.pmod(F.xxhash64(*keys), F.lit(4096)).cast("string")))
-    for c in fit.columns:
-        t = fit.table.where(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__k_{c}"))
-        out = out.join(t, F.coalesce(col(c).cast("string"), F.col("__spread")) == col(f"__v_{c}"), "left")
-    return out.select(*map(col, df.columns),
-                      *[F.coalesce(col(f"__k_{c}"), F.lit(-1)).cast("int").alias(f"{c}_encoded") for c in fit.columns])
+    out = df
+    for i, c in enumerate(fit.columns):
+        if c not in fit.large or df.isStreaming:    # a stream cannot be grouped, and its batches are small
+            t = fit.table.where(F.col("column") == c).select(F.col("value").alias(f"__v{i}"), F.col("code").alias(f"__k{i}"))
+            t = t if c in fit.large else F.broadcast(t)
+            out = out.join(t, col(c).cast("string") == F.col(f"__v{i}"), "left")
+    large = [] if df.isStreaming else fit.large
+    if large:
+        out = _looked_up(out, fit, df.columns)
+    code = {c: F.col("__codes")[large.index(c)] if c in large else F.col(f"__k{i}") for i, c in enumerate(fit.columns)}
+    return out.select(*map(col, df.columns), *[F.coalesce(code[c], F.lit(-1)).cast("int").alias(f"{c}_encoded") for c in fit.columns])
+
+
+def _looked_up(df: DataFrame, fit: EncodeFit, names: list[str]) -> DataFrame:
+    """``df`` with ``__codes``, the codes of the large columns in order.
+
+    A row's key are its values that are neither NULL nor frequent (and their
+    hash, for the shuffle).  Each key is taken apart into (column, value) once,
+    coded, put together again and joined; rows without such a value join
+    nothing and are spread.
+    """
+    def literal(c):
+        known = [x for v, k in fit.heavy.get(c, {}).items() for x in (F.lit(v), F.lit(k))]
+        return F.create_map(*known)[col(c).cast("string")] if known else F.lit(None).cast("int")
+
+    k = len(fit.large)
+    rows = df.withColumn("__known", F.array(*[literal(c) for c in fit.large]))
+    rows = rows.withColumn("__rest", F.array(*[F.when(F.col("__known")[i].isNull(), col(c).cast("string"))
+                                               for i, c in enumerate(fit.large)]))
+    some = F.exists("__rest", lambda x: x.isNotNull())
+    # a NULL among them must count for the hash, and equal keys must be equal without NULLs
+    key = F.transform("__rest", lambda x: F.concat(F.when(x.isNull(), "0").otherwise("1"), F.coalesce(x, F.lit(""))))
+    rows = rows.withColumn("__key", F.when(some, key))
+    cells = (rows.where(F.col("__key").isNotNull()).select("__key", "__rest").dropDuplicates(["__key"])
+             .select("__key", F.posexplode("__rest").alias("i", "value")).where(F.col("value").isNotNull()))
+    names_of = F.element_at(F.array(*map(F.lit, fit.large)), F.col("i") + 1)
+    table = fit.table.where(F.col("column").isin(fit.large)).select("column", "value", "code")
+    coded = cells.withColumn("column", names_of).join(table, ["column", "value"]).groupBy("__key").agg(
+        *[F.max(F.when(F.col("i") == i, F.col("code"))).alias(f"__c{i}") for i in range(k)])
+    spread = F.array(F.lit("spread"), F.pmod(F.xxhash64(*[col(c) for c in comparable_columns(df.select(*map(col, names)))]),
+                                             F.lit(4096)).cast("string"))
+    out = rows.withColumn("__key", F.coalesce("__key", spread)).join(coded, "__key", "left")
+    return out.withColumn("__codes", F.array(*[F.coalesce(F.col("__known")[i], F.col(f"__c{i}")) for i in range(k)]))
 
 
 def squares(df: DataFrame, k: int = POLY_COLUMNS) -> tuple[DataFrame, list[str]]:   # F4

@@ -87,7 +87,7 @@ def save_fit(spark: SparkSession, root: str, run_id: str, stage: str, fit) -> No
     if isinstance(fit, EncodeFit) and fit.table is not None:
         path = os.path.join(root, "dictionaries", run_id, uuid.uuid4().hex)
         fit.table.select("column", "value", "code").write.partitionBy("column").parquet(path)
-        fit, extra = EncodeFit(fit.columns), {"dictionary": path}
+        fit, extra = dataclasses.replace(fit, table=None), {"dictionary": path}
     body = json.dumps({"fit": pack(fit), **extra})
     row = (run_id, stage, VERSION, body, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None))
     spark.createDataFrame([row], FITS_SCHEMA).write.mode("append").parquet(os.path.join(root, "fits"))
@@ -104,6 +104,6 @@ def read_fits(table: DataFrame, run_id: str) -> dict:
         body = json.loads(r["body"])
         fit = unpack(body["fit"])
         if "dictionary" in body:
-            fit = EncodeFit(fit.columns, spark.read.schema(_CODES).parquet(body["dictionary"]))
+            fit = dataclasses.replace(fit, table=spark.read.schema(_CODES).parquet(body["dictionary"]))
         out[r["stage"]] = fit
     return out

@@ -349,3 +349,44 @@ def test_identical_columns_with_equal_fingerprints_are_compared(spark, monkeypat
     df = spark.createDataFrame([(1, 1, 2), (2, 2, 2), (3, 3, 3)], "a int, b int, c int")
     got = {r["column"]: (r["observed"], r["fired"]) for r in G.j16_identical_columns(df, ["a"], ["b", "c"]).collect()}
     assert got == {"a=b": (0.0, True), "a=c": (1.0, False)}
+
+
+def _encode_rows(n=3000):
+    """A value at 30 %, NULLs at 30 %, rare values, and texts that look like the marks of the lookup."""
+    odd = ["", "0", "1", "1x", "spread", "\0", "é"]
+    return [("hot" if i % 10 < 3 else None if i % 10 < 6 else f"v{i % 700}", odd[i % 7] if i % 4 else None, f"w{i % 900}",
+             None if i % 2 else "two", i % 50) for i in range(n)]
+
+
+@pytest.mark.parametrize("most", [500_000, 100, 0])
+def test_encoding_with_large_dictionaries(spark, most):
+    """The same codes whether dictionaries are broadcast or looked up, seen and unseen values alike."""
+    cols = ["a", "b", "c", "d", "e"]
+    df = spark.createDataFrame(_encode_rows(), "a string, b string, c string, d string, e int").repartition(5)
+    fit = FE.fit_encode(df, cols, most_entries=most)
+    assert fit.large == {500_000: [], 100: ["a", "c"], 0: cols}[most]
+    new = df.unionByName(spark.createDataFrame([("unseen", "b", None, None, 99), ("hot", "é", "w5", "two", 7)] * 3, df.schema))
+    codes = {c: {v: k for k, v in enumerate(sorted({r[c] for r in df.collect() if r[c] is not None}))} for c in cols}
+    got = FE.apply_encode(new, fit)
+    assert got.columns == cols + [f"{c}_encoded" for c in cols] and got.count() == new.count()
+    for r in got.collect():
+        assert [r[f"{c}_encoded"] for c in cols] == [codes[c].get(r[c], -1) for c in cols], r
+    if most == 100:
+        assert "hot" in fit.heavy["a"] and len(fit.heavy["a"]) <= 1000
+
+
+def test_large_dictionaries_shuffle_the_table_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame(_encode_rows(), "a string, b string, c string, d string, e int").withColumn("wide", F.lit("x" * 50))
+        fit = FE.fit_encode(df, ["a", "b", "c", "d"], most_entries=0)
+        plan = FE.apply_encode(df.withColumn("wide", F.concat("wide", "c")), fit)._jdf.queryExecution().executedPlan().toString()
+        whole = [x for x in plan.splitlines() if "Exchange" in x]
+        # exchanges carry the columns of the node below; only one of them carries the table's other columns
+        below = plan.splitlines()
+        assert sum("wide" in below[k + 1] for k, x in enumerate(below[:-1]) if "Exchange" in x) == 1 <= len(whole)
+        # tasks of the shuffle by key: none holds a third of the rows
+        sizes = [r["count"] for r in FE.apply_encode(df, fit).groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 3000 / 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
