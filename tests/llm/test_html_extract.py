@@ -1,3 +1,7 @@
+import html.parser
+import random
+import time
+
 import pytest
 
 from tableprep.llm.html_extract import extract_main_text, main_text
@@ -23,9 +27,9 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("html,text", PAGES)
-def test_main_text(html, text):
-    assert main_text(html) == text
+@pytest.mark.parametrize("page,text", PAGES)
+def test_main_text(page, text):
+    assert main_text(page) == text
 
 
 SLUGS = [
@@ -83,3 +87,103 @@ def test_given_pages_give_their_article(spark):
         blocks = [" ".join(x.replace("&amp;", "&").replace("&quot;", '"').split())
                   for x in re.split(r"</?(?:p|h1)>", re.sub(r"<br>|</?b>", " ", body))]
         assert r.text == "\n".join(x for x in blocks if x)
+
+
+AD = '<div class="ad">Buy now and save</div>'
+
+
+@pytest.mark.parametrize("page, want", [
+    # quotes in unquoted values and names are letters
+    ("<p>Zeroth.</p><a title=don't>x</a><p>First.</p><p>Second, it's here.</p><p>Third.</p>",
+     "Zeroth.\nFirst.\nSecond, it's here.\nThird."),
+    ("<article><p class=a'b>One.</p><p title=\"x>y\">Two, isn't it.</p><p title = 'a>b' id=c\">Three.</p></article>",
+     "One.\nTwo, isn't it.\nThree."),
+    ("<article><p title=\"class='ad'\">Kept.</p><p data-class=ad>Kept too.</p></article>", "Kept.\nKept too."),
+    ("<article><p>Formula <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=\"application/x-tex\">x=2</annotation></math>"
+     " holds.</p></article>", "Formula x=2 holds."),
+    # a short end in the same element as the text, behind weightless blocks; other short blocks stay out
+    (f'<div class="post"><p>{"Long text here. " * 20}</p>{AD * 3}<p>Short end.</p></div>{AD * 3}<div><p>Imprint</p></div>',
+     ("Long text here. " * 20).strip() + "\nShort end."),
+    # an article's own lead and heading, not its byline and date
+    ("<article><header><h1>Head</h1><p>By Jane Doe</p><p>3 May 2020</p><p>The town council has met again to talk about the bridge.</p>"
+     "</header><p>Text.</p></article>", "Head\nThe town council has met again to talk about the bridge.\nText."),
+])
+def test_text_that_was_lost(page, want):
+    assert main_text(page) == want
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "<p>text</p>", "<nav>" * 50_000 + "x", "<b>" * 50_000 + "<p>x" * 20_000, "</section>" * 50_000 + "x",
+    "<div>" * 50_000 + "</section>" * 50_000, '<div class="widget"><article>x' * 20_000, "<div class=related>" * 20_000 + "y" * 400,
+    '<a href="' * 20_000, "<a b='" * 20_000, "<" * 100_000, "<!--" * 50_000, "<p a=b c='d" * 20_000])
+def test_time_grows_with_the_page(page):
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 3
+
+
+class _Plain(html.parser.HTMLParser):
+    """Independent reading of well-formed pages: blocks inside the article and outside of furniture."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.blocks, self.now = [], [], ""
+
+    def end_block(self):
+        text, self.now = " ".join(self.now.split()), ""
+        kinds = [t for t, _ in self.open]
+        if text and "article" in kinds and not any(t in ("nav", "aside", "footer", "form", "script", "style") or c in (
+                "ad", "comments", "cookie-notice") for t, c in self.open):
+            self.blocks.append(text)
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.now += " "
+            return
+        if tag not in ("b", "em", "a", "span"):
+            self.end_block()
+        self.open.append((tag, dict(attrs).get("class")))
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "em", "a", "span"):
+            self.end_block()
+        self.open.pop()
+
+    def handle_data(self, data):
+        if not any(t in ("script", "style") for t, _ in self.open):
+            self.now += data
+
+
+def _page(rng):
+    def words(n):
+        return " ".join(rng.choice(["tree", "it's", "a &lt; b", "caf&eacute;", "x", "long\n  road", "1&nbsp;000", "don&#39;t"]) for _ in range(n))
+
+    def run():
+        return "".join(rng.choice(["{}", "<b>{}</b>", "<em>{}</em> ", "<a href='/x?a=1&b=2'>{}</a>", "<span class=q>{}</span>", "{}<br>"])
+                       .format(words(rng.randrange(1, 6))) + " " for _ in range(rng.randrange(1, 4)))
+
+    def block(deep):
+        kind = rng.randrange(9)
+        if kind < 4 or deep > 3:
+            return f"<p>{words(2)} {run()}</p>"
+        if kind == 4:
+            return "<ul>" + "".join(f"<li>{words(2)} {run()}</li>" for _ in range(3)) + "</ul>"
+        if kind == 5:
+            return f"<h2>{words(3)}</h2>"
+        if kind == 6:
+            return rng.choice(["<nav>{}</nav>", "<aside>{}</aside>", '<div class="ad">{}</div>', "<form>{}</form>",
+                               "<script>if (a < b) x = '{}';</script>", '<div class="comments">{}</div>',
+                               '<div class="cookie-notice">{}</div>', "<!-- {} -->", "<style>p {{ x: '{}' }}</style>"]).format(f"<p>{words(4)}</p>")
+        return f'<div class="{rng.choice(["part", "x1", "lead-text"])}">' + "".join(block(deep + 1) for _ in range(rng.randrange(1, 4))) + "</div>"
+    body = "".join(block(0) for _ in range(rng.randrange(3, 9)))
+    return (f"<!doctype html><html><head><title>t</title></head><body><nav><p>{words(3)}</p></nav><main><article><h1>{words(2)}</h1>"
+            f"<p>{words(80)}</p>{body}</article></main><footer><p>{words(5)}</p></footer></body></html>")
+
+
+def test_same_as_an_independent_parser():
+    rng = random.Random(6)
+    for _ in range(400):
+        page = _page(rng)
+        plain = _Plain()
+        plain.feed(page)
+        assert main_text(page) == "\n".join(plain.blocks), page
