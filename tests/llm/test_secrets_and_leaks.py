@@ -89,3 +89,42 @@ def test_edges_short_items_and_blocks(spark):
     none = D.contamination(documents(spark, texts), spark.createDataFrame([], "item_id long, text string"))
     assert not any(r["contaminated"] for r in rows_of(D.digest(none)))
     assert D.contamination(documents(spark, []), bench).count() == 0
+
+
+def test_blocks_beyond_one_stage(spark, monkeypatch):
+    """Many blocks, of which a stage and a worker take few at a time."""
+    monkeypatch.setattr(D, "BLOCKS", 2)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(k % 13))) for k in range(60)]
+    texts = [f"x {t} y {t}" for _, t in items] + [" ".join(t for _, t in items), None]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = D.contamination(documents(spark, texts), bench, block_bytes=400)
+    assert [tuple(r.values())[1:] for r in rows_of(D.digest(found))] == [plain_hits(t, items) for t in texts]
+
+
+def test_random_windows_same_as_plain():
+    """Few different words, so that blocks, prefixes and slots are shared by many patterns."""
+    import random
+    rng = random.Random(2)
+    for window in (1, 2, 3, 10):
+        items = [(k, " ".join(rng.choice("abc") for _ in range(rng.randrange(0, 14)))) for k in range(30)]
+        tables = D.Tables(items, window)
+        for _ in range(60):
+            text = " ".join(rng.choice("abcd") for _ in range(rng.randrange(0, 60)))
+            n, spans, found = D.find_hits(text, tables)
+            want = plain_hits(text, items, window)
+            got = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+            assert (n, sum(b - a for a, b in spans), len(found), got) == want[:4]
+
+
+def test_tables_of_a_large_block_stay_small():
+    import random
+    import tracemalloc
+    rng = random.Random(1)
+    vocabulary = [f"{rng.randrange(1 << 40):x}" for _ in range(50_000)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=400))) for k in range(700)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    tables = D.Tables(items)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 30 * size and D.find_hits(items[5][1], tables)[2] == {5}
