@@ -132,6 +132,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", in_trai
 
 
 OUT_OF_SCRIPT = -1000.0
+#: (word, text, language) scores of a batch of the recursion
+CELLS = 2_000_000
 
 
 class Labeller:
@@ -143,7 +145,7 @@ class Labeller:
 
     def _clear(self):
         self.rows: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.model.langs)))
+        self.table = np.zeros((1024, len(self.model.langs)))
 
     def _learn(self, new: list[str]) -> None:
         plain = ["".join(c for c in w if c.isalpha()) if not w.isalpha() else w for w in new]
@@ -151,9 +153,14 @@ class Labeller:
         s = np.add.reduceat(self.model.table[bucket], first, axis=0)
         s = np.where(self.model.candidates[script], s, OUT_OF_SCRIPT + s)
         s[[i for i, w in enumerate(plain) if not w]] = np.nan         # no letter: not a word
+        at = len(self.rows)
         for w in new:
             self.rows[w] = len(self.rows)
-        self.scores = np.concatenate([self.scores, s])
+        if len(self.rows) > len(self.table):            # grown by doubling
+            larger = np.zeros((2 * len(self.rows), self.table.shape[1]))
+            larger[:at] = self.table[:at]
+            self.table = larger
+        self.table[at:len(self.rows)] = s
 
     def label(self, texts: list[str | None]) -> list[np.ndarray]:
         """Language number of every word of every text."""
@@ -165,7 +172,7 @@ class Labeller:
             self._learn(new)
         get, out, mixed = self.rows.__getitem__, [None] * len(words), []
         for k, ws in enumerate(words):
-            s = self.scores[np.fromiter(map(get, ws), dtype=np.int64, count=len(ws))]
+            s = self.table[np.fromiter(map(get, ws), dtype=np.int64, count=len(ws))]
             if len(s) and np.isnan(s[:, 0]).any():
                 s = s[~np.isnan(s[:, 0])]
             if not len(s):
@@ -177,34 +184,52 @@ class Labeller:
             else:
                 mixed.append((k, s))
         mixed.sort(key=lambda x: -len(x[1]))
-        for i in range(0, len(mixed), 64):
-            part = mixed[i:i + 64]
+        i = 0
+        while i < len(mixed):                           # batches by what the longest text pads them to
+            n = max(1, min(64, CELLS // max(1, mixed[i][1].size)))
+            part = mixed[i:i + n]
             for (k, _), labels in zip(part, viterbi([s for _, s in part], self.penalty)):
                 out[k] = labels
+            i += n
         return out
 
 
-def one_language(s: np.ndarray, best: int, penalty: float) -> bool:
+def one_language(s: np.ndarray, best: int, penalty: float, block: int = 16_384) -> bool:
     """Whether no path beats language ``best``, that of the best sum, for the whole text.
 
     A stretch between two switches may gain the penalty over ``best``, the
-    first and the last stretch half of it each.
+    first and the last stretch half of it each.  Sums run on from block to
+    block of words.
     """
-    gain = np.cumsum(s - s[:, best:best + 1], axis=0)
-    low = np.minimum.accumulate(np.vstack([np.zeros((1, s.shape[1])), gain[:-1]]), axis=0)
-    ends = max(gain.max(), (gain[-1] - gain[:-1]).max(initial=0.0))
-    return bool(ends <= penalty / 2 and (gain - low).max() <= penalty)
+    k = s.shape[1]
+    total, low, top, least, between = np.zeros(k), np.zeros(k), -np.inf, np.full(k, np.inf), -np.inf
+    for at in range(0, len(s), block):
+        part = s[at:at + block]
+        gain = total + np.cumsum(part - part[:, best:best + 1], axis=0)
+        before = np.vstack([low[None], gain[:-1]])
+        before = np.minimum.accumulate(before, axis=0)
+        between = max(between, (gain - before).max())
+        if at:
+            least = np.minimum(least, total)            # the sum at the end of the block before
+        if len(part) > 1:
+            least = np.minimum(least, gain[:-1].min(axis=0))
+        top, total, low = max(top, gain.max()), gain[-1], np.minimum(before[-1], gain[-1])
+    last = (total - least).max() if len(s) > 1 else 0.0
+    return bool(max(top, last, 0.0) <= penalty / 2 and between <= penalty)
 
 
 def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
     """Best labels of each text (texts longest first), all texts a word at a time."""
     sizes = np.array([len(s) for s in scores])
     n, steps, k = len(scores), int(sizes[0]), scores[0].shape[1]
-    padded = np.zeros((steps, n, k))
-    for i, s in enumerate(scores):
-        padded[:len(s), i] = s
+    if n == 1:
+        padded = scores[0][:, None]                     # no copy of a very long text
+    else:
+        padded = np.zeros((steps, n, k))
+        for i, s in enumerate(scores):
+            padded[:len(s), i] = s
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")  # texts longer than t words
-    came = np.zeros((steps, n, k), dtype=np.int16)
+    came = np.zeros((steps, n, k), dtype=np.uint8 if k <= 256 else np.int16)
     d, own = padded[0].copy(), np.arange(k)
     for t in range(1, steps):
         a = active[t]

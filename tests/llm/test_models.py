@@ -199,3 +199,42 @@ def test_toxicity_edges(spark):
     out = rows_of(T.held_out_scores(docs, labels))
     assert len(out) == len(EDGE) and all(0 <= r["score"] <= 1 for r in out)
     assert T.held_out_scores(documents(spark, []), labels).count() == 0
+
+
+def test_one_language_by_blocks_of_words():
+    rng = np.random.default_rng(12)
+    seen = set()
+    for _ in range(400):
+        s = rng.integers(-6, 7, (int(rng.integers(1, 30)), 3)).astype(float)
+        best, p = int(s.sum(axis=0).argmax()), float(rng.integers(1, 60))
+        got = {L.one_language(s, best, p, block) for block in (1, 2, 3, 7, 100)}
+        assert len(got) == 1
+        seen |= got
+    assert seen == {True, False}
+
+
+def test_memory_of_a_very_long_text_of_two_languages():
+    import tracemalloc
+    n, k = 100_000, 30
+    s = np.zeros((n, k))
+    s[:n // 2, 0], s[n // 2:, 1] = 5.0, 5.0
+    tracemalloc.start()
+    assert not L.one_language(s, 0, 20.0)
+    labels = L.viterbi([s], 20.0)[0]
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert labels.tolist() == [0] * (n // 2) + [1] * (n // 2)
+    assert peak < s.nbytes                                  # no second table of scores
+
+
+def test_batches_of_mixed_texts_are_bounded(monkeypatch):
+    """One long text among short ones does not pad these to its length."""
+    sizes = []
+    real = L.viterbi
+    monkeypatch.setattr(L, "viterbi", lambda s, p: sizes.append(len(s) * len(s[0]) * s[0].shape[1]) or real(s, p))
+    monkeypatch.setattr(L, "one_language", lambda *a: False)
+    monkeypatch.setattr(L, "CELLS", 3000)
+    model = L.Model(["a", "b"], np.random.default_rng(0).random((65536, 2)), np.ones((64, 2), dtype=bool))
+    labels = L.Labeller(model, 1.0).label(["one two three " * 700] + ["four five six"] * 80 + [None])
+    assert [len(x) for x in labels] == [2100] + [3] * 80 + [0]
+    assert max(sizes) <= 2100 * 2 and len(sizes) > 1
