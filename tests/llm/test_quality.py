@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -54,3 +55,23 @@ def test_order_is_by_rejection_per_cost_and_empty_tables_work(spark):
 def test_plan_has_no_python(spark):
     plan = Q.digest_columns(tables(spark, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_windows_that_share_hash_bits(spark, monkeypatch):
+    """Hashes of two values: different windows are neighbours everywhere, and equal ones are not."""
+    real = F.xxhash64
+    monkeypatch.setattr(Q.F, "xxhash64", lambda *c: F.pmod(real(*c), F.lit(2)) if len(c) == 3 else real(*c))
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcde") for _ in range(rng.randrange(0, 60))) for _ in range(200)] + TEXTS[:6]
+    out = rows_of(Q.measure(documents(spark, texts), names=("n_words", "n_repeat_words")).select("doc_id", "measures.*"))
+    assert [r["n_repeat_words"] for r in out] == [plain(t)["n_repeat_words"] for t in texts]
+
+
+def test_a_dear_rule_moves_back(spark):
+    """Two rules that reject the same rows, one of which does much more for it."""
+    docs = documents(spark, [" ".join(f"w{(i * k) % 97}" for i in range(400)) for k in range(300)])
+    cheap = Q.Rule("z_cheap", (), lambda m: m["n_words"] >= 100)
+    dear = Q.Rule("a_dear", ("n_repeat_words",), lambda m: (m["n_words"] >= 100) & (m["n_repeat_words"] >= 0))
+    found = Q.estimate(docs, rules=(dear, cheap))
+    assert {n: s for n, _, s in found} == {"z_cheap": 1.0, "a_dear": 1.0}
+    assert Q.cascade_order(found) == ["z_cheap", "a_dear"]
