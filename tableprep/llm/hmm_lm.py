@@ -76,6 +76,9 @@ class Model:
     def class_of_frequent(self, i: int) -> int:
         return 1 + i if i < self.own else self.shared_class(self.frequent[i])
 
+    def class_of_codes(self) -> np.ndarray:
+        return np.array([*map(self.class_of_frequent, range(len(self.frequent))), *range(self.classes)], dtype=np.int64)
+
 
 class Coder:
     """Word -> code: the place of a frequent word, or ``len(frequent) + class`` of any other."""
@@ -84,7 +87,7 @@ class Coder:
         self.model, self.n, self.entries = model, len(model.frequent), entries
         self.fixed = {w: i for i, w in enumerate(model.frequent)}
         self.seen = dict(self.fixed)
-        self.class_of = np.array([*map(model.class_of_frequent, range(self.n)), *range(model.classes)], dtype=np.int64)
+        self.class_of = model.class_of_codes()
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         seen = self.seen
@@ -166,8 +169,28 @@ def reestimate(model: Model, start, move, emit, strength: float = 500.0) -> Mode
     return replace(model, start=s / s.sum(), move=m / m.sum(axis=1, keepdims=True), emit=e / e.sum(axis=0))
 
 
+def coded(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with 32-bit ``codes`` of their words in place of ``text``, written once for all passes that follow."""
+    keep = [c for c in rows.columns if c != "text"]
+    sent = rows.sparkSession.sparkContext.broadcast(replace(model, start=None, move=None, emit=None))
+
+    def make():
+        coder = Coder(sent.value)
+
+        def f(*columns):
+            return *columns[:-1], [coder.codes(words_of(t)).astype("<i4").tobytes() for t in columns[-1]]
+        return f
+
+    schema = with_fields([rows.schema[c] for c in keep], "codes binary")
+    return cut_table(map_slices(rows.select(*keep, "text"), make, schema, ROWS))
+
+
+def codes_of(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype="<i4")
+
+
 def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.ndarray, float]:
-    """One Baum-Welch round over all ``rows(text)``: new model, counts of frequent words, tokens of classes, and the
+    """One Baum-Welch round over all ``rows(codes)``: new model, counts of frequent words, tokens of classes, and the
     natural log likelihood of the classes under ``model``."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
     states, n = len(model.start), len(model.frequent)
@@ -175,13 +198,13 @@ def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.nd
 
     def make():
         m = sent.value
-        coder = Coder(m)
+        class_of = m.class_of_codes()
         total = np.zeros(c + n + 1)
 
-        def f(texts):
-            codes = [coder.codes(words_of(t)) for t in texts]
+        def f(raw):
+            codes = [codes_of(x) for x in raw]
             total[c:c + n] += np.bincount(np.concatenate(codes), minlength=n)[:n] if codes else 0
-            sequences = [np.append(coder.class_of[x], END) for x in codes]
+            sequences = [np.append(class_of[x], END) for x in codes]
             for part in batches(sequences):
                 start, move, emit, log = expected_counts([sequences[i] for i in part], m, likelihood=True)
                 total[c + n] += log
@@ -245,34 +268,53 @@ def first_guess(model: Model, sample: DataFrame, states: int) -> Model:
                    emit=emit / emit.sum(axis=0))
 
 
-def train(training: DataFrame, states: int = 8, sample_docs: int = 8000, guess_docs: int = 1500, guess_rounds: int = 6,
-          rounds: int = 3, frequent: int = 100_000, own: int = 2000, shared: int = 6000) -> Model:
-    """Model from ``training(id, text)``.
+def word_list(training: DataFrame, sample_docs: int = 8000, guess_docs: int = 1500, frequent: int = 100_000,
+              own: int = 2000, shared: int = 6000) -> tuple[Model, DataFrame]:
+    """The model's words and classes, and ``few(text)``, the sample for its starting point.
 
-    The ``own`` words of the highest counts over all training texts become
-    classes; ``sample_docs`` texts give the rest of the word list, and
-    ``guess_docs`` of them the starting point by ``guess_rounds`` of
-    Baum-Welch; then ``rounds`` go over all training texts, and all counts
-    used in scores come from those.
+    The ``own`` words of the highest counts over all ``training(id, text)``
+    become classes; ``sample_docs`` texts give the rest of the word list, and
+    ``guess_docs`` of them are ``few``.  An id with several texts gives the
+    one of the smallest hash.
     """
     ids = cut(training.select("id").orderBy(F.xxhash64("id"), "id").limit(sample_docs).distinct()
               .withColumn("r", F.xxhash64("id")))                               # bounded: fit to broadcast
-    sample = cut(training.join(F.broadcast(ids), "id").dropDuplicates(["id"]).select("r", "text"))
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    sample = cut(training.join(F.broadcast(ids), "id").groupBy("id", "r").agg(one).select("r", "text"))
     words = frequent_words(training.select("text"), min(own, frequent))
     model = Model(words, len(words), shared)
     listed = set(words)
     words.extend([w for w in frequent_words(sample.select("text"), frequent) if w not in listed][:frequent - len(words)])
     edge = ids.orderBy("r").limit(guess_docs).agg(F.max("r")).first()[0]
-    few = cut(sample.where(F.col("r") <= F.lit(edge)).select("text").repartition(8))
+    return model, cut(sample.where(F.col("r") <= F.lit(edge)).select("text").repartition(8))
+
+
+def fit(rows: DataFrame, few: DataFrame, model: Model, states: int = 8, guess_rounds: int = 6, rounds: int = 3) -> Model:
+    """``guess_rounds`` of Baum-Welch over ``few(text)`` give the starting point, ``rounds`` go over all ``rows(codes)``;
+    all counts used in scores come from those."""
+    guess = coded(few, model)
     model = first_guess(model, few, states)
     for _ in range(guess_rounds):
-        model, *_ = count_round(few, model)
+        model, *_ = count_round(guess, model)
     for _ in range(rounds):
-        model, counts, class_tokens, log = count_round(training.select("text"), model)
+        model, counts, class_tokens, log = count_round(rows, model)
         model.likelihoods.append(log / np.log(10) / max(1, int(class_tokens.sum())))
     return replace(model, counts=counts, class_tokens=class_tokens, tokens=int(class_tokens.sum()))
 
 
+def split_options(options: dict) -> tuple[dict, dict]:
+    """Options of ``word_list`` and of ``fit``."""
+    later = {k: v for k, v in options.items() if k in ("states", "guess_rounds", "rounds")}
+    return {k: v for k, v in options.items() if k not in later}, later
+
+
+def train(training: DataFrame, **options) -> Model:
+    """Model from ``training(id, text)``; ``options`` are those of ``word_list`` and ``fit``."""
+    first, later = split_options(options)
+    model, few = word_list(training, **first)
+    return fit(coded(training.select("text"), model), few, model, **later)
+
+
 def rare_words(rows: DataFrame, model: Model) -> DataFrame:
     """``(id, digest, word, k, tf, train)`` per text and distinct word outside the list; words as 64-bit hashes."""
     sent = rows.sparkSession.sparkContext.broadcast(replace(model, start=None, move=None, emit=None))
@@ -315,24 +357,24 @@ def sum_rare_words(rare: DataFrame) -> DataFrame:
 
 
 def score_texts(rows: DataFrame, model: Model) -> DataFrame:
-    """Per row: tokens, known words and log10 sums of everything but the counts of words outside the list."""
+    """Per row of ``rows(id, digest, train, codes)``: tokens, known words and log10 sums of everything but the counts of words outside the list."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def make():
         m = sent.value
-        coder = Coder(m)
+        class_of = m.class_of_codes()
         n = len(m.frequent)
         base = np.concatenate([np.log10(m.counts + 1.0), np.zeros(m.classes)])
         known = np.concatenate([m.counts > 0, np.zeros(m.classes, dtype=bool)])
         inside = -np.log10(m.class_tokens + m.class_words + 1.0)
         inside[:1 + m.own] = 0
-        inside = inside[coder.class_of]
+        inside = inside[class_of]
         inside[m.own:n] += base[m.own:n]
         ends = m.class_tokens[END]
 
-        def f(ids, digests, train, texts):
-            codes = [coder.codes(words_of(t)) for t in texts]
-            sequences = [np.append(coder.class_of[x], END) for x in codes]
+        def f(ids, digests, train, raw):
+            codes = [codes_of(x) for x in raw]
+            sequences = [np.append(class_of[x], END) for x in codes]
             log = np.zeros(len(codes))
             for part in batches(sequences):
                 log[part] = forward([sequences[i] for i in part], m)
@@ -341,7 +383,7 @@ def score_texts(rows: DataFrame, model: Model) -> DataFrame:
                     [float(inside[x].sum() + g / np.log(10)) for x, g in zip(codes, log)])
         return f
 
-    return map_slices(rows.select("id", "digest", "train", "text"), make, with_fields(
+    return map_slices(rows.select("id", "digest", "train", "codes"), make, with_fields(
         rows.select("id", "digest", "train").schema.fields,
         "n_tokens bigint, known bigint, log_base double, log_model double"), ROWS)
 
@@ -350,7 +392,10 @@ def score(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text_col
     """The contract's columns, learned from the rows where ``in_training`` holds; ``options`` are those of ``train``."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"),
                        in_training.alias("train"), F.col(text_col).alias("text"))
-    model = train(rows.where("train").select("id", "text"), **options)
+    first, later = split_options(options)
+    model, few = word_list(rows.where("train").select("id", "text"), **first)
+    table = coded(rows, model)
+    model = fit(table.where("train").select("codes"), few, model, **later)
     sums = cut_table(sum_rare_words(rare_words(rows, model)))
     words = np.zeros(model.classes, dtype=np.int64)
     for r in sums.where("by_class = 1").select("k", "words").collect():         # one row per shared class
@@ -362,7 +407,7 @@ def score(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text_col
     unit = float(np.log10(model.tokens + model.distinct + 1.0))
     s = sums.where("by_class = 0").select(F.col("id").alias("i"), F.col("digest").alias("d"), "log_counts",
                                           F.col("known").alias("rare_known"))
-    t = score_texts(rows, model).join(s, F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")), "left")
+    t = score_texts(table, model).join(s, F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")), "left")
     more = F.coalesce("log_counts", F.lit(0.0))
     return t.select(
         F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens",
