@@ -117,13 +117,14 @@ def prepare(df: DataFrame, target: str | None = None, outlier_action: str = "cli
             res.steps_resumed.append(name)
             return saved[name]
         try:
-            out = fn()
+            with store.batch():                     # report, step and fit of a stage are one commit
+                out = fn()
+                if name != "validate":
+                    store.save_fit(run_id, name, out)
         except StageError:
             raise
         except Exception as e:  # noqa: BLE001
             raise StageError(name, list(res.steps_completed), e) from e
-        if name != "validate":
-            store.save_fit(run_id, name, out)
         res.steps_completed.append(name)
         res.timings[name] = round(time.time() - t0, 3)
         return out

@@ -1,8 +1,8 @@
 """Fitted state of a run as a table: saved stage by stage, loaded by a resumed run, a stream or another driver (A5, I2, I3).
 
-Every fit is a few values per column.  Each is one row ``(run_id, stage,
-version, body, at)`` of the store's ``fits`` table, its body JSON in which
-every value that JSON cannot hold carries its type.  The label dictionary may
+Every fit is a few values per column.  Each is one row of the store's log with
+its version and its body, JSON in which every value that JSON cannot hold
+carries its type.  The label dictionary may
 be large: it stays a Parquet table in the store and the body names its folder.
 """
 
@@ -16,7 +16,7 @@ import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import EncodeFit
@@ -27,7 +27,6 @@ from ..operators.select import SelectFit
 from ..operators.types import TypesFit
 
 VERSION = 1
-FITS_SCHEMA = "run_id string, stage string, version int, body string, at timestamp"
 KINDS = {k.__name__: k for k in (AuditFit, TypesFit, ColumnAction, ImputeFit, Fence, OutlierFit, EncodeFit, SelectFit)}
 _CODES = "column string, value string, code int"
 
@@ -81,24 +80,23 @@ def unpack(value):
     return read[kind](value["text"])
 
 
-def save_fit(spark: SparkSession, root: str, run_id: str, stage: str, fit) -> None:
-    """Appends one fit.  A dictionary is copied into the store first, so the row never names a folder that is not there."""
+def saved_form(root: str, run_id: str, fit) -> str:
+    """JSON of one fit.  A dictionary is copied into the store first, so no row names a folder that is not there."""
     extra = {}
     if isinstance(fit, EncodeFit) and fit.table is not None:
         path = os.path.join(root, "dictionaries", run_id, uuid.uuid4().hex)
         fit.table.select("column", "value", "code").write.partitionBy("column").parquet(path)
         fit, extra = dataclasses.replace(fit, table=None), {"dictionary": path}
-    body = json.dumps({"fit": pack(fit), **extra})
-    row = (run_id, stage, VERSION, body, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None))
-    spark.createDataFrame([row], FITS_SCHEMA).write.mode("append").parquet(os.path.join(root, "fits"))
+    return json.dumps({"fit": pack(fit), **extra})
 
 
 def read_fits(table: DataFrame, run_id: str) -> dict:
     """``{stage: fit}`` of a run, the latest of each stage; one row per stage reaches the driver."""
     spark, out = table.sparkSession, {}
-    latest = table.where(F.col("run_id") == run_id).groupBy("stage").agg(F.max_by(F.struct("version", "body"), "at").alias("x"))
+    latest = table.where(F.col("run_id") == run_id).groupBy("stage").agg(
+        F.max_by(F.struct(F.col("metric").alias("version"), F.col("value").alias("body")), "at").alias("x"))
     for r in latest.select("stage", "x.*").collect():
-        if r["version"] != VERSION:
+        if r["version"] != str(VERSION):
             raise FitVersionError(f"stage {r['stage']!r} of run {run_id!r} was saved in version {r['version']}; "
                                   f"this one reads {VERSION}")
         body = json.loads(r["body"])

@@ -8,70 +8,104 @@ so they are small; the data itself never passes through the driver.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+
+from .log import LogTable
 
 REPORT_SCHEMA = "run_id string, stage string, column string, metric string, value string"
 LEDGER_SCHEMA = "run_id string, step string, at timestamp"
 SNAPSHOT_SCHEMA = "run_id string, label string, path string, at timestamp"
+#: rows of all kinds: ``report`` (stage, column, metric, value), ``step`` (its name in ``stage``) and ``fit`` (its version
+#: in ``metric``, its saved form in ``value``)
+LOG_SCHEMA = "kind string, run_id string, stage string, column string, metric string, value string, at timestamp"
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 class RunStore:
-    """Collects report rows and ledger steps; persists them when ``root`` is set."""
+    """Collects report rows, ledger steps and fits; persists them when ``root`` is set.
+
+    All of them are rows of one log.  What is written inside ``batch()`` is
+    one commit: a stage's report, step and fit appear together or not at all.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = root
-        self._report: list[tuple] = []
-        self._ledger: list[tuple] = []
+        self.log = LogTable(spark, os.path.join(root, "log"), LOG_SCHEMA) if root else None
+        self._rows: list[tuple] = []
         self._fits: dict[str, dict] = {}
+        self._held: list | None = None
+
+    @contextlib.contextmanager
+    def batch(self):
+        """Rows written inside are committed together at the end, and not at all if it fails."""
+        if self._held is not None:                      # part of an outer batch
+            yield
+            return
+        self._held = []
+        try:
+            yield
+            rows = self._held
+        finally:
+            self._held = None
+        self._commit(rows)
+
+    def _commit(self, rows: list[tuple]) -> None:
+        if self._held is not None:
+            self._held += rows
+        elif rows and self.log:
+            self.log.append(rows)
+        elif rows:
+            self._rows += rows
+
+    def _table(self, kind: str) -> DataFrame:
+        rows = self.log.read() if self.log else self.spark.createDataFrame(self._rows, LOG_SCHEMA)
+        return rows.where(F.col("kind") == kind)
+
+    def compact(self, partitions: int = 1) -> None:
+        """The log's small files as one base; readers and writers go on meanwhile."""
+        if self.log:
+            self.log.compact(partitions)
 
     # --- ledger (A7)
     def log_step(self, run_id: str, step: str) -> None:
-        row = (run_id, step, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-        self._ledger.append(row)
-        if self.root:
-            self.spark.createDataFrame([row], LEDGER_SCHEMA).write.mode("append").parquet(
-                os.path.join(self.root, "ledger"))
+        self._commit([("step", run_id, step, None, None, None, _now())])
 
     def steps(self, run_id: str) -> set:
         """Steps logged for a run (from this process when nothing is persisted)."""
-        if self.root:
-            return {r["step"] for r in self.ledger().where(F.col("run_id") == run_id).select("step").collect()}
-        return {s for r, s, _ in self._ledger if r == run_id}
+        held = {r[2] for r in self._held or () if r[0] == "step" and r[1] == run_id}
+        return held | {r["step"] for r in self.ledger().where(F.col("run_id") == run_id).select("step").collect()}
 
     # --- report (A6)
     def add_report(self, run_id: str, stage: str, rows, label: str | None = None) -> None:
-        rows = [(run_id, stage, c, m, None if v is None else str(v)) for c, m, v in rows]
-        self._report += rows
-        if self.root and rows:
-            self.spark.createDataFrame(rows, REPORT_SCHEMA).write.mode("append").partitionBy("stage").parquet(
-                os.path.join(self.root, "report"))
-        self.log_step(run_id, label or f"{stage}_report")
+        at = _now()
+        self._commit([("report", run_id, stage, c, m, None if v is None else str(v), at) for c, m, v in rows]
+                     + [("step", run_id, label or f"{stage}_report", None, None, None, at)])
 
     def report(self) -> DataFrame:
-        if self.root and path_exists(self.spark, os.path.join(self.root, "report")):
-            return self.spark.read.schema(REPORT_SCHEMA).parquet(os.path.join(self.root, "report"))
-        return self.spark.createDataFrame(self._report, REPORT_SCHEMA)
+        return self._table("report").select("run_id", "stage", "column", "metric", "value")
 
     # --- fitted state (A5, I2, I3)
     def save_fit(self, run_id: str, stage: str, fit) -> None:
         self._fits.setdefault(run_id, {})[stage] = fit
         if self.root:
-            from .fits import save_fit
-            save_fit(self.spark, self.root, run_id, stage, fit)
+            from .fits import VERSION, saved_form
+            self._commit([("fit", run_id, stage, None, str(VERSION), saved_form(self.root, run_id, fit), _now())])
 
     def load_fits(self, run_id: str) -> dict:
         """``{stage: fit}`` of what the run has fitted so far, whichever driver fitted it; empty for an unknown run."""
-        path = os.path.join(self.root, "fits") if self.root else None
-        if path and path_exists(self.spark, path):
-            from .fits import FITS_SCHEMA, read_fits
-            return read_fits(self.spark.read.schema(FITS_SCHEMA).parquet(path), run_id)
+        if self.log:
+            from .fits import read_fits
+            return read_fits(self._table("fit"), run_id)
         return dict(self._fits.get(run_id, {}))
 
     def stage_report(self, run_id: str, stage: str) -> DataFrame:
@@ -79,14 +113,14 @@ class RunStore:
         return stage_report(self.report().where(F.col("run_id") == run_id), stage)
 
     def ledger(self) -> DataFrame:
-        if self.root and path_exists(self.spark, os.path.join(self.root, "ledger")):
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(os.path.join(self.root, "ledger"))
-        return self.spark.createDataFrame(self._ledger, LEDGER_SCHEMA)
+        return self._table("step").select("run_id", F.col("stage").alias("step"), "at")
 
     def append_ledger(self, steps: DataFrame) -> None:
         """Appends ``(run_id, step, at)`` rows of a table."""
-        steps.select(*[F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(LEDGER_SCHEMA)]).write.mode("append").parquet(
-            os.path.join(self.root, "ledger"))
+        none = F.lit(None).cast("string")
+        self.log.append(steps.select(
+            F.lit("step").alias("kind"), F.col("run_id").cast("string").alias("run_id"), F.col("step").cast("string").alias("stage"),
+            none.alias("column"), none.alias("metric"), none.alias("value"), F.col("at").cast("timestamp").alias("at")))
 
     # --- snapshots (A5): each in a folder of its own, so a reader of an earlier one is never overwritten
     def save_snapshot(self, df: DataFrame, run_id: str, label: str) -> DataFrame:
@@ -95,7 +129,7 @@ class RunStore:
             return df
         path = os.path.join(self.root, "snapshots", run_id, f"{label}-{uuid.uuid4().hex}")
         df.write.parquet(path)
-        row = (run_id, label, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+        row = (run_id, label, path, _now())
         self.spark.createDataFrame([row], SNAPSHOT_SCHEMA).write.mode("append").parquet(os.path.join(self.root, "latest"))
         self.log_step(run_id, label)
         return self.spark.read.schema(df.schema).parquet(path)

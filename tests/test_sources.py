@@ -93,3 +93,57 @@ def test_call_log_artifacts_round_trip(spark):
     assert rep["total_calls"] == back.count() and len(rep["summary_table"]) == summ.count()
     AR.write_json(AR.run_report(back, summ, "mock"), os.path.join(root, "report"))
     assert spark.read.json(os.path.join(root, "report")).count() == 1
+
+
+def test_a_run_commits_once_per_stage_and_compacts(spark, items):
+    from tableprep.plans.prepare import prepare
+    st = RunStore(spark, tempfile.mkdtemp(prefix="tp-log-"))
+    done = prepare(items, "target", store=st, run_id="r")
+    assert st.log.files() <= len(done.steps_completed) + 1          # one file a stage, and one for the parameters
+    before = [sorted(map(str, x.collect())) for x in (st.report(), st.ledger(), list_runs(st.ledger()))]
+    st.compact()
+    assert st.log.files() == 1
+    other = RunStore(spark, st.root)
+    assert before == [sorted(map(str, x.collect())) for x in (other.report(), other.ledger(), list_runs(other.ledger()))]
+    assert set(other.load_fits("r")) == set(st.load_fits("r")) >= {"run", "types", "select"}
+
+
+def test_log_while_and_after_a_compaction(spark, monkeypatch):
+    from tableprep.sources.log import LogTable
+    log = LogTable(spark, tempfile.mkdtemp(prefix="tp-log-"), "n int")
+    got = lambda: sorted(r[0] for r in log.read().collect())
+    log.compact()
+    assert got() == [] and log.files() == 0
+    for k in range(4):
+        log.append([(k,)])
+    real = log._create
+
+    def slow(number, content):                      # a commit between the new base and its manifest
+        assert got() == [0, 1, 2, 3]
+        log.append([(4,)])
+        real(number, content)
+    monkeypatch.setattr(log, "_create", slow)
+    log.compact()
+    assert got() == [0, 1, 2, 3, 4] and log.files() == 2 and log.vacuum() == 0
+    monkeypatch.setattr(log, "_create", lambda number, content: (real(number, content), real(number, content)))
+    with pytest.raises(RuntimeError, match="another compaction"):
+        log.compact()
+    assert got() == [0, 1, 2, 3, 4] and log.files() == 1
+    old = log.read()
+    assert log.vacuum() > 0 and got() == [0, 1, 2, 3, 4] and old.count() == 5
+    log.append([(5,)])
+    assert got() == [0, 1, 2, 3, 4, 5]
+
+
+def test_a_failing_batch_leaves_nothing(spark):
+    st = RunStore(spark, tempfile.mkdtemp(prefix="tp-log-"))
+    with pytest.raises(ZeroDivisionError):
+        with st.batch():
+            st.add_report("r", "audit", [("a", "b", 1)])
+            assert st.steps("r") == {"audit_report"}
+            1 / 0
+    assert st.steps("r") == set() and st.report().count() == 0 and st.log.files() == 0
+    with st.batch():
+        st.add_report("r", "audit", [("a", "b", 1)])
+        st.log_step("r", "x")
+    assert st.log.files() == 1 and st.steps("r") == {"audit_report", "x"}
