@@ -667,7 +667,33 @@ from .prepare import prepare  # noqa: E402
 from .render import render  # noqa: E402
 
 
-@query("i1_prepare")
+# the run's rules cell by cell: types, fills, fences of the filled columns, codes, date parts; the constant column and
+# discount (variance below the limit) go, the target stays as it is
+_RUN_NUMERIC = ["order_id", "part_id", "qty", "price", "discount", "constant_col"]
+_MEDIAN = "(SELECT quantile_cont({c}, 0.5) FROM m_items)"
+_FILLED = f"""
+SELECT order_id, part_id, coalesce(qty, {_MEDIAN.format(c='qty')}) AS qty, price, coalesce(discount, {_MEDIAN.format(c='discount')}) AS discount,
+       coalesce(flag, {_duck_mode('flag')}) AS flag, status_code, CAST(strptime(ship_date, '%Y-%m-%d') AS TIMESTAMP) AS ship_date,
+       item_id, constant_col, target
+FROM m_items"""
+_RUN_FENCES = per_column(
+    "SELECT '{c}' AS c, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM filled",
+    _RUN_NUMERIC)
+_LOW, _HIGH = "(SELECT q1 - 1.5 * (q3 - q1) FROM fences WHERE c = '{c}')", "(SELECT q3 + 1.5 * (q3 - q1) FROM fences WHERE c = '{c}')"
+_PARTS = """CAST(dense_rank() OVER (ORDER BY flag) - 1 AS INTEGER) AS flag_encoded,
+       CAST(dense_rank() OVER (ORDER BY status_code) - 1 AS INTEGER) AS status_code_encoded,
+       CAST(year(ship_date) AS INTEGER) AS ship_date_year, CAST(month(ship_date) AS INTEGER) AS ship_date_month,
+       CAST(day(ship_date) AS INTEGER) AS ship_date_day, CAST(isodow(ship_date) - 1 AS INTEGER) AS ship_date_dayofweek,
+       isodow(ship_date) >= 6 AS ship_date_is_weekend"""
+_PREPARED = f"""
+WITH filled AS MATERIALIZED ({_FILLED}), fences AS MATERIALIZED ({_RUN_FENCES})
+SELECT """ + ", ".join(f"least(greatest(CAST({c} AS DOUBLE), {_LOW.format(c=c)}), {_HIGH.format(c=c)}) AS {c}"
+                       for c in _RUN_NUMERIC[:4]) + f""",
+       flag, status_code, ship_date, item_id, {_PARTS}, target
+FROM filled"""
+
+
+@query("i1_prepare", _PREPARED, ("m_items",))
 def i1_prepare(spark, sf):
     """Flagship: the fully prepared item table (target protected and last)."""
     return prepare(m_items(spark, sf), target="target").df
@@ -710,18 +736,34 @@ def i1_report(spark, sf):
                      ).select("stage", "column", "metric", "value")
 
 
-# the run's removals: one constant column; its features: five date parts are one line, codes one each
+# features: five date parts are one line, codes one each.  Columns of the flagging run: ten, a flag for each numeric one,
+# two codes and five date parts; numeric ones go by variance, then by correlation with an earlier one
+_RUN_SELECT = _RUN_NUMERIC + ["flag_encoded", "status_code_encoded", "ship_date_year", "ship_date_month", "ship_date_day",
+                              "ship_date_dayofweek"]
+_RUN_VARS = "\nUNION ALL\n".join(
+    f"SELECT {i} AS i, coalesce(var_samp({c}) < 0.01, false) AS low FROM flagged" for i, c in enumerate(_RUN_SELECT))
+_RUN_PAIRS = "\nUNION ALL\n".join(
+    f"SELECT {i} AS a, {j} AS b, corr({x}, {y}) AS r FROM flagged"
+    for i, x in enumerate(_RUN_SELECT) for j, y in enumerate(_RUN_SELECT) if i < j)
+_RUN_OUT = " OR ".join(f"CAST({c} AS DOUBLE) < {_LOW.format(c=c)} OR CAST({c} AS DOUBLE) > {_HIGH.format(c=c)}" for c in _RUN_NUMERIC)
 _H5 = f"""
-WITH s AS MATERIALIZED ({_SEM}), r AS MATERIALIZED ({_RATING})
+WITH s AS MATERIALIZED ({_SEM}), r AS MATERIALIZED ({_RATING}), filled AS MATERIALIZED ({_FILLED}),
+     fences AS MATERIALIZED ({_RUN_FENCES}), flagged AS MATERIALIZED (SELECT *, {_PARTS} FROM filled),
+     low AS MATERIALIZED ({_RUN_VARS}), pairs AS MATERIALIZED ({_RUN_PAIRS}),
+     gone AS MATERIALIZED (SELECT i FROM low WHERE low UNION
+         SELECT b FROM pairs WHERE abs(r) > 0.95 AND a NOT IN (SELECT i FROM low WHERE low) AND b NOT IN (SELECT i FROM low WHERE low))
 SELECT (SELECT overall_quality FROM r) AS original_quality,
-       (SELECT count(*) FROM s WHERE semantic IN ('datetime', 'categorical')) AS features_engineered
+       (SELECT count(*) FROM s WHERE semantic IN ('datetime', 'categorical')) AS features_engineered,
+       (SELECT count(*) FROM gone) AS features_removed, (SELECT 23 - count(*) FROM gone) AS features_kept,
+       CAST((SELECT count_if({_RUN_OUT}) FROM filled) AS VARCHAR) AS outlier_rows_flagged
 """
 
 
 @query("h5_rollup", _H5, ("m_items",))
 def h5_rollup(spark, sf):
+    """All five figures of the roll-up of a run that flags outliers."""
     res = prepare(m_items(spark, sf), target="target", outlier_action="flag")
-    return VA.stats_rollup(res.report()).select("original_quality", "features_engineered")
+    return VA.stats_rollup(res.report()).drop("run_id")
 
 
 _TEMPLATES = {
