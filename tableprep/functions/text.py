@@ -63,14 +63,19 @@ def parse_reply(text: Column) -> Column:
     NaN and Infinity, which Python's parser takes, are read as 1 (a number,
     and true); an object with a repeated key, which the strict parser refuses,
     is read again as a map and keeps the key's last value."""
-    t = F.regexp_replace(text, _NON_FINITE, "$11")
+    odd = text.contains("NaN") | text.contains("Infinity")
+    t = F.when(odd, F.regexp_replace(text, _NON_FINITE, "$11")).otherwise(text)
     entries = F.map_entries(F.from_json(t, "map<string,variant>", _MAP_OPTIONS))
     late = F.transform(F.array(entries), lambda es: F.filter(
         es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.size(es)), lambda x: x["key"] == e["key"])))[0]
     last = F.try_parse_json(F.to_json(F.map_from_entries(late)))
     v = F.coalesce(F.try_parse_json(t), F.when(text.rlike(_OBJECT), last))
     # the parsers stop after the first value; text after it makes the reply no JSON
-    return F.when(text.rlike(r'(?s)^\s*(\{.*\}|\[.*\]|".*"|[^\s{\["]\S*)\s*$'), v)
+    s = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    first, last_char = F.substring(s, 1, 1), F.right(s, F.lit(1))
+    whole = (F.when(first == "{", last_char == "}").when(first == "[", last_char == "]")
+             .when(first == '"', (last_char == '"') & (F.length(s) > 1)).otherwise((s != "") & ~s.rlike(r"\s")))
+    return F.when(whole, v)
 
 
 def _kind(json: Column) -> Column:
