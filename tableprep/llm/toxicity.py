@@ -93,14 +93,18 @@ def fit_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 400, rat
 
 def training_sample(docs: DataFrame, positive_ids: DataFrame, id_col: str, text_col: str, in_training: Column,
                     positives: int, unlabelled: int) -> DataFrame:
-    """``(kind, text)``: kind 1 for positives, 0 for unlabelled; at most so many documents of each."""
+    """``(kind, text)``: kind 1 for positives, 0 for unlabelled; at most so many documents of each.
+
+    An id with several texts gives the one of the smallest hash.
+    """
     by_hash = F.xxhash64("id")
     p = positive_ids.select("id").orderBy(by_hash, "id").limit(positives).withColumn("kind", F.lit(1))
     u = (docs.where(in_training & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"))
          .orderBy(by_hash, "id").limit(unlabelled).distinct().withColumn("kind", F.lit(0)))
     ids = cut(p.unionByName(u))                             # bounded by the two parameters: fit to broadcast
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
-    return cut(rows.dropDuplicates(["id", "kind"]).select("kind", "text"))
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    return cut(rows.groupBy("id", "kind").agg(one).select("kind", "text"))
 
 
 def candidate_features(sample: DataFrame, prior: float, features: int, least: int = 5, precision: float = 0.7) -> list[str]:

@@ -238,3 +238,18 @@ def test_batches_of_mixed_texts_are_bounded(monkeypatch):
     labels = L.Labeller(model, 1.0).label(["one two three " * 700] + ["four five six"] * 80 + [None])
     assert [len(x) for x in labels] == [2100] + [3] * 80 + [0]
     assert max(sizes) <= 2100 * 2 and len(sizes) > 1
+
+
+def test_samples_do_not_depend_on_the_order_of_repeated_ids(spark):
+    """Ids that occur with several texts give the same text whatever the order of the rows."""
+    from pyspark.sql import functions as F
+    from tableprep.llm import toxicity as X
+    rows = [(i % 40, f"text {i}" if i % 9 else None) for i in range(400)]
+    got = set()
+    for order in (rows, rows[::-1], rows[1::2] + rows[::2]):
+        docs = documents(spark, [t for _, t in order], [i for i, _ in order]).repartition(3)
+        ids = docs.select(F.col("doc_id").alias("id")).where("id < 10").distinct()
+        sample = X.training_sample(docs, ids, "doc_id", "text", F.lit(True), 5, 20)
+        _, few = M.word_list(docs.select(F.col("doc_id").alias("id"), "text"), sample_docs=30, guess_docs=10)
+        got.add((tuple(sorted(map(str, sample.collect()))), tuple(sorted(map(str, few.collect())))))
+    assert len(got) == 1
