@@ -699,6 +699,57 @@ def i1_prepare(spark, sf):
     return prepare(m_items(spark, sf), target="target").df
 
 
+@query("i3_saved_run", _PREPARED, ("m_items",))
+def i3_saved_run(spark, sf):
+    """A run's fits, saved by one store and applied to the table by what another store loads."""
+    from ..streaming.apply import apply_fitted
+    root = os.path.join(ensure_checkpoint_dir(spark), f"runs-{uuid.uuid4().hex}")
+    df = m_items(spark, sf)
+    prepare(df, target="target", store=RunStore(spark, root), run_id="r")
+    return apply_fitted(df, RunStore(spark, root).load_fits("r"))
+
+
+def _rule_book(facts: dict) -> dict:
+    """An adviser of columns: what it does not know it refuses."""
+    if facts["semantic"] not in ("numeric", "categorical"):
+        raise LookupError(f"no rule for {facts['semantic']}")
+    return {"strategy": "mean" if facts["null_pct"] < 10 else "constant" if facts["semantic"] == "numeric" else "guess"}
+
+
+@query("i4_column_advice", f"""
+SELECT f."column", CASE WHEN frac < 0.1 AND s.semantic IN ('numeric', 'categorical') THEN 'mean'
+                        WHEN s.semantic = 'numeric' THEN 'constant' WHEN s.semantic = 'categorical' THEN 'guess' END AS strategy,
+       CASE WHEN s.semantic NOT IN ('numeric', 'categorical') THEN 'LookupError: no rule for ' || s.semantic
+            WHEN frac >= 0.1 AND s.semantic = 'categorical' THEN 'unknown strategy guess' END AS advice_error
+FROM ({_FRAC}) f JOIN ({_SEM}) s ON f."column" = s."column" WHERE frac > 0 AND frac < 0.7""", ("m_items",))
+def i4_column_advice(spark, sf):
+    """Strategies that a callable advises for the columns with holes."""
+    from ..operators import advise as AD
+    df = m_items(spark, sf)
+    types = TY.fit_types(df)
+    return AD.advise_columns(AD.column_facts(df, types.semantic, types.null_fractions), _rule_book)
+
+
+def _grade(row: dict) -> dict:
+    """An adviser of rows: a grade of the discount, refused where there is none, and no number for the largest lots."""
+    if row["discount"] is None:
+        raise LookupError("no discount")
+    grade = "none" if row["discount"] == 0 else "low" if row["discount"] < 0.05 else "high"
+    return {"grade": grade, "rest": "many" if (row["qty"] or 0) >= 50 else row["qty"]}
+
+
+@query("i4_row_advice", """
+SELECT order_id, part_id, CASE WHEN fault IS NULL THEN CASE WHEN discount = 0 THEN 'none' WHEN discount < 0.05 THEN 'low' ELSE 'high' END
+       END AS grade, CASE WHEN fault IS NULL THEN qty END AS rest, fault AS advice_error
+FROM (SELECT *, CASE WHEN discount IS NULL THEN 'LookupError: no discount'
+                     WHEN qty >= 50 THEN 'TypeError: rest: ''many'' is no double' END AS fault FROM m_items)""", ("m_items",))
+def i4_row_advice(spark, sf):
+    """A callable over every row: its answers, and its faults where it has none."""
+    from ..operators import advise as AD
+    return AD.advise_rows(m_items(spark, sf).select("order_id", "part_id", "qty", "discount"), _grade,
+                          "grade string, rest double", batch_rows=1000).drop("qty", "discount")
+
+
 # a ledger of runs (day and a part of it) whose events name the steps they logged
 _STEP = ("CASE user_id % 9 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(VA.EXPECTED_STEPS)) + " ELSE 'other' END")
 _LEDGER_SQL = (f"SELECT CONCAT('day-', CAST(CAST(ts AS DATE) AS STRING), '-', CAST(event_id % 101 AS STRING)) AS run_id, "
