@@ -6,6 +6,8 @@ rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import features as FE
@@ -304,7 +306,8 @@ def j18(spark, sf):
 _AFTER = "(SELECT * FROM m_items WHERE NOT (" + _ANY + "))"
 _J19 = (_sel("J19", "NULL", "1.0 - a / b", 0.4, "1.0 - a / b > 0.4",
              f"(SELECT (SELECT count(*) FROM m_items) AS b, (SELECT count(*) FROM {_AFTER}) AS a)")
-        + "\nUNION ALL\n" + _sel("J19", "'target'", "0.0", 0.0, "false", "(SELECT 1)")
+        + "\nUNION ALL\n" + _sel("J19", "'target'", "CASE WHEN n = 1 THEN 0 ELSE 1 END", 0.0, "n <> 1",
+                                 "(SELECT count(*) AS n FROM (DESCRIBE SELECT * FROM m_items) WHERE column_name = 'target')")
         + "\nUNION ALL\n" + "\nUNION ALL\n".join(
             _sel("J19", f"'{c}'", "n", 0.0, "n > 0", f"(SELECT count(*) - count({c}) AS n FROM {_AFTER})")
             for c in ITEM_NUMERIC))
@@ -318,17 +321,29 @@ def j19(spark, sf):
 
 
 _NULLSUM = " + ".join(f"(count(*) - count({c}))" for c in ITEM_COLS)
+_FULL_ROWS = "(SELECT * FROM m_items WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in ITEM_COLS) + ")"
+
+
+def _j20_case(rows, columns):
+    """One routing: the rows left and how many columns there are for each of the table's twelve."""
+    return _sel("J20", f"CASE WHEN n > 0 THEN 'missing' WHEN {columns} > 3 * {len(ITEM_COLS)} THEN 'features' WHEN loss > 0.4 THEN 'outliers' END",
+                "loss", 0.4, f"n > 0 OR {columns} > 3 * {len(ITEM_COLS)} OR loss > 0.4",
+                f"(SELECT ((SELECT count(*) FROM m_items) - count(*)) / (SELECT count(*) FROM m_items) AS loss, {_NULLSUM} AS n FROM {rows})")
 
 
-@query("j20_routing", _with_fences(_sel(
-    "J20", "CASE WHEN n > 0 THEN 'missing' WHEN loss > 0.4 THEN 'outliers' END", "loss", 0.4,
-    "n > 0 OR loss > 0.4",
-    f"(SELECT ((SELECT count(*) FROM m_items) - count(*)) / (SELECT count(*) FROM m_items) AS loss, "
-    f"{_NULLSUM} AS n FROM {_AFTER})")), ("m_items",))
+@query("j20_routing", _with_fences("\nUNION ALL\n".join([
+    _j20_case(_AFTER, len(ITEM_COLS)), _j20_case(_FULL_ROWS, 4 * len(ITEM_COLS)), _j20_case(_FULL_ROWS, len(ITEM_COLS)),
+    _j20_case("(SELECT * REPLACE (coalesce(qty, 0) AS qty, coalesce(discount, 0) AS discount, coalesce(mystery, 0) AS mystery, "
+              "coalesce(flag, '') AS flag) FROM m_items)", len(ITEM_COLS))])), ("m_items",))
 def j20(spark, sf):
+    """Rows with holes, a wide table, a table that lost most rows, and one that needs nothing."""
     df = m_items(spark, sf)
     after = OU.drop_rows(df, OU.fit_outliers(df))
-    return _r(G.j20_routing(df, after))
+    full = df.na.drop()
+    wide = full.select("*", *[F.col(c).alias(f"{c}_{k}") for k in range(3) for c in df.columns])
+    filled = df.na.fill(0.0, ["qty", "discount", "mystery"]).na.fill("", ["flag"])
+    cases = [G.j20_routing(df, x) for x in (after, wide, full, filled)]
+    return _r(reduce(lambda a, b: a.unionByName(b), cases))
 
 
 @query("j21_mode_on_text", _sel("J21", "\"column\"", "CASE WHEN strategy = 'mode' AND semantic = 'text' THEN 1.0 "
