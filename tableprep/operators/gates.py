@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import NUMERIC, STRING, col, families, family
 from ..functions.heavy import top_table
-from ..functions.stats import comparable_columns, typed_value, value_counts, value_summary
+from ..functions.stats import comparable_columns, distinct_counts, typed_value
 from .profile import column_profile, duplicate_rows
 
 # Thresholds stated by the rules.
@@ -171,7 +171,7 @@ TRANSFORMS = ("one_hot", "log", "polynomial")
 def j15_feature_bans(df, semantic: DataFrame, transforms: dict | None = None):
     """One row per column and planned transform (default: all three): ``J15.one_hot`` fires above 50 distinct values,
     ``J15.log`` where the minimum is not positive, ``J15.polynomial`` on id and text columns."""
-    s = value_summary(value_counts(df)).select("column", "n_distinct")
+    s = distinct_counts(df)
     mins = column_profile(df).select("column", "vmin")
     j = semantic.join(s, "column", "left").join(mins, "column", "left")
     n, c = F.coalesce(F.col("n_distinct"), F.lit(0)), F.col("column")

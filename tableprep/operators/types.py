@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DATETIME, NUMERIC, STRING, col, families
-from ..functions.stats import value_counts, value_summary
+from ..functions.stats import distinct_counts
 
 # Fixed values of the type rules.
 ID_RATIO = 0.95
@@ -60,7 +60,7 @@ def distinct_ratio(df: DataFrame) -> DataFrame:                        # C1
     """``(column, n_distinct, ratio)``; NULLs are not values but count as rows."""
     rows = df.count()
     names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
-    summ = value_summary(value_counts(df)).select("column", "n_distinct")
+    summ = distinct_counts(df)
     n = F.coalesce("n_distinct", F.lit(0))
     return (names.join(F.broadcast(summ), "column", "left")    # one row per column: bounded
             .select("column", n.alias("n_distinct"), (n / F.lit(max(rows, 1))).alias("ratio")))
@@ -131,8 +131,7 @@ def fit_types(df: DataFrame, method: str = "auto", probes: dict | None = None) -
         ratios.update({c: (fine[i] or 0) / denom for i, c in enumerate(need)})
         need = [c for c in need if near(ratios[c], FINE_THRESHOLD)]
     if need:
-        got = {r["column"]: r["n_distinct"]
-               for r in value_summary(value_counts(df, need)).select("column", "n_distinct").collect()}
+        got = {r["column"]: r["n_distinct"] for r in distinct_counts(df, need).collect()}
         for c in need:
             ratios[c] = got.get(c, 0) / denom
     semantic, formats = {}, {}

@@ -390,3 +390,19 @@ def test_large_dictionaries_shuffle_the_table_once(spark):
         assert max(sizes) < 3000 / 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_distinct_counts_group_columns_by_their_own_type(spark):
+    import datetime as dt
+    from decimal import Decimal
+    nan = float("nan")
+    t = dt.datetime(2024, 1, 1, 12)
+    rows = [(i % 3, Decimal(i % 4), [0.0, -0.0, nan, 1.5][i % 4], ["a", "b", ""][i % 3], i % 2 == 0, t + dt.timedelta(days=i % 5), [i], None)
+            for i in range(20)] + [(None,) * 8]
+    df = spark.createDataFrame(rows, "i int, d decimal(20,2), x double, s string, b boolean, t timestamp_ntz, a array<int>, n string")
+    got = {r["column"]: (r["n_distinct"], r["ratio"]) for r in TY.distinct_ratio(df).collect()}
+    want = {"i": 3, "d": 4, "x": 3, "s": 3, "b": 2, "t": 5, "a": 0, "n": 0}       # a list has no distinct count
+    assert got == {c: (n, n / 21) for c, n in want.items()}
+    plan = TY.distinct_ratio(df.select("i", "d", "s"))._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "inline" not in plan          # no row per cell in long form
+    assert TY.distinct_ratio(df.select("a")).collect()[0]["n_distinct"] == 0
