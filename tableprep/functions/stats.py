@@ -22,6 +22,7 @@ import math
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -163,28 +164,24 @@ class _Target(dict):
     Its one item ``halve`` says that sketches did not narrow the interval and its middle is proposed instead.
     """
 
-    def __init__(self, c: Column, h: float, n: int):
+    def __init__(self, name: str, h: float, n: int):
         super().__init__(halve=False)
-        self.c, self.h, self.value = c, h, {}
+        self.name, self.h, self.value = name, h, {}
         self.open = sorted({math.floor(h), math.ceil(h)})
         self.lo = self.hi = self.proposal = None
         self.under, self.m = 0, n               # rows at or below lo; rows inside
 
-    def inside(self) -> Column:
-        cond = self.c.isNotNull() & ~F.isnan(self.c)
-        for end, test in ((self.lo, self.c.__gt__), (self.hi, self.c.__lt__)):
-            if end is not None:
-                cond = cond & test(F.lit(end))
-        return cond
-
     def fractions(self, eps: float) -> list[float]:
         """Where the sketch of the rows inside is asked for a value below and one above the open ranks."""
         return [max(0.0, (self.open[0] - self.under) / self.m - eps), min(1.0, (self.open[-1] - self.under + 1) / self.m + eps)]
 
-    def counts(self) -> list[Column]:
-        a, b = map(F.lit, self.proposal)
-        inside = self.inside()
-        return [F.count_if(inside & x) for x in (self.c < a, self.c == a, (self.c > a) & (self.c < b), self.c == b)]
+    def counts(self, ends: np.ndarray, n: np.ndarray) -> list[int]:
+        """Rows inside that are below, at, between and at the proposed values; ``n`` counts the parts of the column that
+        ``ends`` make: 2j + 1 is the value ``ends[j]``, the even parts lie between two of them."""
+        part = np.arange(len(n))
+        lo, hi, a, b = (None if x is None else 2 * int(np.searchsorted(ends, x)) + 1 for x in (self.lo, self.hi, *self.proposal))
+        inside = (part > (-1 if lo is None else lo)) & (part < (len(n) if hi is None else hi))
+        return [int(n[inside & x].sum()) for x in (part < a, part == a, (part > a) & (part < b), part == b)]
 
     def prove(self, below: int, at_a: int, between: int, at_b: int) -> None:
         """Exact counts settle the ranks that fall on an end of the proposal; the others lie in one of three parts."""
@@ -259,7 +256,7 @@ def _chunk_quantiles(df, cols, probs, exact, accuracy, max_local) -> dict:
         for k, p in enumerate(probs):
             if not n:
                 continue
-            t = slots[c, k] = _Target(F.col(f"c{i}"), (n - 1) * p, n - nans)
+            t = slots[c, k] = _Target(f"c{i}", (n - 1) * p, n - nans)
             for r in [r for r in t.open if r >= n - nans]:
                 t.value[r] = NAN
                 t.open.remove(r)
@@ -273,11 +270,55 @@ def _chunk_quantiles(df, cols, probs, exact, accuracy, max_local) -> dict:
     return {c: [slots[c, k].result() if (c, k) in slots else None for k in range(len(probs))] for c in cols}
 
 
+def _values(column: pa.Array) -> np.ndarray:
+    """The numbers of a column of doubles, without NULL and NaN."""
+    x = column.to_numpy(zero_copy_only=False)
+    return x[~np.isnan(x)]
+
+
 def _prove(d: DataFrame, todo: list[_Target]) -> None:
-    if todo:
-        row = d.agg(*[x for t in todo for x in t.counts()]).first()
-        for x, t in enumerate(todo):
-            t.prove(*row[4 * x:4 * x + 4])
+    """One scan for all targets: every task sorts its values into the parts that the ends and proposals of their columns make."""
+    if not todo:
+        return
+    names = list(dict.fromkeys(t.name for t in todo))
+    ends = [np.unique([x for t in todo if t.name == c for x in (t.lo, t.hi, *t.proposal) if x is not None]) for c in names]
+
+    def count(batches):
+        kept = [np.zeros(2 * len(e) + 1, dtype=np.int64) for e in ends]
+        for b in batches:
+            for n, e, column in zip(kept, ends, b.columns):
+                x = _values(column)
+                n += np.bincount(np.searchsorted(e, x) + np.searchsorted(e, x, side="right"), minlength=len(n))
+        i = np.repeat(np.arange(len(kept), dtype=np.int32), [len(n) for n in kept])
+        part = np.concatenate([np.arange(len(n), dtype=np.int32) for n in kept])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (i, part, np.concatenate(kept))], names=["i", "part", "n"])
+
+    found = [np.zeros(2 * len(e) + 1, dtype=np.int64) for e in ends]
+    for i, part, n in (d.select(*names).mapInArrow(count, "i int, part int, n bigint")
+                       .groupBy("i", "part").agg(F.sum("n").alias("n")).collect()):      # a few per column
+        found[i][part] = n
+    for t in todo:
+        i = names.index(t.name)
+        t.prove(*t.counts(ends[i], found[i]))
+
+
+def _inside(d: DataFrame, todo: list[_Target]) -> DataFrame:
+    """``(task, v)``: the values inside the interval of every target, numbered in order."""
+    names = list(dict.fromkeys(t.name for t in todo))
+    limits = [(names.index(t.name), -np.inf if t.lo is None else t.lo, np.inf if t.hi is None else t.hi,
+               t.lo is None, t.hi is None) for t in todo]
+
+    def pick(batches):
+        for b in batches:
+            columns = [_values(c) for c in b.columns]
+            picked = []
+            for i, lo, hi, from_start, to_end in limits:
+                x = columns[i]
+                picked.append(x[((x > lo) | from_start) & ((x < hi) | to_end)])
+            task = np.repeat(np.arange(len(picked), dtype=np.int32), [len(x) for x in picked])
+            yield pa.RecordBatch.from_arrays([pa.array(task), pa.array(np.concatenate(picked))], names=["task", "v"])
+
+    return d.select(*names).mapInArrow(pick, "task int, v double")
 
 
 def _narrow(d: DataFrame, wide: list[_Target], eps: float, size: int) -> None:
@@ -285,14 +326,15 @@ def _narrow(d: DataFrame, wide: list[_Target], eps: float, size: int) -> None:
 
     Proposals are values of the column, so neighbouring ranks never lie on both sides of one without being on it.
     """
-    rows = [F.when(t.inside(), t.c) for t in wide]
-    row = d.agg(*[F.array(F.min(x), F.max(x)) if t["halve"] else _sketched(x, t.fractions(eps), size)
+    seen = _inside(d, wide)
+    rows = [F.when(F.col("task") == x, F.col("v")) for x in range(len(wide))]
+    row = seen.agg(*[F.array(F.min(x), F.max(x)) if t["halve"] else _sketched(x, t.fractions(eps), size)
                   for x, t in zip(rows, wide)]).first()
     for t, (a, b) in zip(wide, row):
         t.proposal = a, b
     if halved := [(t, x) for t, x in zip(wide, rows) if t["halve"]]:
         middle = [a if math.isinf(a) else max(a, min(a / 2 + b / 2, b)) for a, b in (t.proposal for t, _ in halved)]
-        for (t, _), v in zip(halved, d.agg(*[F.max(F.when(x <= F.lit(m), x)) for (_, x), m in zip(halved, middle)]).first()):
+        for (t, _), v in zip(halved, seen.agg(*[F.max(F.when(x <= F.lit(m), x)) for (_, x), m in zip(halved, middle)]).first()):
             t.proposal = v, v
     _prove(d, wide)
 
@@ -308,9 +350,7 @@ def _collect(d: DataFrame, todo: list[_Target]) -> None:
     """Settles the open ranks from the (value, count) pairs inside their intervals, each of bounded size."""
     if not todo:
         return
-    cells = F.array(*[F.when(t.inside(), F.struct(F.lit(x).alias("task"), t.c.alias("v"))) for x, t in enumerate(todo)])
-    pairs = d.select(F.inline(F.array_compact(cells))).groupBy("task", "v").count().toArrow().sort_by(
-        [("task", "ascending"), ("v", "ascending")])
+    pairs = _inside(d, todo).groupBy("task", "v").count().toArrow().sort_by([("task", "ascending"), ("v", "ascending")])
     task, v, n = (np.asarray(pairs.column(c)) for c in ("task", "v", "count"))
     for x, t in enumerate(todo):
         mine = slice(*np.searchsorted(task, [x, x + 1]))

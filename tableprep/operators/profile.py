@@ -34,8 +34,8 @@ def column_profile(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*structs).alias("p")).select(F.inline("p"))
 
 
-def profile_structs(df: DataFrame) -> list:
-    """``(column, family, rows, null_count, null_pct, vmin, vmax, mean, std, zero_var)``.
+def profile_structs(df: DataFrame, moments: bool = True) -> list:
+    """``(column, family, rows, null_count, null_pct, vmin, vmax, mean, std, zero_var)``, without ``moments`` no mean and std.
 
     ``zero_var`` (numeric only) is ``min <=> max``: true for a constant or an
     all-null column, the same truth as ``nunique() <= 1`` without a distinct.
@@ -53,7 +53,7 @@ def profile_structs(df: DataFrame) -> list:
             rows.alias("rows"), nulls.alias("null_count"),
             pct(nulls, rows).alias("null_pct"),
             F.min(xd).alias("vmin"), F.max(xd).alias("vmax"),
-            F.avg(xd).alias("mean"), F.stddev_samp(xd).alias("std"),
+            *([F.avg(xd).alias("mean"), F.stddev_samp(xd).alias("std")] if moments else []),
             (F.min(xd).eqNullSafe(F.max(xd)) if isnum else F.lit(None).cast("boolean")).alias("zero_var"),
         ))
     return structs
@@ -216,7 +216,7 @@ def audit(df: DataFrame, extra=()) -> AuditFit | tuple:
 
     ``extra`` aggregate expressions (e.g. the type probes) ride along in the
     same pass; their row is returned next to the fit."""
-    structs = profile_structs(df)
+    structs = profile_structs(df, moments=False)
     if structs:
         row = df.agg(F.array(*structs).alias("p"), F.count(F.lit(1)).alias("__rows"), *extra).first()
         prof, rows = row["p"], row["__rows"]

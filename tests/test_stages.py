@@ -406,3 +406,35 @@ def test_distinct_counts_group_columns_by_their_own_type(spark):
     plan = TY.distinct_ratio(df.select("i", "d", "s"))._jdf.queryExecution().toString()
     assert "Generate" not in plan and "inline" not in plan          # no row per cell in long form
     assert TY.distinct_ratio(df.select("a")).collect()[0]["n_distinct"] == 0
+
+
+def test_only_shapes_that_one_value_has_are_parsed(spark, monkeypatch):
+    real, asked = TY.parse_ts, []
+    monkeypatch.setattr(TY, "parse_ts", lambda c, fmt: asked.append(fmt) or real(c, fmt))
+    rows = [("2024-01-01", "2024/01/01", "x1", None, "2024-01-01"), ("2024-02-30", "2024/02/03", "2024-01-01", None, None)]
+    df = spark.createDataFrame(rows, "bad string, d string, s string, n string, h string").coalesce(1)
+    fit = TY.fit_types(df)
+    assert fit.formats == {"d": "yyyy/MM/dd", "n": "yyyy-MM-dd", "h": "yyyy-MM-dd"} and fit.semantic["bad"] == "text"
+    assert len(asked) <= 4 and len(TY.DATETIME_FORMATS) * 5 > 4        # not every format of every text column
+
+
+def test_cast_reads_times_like_their_pattern(spark):
+    texts = ["0000-01-01", "0001-01-01", "2024-02-30", "2024-02-29", "9999-12-31", "2024-13-01", "2024-01-01\n", "2024-01-01 ",
+             "2024-03-31 02:30:00", "2024-01-01 24:00:00", "2024-01-01 23:59:60", "2024-01-01T23:59:59", "2024-01-01 23:59:59\n",
+             "1850-05-05 10:11:12", "1582-10-10", "٢٠٢٤-01-01", "", None]
+    df = spark.createDataFrame([(x,) for x in texts], "s string")
+    s = F.col("s")
+    for fmt, shape in zip(TY.DATETIME_FORMATS, TY.DATETIME_SHAPES):
+        want = F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz"))
+        assert df.where(~want.eqNullSafe(TY.parse_ts(s, fmt))).count() == 0
+    plan = df.select(TY.parse_ts(s, "yyyy-MM-dd").alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" not in plan.lower()
+
+
+def test_quantile_scans_move_no_cell_that_no_interval_holds(spark, monkeypatch):
+    from tableprep.functions import stats
+    df = spark.range(0, 4000, 1, 4).select((F.col("id") % 1000).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    seen, real = [], stats._inside
+    monkeypatch.setattr(stats, "_inside", lambda d, todo: seen.append(real(d, todo)) or seen[-1])
+    assert quantiles(df, ["x", "y"], [0.25, 0.75], max_local=10) == {"x": [249.75, 749.25], "y": [999.75, 2999.25]}
+    assert all(d.count() < 4000 for d in seen)
