@@ -56,26 +56,27 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def map_slices(df: DataFrame, make: Callable[[], Callable], schema: str | StructType, rows: int = 512,
-               most_bytes: int = 32_000_000) -> DataFrame:
+               most_bytes: int = 32_000_000, arrow: bool = False) -> DataFrame:
     """``mapInArrow`` in slices of at most ``rows`` rows (fewer where they hold more than ``most_bytes``).
 
     ``make()`` runs once per task and returns ``f(*columns) -> columns`` over
-    Python lists, so a task holds one slice of decoded texts at a time.  If
-    ``f`` has an attribute ``finish``, its columns follow the last slice.
+    Python lists (with ``arrow`` over Arrow arrays), so a task holds one slice
+    of decoded texts at a time.  If ``f`` has an attribute ``finish``, its
+    columns follow the last slice.
     """
     st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    arrow = to_arrow_schema(st)
+    kind = to_arrow_schema(st)
 
     def run(batches):
         f = make()
 
         def batch(cols):
             return pa.RecordBatch.from_arrays(
-                [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, arrow.types)], schema=arrow)
+                [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, kind.types)], schema=kind)
 
         for b in batches:
             for s in _slices(b, rows, most_bytes):
-                yield batch(f(*[c.to_pylist() for c in s.columns]))
+                yield batch(f(*[c if arrow else c.to_pylist() for c in s.columns]))
         finish = getattr(f, "finish", None)
         if finish is not None:
             yield batch(finish())

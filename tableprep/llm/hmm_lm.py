@@ -32,6 +32,8 @@ from dataclasses import dataclass, field, replace
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -41,7 +43,8 @@ from .common import ASCII_LOWER, cut, cut_table, map_slices, with_fields
 
 END = 0
 ROWS = 2048
-BATCH_TOKENS = 200_000
+TEXT_BYTES = 8_000_000
+BATCH_TOKENS = 250_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -49,6 +52,18 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split() if text else []
 
 
+def words_of_slice(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """``words_of`` of many texts: the text of every word, its place among the distinct words, and these."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    words = split.flatten()
+    some = pc.binary_length(words).to_numpy() > 0                               # white space at an end leaves a blank
+    if not some.all():
+        text, words = text[some], words.filter(pa.array(some))
+    found = words.dictionary_encode()
+    return text, found.indices.to_numpy(), found.dictionary.cast(pa.binary()).to_pylist()
+
+
 @dataclass
 class Model:
     """Frequent words in order, the first ``own`` of which are classes of their own; HMM over all classes."""
@@ -63,9 +78,14 @@ class Model:
     distinct: int = 0                   # V
     class_tokens: np.ndarray = None     # N_k
     class_words: np.ndarray = None      # V_k
+    class_of: np.ndarray = field(default=None, repr=False)      # class of every code, made once
     lookup: dict = field(default=None, repr=False)
     likelihoods: list = field(default_factory=list)     # log10 per training token before each round over all texts
 
+    def __post_init__(self):
+        if self.class_of is None:
+            self.class_of = np.array([*map(self.class_of_frequent, range(len(self.frequent))), *range(self.classes)], dtype=np.int64)
+
     @property
     def classes(self) -> int:
         return 1 + self.own + self.shared
@@ -76,86 +96,86 @@ class Model:
     def class_of_frequent(self, i: int) -> int:
         return 1 + i if i < self.own else self.shared_class(self.frequent[i])
 
-    def class_of_codes(self) -> np.ndarray:
-        return np.array([*map(self.class_of_frequent, range(len(self.frequent))), *range(self.classes)], dtype=np.int64)
-
 
 class Coder:
     """Word -> code: the place of a frequent word, or ``len(frequent) + class`` of any other."""
 
-    def __init__(self, model: Model, entries: int = 400_000):
-        self.model, self.n, self.entries = model, len(model.frequent), entries
+    def __init__(self, model: Model):
+        self.model, self.n = model, len(model.frequent)
         self.fixed = {w: i for i, w in enumerate(model.frequent)}
-        self.seen = dict(self.fixed)
-        self.class_of = model.class_of_codes()
 
     def codes(self, words: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        for w in set(words).difference(seen):
-            seen[w] = self.n + self.model.shared_class(w)
-        out = np.fromiter(map(seen.__getitem__, words), dtype=np.int64, count=len(words))
-        if len(seen) > self.entries + self.n:
-            self.seen = dict(self.fixed)
+        get, n, other = self.fixed.get, self.n, self.model.shared_class
+        out = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        for i in np.flatnonzero(out < 0).tolist():
+            out[i] = n + other(words[i])
         return out
 
 
 def batches(sequences: list[np.ndarray]):
-    """Index lists of sequences, longest first, of about ``BATCH_TOKENS`` padded tokens each."""
-    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    i = 0
-    while i < len(order):
-        n = max(1, BATCH_TOKENS // max(1, len(sequences[order[i]])))
-        yield order[i:i + n]
-        i += n
+    """Index lists of sequences, longest first, of at most ``BATCH_TOKENS`` tokens each or one sequence."""
+    part, held = [], 0
+    for i in sorted(range(len(sequences)), key=lambda i: -len(sequences[i])):
+        if part and held + len(sequences[i]) > BATCH_TOKENS:
+            yield part
+            part, held = [], 0
+        part.append(i)
+        held += len(sequences[i])
+    if part:
+        yield part
+
+
+def packed(sequences: list[np.ndarray]):
+    """Tokens of sequences (longest first), all first ones, then all second ones and so on, without padding.
+
+    Returns the tokens, the sequence of each, and where the tokens of a step
+    begin; step t holds the first ``active[t]`` sequences.
+    """
+    sizes = np.array([len(s) for s in sequences])
+    steps = int(sizes[0])
+    active = np.searchsorted(-sizes, -np.arange(steps), side="left")
+    first = np.concatenate([[0], np.cumsum(active)])
+    who = np.arange(first[-1]) - np.repeat(first[:-1], active)
+    begins = np.cumsum(sizes) - sizes
+    return np.concatenate(sequences)[begins[who] + np.repeat(np.arange(steps), active)], who, first
 
 
 def forward(sequences: list[np.ndarray], model: Model, keep: bool = False):
     """Natural log likelihood of class sequences (longest first); with ``keep`` also what the backward pass needs."""
-    sizes = np.array([len(s) for s in sequences])
-    steps, n, states = int(sizes[0]), len(sequences), len(model.start)
-    padded = np.zeros((steps, n), dtype=np.int64)
-    for i, s in enumerate(sequences):
-        padded[:len(s), i] = s
-    active = np.searchsorted(-sizes, -np.arange(steps), side="left")
-    log, alpha, alphas, scales = np.zeros(n), None, None, None
-    if keep:
-        alphas, scales = np.zeros((steps, n, states)), np.ones((steps, n))
-    for t in range(steps):
-        a = active[t]
-        b = model.emit[padded[t, :a]]
-        alpha = b * model.start if t == 0 else (alpha[:a] @ model.move) * b
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        log[:a] += np.log(scale)
-        if keep:
-            alphas[t, :a], scales[t, :a] = alpha, scale
-    return (log, padded, active, alphas, scales) if keep else log
-
-
-def expected_counts(sequences: list[np.ndarray], model: Model, likelihood: bool = False):
+    flat, who, first = packed(sequences)
+    emits = np.take(model.emit, flat, axis=0)
+    alphas = np.empty_like(emits) if keep else emits
+    scales = np.empty((len(flat), 1))
+    ones = np.ones((len(model.start), 1))
+    alpha, ends = None, first.tolist()
+    for lo, hi in zip(ends, ends[1:]):
+        before = model.start if alpha is None else alpha[:hi - lo] @ model.move
+        alpha = np.multiply(before, emits[lo:hi], out=alphas[lo:hi])
+        alpha /= np.matmul(alpha, ones, out=scales[lo:hi])
+    log = np.bincount(who, weights=np.log(scales[:, 0]))
+    return (log, flat, first, emits, alphas, scales) if keep else log
+
+
+def expected_counts(sequences: list[np.ndarray], model: Model, likelihood: bool = False, block: int = 65536):
     """Baum-Welch counts of a batch: ``(start, move, emit)``, with ``likelihood`` also the log likelihood's sum."""
-    log, padded, active, alphas, scales = forward(sequences, model, keep=True)
-    steps, n, states = alphas.shape
-    weight = np.zeros((steps, n, states))           # emission * beta / scale of the token, for the step into it
-    beta = np.ones((n, states))
-    gamma = alphas
-    mask = np.arange(n) < active[:, None]
-    for t in range(steps - 1, -1, -1):
-        a = active[t]
-        if t + 1 < steps:
-            k = active[t + 1]
-            beta[:k] = weight[t + 1, :k] @ model.move.T
-        weight[t, :a] = model.emit[padded[t, :a]] * beta[:a] / scales[t, :a, None]
-        if t + 1 < steps:
-            move_part = alphas[t, :active[t + 1]].T @ weight[t + 1, :active[t + 1]]
-            move = move_part if t + 2 == steps else move + move_part
-        gamma[t, :a] *= beta[:a]                    # alphas of t are not needed below t
-    if steps == 1:
-        move = np.zeros((states, states))
-    flat = padded[mask]
-    g = gamma[mask]
-    emit = np.stack([np.bincount(flat, weights=g[:, s], minlength=model.classes) for s in range(states)], axis=1)
-    counts = gamma[0].sum(axis=0), move * model.move, emit
+    log, flat, first, weight, alphas, scales = forward(sequences, model, keep=True)
+    weight /= scales                                # becomes emit * beta / scale, for the step into the token
+    beta = np.ones_like(alphas)
+    back = np.ascontiguousarray(model.move.T)
+    ends = first.tolist()
+    for t in range(len(ends) - 2, 0, -1):
+        lo, hi, last = ends[t], ends[t + 1], ends[t - 1]
+        into = np.multiply(weight[lo:hi], beta[lo:hi], out=weight[lo:hi])
+        np.matmul(into, back, out=beta[last:last + hi - lo])
+    move = np.zeros_like(model.move)
+    active, later = np.diff(first), ends[1]
+    before = np.arange(later, len(flat)) - np.repeat(active[:-1], active[1:])   # the token before, of the same sequence
+    for i in range(0, len(before), block):
+        at = before[i:i + block]
+        move += alphas[at].T @ weight[later + i:later + i + len(at)]
+    gamma = np.multiply(alphas, beta, out=beta)
+    emit = np.stack([np.bincount(flat, weights=g, minlength=model.classes) for g in gamma.T], axis=1)
+    counts = gamma[:later].sum(axis=0), move * model.move, emit
     return (*counts, log.sum()) if likelihood else counts
 
 
@@ -178,11 +198,16 @@ def coded(rows: DataFrame, model: Model) -> DataFrame:
         coder = Coder(sent.value)
 
         def f(*columns):
-            return *columns[:-1], [coder.codes(words_of(t)).astype("<i4").tobytes() for t in columns[-1]]
+            text, places, words = words_of_slice(columns[-1])
+            codes = coder.codes(words).astype("<i4")[places]
+            ends = np.zeros(len(columns[-1]) + 1, dtype=np.int32)
+            np.cumsum(np.bincount(text, minlength=len(ends) - 1) * 4, out=ends[1:])
+            return *columns[:-1], pa.Array.from_buffers(
+                pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(codes)])
         return f
 
     schema = with_fields([rows.schema[c] for c in keep], "codes binary")
-    return cut_table(map_slices(rows.select(*keep, "text"), make, schema, ROWS))
+    return cut_table(map_slices(rows.select(*keep, "text"), make, schema, ROWS, TEXT_BYTES, arrow=True))
 
 
 def codes_of(raw: bytes) -> np.ndarray:
@@ -192,13 +217,13 @@ def codes_of(raw: bytes) -> np.ndarray:
 def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.ndarray, float]:
     """One Baum-Welch round over all ``rows(codes)``: new model, counts of frequent words, tokens of classes, and the
     natural log likelihood of the classes under ``model``."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
     states, n = len(model.start), len(model.frequent)
+    sent = rows.sparkSession.sparkContext.broadcast(replace(model, frequent=[]))
     a, b, c = states, states + states * states, states + states * states + model.classes * states
 
     def make():
         m = sent.value
-        class_of = m.class_of_codes()
+        class_of = m.class_of
         total = np.zeros(c + n + 1)
 
         def f(raw):
@@ -215,7 +240,7 @@ def count_round(rows: DataFrame, model: Model) -> tuple[Model, np.ndarray, np.nd
 
         def finish():
             at = np.flatnonzero(total)
-            return at.tolist(), total[at].tolist()
+            return at.astype(np.int32), total[at]
 
         f.finish = finish
         return f
@@ -234,11 +259,12 @@ def frequent_words(texts: DataFrame, limit: int, entries: int = 200_000) -> list
     Tasks add words up in a table of about ``entries`` words, which they send on when it is full.
     """
     def make():
-        seen: Counter = Counter()
+        seen = {}
 
         def f(texts):
-            for t in texts:
-                seen.update(words_of(t))
+            _, places, words = words_of_slice(texts)
+            for w, n in zip(words, np.bincount(places, minlength=len(words)).tolist()):
+                seen[w] = seen.get(w, 0) + n
             return full() if len(seen) > entries else ([], [])
 
         def full():
@@ -249,7 +275,7 @@ def frequent_words(texts: DataFrame, limit: int, entries: int = 200_000) -> list
         f.finish = full
         return f
 
-    rows = (map_slices(texts, make, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = (map_slices(texts, make, "word binary, n long", ROWS, TEXT_BYTES, arrow=True).groupBy("word").agg(F.sum("n").alias("n"))
             .where("n > 1").orderBy(F.desc("n"), "word").limit(limit).select("word").collect())
     return [bytes(r[0]) for r in rows]
 
@@ -260,7 +286,7 @@ def first_guess(model: Model, sample: DataFrame, states: int) -> Model:
     coder = Coder(model)
     emit = np.ones((model.classes, states))
     for s, t in enumerate(texts):
-        np.add.at(emit[:, s], coder.class_of[coder.codes(words_of(t))], 2.0)
+        np.add.at(emit[:, s], model.class_of[coder.codes(words_of(t))], 2.0)
     emit[END] = emit.sum(axis=0) / 500
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9)
@@ -282,9 +308,9 @@ def word_list(training: DataFrame, sample_docs: int = 8000, guess_docs: int = 15
     one = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
     sample = cut(training.join(F.broadcast(ids), "id").groupBy("id", "r").agg(one).select("r", "text"))
     words = frequent_words(training.select("text"), min(own, frequent))
-    model = Model(words, len(words), shared)
-    listed = set(words)
-    words.extend([w for w in frequent_words(sample.select("text"), frequent) if w not in listed][:frequent - len(words)])
+    n, listed = len(words), set(words)
+    words.extend([w for w in frequent_words(sample.select("text"), frequent) if w not in listed][:frequent - n])
+    model = Model(words, n, shared)
     edge = ids.orderBy("r").limit(guess_docs).agg(F.max("r")).first()[0]
     return model, cut(sample.where(F.col("r") <= F.lit(edge)).select("text").repartition(8))
 
@@ -324,17 +350,20 @@ def rare_words(rows: DataFrame, model: Model) -> DataFrame:
         frequent = set(m.frequent)
 
         def f(ids, digests, train, texts):
-            out = [[] for _ in range(6)]
-            for i, d, tr, t in zip(ids, digests, train, texts):
-                for w, tf in Counter(words_of(t)).items():
-                    if w not in frequent:
-                        for c, v in zip(out, (i, d, xxhash.xxh64_intdigest(w) - (1 << 63), m.shared_class(w), tf, tr)):
-                            c.append(v)
-            return out
+            text, places, words = words_of_slice(texts)
+            rare = np.fromiter((w not in frequent for w in words), dtype=bool, count=len(words))
+            hashes, k = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int32)
+            for i in np.flatnonzero(rare).tolist():
+                hashes[i], k[i] = xxhash.xxh64_intdigest(words[i]) - (1 << 63), m.shared_class(words[i])
+            kept = rare[places]
+            pairs, tf = np.unique(text[kept] * len(words) + places[kept], return_counts=True)
+            text, word = np.divmod(pairs, max(1, len(words)))
+            text = pa.array(text)
+            return ids.take(text), digests.take(text), hashes[word], k[word], tf.astype(np.int32), train.take(text)
         return f
 
     return map_slices(rows.select("id", "digest", "train", "text"), make, with_fields(
-        rows.select("id", "digest").schema.fields, "word bigint, k int, tf int, train boolean"))
+        rows.select("id", "digest").schema.fields, "word bigint, k int, tf int, train boolean"), ROWS, TEXT_BYTES, arrow=True)
 
 
 def sum_rare_words(rare: DataFrame) -> DataFrame:
@@ -362,7 +391,7 @@ def score_texts(rows: DataFrame, model: Model) -> DataFrame:
 
     def make():
         m = sent.value
-        class_of = m.class_of_codes()
+        class_of = m.class_of
         n = len(m.frequent)
         base = np.concatenate([np.log10(m.counts + 1.0), np.zeros(m.classes)])
         known = np.concatenate([m.counts > 0, np.zeros(m.classes, dtype=bool)])
@@ -400,8 +429,7 @@ def score(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text_col
     words = np.zeros(model.classes, dtype=np.int64)
     for r in sums.where("by_class = 1").select("k", "words").collect():         # one row per shared class
         words[r[0]] = r[1]
-    for i, n in enumerate(model.counts):
-        words[model.class_of_frequent(i)] += n > 0
+    np.add.at(words, model.class_of[:len(model.counts)], model.counts > 0)
     words[END] = model.class_tokens[END] > 0
     model = replace(model, class_words=words, distinct=int(words.sum()))
     unit = float(np.log10(model.tokens + model.distinct + 1.0))

@@ -53,6 +53,44 @@ def test_baum_welch_counts_are_expectations_and_raise_the_likelihood():
         m.emit = emit / emit.sum(axis=0)
 
 
+def test_long_text_among_short_ones_takes_memory_for_its_tokens_only():
+    import tracemalloc
+    m = tiny_model()
+    r = np.random.default_rng(3)
+    seqs = [r.integers(0, 5, n) for n in [5000] + [2] * 400 + [1]]
+    want = [M.expected_counts([s], m, likelihood=True) for s in seqs]
+    tracemalloc.start()
+    got = M.expected_counts(seqs, m, likelihood=True)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 5_000_000                                 # 5801 tokens; 2 million cells if padded
+    for x, *parts in zip(got, *want):
+        assert np.allclose(x, sum(parts), rtol=1e-9)
+    for x, y in zip(got, M.expected_counts(seqs, m, likelihood=True, block=7)):
+        assert np.allclose(x, y, rtol=1e-12)
+
+
+def test_batches_hold_their_tokens_without_padding(monkeypatch):
+    monkeypatch.setattr(M, "BATCH_TOKENS", 1000)
+    seqs = [np.zeros(n, dtype=int) for n in [3, 900, 1, 1500, 40, 40, 20]]
+    assert list(M.batches(seqs)) == [[3], [1, 4, 5, 6], [0, 2]]
+    assert list(M.batches([])) == []
+    flat, who, first = M.packed([np.array([1, 2, 3]), np.array([4, 5]), np.array([6])])
+    assert flat.tolist() == [1, 4, 6, 2, 5, 3] and who.tolist() == [0, 1, 2, 0, 1, 0] and first.tolist() == [0, 3, 5, 6]
+
+
+def test_words_of_a_slice_are_those_of_each_text():
+    import pyarrow as pa
+    texts = EDGE + ["  two  ends\t", "\x0b\x0c\r", "a\x1cb\x1f \x85 \xa0c\u2028d", "É é İI K", "\x00 \x00a", " x"]
+    for kind in (pa.string(), pa.large_string()):
+        for part in (pa.array(texts, kind), pa.array(texts, kind).slice(3, 9), pa.array([None, "", " "], kind), pa.array([], kind)):
+            text, places, words = M.words_of_slice(part)
+            got = [[] for _ in range(len(part))]
+            for i, p in zip(text.tolist(), places.tolist()):
+                got[i].append(words[p])
+            assert got == [M.words_of(t) for t in part.to_pylist()] and len(set(words)) == len(words)
+
+
 def plain_base(rows):
     tokens = [[*WORD.findall(lower(t)), None] for _, t in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
