@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field, replace
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -52,7 +53,7 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split() if text else []
 
 
-def words_of_slice(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def words_of_slice(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
     """``words_of`` of many texts: the text of every word, its place among the distinct words, and these."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
@@ -61,7 +62,35 @@ def words_of_slice(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]
     if not some.all():
         text, words = text[some], words.filter(pa.array(some))
     found = words.dictionary_encode()
-    return text, found.indices.to_numpy(), found.dictionary.cast(pa.binary()).to_pylist()
+    return text, found.indices.to_numpy(), found.dictionary.cast(pa.binary())
+
+
+def listed(words: pa.BinaryArray) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()        # several times as fast as to_pylist()
+
+
+def _crc_table() -> np.ndarray:
+    c = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        c = np.where(c & 1, (c >> 1) ^ np.uint32(0xEDB88320), c >> 1)
+    return c
+
+
+CRC = _crc_table()
+
+
+def edge_hashes(words: pa.BinaryArray) -> np.ndarray:
+    """crc32 of the first two bytes, a space and the last two of every word (of one byte: this byte twice)."""
+    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1]
+    first, last = ends[:-1], ends[1:] - 1
+    out = np.full(len(words), 0xFFFFFFFF, dtype=np.uint32)
+    two = last > first
+    for b, every in ((data[first], True), (data[np.minimum(first + 1, last)], False), (np.uint8(32), True),
+                     (data[np.maximum(last - 1, first)], False), (data[last], True)):
+        step = CRC[(out ^ b) & 255] ^ (out >> 8)
+        out = step if every else np.where(two, step, out)
+    return ~out
 
 
 @dataclass
@@ -93,6 +122,9 @@ class Model:
     def shared_class(self, word: bytes) -> int:
         return 1 + self.own + crc32(word[:2] + b" " + word[-2:]) % self.shared
 
+    def shared_classes(self, words: pa.BinaryArray) -> np.ndarray:
+        return 1 + self.own + edge_hashes(words).astype(np.int64) % self.shared
+
     def class_of_frequent(self, i: int) -> int:
         return 1 + i if i < self.own else self.shared_class(self.frequent[i])
 
@@ -104,12 +136,9 @@ class Coder:
         self.model, self.n = model, len(model.frequent)
         self.fixed = {w: i for i, w in enumerate(model.frequent)}
 
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        get, n, other = self.fixed.get, self.n, self.model.shared_class
-        out = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        for i in np.flatnonzero(out < 0).tolist():
-            out[i] = n + other(words[i])
-        return out
+    def codes(self, words: pa.BinaryArray) -> np.ndarray:
+        out = np.fromiter(map(self.fixed.get, listed(words), repeat(-1)), dtype=np.int64, count=len(words))
+        return np.where(out < 0, self.n + self.model.shared_classes(words), out)
 
 
 def batches(sequences: list[np.ndarray]):
@@ -263,7 +292,7 @@ def frequent_words(texts: DataFrame, limit: int, entries: int = 200_000) -> list
 
         def f(texts):
             _, places, words = words_of_slice(texts)
-            for w, n in zip(words, np.bincount(places, minlength=len(words)).tolist()):
+            for w, n in zip(listed(words), np.bincount(places, minlength=len(words)).tolist()):
                 seen[w] = seen.get(w, 0) + n
             return full() if len(seen) > entries else ([], [])
 
@@ -286,7 +315,7 @@ def first_guess(model: Model, sample: DataFrame, states: int) -> Model:
     coder = Coder(model)
     emit = np.ones((model.classes, states))
     for s, t in enumerate(texts):
-        np.add.at(emit[:, s], model.class_of[coder.codes(words_of(t))], 2.0)
+        np.add.at(emit[:, s], model.class_of[coder.codes(pa.array(words_of(t), pa.binary()))], 2.0)
     emit[END] = emit.sum(axis=0) / 500
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9)
@@ -308,8 +337,8 @@ def word_list(training: DataFrame, sample_docs: int = 8000, guess_docs: int = 15
     one = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
     sample = cut(training.join(F.broadcast(ids), "id").groupBy("id", "r").agg(one).select("r", "text"))
     words = frequent_words(training.select("text"), min(own, frequent))
-    n, listed = len(words), set(words)
-    words.extend([w for w in frequent_words(sample.select("text"), frequent) if w not in listed][:frequent - n])
+    n, known = len(words), set(words)
+    words.extend([w for w in frequent_words(sample.select("text"), frequent) if w not in known][:frequent - n])
     model = Model(words, n, shared)
     edge = ids.orderBy("r").limit(guess_docs).agg(F.max("r")).first()[0]
     return model, cut(sample.where(F.col("r") <= F.lit(edge)).select("text").repartition(8))
@@ -351,10 +380,11 @@ def rare_words(rows: DataFrame, model: Model) -> DataFrame:
 
         def f(ids, digests, train, texts):
             text, places, words = words_of_slice(texts)
-            rare = np.fromiter((w not in frequent for w in words), dtype=bool, count=len(words))
-            hashes, k = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int32)
-            for i in np.flatnonzero(rare).tolist():
-                hashes[i], k[i] = xxhash.xxh64_intdigest(words[i]) - (1 << 63), m.shared_class(words[i])
+            distinct = listed(words)
+            rare = ~np.fromiter(map(frequent.__contains__, distinct), dtype=bool, count=len(words))
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), dtype=np.uint64, count=len(words))
+            hashes = (hashes ^ np.uint64(1 << 63)).view(np.int64)               # the hash less 2^63
+            k = m.shared_classes(words).astype(np.int32)
             kept = rare[places]
             pairs, tf = np.unique(text[kept] * len(words) + places[kept], return_counts=True)
             text, word = np.divmod(pairs, max(1, len(words)))

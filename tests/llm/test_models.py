@@ -81,10 +81,15 @@ def test_batches_hold_their_tokens_without_padding(monkeypatch):
 
 def test_words_of_a_slice_are_those_of_each_text():
     import pyarrow as pa
-    texts = EDGE + ["  two  ends\t", "\x0b\x0c\r", "a\x1cb\x1f \x85 \xa0c\u2028d", "É é İI K", "\x00 \x00a", " x"]
+    texts = EDGE + ["  two  ends\t", "\x0b\x0c\r", "a\x1cb\x1f \x85 \xa0c\u2028d", "É é İI K", "\x00 \x00a", " x", "é"]
     for kind in (pa.string(), pa.large_string()):
         for part in (pa.array(texts, kind), pa.array(texts, kind).slice(3, 9), pa.array([None, "", " "], kind), pa.array([], kind)):
-            text, places, words = M.words_of_slice(part)
+            text, places, found = M.words_of_slice(part)
+            words = found.to_pylist()
+            model = M.Model(words[::3], 1, 97)
+            assert M.Coder(model).codes(found).tolist() == [
+                words.index(w) // 3 if w in words[::3] else len(words[::3]) + model.shared_class(w) for w in words]
+            assert model.shared_classes(found[2:]).tolist() == [model.shared_class(w) for w in words[2:]]
             got = [[] for _ in range(len(part))]
             for i, p in zip(text.tolist(), places.tolist()):
                 got[i].append(words[p])
